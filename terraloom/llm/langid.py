@@ -166,6 +166,37 @@ def train(docs: DataFrame, vocabulary: str, per_language: int = TEXTS_PER_LANGUA
     return fit(counts, read_vocabulary(vocabulary))
 
 
+def predictor(model: Model):
+    """A function from texts to (languages, scores), for use within tasks. It remembers the words it has scored."""
+    langs = model.langs
+    row_of: dict[str, int] = {}
+    matrix = np.zeros((0, len(langs)))
+
+    def run(texts: list) -> tuple[list[str], list[float]]:
+        nonlocal matrix
+        if len(row_of) > 400_000:
+            row_of.clear()
+        lists = [words_of(t) if t and langs else [] for t in texts]
+        new = list({w for ws in lists for w in ws if w not in row_of})
+        if new:
+            used = len(row_of)
+            row_of.update(zip(new, range(used, used + len(new))))
+            matrix = _grown(matrix, used, model.log_words(new))
+        pred, score = [], []
+        for ws in lists:
+            if not ws:
+                pred.append(UNKNOWN)
+                score.append(0.0)
+                continue
+            total = matrix[np.fromiter(map(row_of.__getitem__, ws), np.int64, len(ws))].sum(axis=0)
+            best = int(total.argmax())
+            pred.append(langs[best])
+            score.append(float(1 / np.exp(np.maximum(total - total[best], -700)).sum()))
+        return pred, score
+
+    return run
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Language of every whole text: id, lang_pred, score (the posterior of lang_pred; 0 for ``und``).
 
@@ -176,35 +207,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        model = shipped.value
-        langs = model.langs
-        row_of: dict[str, int] = {}
-        matrix = np.zeros((0, len(langs)))
-
-        def run(ids, texts):
-            nonlocal matrix
-            if len(row_of) > 400_000:
-                row_of.clear()
-                matrix = matrix[:0]
-            lists = [words_of(t) if t and langs else [] for t in texts]
-            new = list({w for ws in lists for w in ws if w not in row_of})
-            if new:
-                for k, w in enumerate(new, len(row_of)):
-                    row_of[w] = k
-                matrix = _grown(matrix, len(row_of) - len(new), model.log_words(new))
-            pred, score = [], []
-            for ws in lists:
-                if not ws:
-                    pred.append(UNKNOWN)
-                    score.append(0.0)
-                    continue
-                total = matrix[np.fromiter(map(row_of.__getitem__, ws), np.int64, len(ws))].sum(axis=0)
-                best = int(total.argmax())
-                pred.append(langs[best])
-                score.append(float(1 / np.exp(np.maximum(total - total[best], -700)).sum()))
-            return [ids, pred, score]
-
-        return run
+        of = predictor(shipped.value)
+        return lambda ids, texts: [ids, *of(texts)]
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_columns(docs, [id_col, text_col], f"{id_col} {kind}, lang_pred string, score double", make)

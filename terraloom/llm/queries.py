@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -13,12 +14,30 @@ WORDS = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_wrapper import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_count import count_tokens
 
@@ -37,6 +56,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .winnow import fingerprint
 
@@ -44,7 +75,11 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op5_token_counts, op6_bpe, op7_language_id, op10_winnowing)}
+    found = (
+        op1_lm_scoring, op2_packing, op3_html_extraction, op4_nearest_neighbours, op5_token_counts,
+        op6_bpe, op7_language_id, op8_near_duplicates, op9_quality, op10_winnowing,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
