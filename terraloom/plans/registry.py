@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
-_AREAS = ("catalog_queries",)
+_AREAS = ("catalog_queries", "scalar_queries", "algebra_queries")
 
 
 def query(sql: str | None = None):
