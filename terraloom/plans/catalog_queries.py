@@ -165,14 +165,14 @@ def dataset_iterator(spark, sf_dir):
 
 
 @query(f"""WITH {PX1}, m AS (SELECT l, s, ds, day, CASE WHEN v < 400 THEN least(greatest(v * 2 - 50, 0), 255) END AS b FROM px1),
-k AS (SELECT ds, day, l // 8 AS bl, s // 8 AS bs, round(avg(b), 4) AS mean, count(b) AS n FROM m GROUP BY ALL),
+k AS (SELECT ds, day, l // 8 AS bl, s // 8 AS bs, round(avg(b), 8) AS mean, count(b) AS n FROM m GROUP BY ALL),
 r AS (SELECT *, dense_rank() OVER (PARTITION BY ds ORDER BY day DESC) AS rank FROM k)
 SELECT ds, day, bl, bs, mean, n, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 2""")
 def corrected_composite(spark, sf_dir):
     """Band math, mask and lookup, block averages by day, and the two newest days of every dataset."""
     px = algebra.masked(px1(spark, sf_dir), "v", F.col("v") < 400)
     px = px.withColumn("b", F.least(F.greatest(F.col("v") * 2 - 50, F.lit(0.0)), F.lit(255.0)))
-    blocks = px.groupBy("ds", "day", F.expr("l div 8").alias("bl"), F.expr("s div 8").alias("bs")).agg(F.round(F.avg(F.when(F.col("v").isNotNull(), F.col("b"))), 4).alias("mean"), F.count("v").alias("n"))
+    blocks = px.groupBy("ds", "day", F.expr("l div 8").alias("bl"), F.expr("s div 8").alias("bs")).agg(F.round(F.avg(F.when(F.col("v").isNotNull(), F.col("b"))), 8).alias("mean"), F.count("v").alias("n"))
     days = blocks.select("ds", "day").distinct()
     from pyspark.sql import Window
 
