@@ -18,7 +18,7 @@ def _warp(l, s):
     return tuple(x.replace("l *", f"({l}) *").replace("s *", f"({s}) *") for x in _W)
 
 
-_WARPED = f"{PX1}, warped AS (SELECT l, s, v, {_W[0]} AS ol, {_W[1]} AS os FROM px1)"
+_WARPED = f"{PX1}, warped AS (SELECT l, s, sqrt(v) AS v, {_W[0]} AS ol, {_W[1]} AS os FROM px1)"
 _QUADS = f"{_WARPED}, quads AS (SELECT a.l, a.s, a.ol AS p0l, a.os AS p0s, b.ol AS p1l, b.os AS p1s, c.ol AS p2l, c.os AS p2s, d.ol AS p3l, d.os AS p3s FROM warped a JOIN warped b ON b.l = a.l AND b.s = a.s + 1 JOIN warped c ON c.l = a.l + 1 AND c.s = a.s + 1 JOIN warped d ON d.l = a.l + 1 AND d.s = a.s)"
 _CELLS = f"""{_QUADS}, cand AS (SELECT * FROM (SELECT *, unnest(generate_series(greatest(CAST(trunc(least(p0l, p1l, p2l, p3l)) AS BIGINT), 0), least(CAST(trunc(greatest(p0l, p1l, p2l, p3l)) AS BIGINT) + 1, 40) - 1)) AS outl FROM quads)),
 cand2 AS (SELECT *, unnest(generate_series(greatest(CAST(trunc(least(p0s, p1s, p2s, p3s)) AS BIGINT), 0), least(CAST(trunc(greatest(p0s, p1s, p2s, p3s)) AS BIGINT) + 1, 40) - 1)) AS outs FROM cand),
@@ -31,7 +31,7 @@ cells AS (SELECT l, s, outl, outs, CASE WHEN in1 THEN v1 ELSE 1 - v2 END AS dl,
 
 def _warped(spark, sf_dir):
     ol, os = (x.replace("::DOUBLE", "D") for x in _W)
-    return px1(spark, sf_dir).selectExpr("l", "s", "v", f"{ol} AS ol", f"{os} AS os")
+    return px1(spark, sf_dir).selectExpr("l", "s", "sqrt(v) AS v", f"{ol} AS ol", f"{os} AS os")
 
 
 @query(f"WITH {_CELLS} SELECT l, s, outl, outs, round(dl, 6) AS dl, round(ds, 6) AS ds FROM cells")
