@@ -16,8 +16,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def arrivals(spark: SparkSession, path: str, schema, files_per_trigger: int = 64) -> DataFrame:
-    """Files as they arrive; a bounded number for each micro-batch is the back-pressure."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+    """Files as they arrive; a bounded number for each micro-batch is the back-pressure. The path is a folder, or a
+    single file, which is then looked for by its name in its folder."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    if spark.read.parquet(path).inputFiles()[:1] and spark.read.parquet(path).inputFiles()[0].endswith(f"/{name}"):
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
 
 
 def daily(events: DataFrame, lateness: str = "1 day") -> DataFrame:
