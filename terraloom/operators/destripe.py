@@ -64,7 +64,7 @@ def destripe(px: DataFrame, reference: int) -> DataFrame:
 def replace_bad(px: DataFrame, bad: list[int], detectors: int) -> DataFrame:
     """Lines of bad detectors take the values of the nearest good one in the same scan, the lower of two as near."""
     good = [d for d in range(detectors) if d not in bad]
-    if not good:
+    if not bad or not good:
         return px
     rep = {b: min(good, key=lambda g: (abs(g - b), g)) for b in bad}
     target = px.where(F.col("det").isin(bad)).withColumn("rep", F.coalesce(*[F.when(F.col("det") == b, F.lit(r)) for b, r in rep.items()]))

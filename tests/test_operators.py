@@ -151,7 +151,7 @@ def test_destripe_matches_the_reference(spark):
 
 def test_all_detectors_bad_changes_nothing(spark):
     px = spark.createDataFrame([(0, 0, 0, 5), (0, 1, 0, 6)], "scan long, det long, s long, v long")
-    assert destripe.replace_bad(px, [0, 1], 2).count() == 2
+    assert destripe.replace_bad(px, [0, 1], 2).count() == destripe.replace_bad(px, [], 2).count() == 2
     assert {r["v"] for r in destripe.replace_bad(px, [1], 2).collect()} == {5}
 
 
