@@ -7,8 +7,10 @@ component with the probability Jaccard similarity of the texts. Bands of compone
 the exact similarity of the sets decides.
 
 Copies of a text are one node from the start. Within a band's bucket each node is first compared with the smallest
-and the largest node only, so a bucket gives as many candidates as it has nodes. What these links leave apart is
-then compared: all pairs of a bucket that lie in different classes so far and agree in size, so no link is lost.
+and the largest node only, so a bucket gives as many candidates as it has nodes. Where these links leave several
+classes in a bucket, its texts go through an exact prefix-filtered join: with the shingles of each set in one common
+order, rare ones first, two sets of similarity t share one of the first (1 - t) n + 1. Shingles that many texts share
+come last and hardly ever meet, so a common passage costs little, and no link of these texts is lost.
 """
 
 from __future__ import annotations
@@ -26,8 +28,10 @@ from pyspark.sql import functions as F
 from .common import cut, map_columns, shared_table, small_batches
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: A pair of similarity 0.8 misses all of 64 bands of 8 with probability 8e-6; one of 0.4 meets in 4 % of cases.
-BANDS, ROWS = 64, 8
+#: A pair of similarity 0.8 misses all of 32 bands of 6 with probability 6e-5.
+BANDS, ROWS = 32, 6
+#: The most shingles whose frequency is known to the common order, and the most ids that are broadcast (8 bytes each).
+FREQUENT, BROADCAST_IDS = 200_000, 1_000_000
 _WORD = re.compile(r"\w+")
 _GOLDEN, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -53,7 +57,7 @@ def shingles(words: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
 
 
 def signature(elements: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
-    """The ProbMinHash signature: the element that arrives first at each of m (a power of two) components."""
+    """The ProbMinHash signature: the element that arrives first at each of m components."""
     n = len(elements)
     low = np.uint64((1 << max(20, n.bit_length())) - 1)
     first = np.full(m, np.iinfo(np.uint64).max, np.uint64)
@@ -67,7 +71,8 @@ def signature(elements: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
         time = np.cumsum(gap, axis=1) + start[active][:, None]
         start[active] = time[:, -1]
         packed = (time.view(np.uint64) & ~low) | active.astype(np.uint64)[:, None]
-        np.minimum.at(first, (r & np.uint64(m - 1)).ravel().astype(np.intp), packed.ravel())
+        component = ((r & np.uint64(0xFFFFFFFF)) * np.uint64(m)) >> np.uint64(32)
+        np.minimum.at(first, component.ravel().astype(np.intp), packed.ravel())
         latest = (first.max() & ~low).view(np.float64) if first.max() != np.iinfo(np.uint64).max else np.inf
         active = active[start[active] < latest]
         at += per
@@ -106,10 +111,16 @@ def prepare(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str)
     return map_columns(kept, ["id", "text"], "id long, key binary, keys array<long>, shingles binary", make)
 
 
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is among the distinct ids, which are broadcast up to a checked number and joined beyond it."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets have at least the similarity."""
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = sets.join(needed, "id", "left_semi").dropDuplicates(["id"])
+    pairs = cut(pairs)
+    needed = cut(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
+    sets = _among(sets, needed).dropDuplicates(["id"])
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,6 +162,54 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def prefix_pairs(sets: DataFrame, apart: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs (a, b), of different classes, among the texts of ``apart`` (id, class): all that may have the
+    similarity. The order of shingles is by frequency and then by value; any order is right, this one is fast. Only
+    shingles that a task meets several times can be frequent, so the others are left out of the count."""
+    own = shared_table(_among(sets, apart.select("id").distinct()).dropDuplicates(["id"]))
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                tok, n = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(0)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(tok[n > 1].astype(np.int64)), pa.array(n[n > 1].astype(np.int64))], names=["tok", "n"])
+
+    small_batches(own.sparkSession)
+    counts = own.select("shingles").mapInArrow(tally, "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n"))
+    often = counts.orderBy(F.desc("n"), "tok").limit(FREQUENT).collect()
+    table = np.array(sorted((r["tok"], r["n"]) for r in often), np.int64).reshape(-1, 2)
+    shipped = own.sparkSession.sparkContext.broadcast(table)
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, counts = shipped.value.T
+        for batch in batches:
+            ids, toks, places, sizes = [], [], [], []
+            for i, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = np.frombuffer(x.as_buffer(), "<u4").astype(np.int64)
+                at = np.searchsorted(tokens, x)
+                at[at == len(tokens)] = 0
+                n = np.where(tokens[at] == x, counts[at], 0) if len(tokens) else np.zeros(len(x), np.int64)
+                keep = len(x) - int(np.ceil(similarity * len(x) - 1e-9)) + 1
+                first = x[np.lexsort((x, n))[:keep]]
+                ids.append(np.full(len(first), i))
+                toks.append(first)
+                places.append(np.arange(len(first)))
+                sizes.append(np.full(len(first), len(x)))
+            if ids:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in (ids, toks, places, sizes)], names=["id", "tok", "place", "size"])
+
+    rows = own.select("id", "shingles").mapInArrow(prefixes, "id long, tok long, place long, size long").join(apart, "id")
+    several = rows.groupBy("tok").agg(F.min("class").alias("c0"), F.max("class").alias("c1")).where("c0 < c1").select("tok")
+    rows = cut(rows.join(several, "tok", "left_semi"))
+    x, y = rows.alias("x"), rows.alias("y")
+    # At most this many shingles can be common: the one met here and what follows it in either set.
+    most = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    enough = most >= similarity / (1 + similarity) * (F.col("x.size") + F.col("y.size")) - 1e-9
+    fits = (F.col("x.size") >= similarity * F.col("y.size")) & (F.col("y.size") >= similarity * F.col("x.size"))
+    met = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.class") != F.col("y.class")) & fits & enough)
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, class_id, text_id, n_links.
 
@@ -167,7 +226,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     # Where a repeated id has several texts, their nodes are one class.
     same = members.where("text_id != other").select(F.col("text_id").alias("a"), F.col("other").alias("b"))
 
-    buckets = ready.join(nodes, "id", "left_semi").select("id", F.explode("keys").alias("band"), (F.length("shingles") / 4).cast("int").alias("size"))
+    buckets = ready.join(nodes, "id", "left_semi").select("id", F.explode("keys").alias("band"))
     ends = buckets.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     met = shared_table(buckets.join(ends, "band"))
     pair = lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
@@ -176,19 +235,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     links = cut(_verified(tried, sets, similarity))
     classes = components(links.union(same))
 
-    # What the first links leave apart: buckets that still hold several classes.
-    known = met.join(classes.withColumnRenamed("node", "id"), "id", "left").withColumn("class", F.coalesce("root", "id"))
-    known = known.select("band", "id", "size", "class", "low", "high")
+    # What the first links leave apart: texts of buckets that still hold several classes.
+    known = met.select("band", "id").join(classes.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("root", "id").alias("class"))
     split = known.groupBy("band").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), F.count("*").alias("n")).where("c0 < c1 and n > 2").select("band")
-    apart = cut(known.join(split, "band", "left_semi"))
-    x, y = apart.alias("x"), apart.alias("y")
-    fits = (F.col("x.size") >= similarity * F.col("y.size")) & (F.col("y.size") >= similarity * F.col("x.size"))
-    untried = ~F.col("x.id").isin(F.col("x.low"), F.col("x.high")) & ~F.col("y.id").isin(F.col("x.low"), F.col("x.high"))
-    cross = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.class") != F.col("y.class")) & fits & untried)
-    further = cut(_verified(cross.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), sets, similarity))
-    if not further.isEmpty():
-        links = links.union(further)
-        classes = components(links.union(same))
+    apart = cut(known.join(split, "band", "left_semi").select("id", "class").distinct())
+    if not apart.isEmpty():
+        further = cut(_verified(prefix_pairs(sets, apart, similarity), sets, similarity))
+        if not further.isEmpty():
+            links = links.union(further).distinct()
+            classes = components(links.union(same))
 
     degree = links.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("n_links"))
     found = (
