@@ -136,10 +136,10 @@ def train(docs: DataFrame, vocabulary: str, per_language: int = TEXTS_PER_LANGUA
     """Fit on at most ``per_language`` whole texts of each language among the given rows, those with the smallest
     hash of their id: a bounded sample (the counts of its words are all that reaches the driver)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
-    # A hash below a bound that twice the wanted rows of the language pass, then the smallest hashes of those.
+    # One row for each language is broadcast. A hash below a bound that twice the wanted rows of the language pass, then the smallest hashes of those.
     hashed = rows.select("id", "lang", F.xxhash64("id").alias("h"))
     share = F.least(F.lit(1.0), 2.0 * (per_language + 50) / F.count("*"))
-    few = hashed.join(hashed.groupBy("lang").agg(share.alias("share")), "lang").where(F.col("h") / 2.0**64 + 0.5 <= F.col("share"))
+    few = hashed.join(F.broadcast(hashed.groupBy("lang").agg(share.alias("share"))), "lang").where(F.col("h") / 2.0**64 + 0.5 <= F.col("share"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
     chosen = few.withColumn("r", rank).where(F.col("r") <= per_language).select("id", "lang")
     picked = [(r["id"], r["lang"]) for r in chosen.collect()]
