@@ -2,8 +2,8 @@
 
 Every k-gram of code points gets a rolling polynomial hash, scrambled so that minima are spread evenly. From each
 window of w hashes the smallest is chosen, the rightmost of equals; a choice made again by the next window counts
-once. Any passage of w + k - 1 code points that two texts share gives both at least one equal hash. The position
-of each chosen k-gram is kept.
+once. Any passage of w + k - 1 code points that two texts of at least 3 k share gives both at least one equal hash.
+The position of each chosen k-gram is kept.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
-K, W = 8, 48
+K, W = 8, 24
 _BASE = 0x9E3779B97F4A7C15
 _BLOCK = 1 << 20
 _M64 = (1 << 64) - 1
@@ -69,23 +69,33 @@ def choose(hashes: np.ndarray, w: int) -> np.ndarray:
     return where[np.r_[True, where[1:] != where[:-1]]]
 
 
+def sizes(n: int, k: int = K, w: int = W) -> tuple[int, int]:
+    """Gram and window for a text of n code points. Short texts have smaller windows, so that they too have several
+    choices: what the larger window chooses is among them, and the match guarantee stands. Texts of less than three
+    grams have shorter grams as well, and every one is chosen."""
+    if n < 3 * k:
+        return max(1, n // 3), 1
+    return k, max(1, min(w, w * n // (32 * k)))
+
+
 def winnow(text: str, k: int = K, w: int = W) -> tuple[np.ndarray, np.ndarray]:
-    """(32-bit hashes, positions) of a text. A text shorter than k is one gram; an empty one has none."""
+    """(32-bit hashes, positions) of a text. An empty one has none."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     if not len(points):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    hashes = gram_hashes(points, min(k, len(points)))
+    k, w = sizes(len(points), k, w)
+    hashes = gram_hashes(points, k)
     where = choose(hashes, w)
     return hashes[where], where
 
 
 def fingerprint_text(hashes: np.ndarray, where: np.ndarray) -> str:
-    """12 hex digits for each choice: its hash, and the step from the choice before (from 0 for the first)."""
+    """10 hex digits for each choice: its hash, and the step from the choice before (from 0 for the first)."""
     if not len(where):
         return ""
-    out = np.empty((len(where), 3), ">u2")
-    h = hashes.astype(np.uint32)
-    out[:, 0], out[:, 1], out[:, 2] = h >> 16, h & 0xFFFF, np.diff(where, prepend=0)
+    out = np.empty((len(where), 5), np.uint8)
+    out[:, :4] = hashes.astype(">u4").view(np.uint8).reshape(-1, 4)
+    out[:, 4] = np.diff(where, prepend=0)  # at most the window
     return out.tobytes().hex()
 
 

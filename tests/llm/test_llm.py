@@ -171,7 +171,8 @@ def test_differencing_beats_greedy():
 
 def _winnow_slow(text, k, w):
     p = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    h = winnow.gram_hashes(p, min(k, len(p)))
+    k, w = winnow.sizes(len(p), k, w)
+    h = winnow.gram_hashes(p, k)
     w, found = min(w, len(h)), []
     for a in range(len(h) - w + 1):
         part = h[a : a + w]
@@ -198,9 +199,9 @@ def test_equal_grams_have_equal_hashes():
 def test_match_guarantee():
     rng = random.Random(5)
     word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
-    for _ in range(30):
+    for n in range(60):
         shared = word(winnow.K + winnow.W - 1)
-        a, b = word(200) + shared + word(100), word(77) + shared + word(300)
+        a, b = word(200) + shared + word(100), word(n) + shared + word(5 * n)
         assert len(np.intersect1d(winnow.winnow(a)[0], winnow.winnow(b)[0])) > 0
 
 
@@ -211,6 +212,11 @@ def test_blocks_do_not_change_the_choice(monkeypatch):
     assert winnow.choose(h, 16).tolist() == whole
 
 
+def test_short_texts_have_several_choices():
+    a, b = (np.unique(winnow.winnow(t)[0]) for t in ("That it.", "That iX!"))
+    assert 0 < winnow.likeness(a, b) < 1 and len(winnow.winnow("x")[0]) == 1
+
+
 def test_fingerprint_query(spark, docs, odd):
     for table in (docs, odd.where("doc_id is not null").dropDuplicates(["doc_id"])):
         rows = {r["doc_id"]: r for r in winnow.fingerprint(table).collect()}
