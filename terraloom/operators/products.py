@@ -147,3 +147,20 @@ def destripe_granules(px: DataFrame, granules: DataFrame, reference: int, bad: l
     done = px.join(F.broadcast(granules.where("destriped").select("granule")), "granule", "left_semi")
     fixed = destripe.replace_bad(destripe.destripe(todo, reference).withColumn("v", F.col("out")).drop("out"), bad, detectors)
     return done.unionByName(fixed)
+
+
+def relief(dem: DataFrame, rows: list[tuple[int, int, int, float]], pixel: float, land: bool = True, nodata: float = -9999.0) -> DataFrame:
+    """Coloured relief under hillshade: l, s, r, g, b and alpha. With ``land`` the sea (heights of 0 and less) is
+    transparent; missing heights always are."""
+    known = dem.withColumn("v", F.when(F.col("v") != nodata, F.col("v")))
+    shaded = focal.hillshade(known, pixel=pixel)
+    rgb = algebra.gradient(F.col("v"), rows)
+    seen = F.col("v").isNotNull() & ((F.col("v") > 0) if land else F.lit(True))
+    light = F.coalesce("shade", F.lit(255.0)) / 255
+    return shaded.select("l", "s", *[F.floor(F.coalesce(c * light, F.lit(0.0))).cast("int").alias(n) for n, c in rgb.items()], F.when(seen, 255).otherwise(0).alias("a"))
+
+
+def register_overrides(spark, functions: dict[str, tuple[Callable, str]]) -> None:
+    """A user's own functions (name to function and SQL type) for use in queries and band expressions."""
+    for name, (f, kind) in functions.items():
+        spark.udf.register(name, F.pandas_udf(f, kind))

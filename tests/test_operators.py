@@ -7,6 +7,7 @@ import tarfile
 import zipfile
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -263,3 +264,33 @@ def test_stream_equals_batch_and_replays(spark, tmp_path):
     run()
     got = incremental.latest_of(spark.read.parquet(out), ["ds", "day"]).agg(F.sum("n")).first()[0]
     assert got == 20
+
+
+def test_job_configuration(monkeypatch):
+    from terraloom.sources.config import ResampleJob
+
+    monkeypatch.setenv("DATA", "/d")
+    text = 'input_filename = "$(DATA)/a.swath" # remark\nOUTPUT_FILENAME=o\nGEOLOCATION_FILENAME=g\nOUTPUT_PROJECTION_NUMBER = sNsoid\nKERNEL_TYPE = bi\nINPUT_SDS_NAME = A,0,1; B\nOUTPUT_PIXEL_SIZE = 500'
+    job = ResampleJob.parse(text)
+    assert (job.input, job.projection, job.kernel, job.sds, job.pixel) == ("/d/a.swath", 16, "BI", ("A,0,1", "B"), 500.0)
+    for bad in ("OUTPUT_PROJECTION_NUMBER = GEO", "KERNEL_TYPE = XX", "OUTPUT_DATA_TYPE = INT64", "INPUT_FILENAME = "):
+        with pytest.raises(ValueError):
+            ResampleJob.parse(text + "\n" + bad)
+
+
+def test_relief_hides_the_sea(spark):
+    from terraloom.operators import products
+
+    out = {(r["l"], r["s"]): r for r in products.relief(grid(spark, [[-5, 10, 20], [-9999, 10, 20], [0, 10, 20]]), [(0, 0, 0, 0.0), (200, 100, 50, 20.0)], 0.01).collect()}
+    assert out[0, 0]["a"] == out[1, 0]["a"] == out[2, 0]["a"] == 0 and out[1, 2]["a"] == 255 and out[0, 1]["r"] == 100
+
+
+def test_overrides(spark):
+    from terraloom.operators import products
+
+    products.register_overrides(spark, {"twice": (_twice, "double")})
+    assert spark.sql("SELECT twice(CAST(4 AS DOUBLE)) AS x").first()["x"] == 8.0
+
+
+def _twice(v: pd.Series) -> pd.Series:
+    return v * 2
