@@ -129,11 +129,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4")
                 few, many = sorted((len(x), len(y)))
-                if few < similarity * many:
+                if few < similarity * many - 1e-9:
                     keep.append(False)
                     continue
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= similarity * (few + many - common))
+                keep.append(common >= similarity * (few + many - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     small_batches(pairs.sparkSession)
@@ -211,12 +211,11 @@ def prefix_pairs(sets: DataFrame, apart: DataFrame, similarity: float) -> DataFr
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, class_id, text_id, n_links.
+    """One row per document: id, class_id, text_id.
 
     class_id is the smallest id of the document's class: copies, and texts connected by links of at least the
     similarity. text_id is the smallest id among copies, texts with the same words (equal texts, where there are no
-    words). n_links counts the links found between its text and different ones. A null text is no copy of anything:
-    its class is its own id; so is that of a null id, null. Texts shorter than five words are one shingle. Rows of
+    words). A null text is no copy of anything: its class is its own id; so is that of a null id, null. Texts shorter than five words are one shingle. Rows of
     a repeated id are one document, in the class of all its texts. An empty table gives an empty table.
     """
     ready = shared_table(prepare(docs, bands, rows, id_col, text_col))
@@ -245,11 +244,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
             links = links.union(further).distinct()
             classes = components(links.union(same))
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count("*").alias("n_links"))
-    found = (
-        members.select("id", "text_id").join(classes.select(F.col("node").alias("text_id"), "root"), "text_id", "left").join(degree, "text_id", "left")
-        .select(F.col("id").alias("doc_id"), F.coalesce("root", "text_id").alias("class_id"), "text_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    )
+    found = members.select("id", "text_id").join(classes.select(F.col("node").alias("text_id"), "root"), "text_id", "left")
+    found = found.select(F.col("id").alias("doc_id"), F.coalesce("root", "text_id").alias("class_id"), "text_id")
     alone = docs.where(F.col(id_col).isNull() | F.col(text_col).isNull()).select(F.col(id_col).cast("long").alias("doc_id"))
     alone = alone.distinct().join(found.select("doc_id"), "doc_id", "left_anti")
-    return found.union(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("text_id"), F.lit(0).cast("long").alias("n_links")))
+    return found.union(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("text_id")))

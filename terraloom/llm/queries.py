@@ -82,5 +82,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+_NEAR_DUPLICATES = r"""
+WITH RECURSIVE words AS (SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM documents WHERE text IS NOT NULL),
+keyed AS (SELECT doc_id, ws, CASE WHEN len(ws) > 0 THEN array_to_string(ws, ' ') ELSE chr(10) || text END AS key FROM words),
+texts AS (SELECT min(doc_id) AS id, key, any_value(ws) AS ws FROM keyed GROUP BY key),
+grams AS (SELECT DISTINCT id, array_to_string(ws[i : i + 4], ' ') AS g FROM (SELECT id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM texts WHERE len(ws) > 0)),
+sizes AS (SELECT id, count(*) AS n FROM grams GROUP BY id),
+common AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM grams x JOIN grams y ON x.g = y.g AND x.id < y.id GROUP BY x.id, y.id),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE 5 * c >= 4 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(id, other) AS (SELECT id, id FROM texts UNION SELECT reach.id, w.b FROM reach JOIN both_ways w ON w.a = reach.other),
+roots AS (SELECT id, min(other) AS class_id FROM reach GROUP BY id)
+SELECT k.doc_id, r.class_id, t.id AS text_id FROM keyed k JOIN texts t ON t.key = k.key JOIN roots r ON r.id = t.id
+UNION ALL SELECT doc_id, doc_id, doc_id FROM documents WHERE text IS NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Near-duplicates by comparing all pairs; the other operators hold trained models, libraries' tokenizers or
+    64-bit hashing, which SQL cannot express."""
+    return {"op8_near_duplicates": _NEAR_DUPLICATES}

@@ -336,6 +336,16 @@ def test_near_duplicates_equal_brute_force(spark, docs):
         assert got == brute_classes(texts)
 
 
+def test_near_duplicates_equal_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    rel = con.execute(queries.oracle_sql()["op8_near_duplicates"])
+    assert [d[0] for d in rel.description] == ["doc_id", "class_id", "text_id"]
+    assert sorted(rel.fetchall()) == sorted(map(tuple, queries.op8_near_duplicates(spark, SF).collect()))
+
+
 def test_prefix_pairs_lose_nothing(spark):
     texts = planted()
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
