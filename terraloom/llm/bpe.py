@@ -93,7 +93,7 @@ class BacktrackingBpe:
         self._automaton.make_automaton()
         self._compatible: dict[tuple[int, int], bool] = {}
         self._shorter: dict[int, int] = {}
-        self._words = TwoGenerations(self._encode_word, 200_000)
+        self._words = TwoGenerations(self._encode_word, 100_000)
         # Decoding: token texts end to end, and where each begins.
         texts = {i: t for t, i in [*vocab.items(), *self.special.items()]}
         blobs = [texts.get(i, "").encode() for i in range(max(texts) + 1)]
@@ -123,7 +123,7 @@ class BacktrackingBpe:
                     whole = self._pairs.get((a, b))
                     if whole is not None and self._rank[whole] < a_ends and self._rank[whole] <= b_ends:
                         known = False
-            if len(self._compatible) >= 2_000_000:
+            if len(self._compatible) >= 400_000:
                 self._compatible.clear()
             self._compatible[left, right] = known
         return known
@@ -196,6 +196,10 @@ class BacktrackingBpe:
             return self._words[words[0]]
         return [i for w in words for i in self._words[w]]
 
+    def count_words(self, chunk: str) -> int:
+        """Words of a chunk without special tokens, in NFC and of characters that Python's tables know."""
+        return len(_WORDS.findall(chunk.lower()))
+
     def encode(self, text: str) -> list[int]:
         return [i for chunk in split_white(text) for i in self.encode_chunk(chunk)]
 
@@ -222,8 +226,12 @@ class Shipped:
     def __init__(self, spark, path: str):
         self._value = spark.sparkContext.broadcast(vocabulary_text(path))
 
+    @property
+    def text(self) -> str:
+        return self._value.value
+
     def bpe(self) -> BacktrackingBpe:
-        return _bpe(self._value.value)
+        return _bpe(self.text)
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,17 +12,26 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from unicodedata import is_normalized
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .bpe import Shipped, split_white
-from .common import TwoGenerations, small_batches
+from tokenizers import Tokenizer
+
+from .bpe import _ODD_SPACE, Shipped, split_white
+from .common import small_batches
 
 WINDOW = 2048
 #: Tokens of rests that are packed together: 128 windows, so that one part-filled window costs little.
 GROUP_TOKENS = 128 * WINDOW
+#: Chunks whose ids a task remembers, in each of two generations.
+CACHE = 250_000
+#: Marks that no pattern of the vocabulary joins with letters.
+_MARKS = ".,;:!?"
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
@@ -86,6 +95,91 @@ def pack_group(sizes: list[int], capacity: int = WINDOW) -> list[list[tuple[int,
         k += 1
 
 
+def _encoder(shipped: Shipped):
+    """A function from a batch of texts to their ids end to end, and where each text's ids begin and end. Each distinct
+    chunk (run without white space) of a batch is encoded once, and chunks seen lately are remembered. Those that are
+    new go to the library as one text; each of its words ends with one word-final token, so the chunks' numbers of
+    words tell where each chunk's ids end."""
+    coder, lib = shipped.bpe(), Tokenizer.from_str(shipped.text)
+    known: dict[str, bytes] = {"": b""}
+    older: dict[str, bytes] = {}
+    final = np.zeros(lib.get_vocab_size(), bool)
+    final[[i for t, i in lib.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
+
+    def learn(chunks: list[str]) -> None:
+        plain, words, joined, asked = [], [], [], set()
+        for c in chunks:
+            low = c.lower() if c.isascii() else c
+            body = low.rstrip(_MARKS)
+            if body.isalpha() and (c.isascii() or is_normalized("NFC", c)):
+                # A word, perhaps with capitals or marks behind it: these are words of their own.
+                parts = (body, low[len(body) :])
+                joined.append((c, *parts))
+                for w in parts:
+                    if w not in known and w not in asked:
+                        asked.add(w)
+                        if (blob := older.get(w)) is None:
+                            plain.append(w)
+                            words.append(1)
+                        else:
+                            known[w] = blob
+            elif "<|" in c or not c.isprintable() or not is_normalized("NFC", c):
+                known[c] = np.array(coder.encode_chunk(c), "<u4").tobytes()
+            else:
+                plain.append(c)
+                words.append(coder.count_words(c))
+        send(plain, words)
+        for c, body, marks in joined:
+            known[c] = known[body] + known[marks]
+
+    def send(plain: list[str], words: list[int]) -> None:
+        if plain:
+            ids = np.array(lib.encode(" ".join(plain), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(final[ids]) + 1
+            if len(ends) != sum(words):
+                known.update((c, np.array(coder.encode_chunk(c), "<u4").tobytes()) for c in plain)
+                return
+            at, blob = 0, ids.tobytes()
+            for c, stop in zip(plain, (4 * ends[np.cumsum(words) - 1]).tolist()):
+                known[c] = blob[at:stop]
+                at = stop
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal known, older
+        if len(known) > CACHE:
+            known, older = {"": b""}, known
+        texts = texts.fill_null("")
+        if pc.any(pc.match_substring_regex(texts, _ODD_SPACE.pattern)).as_py():
+            chunks = pa.array([split_white(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+        else:
+            chunks = pc.utf8_split_whitespace(texts)
+        coded = chunks.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        blobs = list(map(known.get, distinct))
+        if None in blobs:
+            new = []
+            for c, blob in zip(distinct, blobs):
+                if blob is None:
+                    if (blob := older.get(c)) is None:
+                        new.append(c)
+                    else:
+                        known[c] = blob
+            learn(new)
+            blobs = list(map(known.__getitem__, distinct))
+        # The distinct chunks' ids end to end, gathered in the order of the texts.
+        ids = np.frombuffer(b"".join(blobs), "<u4")
+        size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        at = np.cumsum(size) - size
+        where = coded.indices.to_numpy(zero_copy_only=False)
+        sizes = size[where]
+        stops = np.cumsum(sizes)
+        out = ids[np.repeat(at[where] - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0)]
+        edges = chunks.offsets.to_numpy() - chunks.offsets[0].as_py()
+        return out, np.concatenate([[0], stops])[edges]
+
+    return encode
+
+
 def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens: int = GROUP_TOKENS, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pack every document's ids and ``end_id`` into sequences of at most ``capacity`` tokens.
 
@@ -102,9 +196,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens:
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 40
-        encode = shipped.bpe().encode_chunk
         end = end_id.to_bytes(4, "little")
-        get = TwoGenerations(lambda c: b"".join([i.to_bytes(4, "little") for i in encode(c)])).__getitem__
+        encode = _encoder(shipped)
         sequence, rows, rests, waiting = 0, [], [], 0
 
         def flush():
@@ -127,12 +220,13 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens:
         kinds = None
         for batch in batches:
             kinds = [batch.schema.field(0).type, *[pa.int64()] * 6]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = b"".join(map(get, split_white(text or ""))) + end
+            coded, edges = encode(batch.column(1))
+            for k, doc in enumerate(batch.column(0).to_pylist()):
+                ids = coded[edges[k] : edges[k + 1]].tobytes() + end
                 n = len(ids) // 4
                 full = n // capacity
-                for k in range(full):
-                    rows.append((doc, k * capacity, capacity, crc32(ids[4 * k * capacity : 4 * (k + 1) * capacity]), n, base + sequence, 0))
+                for start in range(0, full * capacity, capacity):
+                    rows.append((doc, start, capacity, crc32(ids[4 * start : 4 * (start + capacity)]), n, base + sequence, 0))
                     sequence += 1
                 if rest := n - full * capacity:
                     rests.append((doc, full * capacity, ids[4 * full * capacity :], n))
