@@ -79,9 +79,9 @@ def multiband_composite(spark, sf_dir):
     return products.multiband(pxw(spark, sf_dir), products.Composite(["b1", "b2", "b3"], nodata=0.0, low=-300.0, high=300.0))
 
 
-@query(f"WITH {DN} SELECT 'g' || CAST(scan % 2 AS VARCHAR) AS granule, count(*) AS n, count(*) FILTER (WHERE v < 0) AS invalid FROM dn GROUP BY 1")
+@query(f"WITH {DN} SELECT 'g' || CAST(scan % 2 AS VARCHAR) AS granule, count(*) AS n, CAST(sum(v) FILTER (WHERE scan % 2 = 1) AS BIGINT) AS passed_on FROM dn GROUP BY 1")
 def destripe_granules(spark, sf_dir):
     px = dn(spark, sf_dir).withColumn("granule", F.concat(F.lit("g"), (F.col("scan") % 2).cast("string")))
     granules = spark.createDataFrame([("g0", False), ("g1", True)], "granule string, destriped boolean")
     out = products.destripe_granules(px, granules, 3, [], 10)
-    return out.groupBy("granule").agg(F.count("*").alias("n"), F.count_if(F.col("v") < 0).alias("invalid"))
+    return out.groupBy("granule").agg(F.count("*").alias("n"), F.sum(F.when(F.col("granule") == "g1", F.col("v"))).alias("passed_on"))
