@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -65,10 +65,10 @@ def washed_out(bands: list[Column], top: float = 255.0) -> Column:
 
 def pansharpen(ms: DataFrame, pan: DataFrame, k: int, bands: list[str], radius: int = 1) -> DataFrame:
     """Each fine pixel: its coarse pixel's bands times pan over the mean pan of the square around it."""
-    offsets = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-radius, radius + 1) for b in range(-radius, radius + 1)])
-    near = pan.select(F.explode(offsets).alias("o"), "l", "s", "pan").select((F.col("l") + F.col("o.a")).alias("l"), (F.col("s") + F.col("o.b")).alias("s"), "pan")
-    smooth = near.groupBy("l", "s").agg(F.avg("pan").alias("smooth"))
-    fine = pan.join(smooth, ["l", "s"]).withColumn("ml", F.floor(F.col("l") / k).cast("long")).withColumn("ms_", F.floor(F.col("s") / k).cast("long"))
+    across, down = (Window.partitionBy(a).orderBy(b).rangeBetween(-radius, radius) for a, b in (("l", "s"), ("s", "l")))
+    sums = pan.withColumns({"_t": F.sum("pan").over(across), "_n": F.count("pan").over(across)})
+    fine = sums.withColumn("smooth", F.sum("_t").over(down) / F.sum("_n").over(down)).drop("_t", "_n")
+    fine = fine.withColumn("ml", F.floor(F.col("l") / k).cast("long")).withColumn("ms_", F.floor(F.col("s") / k).cast("long"))
     coarse = ms.select(F.col("l").alias("ml"), F.col("s").alias("ms_"), *bands)
     joined = fine.join(coarse, ["ml", "ms_"])
     return joined.select("l", "s", *[F.when(F.col("smooth") != 0, F.col(b) * F.col("pan") / F.col("smooth")).alias(b) for b in bands])

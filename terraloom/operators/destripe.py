@@ -38,19 +38,19 @@ def edf(px: DataFrame, *keys: str) -> DataFrame:
     return hist.select(*keys, "v", "n", (F.sum("n").over(w.orderBy("v")) / F.sum("n").over(w)).alias("edf"))
 
 
-def match_tables(edfs: DataFrame, reference: int) -> DataFrame:
-    """det, v, lut: each detector's values as the reference detector would have given them. Of the reference's
+def match_tables(edfs: DataFrame, reference: int, *keys: str) -> DataFrame:
+    """det, v, lut for each key (a band, say): each detector's values as the reference detector would have given them. Of the reference's
     points, ordered by share, the first at or above the share and the last below it bracket the value. Both come
     from one ordered pass over all points, not from a join."""
     ref = F.col("det") == reference
-    marked = edfs.select("det", "v", "edf", ref.alias("is_ref"), F.when(ref, F.struct("v", "edf")).alias("r"))
+    marked = edfs.select(*keys, "det", "v", "edf", ref.alias("is_ref"), F.when(ref, F.struct("v", "edf")).alias("r"))
     # At equal shares the reference's own points come after the others, so they are "at or above".
-    up = Window.orderBy("edf", "is_ref").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    down = Window.orderBy("edf", "is_ref").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    up = Window.partitionBy(*keys).orderBy("edf", "is_ref").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    down = Window.partitionBy(*keys).orderBy("edf", "is_ref").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = marked.withColumns({"hi": F.first("r", ignorenulls=True).over(up), "lo": F.last("r", ignorenulls=True).over(down)}).where(~ref)
     x = F.when(F.col("lo").isNull(), F.col("hi.v")).when(F.col("hi").isNull(), F.col("lo.v"))
     x = x.otherwise(F.col("lo.v") + (F.col("edf") - F.col("lo.edf")) / (F.col("hi.edf") - F.col("lo.edf")) * (F.col("hi.v") - F.col("lo.v")))
-    return out.select("det", "v", F.floor(x + 0.5).cast("long").alias("lut"))
+    return out.select(*keys, "det", "v", F.floor(x + 0.5).cast("long").alias("lut"))
 
 
 def destripe(px: DataFrame, reference: int) -> DataFrame:

@@ -97,8 +97,8 @@ def contour_cells(dem: DataFrame, level: float, *keys: str) -> DataFrame:
 def morphology(px: DataFrame, value: str, radius: int, grow: bool, *keys: str) -> DataFrame:
     """Largest (grow) or smallest value in the square around each pixel: a window along the lines, then the columns."""
     f = F.max if grow else F.min
-    px = px.withColumn(value, f(value).over(_across(*keys).rowsBetween(-radius, radius)))
-    return px.withColumn(value, f(value).over(_down(*keys).rowsBetween(-radius, radius)))
+    px = px.withColumn(value, f(value).over(_across(*keys).rangeBetween(-radius, radius)))
+    return px.withColumn(value, f(value).over(_down(*keys).rangeBetween(-radius, radius)))
 
 
 def closing(px: DataFrame, value: str, radii: list[int], *keys: str) -> DataFrame:

@@ -83,13 +83,13 @@ def blank_test(spark, sf_dir):
     return mask.groupBy("scan").agg((~((F.min("m") == 0) & (F.max("m") == 255))).alias("blank"), (F.max("m") == 0).alias("blank_strict"))
 
 
-@query(f"""WITH {PX1}, pan AS (SELECT l, s, v AS pan FROM px1), ms AS (SELECT l, s, avg(v) AS b1, max(v) AS b2 FROM (SELECT l // 4 AS l, s // 4 AS s, v FROM px1) GROUP BY l, s),
+@query(f"""WITH {PX1}, pan AS (SELECT l, s, sqrt(v) AS pan FROM px1), ms AS (SELECT l, s, avg(v) AS b1, max(v) AS b2 FROM (SELECT l // 4 AS l, s // 4 AS s, v FROM px1) GROUP BY l, s),
 sm AS (SELECT a.l, a.s, a.pan, avg(b.pan) AS smooth FROM pan a JOIN pan b ON b.l BETWEEN a.l - 1 AND a.l + 1 AND b.s BETWEEN a.s - 1 AND a.s + 1 GROUP BY a.l, a.s, a.pan)
 SELECT f.l, f.s, round(CASE WHEN smooth <> 0 THEN b1 * pan / smooth END, 8) AS b1, round(CASE WHEN smooth <> 0 THEN b2 * pan / smooth END, 8) AS b2 FROM sm f JOIN ms ON ms.l = f.l // 4 AND ms.s = f.s // 4""")
 def pansharpen(spark, sf_dir):
     px = px1(spark, sf_dir)
     ms = px.groupBy(F.expr("l div 4").alias("l"), F.expr("s div 4").alias("s")).agg(F.avg("v").alias("b1"), F.max("v").alias("b2"))
-    out = algebra.pansharpen(ms, px.select("l", "s", F.col("v").alias("pan")), 4, ["b1", "b2"])
+    out = algebra.pansharpen(ms, px.select("l", "s", F.sqrt("v").alias("pan")), 4, ["b1", "b2"])
     return out.select("l", "s", F.round("b1", 8).alias("b1"), F.round("b2", 8).alias("b2"))
 
 
