@@ -34,7 +34,7 @@ def gradient_rgb(spark, sf_dir):
 _COLOURS = [(k, (k * 37) % 256, (k * 91) % 256, (k * 53) % 256, 255 if k % 5 else 0) for k in range(64)]
 
 
-@query(f"WITH {DN} SELECT l, s, CAST(v AS BIGINT) AS idx, CASE WHEN v BETWEEN 0 AND 63 THEN v * 37 % 256 END AS r, CASE WHEN v BETWEEN 0 AND 63 THEN v * 91 % 256 END AS g, CASE WHEN v BETWEEN 0 AND 63 THEN v * 53 % 256 END AS b, CASE WHEN v BETWEEN 0 AND 63 THEN CASE WHEN v % 5 <> 0 THEN 255 ELSE 0 END END AS a FROM dn")
+@query(f"WITH {DN} SELECT l, s, CAST(v AS BIGINT) AS idx, CASE WHEN v BETWEEN 0 AND 63 THEN v * 37 % 256 END AS r, CASE WHEN v BETWEEN 0 AND 63 THEN v * 91 % 256 END AS g, CASE WHEN v BETWEEN 0 AND 63 THEN v * 53 % 256 END AS b, CAST(CASE WHEN v BETWEEN 0 AND 63 THEN CASE WHEN v % 5 <> 0 THEN 255 ELSE 0 END END AS BIGINT) AS a FROM dn")
 def palette_expand(spark, sf_dir):
     colours = spark.createDataFrame(_COLOURS, "idx long, r long, g long, b long, a long")
     return algebra.palette(dn(spark, sf_dir).select("l", "s", F.col("v").alias("idx")), colours, "idx").select("l", "s", "idx", "r", "g", "b", "a")

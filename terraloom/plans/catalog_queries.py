@@ -49,9 +49,9 @@ def find_tile(spark, sf_dir):
     return catalog.covering(tiles, 12.5, 20.0).union(catalog.covering(tiles, -60.0, 0.0))
 
 
-@query(f"WITH {PX1} SELECT ds, day, count(*) AS n, round(min(v), 6) AS vmin, round(max(v), 6) AS vmax FROM px1 GROUP BY ds, day")
+@query(f"WITH {PX1} SELECT ds, CAST(day AS VARCHAR) AS day, count(*) AS n, round(min(v), 6) AS vmin, round(max(v), 6) AS vmax FROM px1 GROUP BY ds, day")
 def daily_buckets(spark, sf_dir):
-    return catalog.daily(px1(spark, sf_dir))
+    return catalog.daily(px1(spark, sf_dir)).withColumn("day", F.col("day").cast("string"))
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
@@ -133,11 +133,12 @@ def sidecar_groups(spark, sf_dir):
 @query("""WITH spans AS (SELECT dsname, CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS b FROM (SELECT event_type AS dsname, ts FROM events) GROUP BY dsname),
 days AS (SELECT dsname AS subset, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM spans),
 present AS (SELECT DISTINCT event_type AS subset, CAST(ts AS DATE) AS day FROM events WHERE event_id % 41 = 0)
-SELECT subset, day, CAST(strftime(day, '%Y%j') AS INTEGER) AS julian FROM days d WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.subset = d.subset AND p.day = d.day)""")
+SELECT subset, CAST(day AS VARCHAR) AS day, CAST(strftime(day, '%Y%j') AS INTEGER) AS julian FROM days d WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.subset = d.subset AND p.day = d.day)""")
 def day_walk(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(F.col("event_type").alias("subset"), F.to_date("ts").alias("day"), "event_id")
     spans = events.groupBy("subset").agg(F.min("day").alias("start"), F.max("day").alias("stop"))
-    return catalog.day_walk(spans, events.where("event_id % 41 = 0").select("subset", "day").distinct())
+    out = catalog.day_walk(spans, events.where("event_id % 41 = 0").select("subset", "day").distinct())
+    return out.withColumn("day", F.col("day").cast("string"))
 
 
 @query(r"""WITH lines AS (SELECT (CASE WHEN doc_id % 3 = 0 THEN 'mkdir ' ELSE 'get ' END) || 'a|' || source || '|' || lang AS line FROM documents)
@@ -167,7 +168,7 @@ def dataset_iterator(spark, sf_dir):
 @query(f"""WITH {PX1}, m AS (SELECT l, s, ds, day, CASE WHEN v < 400 THEN least(greatest(v * 2 - 50, 0), 255) END AS b FROM px1),
 k AS (SELECT ds, day, l // 8 AS bl, s // 8 AS bs, round(avg(b), 8) AS mean, count(b) AS n FROM m GROUP BY ALL),
 r AS (SELECT *, dense_rank() OVER (PARTITION BY ds ORDER BY day DESC) AS rank FROM k)
-SELECT ds, day, bl, bs, mean, n, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 2""")
+SELECT ds, CAST(day AS VARCHAR) AS day, bl, bs, mean, n, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 2""")
 def corrected_composite(spark, sf_dir):
     """Band math, mask and lookup, block averages by day, and the two newest days of every dataset."""
     px = algebra.masked(px1(spark, sf_dir), "v", F.col("v") < 400)
@@ -177,4 +178,4 @@ def corrected_composite(spark, sf_dir):
     from pyspark.sql import Window
 
     newest = days.withColumn("rank", F.row_number().over(Window.partitionBy("ds").orderBy(F.desc("day")))).where("rank <= 2")
-    return blocks.join(F.broadcast(newest), ["ds", "day"]).select("ds", "day", "bl", "bs", "mean", "n", "rank")
+    return blocks.join(F.broadcast(newest), ["ds", "day"]).select("ds", F.col("day").cast("string").alias("day"), "bl", "bs", "mean", "n", "rank")

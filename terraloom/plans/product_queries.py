@@ -18,12 +18,12 @@ def file_kinds(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", products.pixel_size_of(name).alias("metres"))
 
 
-@query("SELECT p_partkey, list_sort(list_distinct(list_filter([p_size % 18, 4, 3], lambda x: x BETWEEN 1 AND 16))) AS bands, CASE WHEN p_size % 2 = 0 THEN [0, 1] ELSE [1, 1] END AS flags FROM part")
+@query("SELECT p_partkey, array_to_string(list_sort(list_distinct(list_filter([p_size % 18, 4, 3], lambda x: x BETWEEN 1 AND 16))), '|') AS bands, CASE WHEN p_size % 2 = 0 THEN '0|1' ELSE '1|1' END AS flags FROM part")
 def band_mask(spark, sf_dir):
     size = F.col("p_size").cast("string")
     text = F.concat((F.col("p_size") % 18).cast("string"), F.lit(", 4,3"))
     masks = products.sds_masks(F.concat(F.lit("A,"), F.when(F.col("p_size") % 2 == 0, "0").otherwise("1"), F.lit(",1;B"), size))
-    return table(spark, sf_dir, "part").select("p_partkey", products.band_list(text).alias("bands"), F.element_at(masks, "A").alias("flags"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(products.band_list(text), "|").alias("bands"), F.array_join(F.element_at(masks, "A"), "|").alias("flags"))
 
 
 _META = "meta AS (SELECT p_partkey, p_partkey % 2 = 0 AS has_alpha, p_partkey % 3 = 0 AS has_mask, CASE WHEN p_partkey % 5 = 0 THEN '0' END AS srcnodata, p_size % 2 = 0 AS is_lossy, p_partkey % 4 AS nb FROM part)"

@@ -75,7 +75,7 @@ def metadata_bounds(spark, sf_dir):
     return markup.bounds(texts, ["archive", "core"]).select("id", "ul_lon", "ul_lat", "lr_lon", "lr_lat")
 
 
-@query(f"WITH {FOOT} SELECT id, CAST(512 + id % 100 AS INTEGER) AS x, CAST(256 AS INTEGER) AS y, xmin AS xo, ymax AS yo, 0.01 AS xd, -0.01 AS yd, CAST(CASE WHEN id % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS nbands, 'Byte' AS type, id % 2 = 0 AS has_alpha, id % 3 = 0 AND id % 2 <> 0 AS has_mask, id % 5 <> 0 AS is_wgs84 FROM foot")
+@query(f"WITH {FOOT} SELECT id, CAST(512 + id % 100 AS INTEGER) AS x, CAST(256 AS INTEGER) AS y, xmin AS xo, ymax AS yo, 0.01::DOUBLE AS xd, -0.01::DOUBLE AS yd, CAST(CASE WHEN id % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS nbands, 'Byte' AS type, id % 2 = 0 AS has_alpha, id % 3 = 0 AND id % 2 <> 0 AS has_mask, id % 5 <> 0 AS is_wgs84 FROM foot")
 def raster_metadata(spark, sf_dir):
     srs = F.when(F.col("id") % 5 != 0, 'GEOGCS["WGS 84"]\n').otherwise('PROJCS["UTM"]\n')
     alpha = F.when(F.col("id") % 2 == 0, "Band 2 Block=64x64 Type=Byte, ColorInterp=Alpha\n  Mask Flags: PER_DATASET ALPHA\n").otherwise("")
@@ -85,6 +85,6 @@ def raster_metadata(spark, sf_dir):
     return out.select("id", "x", "y", "xo", "yo", "xd", "yd", "nbands", "type", "has_alpha", "has_mask", "is_wgs84")
 
 
-@query("SELECT event_type AS ds, CAST(ts AS DATE) AS day, count(*) AS n, round(min(value), 6) AS vmin, round(max(value), 6) AS vmax FROM events GROUP BY 1, 2")
+@query("SELECT event_type AS ds, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, round(min(value), 6) AS vmin, round(max(value), 6) AS vmax FROM events GROUP BY 1, 2")
 def streaming_daily(spark, sf_dir):
-    return incremental.replay_daily(spark, f"{sf_dir}/events.parquet")
+    return incremental.replay_daily(spark, f"{sf_dir}/events.parquet").withColumn("day", F.col("day").cast("string"))

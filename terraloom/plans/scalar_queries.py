@@ -115,12 +115,12 @@ def config_cleanup(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", scalar.strip_comment(line, {"ROOT": "/data"}).alias("line"))
 
 
-@query("SELECT p_partkey, 'size' AS key, [p_brand, CAST(p_size AS VARCHAR), p_type] AS vals, CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'STANDARD' THEN 2 ELSE 99 END AS proj FROM part")
+@query("SELECT p_partkey, 'size' AS key, p_brand || '|' || CAST(p_size AS VARCHAR) || '|' || p_type AS vals, CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'STANDARD' THEN 2 ELSE 99 END AS proj FROM part")
 def key_value_args(spark, sf_dir):
     parts = F.str_to_map(F.concat(F.lit("size="), F.concat_ws(",", "p_brand", F.col("p_size").cast("string"), "p_type")), F.lit(";"), F.lit("="))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", parts.alias("m"))
     proj = F.coalesce(F.element_at(F.create_map(F.lit("economy"), F.lit(1), F.lit("standard"), F.lit(2)), F.lower("p_type")), F.lit(99))
-    return part.select("p_partkey", F.element_at(F.map_keys("m"), 1).alias("key"), F.split(F.element_at("m", "size"), ",").alias("vals"), proj.alias("proj"))
+    return part.select("p_partkey", F.element_at(F.map_keys("m"), 1).alias("key"), F.array_join(F.split(F.element_at("m", "size"), ","), "|").alias("vals"), proj.alias("proj"))
 
 
 _STEPS = [(50.0, "low"), (150.0, "mid"), (300.0, "high")]
