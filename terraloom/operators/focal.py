@@ -94,6 +94,22 @@ def contour_cells(dem: DataFrame, level: float, *keys: str) -> DataFrame:
     return g.select(*keys, "l", "s", "kind", cut("v", "v01").alias("top"), cut("v01", "v11").alias("right"), cut("v10", "v11").alias("bottom"), cut("v", "v10").alias("left"))
 
 
+def contour_segments(cells: DataFrame, *keys: str) -> DataFrame:
+    """The line pieces (l0, s0, l1, s1) of the cells of ``contour_cells``; a saddle has
+    two, one around each of its high corners."""
+    c = F.col
+    point = {
+        "top": F.struct(c("l").cast("double").alias("l"), (c("s") + c("top")).alias("s")), "right": F.struct((c("l") + c("right")).alias("l"), (c("s") + 1.0).alias("s")),
+        "bottom": F.struct((c("l") + 1.0).alias("l"), (c("s") + c("bottom")).alias("s")), "left": F.struct((c("l") + c("left")).alias("l"), c("s").cast("double").alias("s")),
+    }
+    ends = F.filter(F.array(*[F.when(c(k).isNotNull(), point[k]) for k in ("top", "right", "bottom", "left")]), lambda p: p.isNotNull())
+    pair = lambda a, b: F.struct(point[a].alias("a"), point[b].alias("b"))
+    both = F.when(c("kind") == 5, F.array(pair("top", "right"), pair("bottom", "left"))).when(c("kind") == 10, F.array(pair("top", "left"), pair("bottom", "right")))
+    lines = both.otherwise(F.array(F.struct(F.element_at(ends, 1).alias("a"), F.element_at(ends, -1).alias("b"))))
+    out = cells.select(*keys, F.explode(lines).alias("p"))
+    return out.select(*keys, c("p.a.l").alias("l0"), c("p.a.s").alias("s0"), c("p.b.l").alias("l1"), c("p.b.s").alias("s1"))
+
+
 def morphology(px: DataFrame, value: str, radius: int, grow: bool, *keys: str) -> DataFrame:
     """Largest (grow) or smallest value in the square around each pixel: a window along the lines, then the columns."""
     f = F.max if grow else F.min

@@ -96,6 +96,12 @@ def test_contour_cell(spark):
     assert len(rows) == 1 and rows[0]["kind"] == 6 and rows[0]["top"] == rows[0]["bottom"] == 0.5 and rows[0]["left"] is None
 
 
+def test_contour_segments(spark):
+    cells = focal.contour_cells(grid(spark, [[0, 10, 0], [10, 0, 0]]), 5.0)
+    lines = {frozenset([(r["l0"], r["s0"]), (r["l1"], r["s1"])]) for r in focal.contour_segments(cells).collect()}
+    assert lines == {frozenset(x) for x in ([(0, 0.5), (0.5, 1)], [(1, 0.5), (0.5, 0)], [(0, 1.5), (0.5, 1)])}
+
+
 def test_closing_fills_a_bay_and_keeps_the_rest(spark):
     a = np.zeros((7, 7))
     a[2:5, 2:5] = 1
