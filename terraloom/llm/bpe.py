@@ -57,6 +57,11 @@ def split_white(text: str) -> list[str]:
     return text.split()
 
 
+def count_words(chunk: str) -> int:
+    """Words of a chunk without special tokens, in NFC and of characters that Python's tables know."""
+    return len(_WORDS.findall(chunk.lower()))
+
+
 class BacktrackingBpe:
     """Encoder and decoder of one vocabulary file with word ends (JSON text of the tokenizers library)."""
 
@@ -196,10 +201,6 @@ class BacktrackingBpe:
             return self._words[words[0]]
         return [i for w in words for i in self._words[w]]
 
-    def count_words(self, chunk: str) -> int:
-        """Words of a chunk without special tokens, in NFC and of characters that Python's tables know."""
-        return len(_WORDS.findall(chunk.lower()))
-
     def encode(self, text: str) -> list[int]:
         return [i for chunk in split_white(text) for i in self.encode_chunk(chunk)]
 
@@ -211,7 +212,7 @@ class BacktrackingBpe:
 
 
 @lru_cache(maxsize=4)
-def _bpe(spec: str) -> BacktrackingBpe:
+def bpe_of(spec: str) -> BacktrackingBpe:
     return BacktrackingBpe(spec)
 
 
@@ -231,7 +232,7 @@ class Shipped:
         return self._value.value
 
     def bpe(self) -> BacktrackingBpe:
-        return _bpe(self.text)
+        return bpe_of(self.text)
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,6 +261,18 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     return map_columns(docs, [id_col, text_col], f"{id_col} {kind}, ids array<int>, decoded string", make)
 
 
+@lru_cache(maxsize=2)
+def _spelt_chunks(spec: str) -> TwoGenerations:
+    """For each chunk its number of ids, the ids spelt out, and the decoded text; kept for a worker's later tasks."""
+    bpe = bpe_of(spec)
+
+    def chunk(c):
+        ids = bpe.encode_chunk(c)
+        return len(ids), " ".join(map(str, ids)), bpe.decode(ids)
+
+    return TwoGenerations(chunk)
+
+
 def encode_decode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As ``encode_decode``, with the number of ids and sha256 digests in place of ids and text."""
     from hashlib import sha256
@@ -267,13 +280,7 @@ def encode_decode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_i
     shipped = Shipped(docs.sparkSession, vocabulary)
 
     def make():
-        bpe = shipped.bpe()
-
-        def chunk(c):
-            ids = bpe.encode_chunk(c)
-            return len(ids), " ".join(map(str, ids)), bpe.decode(ids)
-
-        get = TwoGenerations(chunk).__getitem__
+        get = _spelt_chunks(shipped.text).__getitem__
 
         def run(doc_ids, texts):
             n, ids, decoded = [], [], []

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import lru_cache
 from unicodedata import is_normalized
 from zlib import crc32
 
@@ -22,14 +23,16 @@ from pyspark.sql import DataFrame
 
 from tokenizers import Tokenizer
 
-from .bpe import _ODD_SPACE, Shipped, split_white
-from .common import small_batches
+from .bpe import _ODD_SPACE, Shipped, bpe_of, count_words, split_white
+from .common import release, small_batches
 
 WINDOW = 2048
 #: Tokens of rests that are packed together: 128 windows, so that one part-filled window costs little.
 GROUP_TOKENS = 128 * WINDOW
-#: Chunks whose ids a task remembers, in each of two generations.
-CACHE = 250_000
+#: Chunks whose ids a worker remembers, in each of two generations (about 200 bytes each).
+CACHE = 200_000
+#: Bytes of text that are encoded at once.
+MERGED = 8 << 20
 #: Marks that no pattern of the vocabulary joins with letters.
 _MARKS = ".,;:!?"
 
@@ -95,12 +98,13 @@ def pack_group(sizes: list[int], capacity: int = WINDOW) -> list[list[tuple[int,
         k += 1
 
 
-def _encoder(shipped: Shipped):
+@lru_cache(maxsize=2)
+def _encoder(vocabulary: str):
     """A function from a batch of texts to their ids end to end, and where each text's ids begin and end. Each distinct
     chunk (run without white space) of a batch is encoded once, and chunks seen lately are remembered. Those that are
     new go to the library as one text; each of its words ends with one word-final token, so the chunks' numbers of
-    words tell where each chunk's ids end."""
-    coder, lib = shipped.bpe(), Tokenizer.from_str(shipped.text)
+    words tell where each chunk's ids end. A worker's later tasks go on with what it remembers."""
+    lib = Tokenizer.from_str(vocabulary)
     known: dict[str, bytes] = {"": b""}
     older: dict[str, bytes] = {}
     final = np.zeros(lib.get_vocab_size(), bool)
@@ -124,20 +128,20 @@ def _encoder(shipped: Shipped):
                         else:
                             known[w] = blob
             elif "<|" in c or not c.isprintable() or not is_normalized("NFC", c):
-                known[c] = np.array(coder.encode_chunk(c), "<u4").tobytes()
+                known[c] = np.array(bpe_of(vocabulary).encode_chunk(c), "<u4").tobytes()
             else:
                 plain.append(c)
-                words.append(coder.count_words(c))
+                words.append(count_words(c))
         send(plain, words)
         for c, body, marks in joined:
             known[c] = known[body] + known[marks]
 
     def send(plain: list[str], words: list[int]) -> None:
         if plain:
-            ids = np.array(lib.encode(" ".join(plain), add_special_tokens=False).ids, "<u4")
+            ids = np.array(lib.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(final[ids]) + 1
             if len(ends) != sum(words):
-                known.update((c, np.array(coder.encode_chunk(c), "<u4").tobytes()) for c in plain)
+                known.update((c, np.array(bpe_of(vocabulary).encode_chunk(c), "<u4").tobytes()) for c in plain)
                 return
             at, blob = 0, ids.tobytes()
             for c, stop in zip(plain, (4 * ends[np.cumsum(words) - 1]).tolist()):
@@ -180,6 +184,19 @@ def _encoder(shipped: Shipped):
     return encode
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about MERGED bytes: the more texts at once, the fewer distinct chunks to look up."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= MERGED:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens: int = GROUP_TOKENS, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pack every document's ids and ``end_id`` into sequences of at most ``capacity`` tokens.
 
@@ -197,7 +214,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens:
 
         base = TaskContext.get().partitionId() << 40
         end = end_id.to_bytes(4, "little")
-        encode = _encoder(shipped)
+        encode = _encoder(shipped.text)
         sequence, rows, rests, waiting = 0, [], [], 0
 
         def flush():
@@ -218,7 +235,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens:
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         kinds = None
-        for batch in batches:
+        for batch in _merged(batches):
             kinds = [batch.schema.field(0).type, *[pa.int64()] * 6]
             coded, edges = encode(batch.column(1))
             for k, doc in enumerate(batch.column(0).to_pylist()):
@@ -238,6 +255,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens:
         flush()
         if rows:
             yield out()
+        release()
 
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     kind = docs.schema[id_col].dataType.simpleString()
