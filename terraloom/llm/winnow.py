@@ -129,8 +129,7 @@ def fingerprint(docs: DataFrame, k: int = K, w: int = W, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     small_batches(spark)
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n, least = rows.agg(F.count("*"), F.min("id")).first()
     ranges = max(1, min(n // RANGE_ROWS, 1_000_000))
     cuts = rows.stat.approxQuantile("id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 and least is not None else []
@@ -147,7 +146,7 @@ def fingerprint(docs: DataFrame, k: int = K, w: int = W, id_col: str = "doc_id",
     return (
         placed.repartitionByRange("range")
         .sortWithinPartitions("range", "border", F.col("id").asc_nulls_first(), "text")
-        .mapInArrow(_pairs(k, w, id_col), f"{id_col} {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+        .mapInArrow(_pairs(k, w, id_col), f"{id_col} long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     )
 
 
