@@ -300,3 +300,35 @@ def test_overrides(spark):
 
 def _twice(v: pd.Series) -> pd.Series:
     return v * 2
+
+
+def test_projections_at_known_points(spark):
+    lon, lat = F.lit(-96.0), F.lit(40.0)
+    pair = lambda p: tuple(one(spark, c) for c in p)
+    assert pair(geo.albers(lon, lat, 29.5, 45.5, -96.0, 40.0)) == pytest.approx((0, 0), abs=1e-6)
+    assert pair(geo.lambert_conformal(lon, lat, 33.0, 45.0, -96.0, 40.0)) == pytest.approx((0, 0), abs=1e-6)
+    assert pair(geo.lambert_azimuthal(lon, lat, -96.0, 40.0)) == pytest.approx((0, 0), abs=1e-6)
+    assert pair(geo.transverse_mercator(lon, lat, -96.0)) == pytest.approx((0, geo.EARTH * np.radians(40)))
+    assert pair(geo.polar_stereographic(lon, F.lit(90.0))) == pytest.approx((0, 0), abs=1e-6)
+    x, y = pair(geo.hammer(F.lit(180.0), F.lit(0.0)))
+    assert x == pytest.approx(2 * np.sqrt(2) * geo.EARTH) and y == pytest.approx(0, abs=1e-6)
+    assert one(spark, geo.equirectangular_x(F.lit(10.0), 10.0)) == 0
+
+
+def test_small_helpers(spark):
+    from terraloom.operators import publish
+
+    assert one(spark, publish.progress(F.lit(5.0), F.lit(10.0), F.lit(100.0), F.lit(150.0))) == 200.0
+    assert one(spark, publish.progress(F.lit(0.0), F.lit(10.0), F.lit(100.0), F.lit(150.0))) is None
+    kml = spark.createDataFrame([("<kml><NetworkLink><Link><href>a.kml</href></Link></NetworkLink><NetworkLink><href>b.kml</href></NetworkLink></kml>",)], "xml string")
+    assert [r["href"] for r in markup.links(kml, "xml").collect()] == ["a.kml", "b.kml"]
+    assert one(spark, resample.overview_scale(F.lit(2.0), F.lit(1.0))) == 72 * 4374754 + 150000
+    px = grid(spark, np.zeros((2, 2)))
+    assert publish.top_text(px.withColumn("line", F.concat_ws(",", "l", "s")), ["l", "s"], "line").first()["text"] == "0,0\n0,1\n1,0\n1,1"
+    assert sorted(r["n"] for r in publish.running(px, "s", "l").collect()) == [1, 1, 2, 2]
+
+
+def test_granule_over_the_dateline(spark):
+    g = spark.createDataFrame([(170.0, 10.0, -170.0, 10.0, 171.0, 0.0, -171.0, 0.0)], "ulx double, uly double, urx double, ury double, llx double, lly double, lrx double, lry double")
+    r = resample.unwrap_corners(g).first()
+    assert (r["ulx"], r["urx"], r["cx"], r["cy"]) == (-190.0, -170.0, 180.0 - 360.0, 5.0)
