@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.llm import langid, near_dedup, packing, quality
-from terraloom.llm.common import shared_table, small_batches, table
+from terraloom.llm.common import release, shared_table, small_batches, table
 
 #: A document whose language is less certain than this goes, as does one without any letter.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -29,6 +29,8 @@ def _keep(docs: DataFrame, make: Callable[[], Callable[[list], list[bool]]]) ->
         keep = make()
         for batch in batches:
             yield batch.filter(pa.array(keep(batch.column(at).to_pylist()), pa.bool_()))
+        keep = batch = None
+        release()
 
     small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
@@ -72,8 +74,9 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The remaining documents as pieces of sequences of at most 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The remaining documents as pieces of sequences of at most 2048 tokens. After three other stages an executor has
+    less memory to spare, so fewer chunks are remembered."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=40_000, merged=1 << 20)
 
 
 STAGES = [("language", language), ("quality", good_quality), ("near_dedup", distinct_documents), ("packing", packed)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch: with whole web texts a batch stays at a few MB.
-BATCH_ROWS = 1024
+BATCH_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +42,14 @@ def crc_mod(column: str, n: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
 
 
+def release() -> None:
+    """Give freed memory back to the system. A worker that is used again would otherwise keep its largest size."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class TwoGenerations(dict):
     """A dict that makes missing values, of bounded size: what was not asked for lately goes first.
 
@@ -77,6 +87,8 @@ def map_columns(df: DataFrame, columns: list[str], schema: str, make: Callable[[
             if batch.num_rows:
                 made = f(*(c.to_pylist() for c in batch.columns))
                 yield pa.RecordBatch.from_arrays([pa.array(v, type=t.type) for v, t in zip(made, out, strict=True)], schema=out)
+        f = made = None
+        release()
 
     from pyspark.sql.types import StructType
 

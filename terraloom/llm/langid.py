@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, crc_mod, map_columns
+from .common import crc_mod, map_columns
 
 #: Longest piece in letters, and longest run of letters scored in one go (longer runs are scored slice by slice).
 LONGEST, SLICE = 8, 32
@@ -23,6 +23,9 @@ LONGEST, SLICE = 8, 32
 TEXTS_PER_LANGUAGE = 300
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
+#: The pattern also takes numbers that are no decimal digits; words with these are rare and cut at them.
+_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 
 
 def words_of(text: str) -> list[str]:
@@ -30,7 +33,10 @@ def words_of(text: str) -> list[str]:
 
 
 def slices(word: str) -> list[str]:
-    return [word] if len(word) <= SLICE else [word[k : k + SLICE] for k in range(0, len(word), SLICE)]
+    """The runs of letters of a word, cut to SLICE letters each."""
+    if len(word) <= SLICE and word.isalpha():
+        return [word]
+    return [run[k : k + SLICE] for run in _LETTERS.findall(word) for k in range(0, len(run), SLICE)]
 
 
 def read_vocabulary(path: str) -> list[str]:
@@ -39,7 +45,7 @@ def read_vocabulary(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = {model.id_to_piece(i).lstrip("▁").lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in found if 0 < len(p) <= LONGEST and _WORD.fullmatch(p))
+    return sorted(p for p in found if 0 < len(p) <= LONGEST and p.isalpha())
 
 
 class Model:
@@ -170,21 +176,24 @@ def predictor(model: Model):
     """A function from texts to (languages, scores), for use within tasks. It remembers the words it has scored."""
     langs = model.langs
     row_of: dict[str, int] = {}
+    bare: set[str] = set()  # words without a letter
     matrix = np.zeros((0, len(langs)))
 
     def run(texts: list) -> tuple[list[str], list[float]]:
         nonlocal matrix
         if len(row_of) > 400_000:
             row_of.clear()
+            bare.clear()
         lists = [words_of(t) if t and langs else [] for t in texts]
         new = list({w for ws in lists for w in ws if w not in row_of})
         if new:
             used = len(row_of)
+            bare.update(w for w in new if not w.isalpha() and not slices(w))
             row_of.update(zip(new, range(used, used + len(new))))
             matrix = _grown(matrix, used, model.log_words(new))
         pred, score = [], []
         for ws in lists:
-            if not ws:
+            if not ws or bare and bare.issuperset(ws):
                 pred.append(UNKNOWN)
                 score.append(0.0)
                 continue
@@ -227,4 +236,4 @@ def identify(docs: DataFrame, vocabulary: str, folds: int = 5, held_out_fold: in
     """Train on the documents outside the held-out fold and predict all: doc_id, held_out, lang_pred, score."""
     fold = crc_mod("doc_id", folds)
     model = train(docs.where(fold != held_out_fold), vocabulary)
-    return predict(docs, model).withColumn("held_out", fold == held_out_fold).select("doc_id", "held_out", "lang_pred", "score")
+    return predict(docs, model).withColumn("held_out", F.coalesce(fold == held_out_fold, F.lit(False))).select("doc_id", "held_out", "lang_pred", "score")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_columns, shared_table, small_batches
+from .common import cut, map_columns, release, shared_table, small_batches
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 misses all of 32 bands of 6 with probability 6e-5.
@@ -135,6 +135,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(common >= similarity * (few + many - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     small_batches(pairs.sparkSession)
     return both.select("a", "b", "x", "y").mapInArrow(test, "a long, b long")

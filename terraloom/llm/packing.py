@@ -99,7 +99,7 @@ def pack_group(sizes: list[int], capacity: int = WINDOW) -> list[list[tuple[int,
 
 
 @lru_cache(maxsize=2)
-def _encoder(vocabulary: str):
+def _encoder(vocabulary: str, remembered: int = CACHE):
     """A function from a batch of texts to their ids end to end, and where each text's ids begin and end. Each distinct
     chunk (run without white space) of a batch is encoded once, and chunks seen lately are remembered. Those that are
     new go to the library as one text; each of its words ends with one word-final token, so the chunks' numbers of
@@ -150,7 +150,7 @@ def _encoder(vocabulary: str):
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         nonlocal known, older
-        if len(known) > CACHE:
+        if len(known) > remembered:
             known, older = {"": b""}, known
         texts = texts.fill_null("")
         if pc.any(pc.match_substring_regex(texts, _ODD_SPACE.pattern)).as_py():
@@ -184,26 +184,27 @@ def _encoder(vocabulary: str):
     return encode
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of about MERGED bytes: the more texts at once, the fewer distinct chunks to look up."""
+def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at least so many bytes: the more texts at once, the fewer distinct chunks to look up."""
     held, size = [], 0
     for batch in batches:
         held.append(batch)
         size += batch.nbytes
-        if size >= MERGED:
+        if size >= least:
             yield pa.concat_batches(held)
             held, size = [], 0
     if held:
         yield pa.concat_batches(held)
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens: int = GROUP_TOKENS, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens: int = GROUP_TOKENS, end_id: int = 1, remembered: int = CACHE, merged: int = MERGED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pack every document's ids and ``end_id`` into sequences of at most ``capacity`` tokens.
 
     One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset. Each task packs the rows of
     its own input split in groups of bounded size, so nothing is shuffled and memory does not grow with the data.
     sequence_id is the split's number and a running number within it. A null text counts as empty and gives the
-    end id alone; repeated rows are packed each for itself; an empty table gives an empty table.
+    end id alone; repeated rows are packed each for itself; an empty table gives an empty table. ``remembered`` and
+    ``merged`` trade a worker's memory for time and change no result.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -214,7 +215,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens:
 
         base = TaskContext.get().partitionId() << 40
         end = end_id.to_bytes(4, "little")
-        encode = _encoder(shipped.text)
+        encode = _encoder(shipped.text, remembered)
         sequence, rows, rests, waiting = 0, [], [], 0
 
         def flush():
@@ -235,7 +236,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens:
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         kinds = None
-        for batch in _merged(batches):
+        for batch in _merged(batches, merged):
             kinds = [batch.schema.field(0).type, *[pa.int64()] * 6]
             coded, edges = encode(batch.column(1))
             for k, doc in enumerate(batch.column(0).to_pylist()):
