@@ -1,10 +1,11 @@
 """Near-duplicate classes by ProbMinHash, banding and verification (operator 8).
 
-A text is the weighted set of its runs of five words. In ProbMinHash every element is a Poisson process whose rate
-is its weight; each arrival falls on a random component of the signature, and a component keeps the element that
-arrives first. Elements stop once they are later than every component's first arrival. Two signatures agree at a
-component with the probability Jaccard similarity of the texts. Bands of components bring candidates together, and
-the exact similarity of the sets decides.
+A text is the set of its runs of five words. In ProbMinHash every element is a Poisson process whose rate is its
+weight; each arrival falls on a random component of the signature, and a component keeps the element that arrives
+first. Elements stop once they are later than every component's first arrival. Two signatures agree at a component
+with the probability Jaccard similarity of the texts. Here every distinct run weighs 1, however often it occurs, so
+this is the Jaccard similarity of the sets. Bands of components bring candidates together, and the exact similarity
+of the sets decides.
 
 Copies of a text are one node from the start. Within a band's bucket each node is first compared with the smallest
 and the largest node only, so a bucket gives as many candidates as it has nodes. Where these links leave several
@@ -43,8 +44,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingles(words: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hashes, weights) of the distinct runs of words; a shorter text is one run. A run that occurs c times
-    weighs 1 + ln c, so that a line repeated a thousand times does not drown the rest."""
+    """(64-bit hashes, weights) of the distinct runs of words; a shorter text is one run. All weigh 1, since the
+    links are defined by the sets: other weights would keep texts apart that repeat a line more or less often."""
     if not words:
         return np.zeros(0, np.uint64), np.zeros(0)
     h = pd.util.hash_array(np.array(words, dtype=object), categorize=False)
@@ -52,8 +53,8 @@ def shingles(words: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     total = np.zeros(n, np.uint64)
     for k in range(min(size, len(words))):
         total = total * _GOLDEN + h[k : k + n]
-    distinct, count = np.unique(_mix(total), return_counts=True)
-    return distinct, 1 + np.log(count)
+    distinct = np.unique(_mix(total))
+    return distinct, np.ones(len(distinct))
 
 
 def signature(elements: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:

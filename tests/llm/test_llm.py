@@ -336,6 +336,22 @@ def test_near_duplicates_equal_brute_force(spark, docs):
         assert got == brute_classes(texts)
 
 
+def test_repeated_lines_lose_no_link(spark):
+    """Pairs whose sets are alike, while a line of theirs occurs once and 50 times, or twice and 200 times."""
+    rng = random.Random(4)
+    line = lambda n: [f"r{rng.randint(0, 10**6)}" for _ in range(n)]
+    texts = []
+    for length, few, many in [(12, 1, 50)] * 40 + [(8, 2, 200)] * 40:
+        body, again = line(60), line(length)
+        other = body[:-2] + line(1) + body[-1:]
+        texts += [" ".join(body + again * few), " ".join(other + again * many)]
+    texts = dict(enumerate(texts))
+    want = brute_classes(texts)
+    assert len(set(want.values())) == 80
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(df).collect()} == want
+
+
 def test_near_duplicates_equal_sql(spark):
     import duckdb
 
