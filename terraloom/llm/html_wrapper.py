@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 from html import unescape
@@ -56,12 +56,13 @@ class Node:
     name: str = ""  # class or id, without digits: with the tag, what an alignment goes by
     junk: bool = False
     kids: list = field(default_factory=list)  # Node or str
+    length: int = 0  # characters in it, without those of junk elements
 
 
 def parse(html: str) -> Node:
     """A lenient tree of a page: unclosed and misplaced tags are mended, comments dropped."""
     root = Node("")
-    stack, at, n = [root], 0, len(html)
+    made, stack, at, n = [root], [root], 0, len(html)
 
     def text(s: str) -> None:
         if s:
@@ -102,17 +103,33 @@ def parse(html: str) -> Node:
         junk = tag in NEVER or (tag not in ("html", "body", *REGIONS) or "comment" in hints) and (not HINTS.isdisjoint(hints) or attrs.get("role", "").lower() in ROLES)
         node = Node(tag, re.sub(r"\d+", "", label).strip().lower(), junk)
         stack[-1].kids.append(node)
+        made.append(node)
         if tag in RAW:
             close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
             at = close.end() if close else n
         elif tag not in VOID and not m["attrs"].endswith("/"):
             stack.append(node)
+    for node in reversed(made):  # the inner ones first
+        node.length = sum(len(k) if isinstance(k, str) else 0 if k.junk else k.length for k in node.kids)
     return root
 
 
 # -- wrappers
 
 
+def _run(call: Generator):
+    """What a generator returns that yields the calls it waits for. Pages nest deeper than Python's own stack."""
+    stack, value = [call], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+    return value
+
+
 @dataclass
 class Item:
     """A term of a wrapper: a text (tag "#"; constant or, with None, a slot), an element, or a group (tag "")."""
@@ -131,13 +148,19 @@ class Item:
         return (self.tag, self.name) if self.tag else ("", tuple(k.key for k in self.kids))
 
     def __str__(self) -> str:
-        inner = "".join(map(str, self.kids))
+        return _run(self._spelt())
+
+    def _spelt(self) -> Generator:
+        parts = []
+        for k in self.kids:
+            parts.append((yield k._spelt()))
+        inner = "".join(parts)
         out = ("#" if self.constant is None else self.constant) if self.tag == "#" else f"<{self.tag}>{inner}</{self.tag}>" if self.tag else inner
         mark = "*" if self.often and self.optional else "+" if self.often else "?" if self.optional else ""
         return f"({out}){mark}" if mark else out
 
 
-def _repeats(items: list[Item]) -> list[Item]:
+def _repeats(items: list[Item]) -> Generator:
     """Runs of alike terms, or of alike pairs or triples, as repeated groups."""
     for period in (1, 2, 3):
         out: list[Item] = []
@@ -147,7 +170,9 @@ def _repeats(items: list[Item]) -> list[Item]:
             keys = [x.key for x in first]
             end = at + period
             while len(first) == period and any(x.tag != "#" for x in first) and [x.key for x in items[end : end + period]] == keys:
-                first = [_unify(a, b) for a, b in zip(first, items[end : end + period])]
+                both, first = list(zip(first, items[end : end + period])), []
+                for a, b in both:
+                    first.append((yield _unify(a, b)))
                 end += period
             if end == at + period or len(first) < period:
                 out.append(items[at])
@@ -161,7 +186,7 @@ def _repeats(items: list[Item]) -> list[Item]:
     return items
 
 
-def _unify(a: Item, b: Item) -> Item:
+def _unify(a: Item, b: Item) -> Generator:
     """The least general term that covers both."""
     out = Item(a.tag, a.name, a.often or b.often, a.optional or b.optional, chars=a.chars + b.chars, junk=a.junk or b.junk)
     if a.tag == "#":
@@ -169,16 +194,18 @@ def _unify(a: Item, b: Item) -> Item:
         return out
     for op, a0, a1, b0, b1 in SequenceMatcher(None, [x.key for x in a.kids], [x.key for x in b.kids], autojunk=False).get_opcodes():
         if op == "equal":
-            out.kids += [_unify(x, y) for x, y in zip(a.kids[a0:a1], b.kids[b0:b1])]
+            for x, y in zip(a.kids[a0:a1], b.kids[b0:b1]):
+                out.kids.append((yield _unify(x, y)))
             continue
         for x in (*a.kids[a0:a1], *b.kids[b0:b1]):
             x.optional = True
             out.kids.append(x)
-    out.kids = _repeats(out.kids) if len(out.kids) > 1 else out.kids
+    if len(out.kids) > 1:
+        out.kids = yield _repeats(out.kids)
     return out
 
 
-def to_wrapper(node: Node, in_link: bool = False) -> Item:
+def to_wrapper(node: Node, in_link: bool = False) -> Generator:
     """The wrapper of a single page."""
     kids = []
     for k in node.kids:
@@ -186,8 +213,8 @@ def to_wrapper(node: Node, in_link: bool = False) -> Item:
             if s := " ".join(k.split()):
                 kids.append(Item("#", constant=s, chars=0 if in_link else len(s)))
         elif k.tag not in ("script", "style", "head"):
-            kids.append(to_wrapper(k, in_link or k.tag == "a"))
-    item = Item(node.tag, node.name, junk=node.junk, kids=_repeats(kids))
+            kids.append((yield to_wrapper(k, in_link or k.tag == "a")))
+    item = Item(node.tag, node.name, junk=node.junk, kids=(yield _repeats(kids)))
     item.chars = 0 if node.junk else sum(k.chars for k in item.kids)
     return item
 
@@ -207,8 +234,8 @@ def infer(pages: list[str]) -> Wrapper:
     pages = list(dict.fromkeys(pages))
     joint: Item | None = None
     for html in pages:
-        own = to_wrapper(parse(html))
-        joint = own if joint is None else _unify(joint, own)
+        own = _run(to_wrapper(parse(html)))
+        joint = own if joint is None else _run(_unify(joint, own))
     if joint is None:
         return Wrapper()
     path, here = [], joint
@@ -238,12 +265,15 @@ def _elements(item: Item) -> Iterator[Item]:
 
 
 def _constants(item: Item, into: list[str]) -> None:
-    for k in item.kids:
-        if k.tag == "#":
-            if k.constant is not None and not k.optional and not k.often:
-                into.append(k.constant)
-        elif not k.optional and not k.often:
-            _constants(k, into)
+    todo = item.kids[::-1]
+    while todo:
+        k = todo.pop()
+        if k.optional or k.often:
+            continue
+        if k.tag != "#":
+            todo += k.kids[::-1]
+        elif k.constant is not None:
+            into.append(k.constant)
 
 
 def _find(node: Node, path: list) -> Node | None:
@@ -252,14 +282,10 @@ def _find(node: Node, path: list) -> Node | None:
         alike = [k for k in node.kids if not isinstance(k, str) and k.tag == tag and k.name == name]
         if not alike:
             return None
-        node = max(alike, key=_length) if len(alike) > 1 else alike[0]
+        node = max(alike, key=lambda k: k.length) if len(alike) > 1 else alike[0]
     return node
 
 
-def _length(node: Node) -> int:
-    return sum(len(k) if isinstance(k, str) else 0 if k.junk else _length(k) for k in node.kids)
-
-
 def _region(root: Node) -> Node:
     """Without a wrapper's path: the longest article or main element, or else the page."""
     found, todo = [], [root]
@@ -270,7 +296,7 @@ def _region(root: Node) -> Node:
                 todo.append(k)
                 if k.tag in REGIONS:
                     found.append(k)
-    return max(found, key=_length) if found else root
+    return max(found, key=lambda k: k.length) if found else root
 
 
 def blocks(node: Node) -> list[str]:

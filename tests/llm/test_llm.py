@@ -482,6 +482,14 @@ def test_extraction_of_odd_pages(spark):
     assert html_wrapper.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tag", ["div", "span", "font", "article"])
+def test_thousands_of_unclosed_tags(tag):
+    pages = [f"<article><p>start {k}</p>" + f"<{tag}>" * 4000 + f"<p>deep text number {k}" for k in range(3)]
+    w = html_wrapper.infer(pages)
+    for wrapper in (w, html_wrapper.Wrapper()):
+        assert html_wrapper.main_text(pages[0], wrapper).endswith("deep text number 0")
+
+
 # -- 1: language model
 
 
