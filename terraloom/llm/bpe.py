@@ -285,7 +285,8 @@ def encode_decode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_i
         def run(doc_ids, texts):
             n, ids, decoded = [], [], []
             for t in texts:
-                counts, spelt, back = zip(*map(get, split_white(t))) if t and not t.isspace() else ((), (), ())
+                chunks = split_white(t) if t else []
+                counts, spelt, back = zip(*map(get, chunks)) if chunks else ((), (), ())
                 n.append(sum(counts))
                 ids.append(sha256(" ".join(spelt).encode()).hexdigest())
                 decoded.append(sha256(" ".join(back).encode()).hexdigest())

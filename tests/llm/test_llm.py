@@ -81,6 +81,16 @@ def test_bpe_query(spark, docs, odd, coder):
     assert row["ids"] == lib.encode("That it.", add_special_tokens=False).ids
 
 
+def test_bpe_query_on_separators(spark, coder):
+    """Python takes U+001C to U+001F for white space, the library does not."""
+    _, lib = coder
+    texts = ["\x1c", " \x1f\n", "\x1d\x1e", " \n\t "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in bpe.encode_decode_digests(df, WORDS).collect():
+        ids = lib.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), sha256(" ".join(map(str, ids)).encode()).hexdigest())
+
+
 # -- 5: token counts
 
 
