@@ -1,19 +1,23 @@
 """Language-model scores by masked pseudo-likelihood (operator 1).
 
-A small window network sees the two words before and the two words after a place and predicts the word in it. Its
-output is a two-level softmax (a class, then the word within the class). The summed conditional log probabilities
-of all its words score a document.
+A small window network sees the two words before and the two words after a place and predicts the bucket of the word
+in it: the most frequent words are buckets of their own, the others share buckets by a hash of their ending. Its
+output is a two-level softmax (a class, then the bucket within the class). A word's log probability is that of its
+bucket given the window and that of the word within the bucket, which is its share of the bucket's words in the whole
+corpus. The summed log probabilities of all its words score a document.
 
-The vocabulary comes from word counts over the whole corpus. The network is first warmed up on a bounded sample;
+The frequent words come from word counts over the whole corpus. The network is first warmed up on a bounded sample;
 then every partition goes on from there over all its words, and the partitions' parameters are averaged, weighted by
-their words. What is gathered (counts and parameters) grows with the corpus; what is broadcast (the vocabulary and
-one network) does not.
+their words. The network has a fixed size; the counts of all words grow with the corpus, stay a distributed table
+and are joined with the words of the texts. What is broadcast (the frequent words, one network and the totals of the
+buckets) does not grow.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from zlib import crc32
 
 import numpy as np
@@ -29,6 +33,8 @@ CLASS = 32  # words in a class
 CLASSES = (FREQUENT + HASHED) // CLASS
 HIDDEN, OFFSETS, MINIBATCH, RATE = 16, (-2, -1, 1, 2), 8192, 0.08
 PAD = FREQUENT + HASHED
+#: Bits of a word's code that are its bucket; the others are a hash of the word.
+BUCKET_BITS = 10
 #: Documents of the warm-up: those with the smallest hash of their id.
 WARM_DOCUMENTS = 400
 _EDGE = max(OFFSETS)
@@ -172,6 +178,50 @@ def encode(docs: DataFrame, vocabulary: list[str], id_col: str, text_col: str) -
     return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, ids binary")
 
 
+def word_code(word: str) -> int:
+    """A word that is not frequent as 64 bits: its bucket, and a hash that tells the bucket's words apart (in 400
+    million distinct words 0.01 pairs are expected to share a code)."""
+    raw = word.encode("utf-8", "surrogatepass")
+    bucket = FREQUENT + crc32(word[-3:].encode("utf-8", "surrogatepass")) % HASHED
+    return int.from_bytes(blake2b(raw, digest_size=8).digest(), "little", signed=True) >> BUCKET_BITS << BUCKET_BITS | bucket
+
+
+def encode_words(docs: DataFrame, vocabulary: list[str], id_col: str, text_col: str) -> DataFrame:
+    """As ``encode``, with a number for each row, and its distinct words that share buckets (codes, times)."""
+    shipped = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shipped.value
+        code = TwoGenerations(lambda w: known[w] if w in known else word_code(w))
+        get = code.__getitem__
+        for batch in batches:
+            ids, codes, times = [], [], []
+            for t in batch.column(2).to_pylist():
+                ws = (t or "").lower().split()
+                all_ = np.fromiter(map(get, ws), np.int64, len(ws))
+                bucket = all_ & ((1 << BUCKET_BITS) - 1)
+                ids.append(bucket.astype("<i2").tobytes())
+                distinct, n = np.unique(all_[bucket >= FREQUENT], return_counts=True)
+                codes.append(distinct)
+                times.append(n)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(codes, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))], names=["row", id_col, "ids", "codes", "times"])
+
+    small_batches(docs.sparkSession)
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.monotonically_increasing_id().alias("row"), id_col, text_col).mapInArrow(run, f"row long, {id_col} {kind}, ids binary, codes array<long>, times array<long>")
+
+
+def within_buckets(encoded: DataFrame) -> DataFrame:
+    """row, within: the summed log shares that a row's words have of their buckets, over the whole corpus. Words with
+    a bucket of their own add nothing."""
+    pairs = encoded.select("row", F.explode(F.arrays_zip("codes", "times")).alias("p")).select("row", "p.codes", "p.times")
+    counts = shared_table(pairs.groupBy("codes").agg(F.sum("times").alias("n")))
+    bucket = F.col("codes").bitwiseAND((1 << BUCKET_BITS) - 1)
+    totals = counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("total"))  # one row for each shared bucket
+    shares = counts.withColumn("bucket", bucket).join(F.broadcast(totals), "bucket").select("codes", F.log(F.col("n") / F.col("total")).alias("share"))
+    return pairs.join(shares, "codes").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("within"))
+
+
 def fit(encoded: DataFrame, id_col: str = "doc_id") -> Network:
     """Warm up on a bounded sample, then average one pass of every partition over all its documents."""
     spark = encoded.sparkSession
@@ -199,28 +249,45 @@ def fit(encoded: DataFrame, id_col: str = "doc_id") -> Network:
     return Network(flat)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, pll (summed log probability of every word given its neighbours), mean_pll.
+def _frequent(docs: DataFrame, text_col: str) -> list[str]:
+    return [r["word"] for r in word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
 
-    A null or empty text, or one of white space, has no words and scores 0. Repeated rows are trained on and scored
-    each; an empty table gives an empty table; other columns are not read.
-    """
-    spark = docs.sparkSession
-    vocabulary = [r["word"] for r in word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
-    encoded = shared_table(encode(docs, vocabulary, id_col, text_col))
-    flat = spark.sparkContext.broadcast(fit(encoded, id_col).flat)
-    kind = docs.schema[id_col].dataType.simpleString()
+
+def _bucket_scores(encoded: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """The key columns, n_tokens, pll and mean_pll of the buckets of every row's words."""
+    flat = encoded.sparkSession.sparkContext.broadcast(fit(encoded, id_col).flat)
+    kinds = ", ".join(f"{k} {encoded.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = Network(flat.value)
         for batch in batches:
-            ids = _arrays(batch, 1)
+            ids = _arrays(batch, len(keys))
             n = np.array([len(x) for x in ids], np.int64)
             around, target = windows(ids)
             log_p = np.concatenate([network.run([x[a : a + MINIBATCH] for x in around], target[a : a + MINIBATCH]) for a in range(0, len(target), MINIBATCH)] or [np.zeros(0)])
             total = np.concatenate([[0.0], np.cumsum(log_p.astype(np.float64))])
             stops = np.cumsum(n)
             pll = total[stops] - total[stops - n]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(pll), pa.array(pll / np.maximum(n, 1))], names=[id_col, "n_tokens", "pll", "mean_pll"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(n), pa.array(pll), pa.array(pll / np.maximum(n, 1))], names=[*keys, "n_tokens", "pll", "mean_pll"])
+
+    return encoded.select(*keys, "ids").mapInArrow(run, f"{kinds}, n_tokens long, pll double, mean_pll double")
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The network's part alone: id, n_tokens, pll (summed log probability of every word's bucket given its
+    neighbours), mean_pll. ``score_words`` is the score of the words themselves.
+
+    A null or empty text, or one of white space, has no words and scores 0. Repeated rows are trained on and scored
+    each; an empty table gives an empty table; other columns are not read.
+    """
+    return _bucket_scores(shared_table(encode(docs, _frequent(docs, text_col), id_col, text_col)), [id_col], id_col)
+
 
-    return encoded.mapInArrow(run, f"{id_col} {kind}, n_tokens long, pll double, mean_pll double")
+def score_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_tokens, pll (summed log probability of every word given its neighbours), mean_pll. Nulls, repeated rows
+    and empty tables are treated as by ``score``."""
+    encoded = shared_table(encode_words(docs, _frequent(docs, text_col), id_col, text_col))
+    buckets = _bucket_scores(encoded, ["row", id_col], id_col)
+    pll = F.col("pll") + F.coalesce("within", F.lit(0.0))
+    joined = buckets.join(within_buckets(encoded), "row", "left").select(id_col, "n_tokens", pll.alias("pll"))
+    return joined.withColumn("mean_pll", F.col("pll") / F.greatest("n_tokens", F.lit(1)))

@@ -15,9 +15,9 @@ PIECES = "piece_bpe_32k.model"
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .lm_score import score
+    from .lm_score import score_words
 
-    return score(table(spark, sf_dir, "documents"))
+    return score_words(table(spark, sf_dir, "documents"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -538,6 +538,29 @@ def test_model_learns(spark, docs, odd):
     assert lm_score.score(odd.limit(0)).count() == 0
 
 
+def test_words_of_a_bucket_are_told_apart(spark, odd):
+    rng = random.Random(3)
+    # 600 frequent words, and rarer ones of one ending: texts 0 and 1 differ only in these.
+    common = [f"c{k}" for k in range(600)]
+    texts = ["c1 c2 abcxyz c3", "c1 c2 defxyz c3"] + [" ".join(rng.choices(common, k=400) + ["defxyz"]) for _ in range(20)] + [" ".join(common * 60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frequent = set(lm_score._frequent(df, "text"))
+    words = Counter(w for t in texts for w in t.split())
+    total = Counter()
+    bucket = lambda w: w if w in frequent else crc32(w[-3:].encode()) % lm_score.HASHED
+    for w, n in words.items():
+        total[bucket(w)] += n
+    whole, part = ({r["doc_id"]: r for r in f(df.coalesce(1)).collect()} for f in (lm_score.score_words, lm_score.score))
+    for k, t in enumerate(texts):
+        want = sum(np.log(words[w] / total[bucket(w)]) for w in t.split())
+        assert whole[k]["pll"] - part[k]["pll"] == pytest.approx(want, rel=1e-3, abs=0.05)
+    assert "defxyz" not in frequent and whole[1]["pll"] - whole[0]["pll"] == pytest.approx(np.log(21), abs=1e-3)
+    rows = lm_score.score_words(odd).collect()
+    got = {r["doc_id"]: r for r in rows}
+    assert len(rows) == odd.count() and (got[0]["n_tokens"], got[0]["pll"], got[3]["n_tokens"]) == (0, 0.0, 0)
+    assert lm_score.score_words(odd.limit(0)).count() == 0
+
+
 # -- the pipeline
 
 
