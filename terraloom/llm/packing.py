@@ -1,11 +1,14 @@
 """Packing into fixed windows by Karmarkar-Karp multiway differencing (operator 2).
 
-Documents longer than a window give full windows and a rest. The rests of a group of documents are spread over k
-windows by differencing: each rest starts as a partition of its own into k subsets; again and again the two
-partitions with the largest imbalance are merged, the fullest subset of one with the emptiest of the other, until
-one partition is left, whose k sums are nearly equal. k begins at the fewest windows that could hold the tokens.
-Where a window is over its capacity its overhang is cut off and laid into windows with room; if a group's windows
-still cannot hold all, k rises by one and the group is differenced anew.
+Documents longer than a window give full windows and a rest; rests longer than ``PIECE`` are cut into near-equal
+pieces, the others stay whole. The pieces of a group are spread over k windows by differencing alone: each piece
+starts as a partition of its own into k subsets; again and again the two partitions with the largest imbalance are
+merged, the fullest subset of one with the emptiest of the other, until one partition is left, whose k sums are
+nearly equal. k begins at the fewest windows that could hold the tokens; whenever a subset exceeds the capacity, k
+rises by one and the group is differenced anew. Nothing is cut or moved afterwards.
+
+Each input split packs its own whole groups. What is left of a split, less than a group, is only described by its
+pieces' lengths; the leftovers of all splits are packed together, so that few windows stay part-filled.
 """
 
 from __future__ import annotations
@@ -20,15 +23,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tokenizers import Tokenizer
 
 from .bpe import _ODD_SPACE, Shipped, bpe_of, count_words, split_white
-from .common import release, small_batches
+from .common import release, shared_table, small_batches
 
 WINDOW = 2048
-#: Tokens of rests that are packed together: 128 windows, so that one part-filled window costs little.
-GROUP_TOKENS = 128 * WINDOW
+#: Windows that are packed together, the share of their room that a group leaves to the imbalance of its subsets, and
+#: the most tokens of a piece that is not a window of its own.
+GROUP_WINDOWS, SLACK, PIECE = 128, 0.002, 384
+#: Groups of leftovers in a task of the second step.
+TAIL_GROUPS = 8
 #: Chunks whose ids a worker remembers, in each of two generations (about 200 bytes each).
 CACHE = 200_000
 #: Bytes of text that are encoded at once.
@@ -62,42 +69,61 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
     return out + [[] for _ in range(k - len(out))]
 
 
-def pack_group(sizes: list[int], capacity: int = WINDOW) -> list[list[tuple[int, int, int]]]:
-    """Windows of (index, start, length) pieces that hold each of the sizes whole, none over the capacity."""
-    total = sum(sizes)
-    k = max(1, -(-total // capacity))
+def pack_group(sizes: list[int], capacity: int = WINDOW) -> list[list[int]]:
+    """The subsets of indexes, each of at most the capacity, that differencing gives for the smallest k it can."""
+    k = max(1, -(-sum(sizes) // capacity))
     while True:
-        windows = [[(i, 0, sizes[i]) for i in subset] for subset in differencing(sizes, k)]
-        room = [capacity - sum(p[2] for p in w) for w in windows]
-        over = []
-        for w, free in enumerate(room):
-            while free < 0:
-                i, start, size = windows[w].pop()
-                cut = min(size, -free)
-                if cut < size:
-                    windows[w].append((i, start, size - cut))
-                over.append((i, start + size - cut, cut))
-                free += cut
-            room[w] = free
-        order = sorted(range(k), key=lambda w: -room[w])
-        at = 0
-        for i, start, size in sorted(over, key=lambda p: -p[2]):
-            while size and at < k:
-                w = order[at]
-                if not room[w]:
-                    at += 1
-                    continue
-                part = min(size, room[w])
-                windows[w].append((i, start, part))
-                room[w] -= part
-                start, size = start + part, size - part
-            if size:
-                break
-        else:
+        windows = differencing(sizes, k)
+        if all(sum(sizes[i] for i in w) <= capacity for w in windows):
             return [w for w in windows if w]
         k += 1
 
 
+def cut_rest(start: int, length: int, longest: int) -> list[tuple[int, int]]:
+    """(start, length) of near-equal pieces of at most ``longest`` tokens."""
+    many = -(-length // longest)
+    edges = [start + length * i // many for i in range(many + 1)] if many else []
+    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+
+
+class Groups:
+    """Collects pieces (id, start, length, ids_crc32, doc_tokens, slot) and lays whole groups into windows."""
+
+    def __init__(self, capacity: int, windows: int, base: int):
+        self.capacity, self.most, self.base = capacity, int(windows * capacity * (1 - SLACK)), base
+        self.sequence, self.waiting, self.held, self.rows = 0, 0, [], []
+
+    def window(self, piece: tuple) -> None:
+        """A piece that fills a window."""
+        self.rows.append((*piece, self.base + self.sequence, 0))
+        self.sequence += 1
+
+    def add(self, piece: tuple) -> None:
+        if self.waiting + piece[2] > self.most:
+            self.flush()
+        self.held.append(piece)
+        self.waiting += piece[2]
+
+    def flush(self) -> None:
+        for window in pack_group([p[2] for p in self.held], self.capacity) if self.held else ():
+            offset = 0
+            for i in window:
+                self.rows.append((*self.held[i], self.base + self.sequence, offset))
+                offset += self.held[i][2]
+            self.sequence += 1
+        self.held, self.waiting = [], 0
+
+    def leave(self) -> None:
+        """The pieces of the unfinished group, without a place."""
+        self.rows += [(*p, None, None) for p in self.held]
+        self.held, self.waiting = [], 0
+
+    def take(self, kinds: list, names: list[str]) -> pa.RecordBatch:
+        columns = [pa.array(c, type=t) for c, t in zip(zip(*self.rows), kinds, strict=True)]
+        self.rows = []
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+
 @lru_cache(maxsize=2)
 def _encoder(vocabulary: str, remembered: int = CACHE):
     """A function from a batch of texts to their ids end to end, and where each text's ids begin and end. Each distinct
@@ -115,8 +141,9 @@ def _encoder(vocabulary: str, remembered: int = CACHE):
         for c in chunks:
             low = c.lower() if c.isascii() else c
             body = low.rstrip(_MARKS)
-            if body.isalpha() and (c.isascii() or is_normalized("NFC", c)):
-                # A word, perhaps with capitals or marks behind it: these are words of their own.
+            if body.isalpha() and (c.isascii() or body.lower().isalpha() and is_normalized("NFC", c)):
+                # A word, perhaps with capitals or marks behind it: these are words of their own. (The dot of a
+                # lowered capital I with a dot is no letter and would join the marks.)
                 parts = (body, low[len(body) :])
                 joined.append((c, *parts))
                 for w in parts:
@@ -197,68 +224,68 @@ def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
         yield pa.concat_batches(held)
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, group_tokens: int = GROUP_TOKENS, end_id: int = 1, remembered: int = CACHE, merged: int = MERGED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = WINDOW, windows: int = GROUP_WINDOWS, piece: int = PIECE, end_id: int = 1, remembered: int = CACHE, merged: int = MERGED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pack every document's ids and ``end_id`` into sequences of at most ``capacity`` tokens.
 
-    One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset. Each task packs the rows of
-    its own input split in groups of bounded size, so nothing is shuffled and memory does not grow with the data.
-    sequence_id is the split's number and a running number within it. A null text counts as empty and gives the
-    end id alone; repeated rows are packed each for itself; an empty table gives an empty table. ``remembered`` and
-    ``merged`` trade a worker's memory for time and change no result.
+    One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset. Each task packs the groups of
+    its own input split; only the description of the leftovers (less than ``windows`` windows a split, 50 bytes a
+    piece) is shuffled, to tasks of a bounded number of tokens. Memory does not grow with the data. sequence_id is a
+    task's number and a running number within it. A null text counts as empty and gives the end id alone, as does a
+    null id's; repeated rows are packed each for itself; a very long text gives full windows and a rest; an empty
+    table gives an empty table; other columns are not read. ``remembered`` and ``merged`` trade a worker's memory for
+    time and change no result.
     """
     spark = docs.sparkSession
     small_batches(spark)
     shipped = Shipped(spark, vocabulary)
+    piece = min(piece, capacity)
+    names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "slot", "sequence_id", "offset"]
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"{id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long, slot long, sequence_id long, offset long"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 40
         end = end_id.to_bytes(4, "little")
         encode = _encoder(shipped.text, remembered)
-        sequence, rows, rests, waiting = 0, [], [], 0
-
-        def flush():
-            nonlocal sequence, waiting
-            for window in pack_group([len(r[2]) // 4 for r in rests], capacity) if rests else ():
-                offset = 0
-                for i, start, length in window:
-                    doc, first, ids, n = rests[i]
-                    rows.append((doc, first + start, length, crc32(ids[4 * start : 4 * (start + length)]), n, base + sequence, offset))
-                    offset += length
-                sequence += 1
-            rests.clear()
-            waiting = 0
-
-        def out():
-            columns = [pa.array(c, type=t) for c, t in zip(zip(*rows), kinds, strict=True)]
-            rows.clear()
-            return pa.RecordBatch.from_arrays(columns, names=names)
-
-        kinds = None
+        groups, slot, kinds = Groups(capacity, windows, base), base, None
         for batch in _merged(batches, merged):
-            kinds = [batch.schema.field(0).type, *[pa.int64()] * 6]
+            kinds = [batch.schema.field(0).type, *[pa.int64()] * 7]
             coded, edges = encode(batch.column(1))
             for k, doc in enumerate(batch.column(0).to_pylist()):
                 ids = coded[edges[k] : edges[k + 1]].tobytes() + end
                 n = len(ids) // 4
-                full = n // capacity
-                for start in range(0, full * capacity, capacity):
-                    rows.append((doc, start, capacity, crc32(ids[4 * start : 4 * (start + capacity)]), n, base + sequence, 0))
-                    sequence += 1
-                if rest := n - full * capacity:
-                    rests.append((doc, full * capacity, ids[4 * full * capacity :], n))
-                    waiting += rest
-                    if waiting >= group_tokens:
-                        flush()
-            if rows:
-                yield out()
-        flush()
-        if rows:
-            yield out()
+                whole = n - n % capacity
+                for start, length in [(a, capacity) for a in range(0, whole, capacity)] + cut_rest(whole, n - whole, piece):
+                    part = (doc, start, length, crc32(ids[4 * start : 4 * (start + length)]), n, slot)
+                    slot += 1
+                    (groups.window if length == capacity else groups.add)(part)
+            if groups.rows:
+                yield groups.take(kinds, names)
+        groups.leave()
+        if groups.rows:
+            yield groups.take(kinds, names)
         release()
 
-    names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        groups, kinds = Groups(capacity, windows, (1 << 22 | TaskContext.get().partitionId()) << 40), None
+        for batch in batches:
+            kinds = [batch.schema.field(0).type, *[pa.int64()] * 7]
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                groups.add(row)
+            if groups.rows:
+                yield groups.take(kinds, names)
+        groups.flush()
+        if groups.rows:
+            yield groups.take(kinds, names)
+
+    pieces = shared_table(docs.select(id_col, text_col).mapInArrow(own, schema))
+    tail = pieces.where("sequence_id is null").drop("sequence_id", "offset")
+    tokens = tail.agg(F.sum("length")).first()[0] or 0
+    parts = max(1, -(-tokens // (TAIL_GROUPS * windows * capacity)))
+    # The slot is a number of its own for each piece, so no document or id can make a part large.
+    packed = tail.repartition(parts, "slot").sortWithinPartitions("slot").mapInArrow(left, schema)
+    return pieces.where("sequence_id is not null").union(packed).drop("slot")

@@ -8,6 +8,7 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -156,9 +157,10 @@ def _check_packing(rows, texts, lib, capacity):
 def test_packing(spark, docs, odd, coder):
     _, lib = coder
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    assert _check_packing(packing.pack(docs, WORDS).collect(), texts, lib, 2048) > 0.97
+    fill = [_check_packing(packing.pack(docs.repartition(parts), WORDS).collect(), texts, lib, 2048) for parts in (1, 40)]
+    assert min(fill) > 0.97 and abs(fill[0] - fill[1]) < 0.011
     some = odd.where("doc_id is not null").dropDuplicates(["doc_id"])
-    _check_packing(packing.pack(some, WORDS, capacity=64, group_tokens=256).collect(), {r["doc_id"]: r["text"] for r in some.collect()}, lib, 64)
+    _check_packing(packing.pack(some, WORDS, capacity=64, windows=4).collect(), {r["doc_id"]: r["text"] for r in some.collect()}, lib, 64)
     assert packing.pack(odd.limit(0), WORDS).count() == 0
     assert packing.pack(odd, WORDS).where("doc_id = 4").count() == 2
 
@@ -172,6 +174,39 @@ def test_differencing_is_a_partition(sizes, k):
     assert max(sums) - min(sums) <= max(sizes)
 
 
+def test_the_window_count_rises_with_an_exceeded_capacity():
+    # Three pieces of 3 need three windows of 5, though two could hold as many tokens.
+    assert sorted(map(sorted, packing.pack_group([3, 3, 3], 5))) == [[0], [1], [2]]
+    rng, rose = random.Random(3), 0
+    for _ in range(60):
+        sizes = [rng.randint(1, 384) for _ in range(rng.randint(1, 120))]
+        found = packing.pack_group(sizes, 2048)
+        assert sorted(i for w in found for i in w) == list(range(len(sizes))) and all(sum(sizes[i] for i in w) <= 2048 for w in found)
+        rose += len(found) > -(-sum(sizes) // 2048)
+    assert 0 < rose < 40
+
+
+def test_the_subsets_are_the_windows(spark, docs, monkeypatch):
+    """With a plainer partition in place of differencing more windows are needed: nothing else evens them out."""
+    rows = packing.pack(docs.coalesce(1), WORDS).collect()
+    sizes = [r["length"] for r in rows if r["length"] < 2048]
+    few = len(packing.pack_group(sizes))
+    assert len({r["sequence_id"] for r in rows}) <= few + sum(r["length"] == 2048 for r in rows)
+    monkeypatch.setattr(packing, "differencing", lambda sizes, k: [list(range(j, len(sizes), k)) for j in range(k)])
+    assert len(packing.pack_group(sizes)) > few + 5
+
+
+def test_marks_behind_every_letter(spark, coder):
+    """A lowered letter may end in a mark that joins the punctuation behind it."""
+    _, lib = coder
+    letters = [chr(c) for c in range(0x80, 0x20000) if chr(c).isalpha()]
+    chunks = [f"a{c}{m}" for c in letters for m in (".,;:!?" if ord(c) < 0x3000 else ".")] + ["YENİ.", "İ!?", "İZMİR,"]
+    texts = [" ".join(chunks[k : k + 500]) for k in range(0, len(chunks), 500)]
+    coded, edges = packing._encoder(bpe.vocabulary_text(WORDS))(pa.array(texts))
+    for k, e in enumerate(lib.encode_batch(texts, add_special_tokens=False)):
+        assert coded[edges[k] : edges[k + 1]].tolist() == e.ids
+
+
 def test_differencing_beats_greedy():
     assert sorted(sum([8, 7, 6, 5, 4][i] for i in p) for p in packing.differencing([8, 7, 6, 5, 4], 2)) == [14, 16]
 
