@@ -1,17 +1,21 @@
 """Main text of web pages by union-free wrapper inference (operator 3).
 
-Pages of one host come from few templates. Their token streams, nested by their tags, are aligned one after the
-other: equal tokens match, strings that differ become text slots, a run of alike elements (or of alike pairs or
-triples of elements) becomes a repeated group, and what only some pages have becomes optional. The result is a
-regular expression without unions, the host's wrapper. The element of the wrapper whose slots hold most of the
-running text is the host's article; strings that stay constant over the pages are part of the template. A page is
-then read through its host's wrapper.
+A page is read as a stream of block elements and of the strings between them. The streams of a host's pages of one
+template are aligned one after the other: a string that all of them have is a constant of the template, any other
+string is a text slot; a run of alike elements (or of alike pairs or triples of elements) becomes a repeated group,
+and what only some pages have becomes optional. The result is a regular expression without unions, the wrapper.
+
+The slots decide: the article is the element that holds most of the running text in slots, and a page's text is what
+its strings match of that element's slots. Strings that match constants go. Semantic tags (nav, aside, form ...) are
+never article; class names that consist of telling words alone (``cookie-notice``, but not ``notice-period``) settle
+what the slots leave open: an element so named goes unless it holds nine tenths of the running text.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
@@ -24,96 +28,235 @@ from pyspark.sql import functions as F
 
 from .common import cut, small_batches
 
-#: Pages of a host from which its wrapper is inferred: those with the smallest hash, a bounded sample.
+#: Pages of a host's template from which its wrapper is inferred, a bounded sample: by hash, unlike pages first.
 SAMPLE = 8
-#: Wrappers are broadcast up to this many bytes (summed before), and joined by a shuffle beyond.
-BROADCAST_BYTES = 8 << 20
-
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Pages that must share a string before it counts as the template's.
+STEADY_PAGES = 3
+#: Wrappers and the sample's hashes are broadcast up to these sizes (counted before), and joined by a shuffle beyond.
+BROADCAST_BYTES, BROADCAST_ROWS, SALTS = 8 << 20, 500_000, 16
+#: A template repeats a string within a page at most so often.
+REPEATED = 4
+#: A string of so many characters that is the longest of every page marks copies of one article, not a template.
+COPIED = 200
+#: The article's element holds at least this share of the text in slots; an element with a telling name, the other.
+MOST, NEARLY_ALL = 0.6, 0.9
+
+_NAME_END = re.compile(r"[\s/>]")
+_ATTRS = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea noscript iframe template svg math object title".split())
+RAW = frozenset("script style textarea noscript iframe template svg object title".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul br".split()
 )
 #: A tag of the first kind ends an open one of the second.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-NEVER = frozenset("head script style noscript template iframe svg math object title nav aside form button select textarea input footer dialog menu".split())
+NEVER = frozenset("head script style noscript template iframe svg object title nav aside form button select textarea input footer dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+#: A name is telling if it has a word of the first list and none that is in neither.
 HINTS = frozenset(
     "ad ads adv advert advertisement advertising adsense adbox sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar footer cookie cookies consent gdpr notice popup modal overlay newsletter subscribe share sharing "
     "social comment comments commentlist disqus respond related recommended login signup search pager pagination toolbar".split()
 )
-_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+FILLERS = frozenset("site page top bottom left right main primary secondary global box bar list area section wrap wrapper container block widget inner outer row col item items button buttons link links icon icons form posts header text content".split())
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 REGIONS = ("article", "main")
+#: Elements that hold one paragraph's text or a list: an article is not narrowed down to one of them.
+PARAGRAPHS = frozenset("p pre blockquote ul ol dl li table h1 h2 h3 h4 h5 h6 dd dt td tr br".split())
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     tag: str
     name: str = ""  # class or id, without digits: with the tag, what an alignment goes by
-    junk: bool = False
+    never: bool = False
+    hint: bool = False
+    block: bool = False  # it is or holds a block element
     kids: list = field(default_factory=list)  # Node or str
-    length: int = 0  # characters in it, without those of junk elements
+
+
+def telling(label: str) -> bool:
+    """Whether a class or id consists of words that only menus, adverts and the like are named by."""
+    for name in label.split():
+        words = {x.lower() for x in _WORD.findall(name)}
+        if words & HINTS and words <= HINTS | FILLERS:
+            return True
+    return False
 
 
 def parse(html: str) -> Node:
-    """A lenient tree of a page: unclosed and misplaced tags are mended, comments dropped."""
+    """A lenient tree of a page: unclosed and misplaced tags are mended, comments dropped. Linear in the page: an
+    unclosed tag or quote is looked for once."""
     root = Node("")
-    made, stack, at, n = [root], [root], 0, len(html)
+    made, stack, inner, opened, at, n, quotes = [root], [root], [0], Counter(), 0, len(html), True
 
     def text(s: str) -> None:
         if s:
             stack[-1].kids.append(unescape(s))
 
+    def leave(depth: int) -> None:
+        for x in stack[depth:]:
+            opened[x.tag] -= 1
+        del stack[depth:], inner[depth:]
+
     while at < n:
-        m = _TOKEN.search(html, at)
-        if m is None:
+        start = html.find("<", at)
+        if start < 0:
             text(html[at:])
             break
-        text(html[at : m.start()])
-        at = m.end()
-        if m["cdata"]:
-            stack[-1].kids.append(m["cdata"])
-        if not m["tag"]:
+        mark = html[start + 1 : start + 2]
+        end = mark == "/"
+        first = html[start + 2 : start + 3] if end else mark
+        if not (first.isascii() and first.isalpha()) and mark not in ("!", "?"):
+            text(html[at : start + 1])
+            at = start + 1
             continue
-        tag = m["tag"].lower()
-        if m["end"]:
-            depth = next((d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == tag), 0)
-            if depth:
-                del stack[depth:]
+        text(html[at:start])
+        if mark in ("!", "?"):
+            close, skip = ("-->", 3) if html.startswith("<!--", start) else ("]]>", 3) if html.startswith("<![CDATA[", start) else (">", 1)
+            stop = html.find(close, start + 4 if skip == 3 else start)
+            if skip == 3 and close == "]]>":
+                stack[-1].kids.append(html[start + 9 : stop if stop >= 0 else n])
+            at = n if stop < 0 else stop + skip
+            continue
+        begin = start + (2 if end else 1)
+        name_end = _NAME_END.search(html, begin)
+        if name_end is None:
+            break
+        tag, here = html[begin : name_end.start()].lower(), name_end.start()
+        found = _ATTRS.match(html, here) if quotes else None
+        if found is None:
+            quotes = False  # a quote or tag that never ends: from here on tags end at the next ">"
+            stop = html.find(">", here)
+            if stop < 0:
+                break
+            at = stop + 1
+        else:
+            at = found.end()
+        attrs_text = html[here : at - 1]
+        if end:
+            if opened[tag]:
+                depth = len(stack) - 1
+                while stack[depth].tag != tag:
+                    depth -= 1
+                leave(depth)
             elif tag in ("p", "br"):
-                stack[-1].kids.append(Node(tag))
+                made.append(Node(tag))
+                stack[-1].kids.append(made[-1])
             continue
         closes = CLOSES.get(tag) or ({"p"} if tag in BLOCK and tag != "br" else None)
         if closes:
-            for d in range(len(stack) - 1, 0, -1):
+            d = inner[-1]
+            while d > 0:  # from block element to block element
                 if stack[d].tag in closes:
-                    del stack[d:]
+                    leave(d)
                     if tag != "tr":
                         break
-                elif stack[d].tag in BLOCK and not (tag == "tr" and stack[d].tag in ("td", "th")):
+                elif not (tag == "tr" and stack[d].tag in ("td", "th")):
                     break
-        attrs = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(m["attrs"])} if m["attrs"].strip() else {}
+                d = inner[d - 1]
+        attrs = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs_text)} if attrs_text.strip(" \t\r\n/") else {}
         label = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-        hints = {x.lower() for x in _NAME.findall(label)} if label != " " else ()
-        # The document's own frame is never junk, whatever a theme calls it.
-        junk = tag in NEVER or (tag not in ("html", "body", *REGIONS) or "comment" in hints) and (not HINTS.isdisjoint(hints) or attrs.get("role", "").lower() in ROLES)
-        node = Node(tag, re.sub(r"\d+", "", label).strip().lower(), junk)
+        hint = tag not in ("html", "body", *REGIONS) and label != " " and telling(label)
+        hint = hint or tag == "header" and not any(opened[x] for x in REGIONS)
+        node = Node(tag, re.sub(r"\d+", "", label).strip().lower(), tag in NEVER or attrs.get("role", "").lower() in ROLES, hint, tag in BLOCK)
         stack[-1].kids.append(node)
         made.append(node)
         if tag in RAW:
             close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
             at = close.end() if close else n
-        elif tag not in VOID and not m["attrs"].endswith("/"):
+        elif tag not in VOID and not attrs_text.endswith("/"):
             stack.append(node)
+            inner.append(len(stack) - 1 if node.block else inner[-1])
+            opened[tag] += 1
     for node in reversed(made):  # the inner ones first
-        node.length = sum(len(k) if isinstance(k, str) else 0 if k.junk else k.length for k in node.kids)
+        node.block = node.block or any(not isinstance(k, str) and k.block for k in node.kids)
     return root
 
 
+# -- a page as block elements and strings
+
+
+@dataclass(slots=True)
+class Text:
+    """The text between two borders of blocks, with its white space made even."""
+
+    text: str
+    linked: int  # characters of it in links
+
+
+@dataclass(slots=True)
+class Block:
+    tag: str
+    name: str = ""
+    hint: bool = False
+    kids: list = field(default_factory=list)  # Block or Text
+    chars: int = 0  # running text in it, without links and without elements with a telling name
+    linked: int = 0
+
+
+def outline(root: Node) -> Block:
+    """The block elements of a page and the strings between them; semantic junk is left out."""
+    top = Block("")
+    opened, made, buffer = [top], [top], []
+    linked = depth = 0
+
+    def flush() -> None:
+        nonlocal linked
+        s = " ".join("".join(buffer).split())
+        if s:
+            opened[-1].kids.append(Text(s, min(linked, len(s))))
+        buffer.clear()
+        linked = 0
+
+    todo: list = root.kids[::-1]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            buffer.append(x)
+            if depth:
+                linked += len(x)
+        elif isinstance(x, tuple):  # the end of an element
+            if x[0].block:
+                flush()
+                opened.pop()
+            depth -= x[0].tag == "a"
+        else:
+            if x.block:
+                flush()
+            if x.never or x.hint and not x.block:
+                continue
+            if x.block:
+                made.append(Block(x.tag, x.name, x.hint))
+                opened[-1].kids.append(made[-1])
+                opened.append(made[-1])
+            depth += x.tag == "a"
+            todo.append((x,))
+            todo.extend(reversed(x.kids))
+    flush()
+    for b in reversed(made):
+        for k in b.kids:
+            if isinstance(k, Text):
+                b.chars, b.linked = b.chars + len(k.text) - k.linked, b.linked + k.linked
+            elif not k.hint:
+                b.chars, b.linked = b.chars + k.chars, b.linked + k.linked
+    return top
+
+
+def strings(top: Block) -> list[str]:
+    """All strings of a page in order, without those of elements with a telling name."""
+    out, todo = [], [top]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, Text):
+            out.append(x.text)
+        elif not x.hint or x is top:
+            todo.extend(reversed(x.kids))
+    return out
+
+
 # -- wrappers
 
 
@@ -130,46 +273,67 @@ def _run(call: Generator):
     return value
 
 
-@dataclass
+@dataclass(slots=True)
 class Item:
-    """A term of a wrapper: a text (tag "#"; constant or, with None, a slot), an element, or a group (tag "")."""
+    """A term of a wrapper: a string (tag "#"; constant or, with None, a slot), an element, or a group (tag "")."""
 
     tag: str
     name: str = ""
+    shape: str = ""
+    constant: str | None = None
     often: bool = False
     optional: bool = False
-    constant: str | None = None
-    chars: int = 0  # running text in it, over the pages seen
-    junk: bool = False
+    hint: bool = False
+    chars: int = 0  # running text in its slots, over the pages seen
     kids: list = field(default_factory=list)
 
     @property
     def key(self):
-        return (self.tag, self.name) if self.tag else ("", tuple(k.key for k in self.kids))
+        return (self.tag, self.name, self.shape, self.constant) if self.tag else ("", *(k.key for k in self.kids))
 
     def __str__(self) -> str:
-        return _run(self._spelt())
+        out, todo = [], [self]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                out.append(x)
+                continue
+            mark = "*" if x.often and x.optional else "+" if x.often else "?" if x.optional else ""
+            open_, close = (f"<{x.tag}>", f"</{x.tag}>") if x.tag not in ("", "#") else ("", "")
+            if x.tag == "#":
+                open_ = "#" if x.constant is None else x.constant
+            todo += [close + (")" + mark if mark else ""), *reversed(x.kids), ("(" if mark else "") + open_]
+        return "".join(out)
+
 
-    def _spelt(self) -> Generator:
-        parts = []
-        for k in self.kids:
-            parts.append((yield k._spelt()))
-        inner = "".join(parts)
-        out = ("#" if self.constant is None else self.constant) if self.tag == "#" else f"<{self.tag}>{inner}</{self.tag}>" if self.tag else inner
-        mark = "*" if self.often and self.optional else "+" if self.often else "?" if self.optional else ""
-        return f"({out}){mark}" if mark else out
+def shape(block: Block, steady) -> tuple[str, str | None]:
+    """What a block is matched by besides its tag and name: whether all its strings are constants ("F", with the
+    string if it is only one), whether most of its text is in links ("L"), or neither."""
+    if len(block.kids) == 1 and isinstance(block.kids[0], Text) and block.kids[0].text in steady:
+        return "F", block.kids[0].text
+    return ("L" if block.linked > block.chars else ""), None
 
 
 def _repeats(items: list[Item]) -> Generator:
-    """Runs of alike terms, or of alike pairs or triples, as repeated groups."""
+    """Runs of alike terms, or of alike pairs or triples, as repeated groups. Constants are terms of their own."""
+
+    def alike(a: list[Item], b: list[Item]) -> bool:
+        for x, y in zip(a, b, strict=True):
+            if x.key != y.key or x.constant is not None:
+                return False
+            few, many = sorted((x.chars, y.chars))
+            deep = any(k.tag != "#" for k in (*x.kids, *y.kids))
+            if deep and x.tag not in PARAGRAPHS and many > 200 and few * 8 < many:
+                return False  # containers of very different size have different parts to play
+        return True
+
     for period in (1, 2, 3):
         out: list[Item] = []
         at = 0
         while at < len(items):
             first = items[at : at + period]
-            keys = [x.key for x in first]
             end = at + period
-            while len(first) == period and any(x.tag != "#" for x in first) and [x.key for x in items[end : end + period]] == keys:
+            while len(first) == period and any(x.tag != "#" for x in first) and end + period <= len(items) and alike(first, items[end : end + period]):
                 both, first = list(zip(first, items[end : end + period])), []
                 for a, b in both:
                     first.append((yield _unify(a, b)))
@@ -188,9 +352,8 @@ def _repeats(items: list[Item]) -> Generator:
 
 def _unify(a: Item, b: Item) -> Generator:
     """The least general term that covers both."""
-    out = Item(a.tag, a.name, a.often or b.often, a.optional or b.optional, chars=a.chars + b.chars, junk=a.junk or b.junk)
+    out = Item(a.tag, a.name, a.shape, a.constant, a.often or b.often, a.optional or b.optional, a.hint, a.chars + b.chars)
     if a.tag == "#":
-        out.constant = a.constant if a.constant == b.constant else None
         return out
     for op, a0, a1, b0, b1 in SequenceMatcher(None, [x.key for x in a.kids], [x.key for x in b.kids], autojunk=False).get_opcodes():
         if op == "equal":
@@ -205,140 +368,162 @@ def _unify(a: Item, b: Item) -> Generator:
     return out
 
 
-def to_wrapper(node: Node, in_link: bool = False) -> Generator:
-    """The wrapper of a single page."""
+def to_wrapper(block: Block, steady) -> Generator:
+    """The wrapper of a single page, given the template's constant strings."""
     kids = []
-    for k in node.kids:
-        if isinstance(k, str):
-            if s := " ".join(k.split()):
-                kids.append(Item("#", constant=s, chars=0 if in_link else len(s)))
-        elif k.tag not in ("script", "style", "head"):
-            kids.append((yield to_wrapper(k, in_link or k.tag == "a")))
-    item = Item(node.tag, node.name, junk=node.junk, kids=(yield _repeats(kids)))
-    item.chars = 0 if node.junk else sum(k.chars for k in item.kids)
+    for k in block.kids:
+        if isinstance(k, Text):
+            constant = k.text if k.text in steady else None
+            kids.append(Item("#", constant=constant, chars=0 if constant is not None else len(k.text) - k.linked))
+        else:
+            kids.append((yield to_wrapper(k, steady)))
+    form, constant = shape(block, steady)
+    item = Item(block.tag, block.name, form, constant, hint=block.hint, kids=(yield _repeats(kids)))
+    item.chars = sum(k.chars for k in item.kids if not k.hint)
     return item
 
 
+def _elements(item: Item) -> Iterator[tuple[Item, bool]]:
+    """The elements directly below an item, and whether they are of a repeated group."""
+    for k in item.kids:
+        if k.tag == "":
+            for x in k.kids:
+                if x.tag != "#":
+                    yield x, True
+        elif k.tag != "#":
+            yield k, k.often
+
+
+def region(top: Item) -> tuple[list, Item]:
+    """The way to the element that holds most of the running text in slots, and that element."""
+    path, here = [], top
+    while True:
+        inner = list(_elements(here))
+        everything = here.chars + sum(k.chars for k, _ in inner if k.hint)
+        wanted = [(k, often) for k, often in inner if k.chars >= (NEARLY_ALL * everything if k.hint else MOST * here.chars)]
+        best, often = max(wanted, key=lambda k: k[0].chars, default=(None, False))
+        if best is None or not best.chars or often or best.tag in PARAGRAPHS:
+            return path, here
+        path.append([best.tag, best.name, best.shape])
+        here = best
+        if best.tag in REGIONS and not any(k.tag in REGIONS and k.chars >= MOST * here.chars for k, _ in _elements(here)):
+            return path, here
+
+
 @dataclass
 class Wrapper:
-    """What reading a page needs of its host's expression: the way to the article's element, and the template's
-    constant strings (used only where the article has no element of its own)."""
+    """What reading a page needs of its template's expression: the way to the article's element, and that element's
+    terms, [key, often, terms] each, without the terms below those that hold no constant."""
 
     path: list | None = None
-    constant: list = field(default_factory=list)
+    terms: list = field(default_factory=list)
     expression: str = ""
 
 
+def _terms(item: Item) -> Generator:
+    out = []
+    for k in item.kids:
+        if k.tag == "":
+            group = []
+            for x in k.kids:
+                group.append([list(x.key), True, (yield _terms(x))])
+            out.append(["", True, group])
+        elif k.tag == "#":
+            if k.constant is not None:
+                out.append([list(k.key), k.often, []])
+        else:
+            out.append([list(k.key), k.often, (yield _terms(k))])
+    # Without a constant below, nothing has to be matched here.
+    return out if any(t[0] == "" and any(g[2] or g[0][3] is not None for g in t[2]) or t[0] != "" and (t[2] or t[0][3] is not None) for t in out) else []
+
+
+def steady_strings(trees: list[Block]) -> set[str]:
+    """Strings that all the pages have, each equally often and a few times at most. Pages that share their longest string too are copies of one article: of
+    these, and of too few pages, none is known to be the template's."""
+    if len(trees) < STEADY_PAGES:
+        return set()
+    lists = [strings(t) for t in trees]
+    longest = {max(x, key=len, default="") for x in lists}
+    if len(longest) == 1 and len(next(iter(longest))) >= COPIED:
+        return set()
+    counts = [Counter(x) for x in lists]
+    steady = {x for x, n in counts[0].items() if n <= REPEATED and all(c[x] == n for c in counts[1:])}
+    return steady if any(set(x) - steady for x in lists) else set()
+
+
 def infer(pages: list[str]) -> Wrapper:
     """Align the pages one by one and find the article's place. Copies of a page count once."""
-    pages = list(dict.fromkeys(pages))
-    joint: Item | None = None
-    for html in pages:
-        own = _run(to_wrapper(parse(html)))
-        joint = own if joint is None else _run(_unify(joint, own))
-    if joint is None:
+    trees = [outline(parse(html)) for html in dict.fromkeys(pages)]
+    if not trees:
         return Wrapper()
-    path, here = [], joint
-    while True:
-        inner = [k for k in _elements(here) if not k.junk]
-        best = max(inner, key=lambda k: k.chars, default=None)
-        if best is None or best.often or best.tag in ("p", "pre", "blockquote", "ul", "ol", "dl") or best.chars < 0.6 * here.chars or not best.chars:
-            break
-        path.append([best.tag, best.name])
-        here = best
-        if best.tag in REGIONS and not any(k.tag in REGIONS and k.chars >= 0.6 * here.chars for k in _elements(here)):
-            break
-    steady: list[str] = []
-    if len(pages) >= 3:
-        _constants(here, steady)
-        if 2 * len("".join(steady)) * len(pages) > here.chars:
-            steady = []
-    return Wrapper(path or None, steady, str(joint))
+    steady = steady_strings(trees)
+    joint = _run(to_wrapper(trees[0], steady))
+    for tree in trees[1:]:
+        joint = _run(_unify(joint, _run(to_wrapper(tree, steady))))
+    path, here = region(joint)
+    return Wrapper(path, _run(_terms(here)), str(joint))
 
 
-def _elements(item: Item) -> Iterator[Item]:
-    for k in item.kids:
-        if k.tag == "":
-            yield from _elements(k)
-        elif k.tag != "#":
-            yield k
-
-
-def _constants(item: Item, into: list[str]) -> None:
-    todo = item.kids[::-1]
+def _constants(terms: list) -> set[str]:
+    found, todo = set(), list(terms)
     while todo:
-        k = todo.pop()
-        if k.optional or k.often:
-            continue
-        if k.tag != "#":
-            todo += k.kids[::-1]
-        elif k.constant is not None:
-            into.append(k.constant)
+        key, _, inner = todo.pop()
+        if key and key[3] is not None:
+            found.add(key[3])
+        todo += inner
+    return found
 
 
-def _find(node: Node, path: list) -> Node | None:
+def _find(top: Block, path: list, steady) -> Block | None:
     """The path's element; among siblings alike, the one with the most text."""
-    for tag, name in path:
-        alike = [k for k in node.kids if not isinstance(k, str) and k.tag == tag and k.name == name]
+    node = top
+    for tag, name, form in path:
+        alike = [k for k in node.kids if isinstance(k, Block) and k.tag == tag and k.name == name and shape(k, steady)[0] == form]
         if not alike:
             return None
-        node = max(alike, key=lambda k: k.length) if len(alike) > 1 else alike[0]
+        node = max(alike, key=lambda k: k.chars) if len(alike) > 1 else alike[0]
     return node
 
 
-def _region(root: Node) -> Node:
-    """Without a wrapper's path: the longest article or main element, or else the page."""
-    found, todo = [], [root]
+def _read(node: Block, terms: list, steady, whole_page: bool) -> list[str]:
+    """The strings of an element that match no constant of the wrapper's terms, in page order."""
+    out: list[str] = []
+    todo: list = [(node, terms)]
     while todo:
-        node = todo.pop()
-        for k in node.kids:
-            if not isinstance(k, str) and not k.junk:
-                todo.append(k)
-                if k.tag in REGIONS:
-                    found.append(k)
-    return max(found, key=lambda k: k.length) if found else root
-
-
-def blocks(node: Node) -> list[str]:
-    """Texts of the blocks below an element in page order, without junk elements."""
-    out, current = [], []
-
-    def flush():
-        if s := " ".join("".join(current).split()):
-            out.append(s)
-        current.clear()
-
-    def walk(start: Node) -> None:
-        todo: list = [(start, False)]
-        while todo:
-            x, leaving = todo.pop()
-            if isinstance(x, str):
-                current.append(x)
-                continue
-            breaks = x.tag in BLOCK
-            if breaks:
-                flush()
-            if leaving or x.junk and x is not start:
-                continue
-            if breaks:
-                todo.append((x, True))
-            todo.extend((k, False) for k in reversed(x.kids))
-
-    walk(node)
-    flush()
+        x, terms = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+            continue
+        flat = [(g, i, often) for i, (key, often, inner) in enumerate(terms) for g in (inner if key == "" else [[key, often, inner]])]
+        at, kept = 0, []
+        for k in x.kids:
+            if isinstance(k, Text):
+                key = ["#", "", "", k.text if k.text in steady else None]
+            else:
+                if k.hint or whole_page and x is node and k.linked > k.chars and k.tag not in PARAGRAPHS - {"ul", "ol"}:
+                    continue
+                key = [k.tag, k.name, *shape(k, steady)]
+            match = next((t for t in flat if t[1] >= at and t[0][0] == key), None) if flat else None
+            if match:
+                at = match[1] if match[2] else match[1] + 1
+                if key[3] is not None:
+                    continue  # a constant in its place
+            kept.append(k.text if isinstance(k, Text) else (k, match[0][2] if match else []))
+        todo.extend(y if isinstance(y, tuple) else (y, None) for y in reversed(kept))
     return out
 
 
 def main_text(html: str, wrapper: Wrapper) -> str:
-    root = parse(html)
-    node = _find(root, wrapper.path) if wrapper.path else None
-    if node is None:
-        node = _region(root)
-        return "\n".join(blocks(node))
-    found = blocks(node)
-    if wrapper.constant and node.tag not in REGIONS:
-        steady = set(wrapper.constant)
-        found = [b for b in found if b not in steady]
+    """The page's article: read through the wrapper, or, where the page has no such place, through its own."""
+    top = outline(parse(html))
+    steady = _constants(wrapper.terms)
+    node = _find(top, wrapper.path, steady) if wrapper.path is not None else None
+    terms, path = wrapper.terms, wrapper.path
+    if node is None or not node.chars and not node.linked:
+        path, _ = region(_run(to_wrapper(top, ())))
+        node, terms, steady = _find(top, path, ()) or top, [], set()
+    whole = not path or path[-1][0] in ("html", "body")
+    found = _read(node, terms, steady, whole) or _read(node, [], set(), whole)
     return "\n".join(found)
 
 
@@ -350,20 +535,36 @@ def _hosts(pages: DataFrame, url_col: str):
     return F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+def _template(html):
+    """A number for the page's frame: its first container tags with their class names, without digits."""
+    found = F.regexp_extract_all(html, F.lit(r"(?i)<(?:body|main|article|section|div|header|nav|table)(?:\s+class=[\x22\x27][^\x22\x27<>]*)?"), F.lit(0))
+    return F.xxhash64(F.regexp_replace(F.lower(F.array_join(F.slice(found, 1, 6), " ")), r"\d", ""))
+
+
+def _longest(html):
+    """A number for the longest string between tags, outside scripts and styles."""
+    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1", "<")
+    return F.xxhash64(F.array_max(F.transform(F.split(bare, "<[^>]*>?"), lambda x: F.struct(F.length(x).alias("n"), x.alias("x")))))
+
+
 def wrappers(pages: DataFrame, sample: int = SAMPLE, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, wrapper (JSON), expression: one row for each host, from at most ``sample`` of its pages."""
-    keyed = pages.select(_hosts(pages, url_col).alias("host"), F.col(html_col).alias("html")).where("html is not null")
-    keyed = keyed.withColumn("h", F.xxhash64("html"))
-    # Only hosts and hashes are ranked; copies of a page share a hash and count once.
-    order = Window.partitionBy("host").orderBy("h")
-    light = keyed.select("host", "h").distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample)
-    chosen = keyed.join(light.select("host", "h"), ["host", "h"], "left_semi").dropDuplicates(["host", "h"])
+    """host, template, wrapper (JSON), expression: one row for each template of each host, from at most ``sample`` of
+    its pages. Every page takes part in the choice: of each template first pages whose longest strings differ."""
+    html = F.col("html")
+    keyed = pages.select(_hosts(pages, url_col).alias("host"), F.col(html_col).alias("html")).where("html is not null").withColumn("template", _template(html)).withColumn("h", F.xxhash64("html"))
+    # A bounded number of candidates for each template, by partial aggregation: a hot host costs no more than others.
+    groups = ["host", "template", F.pmod(_longest(html), F.lit(64)).alias("like"), F.pmod("h", F.lit(4)).alias("part")]
+    few = keyed.groupBy(*groups).agg(F.min("h").alias("h"))
+    few = few.withColumn("again", F.row_number().over(Window.partitionBy("host", "template", "like").orderBy("h")))
+    few = few.withColumn("r", F.row_number().over(Window.partitionBy("host", "template").orderBy("again", "h"))).where(F.col("r") <= sample)
+    few = cut(few.select("host", "template", "h"))
+    chosen = keyed.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, ["host", "template", "h"], "left_semi").dropDuplicates(["host", "template", "h"])
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         w = infer(pdf.sort_values("h").html.to_list())
-        return pd.DataFrame({"host": [pdf.host.iloc[0]], "wrapper": [json.dumps([w.path, w.constant])], "expression": [w.expression]})
+        return pd.DataFrame({"host": [pdf.host.iloc[0]], "template": [pdf.template.iloc[0]], "wrapper": [json.dumps([w.path, w.terms])], "expression": [w.expression]})
 
-    return chosen.groupBy("host").applyInPandas(learn, "host string, wrapper string, expression string")
+    return chosen.groupBy("host", "template").applyInPandas(learn, "host string, template long, wrapper string, expression string")
 
 
 def extract(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -371,15 +572,23 @@ def extract(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id", url
 
     Null html counts as empty and gives an empty text, as does a page without an article. A null url, or one
     without a host, belongs to the host "". Repeated rows give repeated results; an empty table gives an empty
-    table; other columns are not read. A line break element ends a block.
+    table; other columns are not read. A line break element ends a block. Very long and very deep pages are read
+    whole, in time proportional to their size.
     """
     spark = pages.sparkSession
     small_batches(spark)
     kind = pages.schema[id_col].dataType.simpleString()
-    known = cut(wrappers(pages, sample, url_col, html_col).select("host", "wrapper"))
-    size = known.agg(F.sum(F.length("wrapper") + F.length("host"))).first()[0] or 0
+    known = cut(wrappers(pages, sample, url_col, html_col).select("host", "template", "wrapper"))
+    size = known.agg(F.sum(F.length("wrapper") + F.length("host") + 8)).first()[0] or 0
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), _hosts(pages, url_col).alias("host"))
-    joined = rows.join(F.broadcast(known) if size <= BROADCAST_BYTES else known, "host", "left").select("id", "url", "html", "wrapper")
+    rows = rows.withColumn("template", _template(F.col("html")))
+    keys = ["host", "template"]
+    if size <= BROADCAST_BYTES:
+        joined = rows.join(F.broadcast(known), keys, "left")
+    else:  # a hot host's pages go to several tasks
+        salts = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int")).join(salts, [*keys, "salt"], "left")
+    joined = joined.select("id", "url", "html", "wrapper")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, Wrapper] = {}

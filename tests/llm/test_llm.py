@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from hashlib import sha256
 from zlib import crc32
@@ -497,13 +498,58 @@ PAGE = "<html><head><title>t</title></head><body><div class='top-menu'><a href='
 def test_wrapper_finds_the_article():
     pages = [PAGE.format(h=f"Title {k}", body="".join(f"<p>Paragraph {k} {j} of &amp; text\n with  <b>bold</b> words and more" for j in range(3 + k))) for k in range(4)]
     w = html_wrapper.infer(pages)
-    assert w.path[-1] == ["div", "entry"] and "(<p>" in w.expression and ")+" in w.expression
+    assert w.path[-1][:2] == ["div", "entry"] and "(<p>#</p>)+" in w.expression
     assert html_wrapper.main_text(pages[0], w) == "Title 0\n" + "\n".join(f"Paragraph 0 {j} of & text with bold words and more" for j in range(3))
 
 
 def test_wrapper_terms():
-    w = html_wrapper.infer(["<ul><li>a<li>b</ul><p>x", "<ul><li>c</ul><p>y<img>", "<ul><li>d<li>e<li>f</ul><p>z"])
-    assert "(<li>#</li>)+" in w.expression and "#" in w.expression and "?" in w.expression
+    w = html_wrapper.infer(["<ul><li>a<li>b</ul><p>x", "<ul><li>c</ul><p>y<div>z</div>", "<ul><li>d<li>e<li>f</ul><p>z"])
+    assert w.expression == "<ul>(<li>#</li>)+</ul><p>#</p>(<div>#</div>)?"
+
+
+def _read(pages):
+    w = html_wrapper.infer(pages)
+    return [html_wrapper.main_text(p, w) for p in pages], [html_wrapper.main_text(p, html_wrapper.Wrapper()) for p in pages]
+
+
+def test_the_slots_decide():
+    """Without article elements and telling names: constants go, also beside paragraphs and around tiny articles."""
+    tiny = ["<body><div><a href=/>Home</a></div><div>Acme Daily, news for the whole town</div><p>tiny %d</p><div>Copyright Acme Inc of nowhere</div></body>" % k for k in range(5)]
+    read, bare = _read(tiny)
+    assert read == [f"tiny {k}" for k in range(5)] and all("Acme" in x for x in bare)
+    beside = ["<body><div><p>Acme Daily, news for the whole town</p><p>one of %d</p><p>two of %d</p><p>Copyright Acme</p></div></body>" % (k, k) for k in range(5)]
+    read, bare = _read(beside)
+    assert read == [f"one of {k}\ntwo of {k}" for k in range(5)] and all("Acme" in x for x in bare)
+    columns = ["<body><div><a>m1</a><a>m2</a></div><div><h2>T%d</h2><p>%s</p><p>%s</p></div><div><p>side %d</p></div></body>" % (k, f"word{k} " * 30, f"term{k} " * 20, k) for k in range(5)]
+    read, _ = _read(columns)
+    assert read == [f"T{k}\n" + (f"word{k} " * 30).strip() + "\n" + (f"term{k} " * 20).strip() for k in range(5)]
+
+
+def test_telling_words_within_names_are_not_enough():
+    pages = ["<article><p class='share-market-news'>Stocks %d</p><div class='menu-of-the-day'>Soup %d</div><p class='notice-period'>Weeks %d</p><section id='related-work'>Work %d</section><p>x <math>y %d</math></p><div class='share-buttons'>tweet %d</div></article>" % ((k,) * 6) for k in range(4)]
+    read, bare = _read(pages)
+    assert read == bare == [f"Stocks {k}\nSoup {k}\nWeeks {k}\nWork {k}\nx y {k}" for k in range(4)]
+
+
+def test_a_telling_name_around_nearly_everything():
+    pages = ["<body><div class='sidebar right'><p>%s</p><p>%s</p></div><p>x</p></body>" % (f"long{k} " * 40, f"more{k} " * 30) for k in range(4)]
+    assert all(len(x.split()) == 70 for x in _read(pages)[0])
+
+
+def test_copies_of_an_article_are_no_template():
+    body = "<p>" + "a sentence of the article that many pages copy " * 8 + "</p><p>its end</p>"
+    pages = ["<body><article><h1>Title %d</h1>%s</article><div>foot %d</div></body>" % (k, body, k) for k in range(6)]
+    assert all("its end" in x and "sentence" in x for x in _read(pages)[0])
+
+
+def test_wrappers_of_a_hot_host(spark):
+    """Two templates of one host, each with its own constants; pages beyond the sample are read through them too."""
+    one = [(k, "http://big/a", f"<body><div class=one><p>Alpha Times of today</p><p>story {k} here</p></div></body>") for k in range(60)]
+    two = [(100 + k, "http://big/b", f"<body><section class=two><p>Beta Post of tomorrow</p><p>tale {k} there</p></section></body>") for k in range(60)]
+    df = spark.createDataFrame(one + two, "page_id long, url string, html string").repartition(7)
+    got = {r["page_id"]: r["text"] for r in html_wrapper.extract(df).collect()}
+    assert got == {k: f"story {k} here" for k in range(60)} | {100 + k: f"tale {k} there" for k in range(60)}
+    assert html_wrapper.wrappers(df).count() == 2
 
 
 def test_extraction_query(spark):
@@ -527,12 +573,18 @@ def test_extraction_of_odd_pages(spark):
     assert html_wrapper.extract(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("tag", ["div", "span", "font", "article"])
-def test_thousands_of_unclosed_tags(tag):
-    pages = [f"<article><p>start {k}</p>" + f"<{tag}>" * 4000 + f"<p>deep text number {k}" for k in range(3)]
-    w = html_wrapper.infer(pages)
-    for wrapper in (w, html_wrapper.Wrapper()):
-        assert html_wrapper.main_text(pages[0], wrapper).endswith("deep text number 0")
+@pytest.mark.parametrize("tag", ["div", "span", "article"])
+def test_a_hundred_thousand_levels(tag):
+    pages = [f"<article><p>start {k}</p>" + f"<{tag}>" * 100_000 + f"<p>deep text number {k}" for k in range(2)]
+    assert html_wrapper.main_text(pages[0], html_wrapper.infer(pages)).endswith("deep text number 0")
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, '<a ">' * 200_001, "<div>" * 30_000 + "</p>" * 100_000, "<span>" * 20_000 + "<p>a" * 20_000, "<p><div>" + "<span>" * 30_000 + "<h2>a</h2>" * 30_000, "<p>same" * 30_000])
+def test_odd_long_pages_take_linear_time(page):
+    pages = [page, page + "y", page + "<p>z"]
+    began = time.time()
+    html_wrapper.main_text(page, html_wrapper.infer(pages))
+    assert time.time() - began < 60
 
 
 # -- 1: language model
