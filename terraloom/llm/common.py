@@ -19,9 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the memory that a Python worker needs for one Arrow batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -284,15 +284,71 @@ def test_fingerprint_query(spark, docs, odd):
 # -- 7: language
 
 
-def test_forward_sums_all_segmentations():
-    m = langid.Model(["x"], ["a", "ab", "b", "ba"], np.array([[0.1], [0.2], [0.3], [0.15], [0.05]]))
-    p = {"a": 0.1, "ab": 0.2, "b": 0.3, "ba": 0.15}
-
-    def total(w):
-        return 1.0 if not w else sum(p[w[:k]] * total(w[k:]) for k in (1, 2) if w[:k] in p and len(w) >= k)
-
-    for w in ("a", "abab", "bbaab"):
-        assert np.exp(m.log_words([w])[0, 0]) == pytest.approx(total(w))
+def _toy(prob):
+    return langid.Model(["x", "y"], ["a", "ab", "abbaab", "b", "ba"], np.log(prob))
+
+
+def _segmentations(word, pieces):
+    if not word:
+        yield []
+    for p in {word[:k] for k in range(1, len(word) + 1)} & set(pieces) | ({word[0]} if word and word[0] not in pieces else set()) if word else ():
+        for rest in _segmentations(word[len(p) :], pieces):
+            yield [p, *rest]
+
+
+def test_forward_and_expectations_sum_all_segmentations():
+    prob = np.random.default_rng(8).dirichlet(np.ones(6), 2).T
+    m = _toy(prob)
+    words = ["a", "abab", "bbaab", "abbaabc", "ccba", "abbaababbaab"]
+    weight = np.random.default_rng(9).uniform(0, 3, (len(words), 2))
+    place = lambda p: m.vocabulary.index(p) if p in m.vocabulary else len(m.vocabulary)
+    want, total = np.zeros_like(prob), np.zeros((len(words), 2))
+    for k, w in enumerate(words):
+        ways = [[place(p) for p in s] for s in _segmentations(w, m.vocabulary)]
+        chance = np.array([prob[s].prod(axis=0) for s in ways])
+        total[k] = chance.sum(axis=0)
+        for s, c in zip(ways, chance):
+            for p in s:
+                want[p] += c / total[k] * weight[k]
+    assert np.allclose(np.exp(m.log_words(words)), total) and np.allclose(m.expected(words, weight), want)
+    nxt = langid.improved(m, want, 0.5)
+    assert np.allclose(np.exp(nxt.log_p), (want + 0.5) / (want + 0.5).sum(axis=0))
+
+
+def test_whole_vocabulary_and_long_words():
+    vocabulary = langid.read_vocabulary(PIECES)
+    assert max(map(len, vocabulary)) == 16 and len(vocabulary) > 20_000
+    m = langid.start(["x"], vocabulary)
+    long = m.log_words(["ab" * 5000])[0, 0]
+    assert long < -20_000 and m.log_words(["ab" * 10_000])[0, 0] == pytest.approx(2 * long, rel=1e-3)
+
+
+def test_training_equals_one_machine(spark, docs):
+    """The distributed rounds give what the same rounds give over all words at once."""
+    some = docs.where("lang is not null and text is not null")
+    model = langid.train(some, PIECES)
+    counts = defaultdict(lambda: np.zeros(len(model.langs)))
+    for r in some.collect():
+        for w in langid.words_of(r["text"]):
+            for s in langid.letters_of(w):
+                counts[s][model.langs.index(r["lang"])] += 1
+    plain = langid.start(model.langs, model.vocabulary)
+    for _ in range(langid.ROUNDS):
+        plain = langid.improved(plain, plain.expected(list(counts), np.array(list(counts.values()))))
+    assert np.allclose(plain.log_p, model.log_p, atol=1e-6)
+    texts = [r["text"] for r in docs.limit(20).collect()]
+    pred, score, _ = langid.predictor(model)(texts)
+    for t, p, s in zip(texts, pred, score):
+        total = sum((plain.log_words([w])[0] for w in langid.words_of(t or "")), np.zeros(len(model.langs)))
+        assert p == model.langs[total.argmax()] and s == pytest.approx(1 / np.exp(total - total.max()).sum(), rel=1e-3)
+
+
+def test_language_ties_and_long_texts(spark):
+    rows = [(0, "aaa bbb", "p"), (1, "aaa bbb", "q"), (2, "aaa", None), (3, "word " * 200_000, None), (4, "x" * 300_000, None), (5, "1 2 ½", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in langid.predict(df, langid.train(df, PIECES)).collect()}
+    assert got[2]["lang_pred"] == "p" and got[2]["score"] == pytest.approx(0.5) and got[5]["lang_pred"] == "und"
+    assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
 def test_language_query(spark, docs, odd):
@@ -675,6 +731,20 @@ def test_pipeline(spark, tmp_path, coder):
     assert np.mean([labels[r["doc_id"]] for r in good.select("doc_id").collect() if r["doc_id"] in labels]) > 0.98
 
 
+def test_language_stage_rejects_other_languages(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(6)
+    random_letters = lambda: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 10))) for _ in range(60))
+    other = ["Szczęśliwy człowiek źdźbło trawy przyniósł żółwiowi którzy wszystkich mieszkańców dzień wśród łąk " * 3, "यह एक हिन्दी वाक्य है जिसमें कई शब्द हैं " * 5, "Это предложение написано на русском языке и состоит из многих слов " * 3]
+    odd = other + [random_letters() for _ in range(5)] + ["1234 !!", None]
+    extra = spark.createDataFrame([(10**9 + k, t, None, "s", len(t or "")) for k, t in enumerate(odd)], docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs.union(extra), "/root/testdata/sf0.01").collect()}
+    assert not any(i >= 10**9 for i in kept)
+    assert len(kept) > 0.99 * docs.count()
+
+
 def test_pipeline_stages_on_odd_tables(spark, odd, tmp_path):
     import corpus_pipeline
 
