@@ -37,14 +37,17 @@ def _keep(docs: DataFrame, make: Callable[[], Callable[[list], list[bool]]]) ->
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language stay. Null texts and texts without a letter go."""
+    """Documents in a known language stay. Texts go that are null or without a letter, whose language is uncertain, or
+    that are less likely, per letter, than nearly all training texts of their language: other languages and random
+    letters. Very long texts are read whole; repeated rows and null ids are judged each by its text."""
     model = spark.sparkContext.broadcast(langid.train(docs, public_tokenizers.path("piece_bpe_32k.model")))
 
     def make():
         of = langid.predictor(model.value)
+        least = dict(zip(model.value.langs, model.value.least))
 
         def keep(texts):
-            return [lang != langid.UNKNOWN and score >= LEAST_LANGUAGE_SCORE for lang, score in zip(*of(texts))]
+            return [lang != langid.UNKNOWN and score >= LEAST_LANGUAGE_SCORE and rate >= least[lang] for lang, score, rate in zip(*of(texts))]
 
         return keep
 
