@@ -216,13 +216,12 @@ def test_differencing_beats_greedy():
 
 
 def _winnow_slow(text, k, w):
-    p = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    k, w = winnow.sizes(len(p), k, w)
-    h = winnow.gram_hashes(p, k)
-    w, found = min(w, len(h)), []
-    for a in range(len(h) - w + 1):
-        part = h[a : a + w]
-        at = a + max(i for i in range(w) if part[i] == part.min())
+    points = [0] * (k - 1) + [ord(c) + 1 for c in text] + [0] * (k - 1)
+    h = winnow.gram_hashes(np.array(points, np.uint64), k)
+    found = []
+    for stop in range(1, len(h) + w):
+        own = range(max(0, stop - w), min(stop, len(h)))
+        at = max(i for i in own if h[i] == min(h[j] for j in own))
         if not found or found[-1] != at:
             found.append(at)
     return h, found
@@ -258,9 +257,18 @@ def test_blocks_do_not_change_the_choice(monkeypatch):
     assert winnow.choose(h, 16).tolist() == whole
 
 
+def test_lengths_make_no_difference():
+    """A text and the same text with two characters more have most choices in common, at every length."""
+    rng = random.Random(2)
+    for n in (5, 8, 22, 23, 24, 31, 32, 100, 191, 192, 3000):
+        text = "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+        a, b = (np.unique(winnow.winnow(t)[0]) for t in (text, text + "xy"))
+        assert winnow.likeness(a, b) > 0.15, n
+
+
 def test_short_texts_have_several_choices():
     a, b = (np.unique(winnow.winnow(t)[0]) for t in ("That it.", "That iX!"))
-    assert 0 < winnow.likeness(a, b) < 1 and len(winnow.winnow("x")[0]) == 1
+    assert 0 < winnow.likeness(a, b) < 1 and len(winnow.winnow("x")[0]) >= 1
 
 
 def test_fingerprint_query(spark, docs, odd):
@@ -281,6 +289,20 @@ def test_fingerprint_query(spark, docs, odd):
     assert one["near_next"] == 1.0
 
 
+def test_fingerprints_of_a_repeated_id(spark, monkeypatch):
+    """One id with most of the rows: its rows are in several ranges, and each still meets the row after it."""
+    monkeypatch.setattr(winnow, "RANGE_ROWS", 8)
+    texts = [(k, f"text number {k} of its own") for k in range(20)] + [(7, f"many rows of one id {k}") for k in range(100)] + [(None, f"no id {k}") for k in range(30)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    rows = winnow.fingerprint(df).collect()
+    from collections import Counter as C
+
+    hashed = {(r["id"], r["text"]): r["h"] for r in df.select(F.col("doc_id").alias("id"), "text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(texts, key=lambda t: (t[0] is not None, t[0] or 0, hashed[t]))
+    want = C((i, sha256(winnow.edited(t, nxt).encode()).hexdigest()) for (i, t), (_, nxt) in zip(order, order[1:] + order[:1]))
+    assert C((r["doc_id"], r["edited_sha256"]) for r in rows) == want
+
+
 # -- 7: language
 
 
