@@ -11,7 +11,11 @@ Copies of a text are one node from the start. Within a band's bucket each node i
 and the largest node only, so a bucket gives as many candidates as it has nodes. Where these links leave several
 classes in a bucket, its texts go through an exact prefix-filtered join: with the shingles of each set in one common
 order, rare ones first, two sets of similarity t share one of the first (1 - t) n + 1. Shingles that many texts share
-come last and hardly ever meet, so a common passage costs little, and no link of these texts is lost.
+come last and hardly ever meet, so a common passage costs little, and no link of these texts is lost. How often a
+shingle occurs is read from a table of counters of fixed size, summed over all these texts.
+
+Joins deal the rows of hot keys (a text with many copies, a bucket of many near copies, the centre of a class) to
+several tasks.
 """
 
 from __future__ import annotations
@@ -31,8 +35,12 @@ from .common import cut, map_columns, release, shared_table, small_batches
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 misses all of 32 bands of 6 with probability 6e-5.
 BANDS, ROWS = 32, 6
-#: The most shingles whose frequency is known to the common order, and the most ids that are broadcast (8 bytes each).
-FREQUENT, BROADCAST_IDS = 200_000, 1_000_000
+#: Counters of shingles (a power of two) and the blocks in which they are summed; the most ids that are broadcast
+#: (8 bytes each).
+COUNTERS, BLOCKS, BROADCAST_IDS = 1 << 21, 64, 1_000_000
+#: A key is hot with more than a thousandth of the rows (so at most a thousand keys are), and this many at least; its
+#: rows go to so many tasks.
+HOT_SHARE, HOT_ROWS, SALTS = 1000, 500, 64
 _WORD = re.compile(r"\w+")
 _GOLDEN, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -90,7 +98,7 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def prepare(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """id, key (digest of the word sequence), keys (of the bands), shingles (sorted 32-bit hashes) of every text.
+    """id, key (digest of the word sequence), keys (of the bands), shingles (sorted 64-bit hashes) of every text.
 
     Words are compared without case and punctuation. A text without words has no shingles and is known by itself."""
 
@@ -103,7 +111,7 @@ def prepare(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str)
                 key.append(blake2b(joined.encode("utf-8", "surrogatepass"), digest_size=16).digest())
                 elements, weights = shingles(words)
                 band.append(band_keys(signature(elements, weights, bands * rows), bands, rows) if words else None)
-                sets.append(np.unique(elements >> np.uint64(32)).astype("<u4").tobytes())
+                sets.append(elements.astype("<u8").tobytes())
             return [ids, key, band, sets]
 
         return run
@@ -112,6 +120,23 @@ def prepare(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str)
     return map_columns(kept, ["id", "text"], "id long, key binary, keys array<long>, shingles binary", make)
 
 
+def split_join(left: DataFrame, right: DataFrame, key: str, spread: str, counts: DataFrame | None = None) -> DataFrame:
+    """``left.join(right, key)`` for a ``right`` that is unique by key: the left rows of a hot key go to several tasks
+    by their ``spread`` column, and the right row to each of these. ``counts`` (key, n) is how often the left keys
+    occur, where that is known already."""
+    counts = left.groupBy(key).agg(F.count("*").alias("n")) if counts is None else counts.select(key, "n")
+    rows, most = counts.agg(F.sum("n"), F.max("n")).first()
+    least = max(HOT_ROWS, (rows or 0) // HOT_SHARE)
+    if (most or 0) <= least:
+        return left.join(right, key)
+    hot = cut(counts.where(F.col("n") > least).select(key, F.lit(True).alias("hot")))  # at most HOT_SHARE rows
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0)
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = left.join(F.broadcast(hot), key, "left").withColumn("salt", salt).drop("hot")
+    copied = right.join(F.broadcast(hot), key, "left").withColumn("salt", F.explode(salts)).drop("hot")
+    return dealt.join(copied, [key, "salt"]).drop("salt")
+
+
 def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is among the distinct ids, which are broadcast up to a checked number and joined beyond it."""
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
@@ -122,13 +147,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     pairs = cut(pairs)
     needed = cut(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
     sets = _among(sets, needed).dropDuplicates(["id"])
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    both = split_join(pairs, sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a", "b")
+    both = split_join(both, sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b", "a", pairs.groupBy("b").agg(F.count("*").alias("n")))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4")
+                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
                 few, many = sorted((len(x), len(y)))
                 if few < similarity * many - 1e-9:
                     keep.append(False)
@@ -147,50 +173,76 @@ def components(edges: DataFrame) -> DataFrame:
 
     def large(e: DataFrame) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")))
+        return split_join(both, least.drop("n"), "u", "v", least).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
     def small(e: DataFrame) -> DataFrame:
         down = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        joined = down.join(down.groupBy("u").agg(F.min("v").alias("m")), "u")
+        least = cut(down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+        joined = split_join(down, least.drop("n"), "u", "v", least)
         return joined.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").union(joined.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
     state = None
     while True:
-        edges = cut(small(large(edges)))
+        edges = cut(small(cut(large(edges))))
         now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         state = now
 
 
-def prefix_pairs(sets: DataFrame, apart: DataFrame, similarity: float) -> DataFrame:
-    """Candidate pairs (a, b), of different classes, among the texts of ``apart`` (id, class): all that may have the
-    similarity. The order of shingles is by frequency and then by value; any order is right, this one is fast. Only
-    shingles that a task meets several times can be frequent, so the others are left out of the count."""
-    own = shared_table(_among(sets, apart.select("id").distinct()).dropDuplicates(["id"]))
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many texts have a shingle of each counter: one vector of fixed size. Each task counts its own texts; blocks
+    of the counters are summed in two steps, a batch at a time."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            if batch.num_rows:
-                tok, n = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(0)]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(tok[n > 1].astype(np.int64)), pa.array(n[n > 1].astype(np.int64))], names=["tok", "n"])
+            for x in batch.column(0):
+                counts += np.bincount((np.frombuffer(x.as_buffer(), "<u8") & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS) if len(x.as_buffer()) > COUNTERS else 0
+            small = [np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(0) if len(x.as_buffer()) <= COUNTERS]
+            if small:
+                at, n = np.unique(np.concatenate(small) & np.uint64(COUNTERS - 1), return_counts=True)
+                counts[at.astype(np.int64)] += n
+        blocks = counts.reshape(BLOCKS, -1)
+        used = np.flatnonzero(blocks.any(axis=1))
+        part = TaskContext.get().partitionId() % 64
+        if len(used):
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array([part] * len(used), pa.int64()), pa.array([blocks[k].tobytes() for k in used], pa.binary())], names=["block", "part", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(2)):
+                x = np.frombuffer(x.as_buffer(), np.int64)
+                total[k] = total[k] + x if k in total else x
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([0] * len(total), pa.int64()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["block", "part", "counts"])
+
+    small_batches(sets.sparkSession)
+    kind = "block long, part long, counts binary"
+    sums = sets.select("shingles").mapInArrow(tally, kind).repartition("block", "part").mapInArrow(add, kind).repartition("block").mapInArrow(add, kind)
+    counts = np.zeros((BLOCKS, COUNTERS // BLOCKS), np.int64)
+    for r in sums.collect():  # one row for each block
+        counts[r["block"]] += np.frombuffer(bytes(r["counts"]), np.int64)
+    return counts.ravel()
+
 
-    small_batches(own.sparkSession)
-    counts = own.select("shingles").mapInArrow(tally, "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n"))
-    often = counts.orderBy(F.desc("n"), "tok").limit(FREQUENT).collect()
-    table = np.array(sorted((r["tok"], r["n"]) for r in often), np.int64).reshape(-1, 2)
-    shipped = own.sparkSession.sparkContext.broadcast(table)
+def prefix_pairs(sets: DataFrame, apart: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs (a, b), of different classes, among the texts of ``apart`` (id, class): all that may have the
+    similarity. The order of shingles is by their counters and then by value; any order is right, this one is fast."""
+    own = shared_table(_among(sets, apart.select("id").distinct()).dropDuplicates(["id"]))
+    shipped = own.sparkSession.sparkContext.broadcast(shingle_counts(own))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts = shipped.value.T
+        counts = shipped.value
         for batch in batches:
             ids, toks, places, sizes = [], [], [], []
             for i, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = np.frombuffer(x.as_buffer(), "<u4").astype(np.int64)
-                at = np.searchsorted(tokens, x)
-                at[at == len(tokens)] = 0
-                n = np.where(tokens[at] == x, counts[at], 0) if len(tokens) else np.zeros(len(x), np.int64)
+                x = np.frombuffer(x.as_buffer(), "<i8")
+                n = counts[x & (COUNTERS - 1)]
                 keep = len(x) - int(np.ceil(similarity * len(x) - 1e-9)) + 1
                 first = x[np.lexsort((x, n))[:keep]]
                 ids.append(np.full(len(first), i))
@@ -217,24 +269,24 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
 
     class_id is the smallest id of the document's class: copies, and texts connected by links of at least the
     similarity. text_id is the smallest id among copies, texts with the same words (equal texts, where there are no
-    words). A null text is no copy of anything: its class is its own id; so is that of a null id, null. Texts shorter than five words are one shingle. Rows of
-    a repeated id are one document, in the class of all its texts. An empty table gives an empty table.
+    words). A null text is no copy of anything: its class is its own id; so is that of a null id, null. Texts shorter than five words are one shingle; very long
+    ones are compared whole. Rows of a repeated id are one document, in the class of all its texts. An empty table gives an empty table.
     """
     ready = shared_table(prepare(docs, bands, rows, id_col, text_col))
-    reps = ready.groupBy("key").agg(F.min("id").alias("text_id"))
-    members = shared_table(ready.select("id", "key").join(reps, "key").groupBy("id").agg(F.min("text_id").alias("text_id"), F.max("text_id").alias("other")))
+    reps = cut(ready.groupBy("key").agg(F.min("id").alias("text_id"), F.count("*").alias("n")))
+    members = shared_table(split_join(ready.select("id", "key"), reps.drop("n"), "key", "id", reps).groupBy("id").agg(F.min("text_id").alias("text_id"), F.max("text_id").alias("other")))
     nodes = members.where("id = text_id").select("id")
     # Where a repeated id has several texts, their nodes are one class.
     same = members.where("text_id != other").select(F.col("text_id").alias("a"), F.col("other").alias("b"))
 
     buckets = ready.join(nodes, "id", "left_semi").select("id", F.explode("keys").alias("band"))
-    ends = buckets.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    met = shared_table(buckets.join(ends, "band"))
+    ends = cut(buckets.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).where("low < high"))
+    met = shared_table(split_join(buckets, ends.drop("n"), "band", "id", ends))
     pair = lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     tried = met.select(F.explode(F.array(pair("id", "low"), pair("id", "high"))).alias("p")).select("p.*").where("a != b").distinct()
     sets = ready.select("id", "shingles")
     links = cut(_verified(tried, sets, similarity))
-    classes = components(links.union(same))
+    classes = components(cut(links.union(same)))
 
     # What the first links leave apart: texts of buckets that still hold several classes.
     known = met.select("band", "id").join(classes.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("root", "id").alias("class"))
@@ -244,7 +296,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
         further = cut(_verified(prefix_pairs(sets, apart, similarity), sets, similarity))
         if not further.isEmpty():
             links = links.union(further).distinct()
-            classes = components(links.union(same))
+            classes = components(cut(links.union(same)))
 
     found = members.select("id", "text_id").join(classes.select(F.col("node").alias("text_id"), "root"), "text_id", "left")
     found = found.select(F.col("id").alias("doc_id"), F.coalesce("root", "text_id").alias("class_id"), "text_id")

@@ -492,7 +492,7 @@ def test_prefix_pairs_lose_nothing(spark):
     sets = near_dedup.prepare(df, 4, 4, "doc_id", "text").select("id", "shingles").cache()
     apart = sets.select("id", F.col("id").alias("class"))
     pairs = {tuple(r) for r in near_dedup.prefix_pairs(sets, apart, 0.8).collect()}
-    arrays = {r["id"]: set(np.frombuffer(bytes(r["shingles"]), "<u4").tolist()) for r in sets.collect()}
+    arrays = {r["id"]: set(np.frombuffer(bytes(r["shingles"]), "<u8").tolist()) for r in sets.collect()}
     want = {(a, b) for a in arrays for b in arrays if a < b and len(arrays[a] & arrays[b]) >= 0.8 * len(arrays[a] | arrays[b])}
     assert want <= pairs and len(pairs) < len(arrays) ** 2 / 4
 
@@ -511,6 +511,39 @@ def test_signature_estimates_probability_jaccard():
     assert got == pytest.approx(exact, abs=0.04)
 
 
+def test_hot_groups_equal_brute_force(spark, monkeypatch):
+    """Groups of copies and of near copies, and a text's hub, beyond the bound at which keys are dealt to several tasks."""
+    monkeypatch.setattr(near_dedup, "HOT_ROWS", 5)
+    monkeypatch.setattr(near_dedup, "HOT_SHARE", 10**6)
+    rng = random.Random(12)
+    word = lambda: "w%d" % rng.randint(0, 5000)
+    base = [word() for _ in range(60)]
+    texts = [" ".join(base)] * 30
+    for _ in range(60):
+        now = list(base)
+        now[rng.randrange(60)] = word()
+        texts.append(" ".join(now))
+    texts += [" ".join(word() for _ in range(30)) for _ in range(40)]
+    texts = dict(enumerate(texts))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(df).collect()} == brute_classes(texts)
+
+
+def test_counters_count_texts(spark):
+    df = spark.createDataFrame(list(planted().items()), "doc_id long, text string").repartition(5)
+    sets = near_dedup.prepare(df, 4, 4, "doc_id", "text").select("shingles").cache()
+    want = np.zeros(near_dedup.COUNTERS, np.int64)
+    for r in sets.collect():
+        np.add.at(want, np.frombuffer(bytes(r["shingles"]), "<i8") & (near_dedup.COUNTERS - 1), 1)
+    assert (near_dedup.shingle_counts(sets) == want).all() and want.max() > 50
+
+
+def test_repeated_ids_are_one_document(spark):
+    a, b, c = ("one two three four five six seven " * 3, "alpha beta gamma delta epsilon zeta " * 3, "another text altogether with its own words here")
+    df = spark.createDataFrame([(1, a), (5, a), (5, b), (9, b), (7, c), (7, c)], "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(df).collect()} == {1: 1, 5: 1, 9: 1, 7: 7}
+
+
 def test_near_duplicates_of_odd_tables(spark, odd):
     got = {r["doc_id"]: r for r in near_dedup.near_duplicates(odd).collect()}
     assert set(got) == {*range(len(ODD)), None} and got[3]["class_id"] == 3 and got[None]["class_id"] is None
