@@ -590,6 +590,54 @@ def test_neighbours_recall_and_scores(spark):
     assert hits / len(rows) >= 0.9
 
 
+def _recall(x, ids, queries, k=5):
+    """Share of the true neighbours found, and share of the shard that was verified."""
+    shard, bound, length = ann.Shard(ids, x), ann.chi_square_bound(ann.SURE, ann.DIMS), np.sqrt((x**2).sum(axis=1))
+    hits = verified = 0
+    for q in queries:
+        found, _, n = shard.search(ids[q], x[q], k, bound)
+        s = x @ x[q] / (length * length[q])
+        s[q] = -9
+        hits += len(set(ids[np.lexsort((ids, -s))[:k]].tolist()) & set(found.tolist()))
+        verified += n
+    return hits / k / len(queries), verified / len(queries) / len(x)
+
+
+def test_the_stopping_test_saves_work():
+    rng = np.random.default_rng(0)
+    centres = rng.standard_normal((200, 64))
+    clustered = centres[rng.integers(0, 200, 16_384)] + 0.3 * rng.standard_normal((16_384, 64))
+    recall, share = _recall(clustered, np.arange(16_384), range(0, 16_384, 200))
+    assert recall >= 0.9 and share < 0.03
+    recall, share = _recall(rng.standard_normal((16_384, 64)), np.arange(16_384), range(0, 16_384, 400))
+    assert recall >= 0.9 and share < 0.9
+
+
+def test_points_come_in_the_order_of_their_distance():
+    points = np.random.default_rng(3).standard_normal((5000, ann.DIMS))
+    q = points[7] + 0.1
+    near = np.concatenate([d for d, _ in ann.KdTree(points).incremental(q)])
+    assert len(near) == 5000 and (np.diff(near) >= 0).all()
+
+
+def test_many_shards_find_the_same(spark):
+    """Several cells and split cells: recall against brute force over all of them."""
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((30, 16))
+    x = np.concatenate([centres[rng.integers(0, 30, 2000)] + 0.3 * rng.standard_normal((2000, 16)), np.ones((700, 16))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    rows = ann.nearest(df, F.col("vec_id") % 50 == 0, shard_rows=256).collect()
+    length, hits, want = np.sqrt((x**2).sum(axis=1)), 0, 0
+    for q in range(0, len(x), 50):
+        s = x @ x[q] / (length * length[q])
+        s[q] = -9
+        own = [r for r in sorted(rows, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert len(own) == 5 and all(abs(r["score"] - s[r["vec_id"]]) < 1e-12 for r in own)
+        hits += sum(abs(s[r["vec_id"]] - t) < 1e-12 for r, t in zip(own, np.sort(s)[::-1]))
+        want += 5
+    assert hits / want >= 0.9
+
+
 def test_neighbours_of_odd_vectors(spark):
     v = [1.0, 0.0, 2.0]
     rows = [(i, v, 1) for i in range(0, 12)] + [(50, v, 1), (50, v, 1), (60, None, 1), (61, [0.0] * 3, 1), (62, [1.0, None, 2.0], 1), (63, [float("nan")] * 3, 1), (None, v, 1), (100, [1.0, 2.0], 2)]
