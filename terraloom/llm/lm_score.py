@@ -1,21 +1,25 @@
 """Language-model scores by masked pseudo-likelihood (operator 1).
 
-A small window network sees the two words before and the two words after a place and predicts the bucket of the word
-in it: the most frequent words are buckets of their own, the others share buckets by a hash of their ending. Its
-output is a two-level softmax (a class, then the bucket within the class). A word's log probability is that of its
-bucket given the window and that of the word within the bucket, which is its share of the bucket's words in the whole
-corpus. The summed log probabilities of all its words score a document.
-
-The frequent words come from word counts over the whole corpus. The network is first warmed up on a bounded sample;
-then every partition goes on from there over all its words, and the partitions' parameters are averaged, weighted by
-their words. The network has a fixed size; the counts of all words grow with the corpus, stay a distributed table
-and are joined with the words of the texts. What is broadcast (the frequent words, one network and the totals of the
-buckets) does not grow.
+Each word of a document is predicted from the two words before and the two words after it, its window. A small window
+network gives the class of the word by a two-level softmax: the most frequent words are classes of their own, the
+others share classes by their endings. The word's probability is that of its class given the window times its share
+of the class's words in the whole corpus, so that every word of the corpus has a probability and they sum to one.
+
+The network cannot remember the corpus, so the windows of all its words are counted too. With m other occurrences of
+the window in the corpus, c of them around the same word, a word's probability is (c + P) / (m + 1), where P is the
+network's: the network is the prior, the corpus without the place itself the evidence. The summed log probabilities
+of all its words score a document.
+
+Documents are encoded once, in chunks of half a million words with a vocabulary each. Words and windows are counted
+over all chunks by shuffles of what is distinct within a chunk, so a frequent word or window costs a row for each
+chunk, not for each occurrence; the counts go back to the chunks that have them. The network is warmed up on a
+bounded sample; then every partition goes on from there over all its words, and the partitions' parameters are
+averaged, weighted by their words, in two summing steps. What is broadcast (the frequent words, one network and the
+totals of the classes) does not grow.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from zlib import crc32
@@ -25,19 +29,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, shared_table, small_batches
+from .common import TwoGenerations, cut, release, shared_table, small_batches
 
-#: Frequent words with an output of their own; the others share as many outputs by a hash of their ending.
+#: Frequent words that are classes of their own; the others share as many classes by a hash of their ending, which the
+#: lowest bits of their codes hold.
 FREQUENT, HASHED = 512, 512
-CLASS = 32  # words in a class
+CLASS = 32  # outputs in a group of the two-level softmax
 CLASSES = (FREQUENT + HASHED) // CLASS
 HIDDEN, OFFSETS, MINIBATCH, RATE = 16, (-2, -1, 1, 2), 8192, 0.08
 PAD = FREQUENT + HASHED
-#: Bits of a word's code that are its bucket; the others are a hash of the word.
-BUCKET_BITS = 10
+#: Words in a chunk, chunks in an Arrow batch, and windows counted by one task.
+CHUNK, CHUNKS_IN_BATCH, WINDOWS = 1 << 19, 8, 2 << 20
 #: Documents of the warm-up: those with the smallest hash of their id.
 WARM_DOCUMENTS = 400
 _EDGE = max(OFFSETS)
+_G, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: A window's key: 48 bits of a hash of the words around, 16 bits of a hash of the word.
+_AROUND = ~np.uint64(0xFFFF)
 
 
 class Network:
@@ -112,182 +120,304 @@ class Network:
         return log_p, grad
 
 
-def windows(ids: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Of documents laid end to end with padding between them: the words around each place, and the word in it."""
-    pad = np.full(_EDGE, PAD, np.int64)
-    line = np.concatenate([pad, *[x for d in ids for x in (d, pad)]])
-    at = np.flatnonzero(line != PAD)
-    return [line[at + o] for o in OFFSETS], line[at]
+def laid(tokens: np.ndarray, sizes: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents laid end to end with padding around each: the line, and the places of their words in it."""
+    at = np.arange(len(tokens)) + _EDGE * (1 + np.repeat(np.arange(len(sizes)), sizes))
+    line = np.full(len(tokens) + _EDGE * (len(sizes) + 1), pad, tokens.dtype)
+    line[at] = tokens
+    return line, at
 
 
-def train(network: Network, batches: Iterator[list[np.ndarray]], rate: float = RATE) -> int:
-    """One pass of Adagrad; the number of words seen."""
+def windows(tokens: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Classes around each place and the class in it, so many at once that memory does not grow with a text."""
+    line, at = laid(tokens, sizes, PAD)
+    for a in range(0, len(at), MINIBATCH):
+        part = at[a : a + MINIBATCH]
+        yield [line[part + o].astype(np.int64) for o in OFFSETS], line[part].astype(np.int64)
+
+
+def train(network: Network, chunks: Iterator[tuple[np.ndarray, np.ndarray]], rate: float = RATE) -> int:
+    """One pass of Adagrad over (classes, sizes of documents); the number of words seen."""
     seen, square = 0, np.full(Network.SIZE, 1e-6, np.float32)
-    for ids in batches:
-        around, target = windows(ids)
-        for a in range(0, len(target), MINIBATCH):
-            part = slice(a, a + MINIBATCH)
-            _, g = network.run([x[part] for x in around], target[part], gradient=True)
+    for tokens, sizes in chunks:
+        for around, target in windows(tokens, sizes):
+            _, g = network.run(around, target, gradient=True)
             square += g * g
             network.flat -= rate * g / np.sqrt(square)
-            seen += len(target[part])
+            seen += len(target)
     return seen
 
 
-def _arrays(batch: pa.RecordBatch, column: int) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), "<i2").astype(np.int64) for x in batch.column(column)]
+# -- codes
 
 
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """word, n over all texts: words are what white space parts, in lower case."""
+def word_code(word: str) -> int:
+    """A word as 64 bits: a hash, and in its lowest bits the class of its ending (in 400 million distinct words 0.005
+    pairs are expected to share a code)."""
+    raw = word.encode("utf-8", "surrogatepass")
+    ending = crc32(word[-3:].encode("utf-8", "surrogatepass")) % HASHED
+    return int.from_bytes(blake2b(raw, digest_size=8).digest(), "little", signed=True) & -HASHED | ending
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally: Counter = Counter()
 
-        def out():
-            made = pa.RecordBatch.from_arrays([pa.array(tally.keys(), pa.string()), pa.array(tally.values(), pa.int64())], names=["word", "n"])
-            tally.clear()
-            return made
+def classes_of(codes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The class of each code; ``frequent`` has the codes of the frequent words, by class."""
+    out = (FREQUENT + (codes & (HASHED - 1))).astype(np.int16)
+    if len(frequent):
+        order = np.argsort(frequent)
+        at = np.minimum(np.searchsorted(frequent[order], codes), len(frequent) - 1)
+        hit = frequent[order][at] == codes
+        out[hit] = order[at[hit]]
+    return out
 
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                if t:
-                    tally.update(t.lower().split())
-            if len(tally) > 200_000:
-                yield out()
-        if tally:
-            yield out()
 
-    small_batches(docs.sparkSession)
-    return docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _C1
+    x = (x ^ (x >> np.uint64(27))) * _C2
+    return x ^ (x >> np.uint64(31))
 
 
-def encode(docs: DataFrame, vocabulary: list[str], id_col: str, text_col: str) -> DataFrame:
-    """id and the word numbers of every whole text, as 16-bit integers."""
-    shipped = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
+def window_keys(codes: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The key of the window and word at each place."""
+    own = np.append(_mix(codes.view(np.uint64)), np.uint64(0))
+    line, at = laid(tokens, sizes, len(codes))
+    line = own[line]
+    around = np.zeros(len(at), np.uint64)
+    for o in OFFSETS:
+        around = around * _G + line[at + o]
+    return _mix(around) & _AROUND | line[at] >> np.uint64(48)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shipped.value
-        number = TwoGenerations(lambda w: known[w] if w in known else FREQUENT + crc32(w[-3:].encode("utf-8", "surrogatepass")) % HASHED)
-        get = number.__getitem__
-        for batch in batches:
-            made = [np.fromiter(map(get, ws), "<i2", len(ws)).tobytes() for ws in ((t or "").lower().split() for t in batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=[id_col, "ids"])
 
-    small_batches(docs.sparkSession)
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, ids binary")
-
-
-def word_code(word: str) -> int:
-    """A word that is not frequent as 64 bits: its bucket, and a hash that tells the bucket's words apart (in 400
-    million distinct words 0.01 pairs are expected to share a code)."""
-    raw = word.encode("utf-8", "surrogatepass")
-    bucket = FREQUENT + crc32(word[-3:].encode("utf-8", "surrogatepass")) % HASHED
-    return int.from_bytes(blake2b(raw, digest_size=8).digest(), "little", signed=True) >> BUCKET_BITS << BUCKET_BITS | bucket
+def encode(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """chunk, ids, sizes, tokens (numbers of the chunk's words), codes and times (of these), n: whole documents in
+    chunks. Words are what white space parts, in lower case; a null text has none."""
+    kind = docs.schema[id_col].dataType.simpleString()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-def encode_words(docs: DataFrame, vocabulary: list[str], id_col: str, text_col: str) -> DataFrame:
-    """As ``encode``, with a number for each row, and its distinct words that share buckets (codes, times)."""
-    shipped = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
+        code = TwoGenerations(word_code)
+        base, number, held, ids, sizes, made, id_type = TaskContext.get().partitionId() << 32, {}, [], [], [], 0, None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shipped.value
-        code = TwoGenerations(lambda w: known[w] if w in known else word_code(w))
-        get = code.__getitem__
+        def out():
+            nonlocal made, number
+            tokens = np.concatenate(held) if held else np.zeros(0, np.int32)
+            codes = np.fromiter((code[w] for w in number), np.int64, len(number))
+            times = np.bincount(tokens, minlength=len(codes)).astype(np.int32)
+            row = [[base + made], [list(ids)], [np.array(sizes, np.int64).tobytes()], [tokens.tobytes()], [codes], [times], [len(tokens)]]
+            made += 1
+            number, ids[:], sizes[:], held[:] = {}, [], [], []
+            types = [pa.int64(), pa.list_(id_type), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "ids", "sizes", "tokens", "codes", "times", "n"])
+
+        words = 0
         for batch in batches:
-            ids, codes, times = [], [], []
-            for t in batch.column(2).to_pylist():
+            id_type = batch.schema.field(0).type
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ws = (t or "").lower().split()
-                all_ = np.fromiter(map(get, ws), np.int64, len(ws))
-                bucket = all_ & ((1 << BUCKET_BITS) - 1)
-                ids.append(bucket.astype("<i2").tobytes())
-                distinct, n = np.unique(all_[bucket >= FREQUENT], return_counts=True)
-                codes.append(distinct)
-                times.append(n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(codes, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))], names=["row", id_col, "ids", "codes", "times"])
+                held.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int32, len(ws)))
+                ids.append(i)
+                sizes.append(len(ws))
+                words += len(ws) + 1
+                if words >= CHUNK:
+                    yield out()
+                    words = 0
+        if ids:
+            yield out()
+        release()
 
     small_batches(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.monotonically_increasing_id().alias("row"), id_col, text_col).mapInArrow(run, f"row long, {id_col} {kind}, ids binary, codes array<long>, times array<long>")
+    return docs.select(id_col, text_col).mapInArrow(run, f"chunk long, ids array<{kind}>, sizes binary, tokens binary, codes array<long>, times array<int>, n long")
+
 
+# -- what the corpus gives
 
-def within_buckets(encoded: DataFrame) -> DataFrame:
-    """row, within: the summed log shares that a row's words have of their buckets, over the whole corpus. Words with
-    a bucket of their own add nothing."""
-    pairs = encoded.select("row", F.explode(F.arrays_zip("codes", "times")).alias("p")).select("row", "p.codes", "p.times")
-    counts = shared_table(pairs.groupBy("codes").agg(F.sum("times").alias("n")))
-    bucket = F.col("codes").bitwiseAND((1 << BUCKET_BITS) - 1)
-    totals = counts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("total"))  # one row for each shared bucket
-    shares = counts.withColumn("bucket", bucket).join(F.broadcast(totals), "bucket").select("codes", F.log(F.col("n") / F.col("total")).alias("share"))
-    return pairs.join(shares, "codes").groupBy("row").agg(F.sum(F.col("times") * F.col("share")).alias("within"))
 
+def word_shares(encoded: DataFrame) -> tuple[np.ndarray, DataFrame]:
+    """The codes of the frequent words, and (chunk, shares): for each of a chunk's words the log of its share of its
+    class's words in the corpus (0 for a class of one word)."""
+    spark = encoded.sparkSession
+    words = encoded.select("chunk", F.posexplode(F.arrays_zip("codes", "times")).alias("pos", "w")).select("chunk", "pos", F.col("w.codes").alias("code"), F.col("w.times").alias("n"))
+    counts = shared_table(words.groupBy("code").agg(F.sum("n").alias("n")))
+    frequent = [r["code"] for r in counts.orderBy(F.desc("n"), "code").limit(FREQUENT).collect()]
+    known = F.broadcast(spark.createDataFrame([(c, k) for k, c in enumerate(frequent)], "code long, k int"))
+    rest = counts.join(known, "code", "left_anti").withColumn("class", F.col("code").bitwiseAND(HASHED - 1))
+    totals = rest.groupBy("class").agg(F.sum("n").alias("total"))  # one row for each shared class
+    shares = rest.join(F.broadcast(totals), "class").select("code", F.log(F.col("n") / F.col("total")).cast("float").alias("share"))
+    found = words.select("chunk", "pos", "code").join(shares, "code", "left").select("chunk", F.struct("pos", F.coalesce("share", F.lit(0.0).cast("float")).alias("share")).alias("w"))
+    ordered = F.transform(F.sort_array(F.collect_list("w")), lambda w: w["share"])  # of one chunk's words
+    return np.array(frequent, np.int64), found.groupBy("chunk").agg(ordered.alias("shares"))
+
+
+def window_counts(encoded: DataFrame) -> DataFrame:
+    """chunk, keys, same, all: for the keys of each chunk whose window occurs more than once in the corpus, how often
+    it does with the word and at all. A task has a part of the keys, from all chunks."""
+    total = encoded.agg(F.sum("n")).first()[0] or 0
+    bits = max(0, (total // WINDOWS).bit_length())
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                tokens, sizes, codes = _chunk(batch, k)
+                keys, n = np.unique(window_keys(codes, tokens, sizes), return_counts=True)
+                part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+                used, first = np.unique(part, return_index=True)
+                edges = [*first.tolist(), len(keys)]
+                rows = [(keys[a:b].tobytes(), n[a:b].astype(np.int32).tobytes()) for a, b in zip(edges, edges[1:])]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([batch.column(0)[k].as_py()] * len(used), pa.int64()), *(pa.array(c, pa.binary()) for c in zip(*rows))], names=["part", "chunk", "keys", "times"])
+        release()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks, keys, times = [], [], []
+        for batch in batches:
+            chunks += batch.column(1).to_pylist()
+            keys += [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(2)]
+            times += [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(3)]
+        if not chunks:
+            return
+        line = np.concatenate(keys)
+        order = np.argsort(line, kind="stable")
+        line, n = line[order], np.concatenate(times)[order]
+        sums = {}
+        for name, value in (("same", line), ("all", line & _AROUND)):
+            first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
+            sums[name] = np.repeat(np.add.reduceat(n, first, dtype=np.int64), np.diff(np.r_[first, len(line)]))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        at = 0
+        for chunk, own in zip(chunks, keys):
+            place = back[at : at + len(own)]
+            at += len(own)
+            many = sums["all"][place] > 1
+            if many.any():
+                place = place[many]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in (own[many], sums["same"][place], sums["all"][place]))], names=["chunk", "keys", "same", "all"])
+        release()
+
+    dealt = encoded.select("chunk", "sizes", "tokens", "codes").mapInArrow(deal, "part long, chunk long, keys binary, times binary")
+    return dealt.repartition(1 << bits, "part").mapInArrow(count, "chunk long, keys binary, same binary, all binary")
+
+
+def _chunk(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """tokens, sizes, codes of a row."""
+    at = batch.schema.names.index
+    sizes, tokens = (np.frombuffer(batch.column(at(c))[k].as_buffer(), t) for c, t in (("sizes", np.int64), ("tokens", np.int32)))
+    return tokens, sizes, batch.column(at("codes"))[k].values.to_numpy()
+
+
+def _summed(parts: DataFrame) -> tuple[int, np.ndarray]:
+    """The words and the weighted sum of all partitions' parameters, added up in two steps, one vector at a time."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, total = 0, np.zeros(Network.SIZE)
+        for batch in batches:
+            for n, x in zip(batch.column(1).to_pylist(), batch.column(2)):
+                seen, total = seen + n, total + np.frombuffer(x.as_buffer(), np.float64)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([seen], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "seen", "flat"])
 
-def fit(encoded: DataFrame, id_col: str = "doc_id") -> Network:
+    rows = parts.repartition(64, "part").mapInArrow(add, "part long, seen long, flat binary").collect()  # at most 64 vectors
+    return sum(r["seen"] for r in rows), sum((np.frombuffer(bytes(r["flat"])) for r in rows), np.zeros(Network.SIZE))
+
+
+def fit(encoded: DataFrame, frequent: np.ndarray, id_col: str = "doc_id") -> Network:
     """Warm up on a bounded sample, then average one pass of every partition over all its documents."""
     spark = encoded.sparkSession
+    ids = encoded.select("chunk", F.posexplode("ids").alias("pos", "id"))
+    # A document's place in its chunk; those with the smallest hashes warm the network up.
+    warm = cut(ids.select("chunk", "pos", F.xxhash64("id", "chunk", "pos").alias("h")).orderBy("h").limit(WARM_DOCUMENTS))
+    places = warm.groupBy("chunk").agg(F.collect_list("pos").alias("places"))
 
-    def passes(flat):
+    def passes(flat, few: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
             network = Network(flat.value)
-            seen = train(network, (ids for b in batches if (ids := [x for x in _arrays(b, 0) if len(x)])))
+
+            def chunks():
+                for batch in batches:
+                    for k in range(batch.num_rows):
+                        tokens, sizes, codes = _chunk(batch, k)
+                        if few:
+                            wanted = np.zeros(len(sizes), bool)
+                            wanted[batch.column(batch.num_columns - 1)[k].as_py()] = True
+                            tokens, sizes = tokens[np.repeat(wanted, sizes)], sizes[wanted]
+                        if len(tokens):
+                            yield classes_of(codes, frequent)[tokens], sizes
+
+            seen = train(network, chunks())
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([network.flat.tolist()], pa.list_(pa.float32()))], names=["seen", "flat"])
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 64], pa.int64()), pa.array([seen], pa.int64()), pa.array([(network.flat.astype(np.float64) * seen).tobytes()], pa.binary())], names=["part", "seen", "flat"])
+            release()
 
         return run
 
+    columns, kind = ["sizes", "tokens", "codes"], "part long, seen long, flat binary"
     start = spark.sparkContext.broadcast(Network().flat)
-    warm = encoded.select(F.xxhash64(id_col).alias("h"), "ids").orderBy("h").limit(WARM_DOCUMENTS).select("ids").coalesce(1)
-    first = warm.mapInArrow(passes(start), "seen long, flat array<float>").first()
-    if first is None:
+    small_batches(spark, CHUNKS_IN_BATCH)
+    # At most WARM_DOCUMENTS chunks, of which only the chosen documents go on to the one task.
+    first = encoded.join(F.broadcast(places), "chunk").select(*columns, "places").mapInArrow(passes(start, True), kind)
+    seen, total = _summed(first)
+    if not seen:
         return Network()
-    warmed = spark.sparkContext.broadcast(np.array(first["flat"], np.float32))
-    parts = encoded.select("ids").mapInArrow(passes(warmed), "seen long, flat array<float>")
-    mean = parts.select("seen", F.posexplode("flat")).groupBy("pos").agg((F.sum(F.col("col") * F.col("seen")) / F.sum("seen")).alias("value"))
-    flat = np.zeros(Network.SIZE, np.float32)
-    for r in mean.collect():  # as many rows as the network has parameters
-        flat[r["pos"]] = r["value"]
-    return Network(flat)
-
+    warmed = spark.sparkContext.broadcast((total / seen).astype(np.float32))
+    seen, total = _summed(encoded.select(*columns).mapInArrow(passes(warmed, False), kind))
+    return Network((total / seen).astype(np.float32))
 
-def _frequent(docs: DataFrame, text_col: str) -> list[str]:
-    return [r["word"] for r in word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
 
-
-def _bucket_scores(encoded: DataFrame, keys: list[str], id_col: str) -> DataFrame:
-    """The key columns, n_tokens, pll and mean_pll of the buckets of every row's words."""
-    flat = encoded.sparkSession.sparkContext.broadcast(fit(encoded, id_col).flat)
-    kinds = ", ".join(f"{k} {encoded.schema[k].dataType.simpleString()}" for k in keys)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = Network(flat.value)
-        for batch in batches:
-            ids = _arrays(batch, len(keys))
-            n = np.array([len(x) for x in ids], np.int64)
-            around, target = windows(ids)
-            log_p = np.concatenate([network.run([x[a : a + MINIBATCH] for x in around], target[a : a + MINIBATCH]) for a in range(0, len(target), MINIBATCH)] or [np.zeros(0)])
-            total = np.concatenate([[0.0], np.cumsum(log_p.astype(np.float64))])
-            stops = np.cumsum(n)
-            pll = total[stops] - total[stops - n]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(n), pa.array(pll), pa.array(pll / np.maximum(n, 1))], names=[*keys, "n_tokens", "pll", "mean_pll"])
-
-    return encoded.select(*keys, "ids").mapInArrow(run, f"{kinds}, n_tokens long, pll double, mean_pll double")
+def log_probabilities(network: Network, codes, tokens, sizes, shares, frequent, keys, same, everywhere) -> np.ndarray:
+    """Of each place of a chunk. ``keys`` (ascending) have the counts of windows that the corpus has more than once."""
+    classes = classes_of(codes, frequent)[tokens]
+    log_p = np.concatenate([network.run(around, target).astype(np.float64) for around, target in windows(classes, sizes)] or [np.zeros(0)]) + shares[tokens]
+    if len(keys) and len(tokens):
+        own = window_keys(codes, tokens, sizes)
+        at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+        hit = keys[at] == own
+        # Without the place itself.
+        c, m = same[at[hit]] - 1, everywhere[at[hit]] - 1
+        log_p[hit] = np.log(c + np.exp(log_p[hit])) - np.log(m + 1.0)
+    return log_p
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The network's part alone: id, n_tokens, pll (summed log probability of every word's bucket given its
-    neighbours), mean_pll. ``score_words`` is the score of the words themselves.
+    """id, n_tokens, pll (summed log probability of every word given its neighbours), mean_pll.
 
-    A null or empty text, or one of white space, has no words and scores 0. Repeated rows are trained on and scored
-    each; an empty table gives an empty table; other columns are not read.
+    A null or empty text, or one of white space, has no words and scores 0. Repeated rows are trained on, counted and
+    scored each, so that they find each other's windows; an empty table gives an empty table; very long texts are
+    scored whole, in slices; other columns are not read.
     """
-    return _bucket_scores(shared_table(encode(docs, _frequent(docs, text_col), id_col, text_col)), [id_col], id_col)
-
+    spark = docs.sparkSession
+    encoded = shared_table(encode(docs, id_col, text_col))
+    small_batches(spark, CHUNKS_IN_BATCH)
+    frequent, shares = word_shares(encoded)
+    flat = spark.sparkContext.broadcast(fit(encoded, frequent, id_col).flat)
+    names = ["chunk", "kind", "ids", "sizes", "tokens", "codes", "shares", "keys", "same", "all"]
+    kinds = dict(encoded.dtypes) | {"kind": "int", "shares": "array<float>", "keys": "binary", "same": "binary", "all": "binary"}
+    full = lambda df, kind: df.withColumn("kind", F.lit(kind)).select(*[F.col(c) if c in df.columns or c == "kind" else F.lit(None).cast(kinds[c]).alias(c) for c in names])
+    # To each chunk come its words' shares, then the counts of its windows, then its documents.
+    met = full(shares, 0).union(full(window_counts(encoded), 1)).union(full(encoded.select("chunk", "ids", "sizes", "tokens", "codes"), 2))
+    id_type = docs.schema[id_col].dataType.simpleString()
 
-def score_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, pll (summed log probability of every word given its neighbours), mean_pll. Nulls, repeated rows
-    and empty tables are treated as by ``score``."""
-    encoded = shared_table(encode_words(docs, _frequent(docs, text_col), id_col, text_col))
-    buckets = _bucket_scores(encoded, ["row", id_col], id_col)
-    pll = F.col("pll") + F.coalesce("within", F.lit(0.0))
-    joined = buckets.join(within_buckets(encoded), "row", "left").select(id_col, "n_tokens", pll.alias("pll"))
-    return joined.withColumn("mean_pll", F.col("pll") / F.greatest("n_tokens", F.lit(1)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = Network(flat.value)
+        share, counted = np.zeros(0, np.float32), []
+        for batch in batches:
+            for k, kind in enumerate(batch.column(1).to_pylist()):
+                if kind == 0:
+                    share = batch.column(6)[k].values.to_numpy()
+                elif kind == 1:
+                    counted.append([np.frombuffer(batch.column(c)[k].as_buffer(), t) for c, t in ((7, np.uint64), (8, np.int64), (9, np.int64))])
+                else:
+                    tokens, sizes, codes = _chunk(batch, k)
+                    keys, same, everywhere = (np.concatenate(x) for x in zip(*counted)) if counted else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)
+                    order = np.argsort(keys)
+                    log_p = log_probabilities(network, codes, tokens, sizes, share, frequent, keys[order], same[order], everywhere[order])
+                    total = np.concatenate([[0.0], np.cumsum(log_p)])
+                    stops = np.cumsum(sizes)
+                    pll = total[stops] - total[stops - sizes]
+                    pll[sizes == 0] = 0.0
+                    yield pa.RecordBatch.from_arrays([batch.column(2)[k].values, pa.array(sizes), pa.array(pll), pa.array(pll / np.maximum(sizes, 1))], names=[id_col, "n_tokens", "pll", "mean_pll"])
+                    share, counted = np.zeros(0, np.float32), []
+        release()
+
+    return met.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(run, f"{id_col} {id_type}, n_tokens long, pll double, mean_pll double")

@@ -754,8 +754,8 @@ def test_gradient_is_right():
     net = lm_score.Network()
     net.flat = net.flat.astype(np.float64)
     net.views = net._cut(net.flat)
-    around, target = lm_score.windows([rng.integers(0, 1024, 30), rng.integers(0, 1024, 5)])
-    assert len(target) == 35 and around[0][0] == lm_score.PAD and around[0][30] == lm_score.PAD
+    [(around, target)] = list(lm_score.windows(rng.integers(0, 1024, 35).astype(np.int16), np.array([30, 0, 5])))
+    assert len(target) == 35 and around[0][0] == lm_score.PAD and around[0][30] == lm_score.PAD and around[2][29] == lm_score.PAD
     _, g = net.run(around, target, gradient=True)
     loss = lambda: -net.run(around, target).mean()
     for k in [*np.argsort(-np.abs(g))[:8], *rng.integers(0, net.SIZE, 8)]:
@@ -774,37 +774,85 @@ def test_probabilities_sum_to_one():
     assert np.exp(net.run(around, np.arange(1024))).sum() == pytest.approx(1, rel=1e-4)
 
 
-def test_model_learns(spark, docs, odd):
-    rows = lm_score.score(docs).collect()
-    assert len(rows) == docs.count()
-    mean = sum(r["pll"] for r in rows) / sum(r["n_tokens"] for r in rows)
-    assert mean > -np.log(1024) + 0.3
-    got = {r["doc_id"]: r for r in lm_score.score(odd).collect()}
-    assert (got[0]["n_tokens"], got[0]["pll"], got[3]["n_tokens"]) == (0, 0.0, 0)
-    assert lm_score.score(odd.limit(0)).count() == 0
-
-
-def test_words_of_a_bucket_are_told_apart(spark, odd):
-    rng = random.Random(3)
-    # 600 frequent words, and rarer ones of one ending: texts 0 and 1 differ only in these.
-    common = [f"c{k}" for k in range(600)]
-    texts = ["c1 c2 abcxyz c3", "c1 c2 defxyz c3"] + [" ".join(rng.choices(common, k=400) + ["defxyz"]) for _ in range(20)] + [" ".join(common * 60)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    frequent = set(lm_score._frequent(df, "text"))
-    words = Counter(w for t in texts for w in t.split())
+def _plain_scores(spark, df):
+    """Document sums worked out word by word, with plain counts of words and windows and the fitted network."""
+    encoded = lm_score.encode(df, "doc_id", "text").cache()
+    frequent, _ = lm_score.word_shares(encoded)
+    net = lm_score.fit(encoded, frequent)
+    rows = [(r["doc_id"], (r["text"] or "").lower().split()) for r in df.collect()]
+    words = Counter(w for _, ws in rows for w in ws)
+    code = {w: lm_score.word_code(w) for w in words}
+    kind = {w: int(lm_score.classes_of(np.array([code[w]]), frequent)[0]) for w in words}
     total = Counter()
-    bucket = lambda w: w if w in frequent else crc32(w[-3:].encode()) % lm_score.HASHED
     for w, n in words.items():
-        total[bucket(w)] += n
-    whole, part = ({r["doc_id"]: r for r in f(df.coalesce(1)).collect()} for f in (lm_score.score_words, lm_score.score))
-    for k, t in enumerate(texts):
-        want = sum(np.log(words[w] / total[bucket(w)]) for w in t.split())
-        assert whole[k]["pll"] - part[k]["pll"] == pytest.approx(want, rel=1e-3, abs=0.05)
-    assert "defxyz" not in frequent and whole[1]["pll"] - whole[0]["pll"] == pytest.approx(np.log(21), abs=1e-3)
-    rows = lm_score.score_words(odd).collect()
+        total[kind[w]] += n
+    seen, around = Counter(), Counter()
+    window = lambda ws, i: tuple(ws[j] if 0 <= j < len(ws) else None for j in (i - 2, i - 1, i + 1, i + 2))
+    for _, ws in rows:
+        for i, w in enumerate(ws):
+            seen[window(ws, i), w] += 1
+            around[window(ws, i)] += 1
+    out = []
+    for i, ws in rows:
+        pll = 0.0
+        for j, w in enumerate(ws):
+            near = [np.array([lm_score.PAD if x is None else kind[x]]) for x in window(ws, j)]
+            p = np.exp(float(net.run(near, np.array([kind[w]]))[0])) * words[w] / total[kind[w]]
+            pll += np.log((seen[window(ws, j), w] - 1 + p) / (around[window(ws, j)] - 1 + 1))
+        out.append((i, len(ws), pll))
+    return out, words, kind
+
+
+def test_document_sums_equal_brute_force(spark, docs, monkeypatch):
+    rng = random.Random(3)
+    common = [f"c{k}" for k in range(700)]
+    texts = ["c1 c2 abcxyz c3", "c1 c2 defxyz c3"] + [" ".join(rng.choices(common, k=300)) for _ in range(20)] + [" ".join(common * 4)]
+    texts += [texts[4], texts[4], texts[5], None, "", "  ", "one", "one"] + [r["text"] for r in docs.limit(12).collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    want, words, kind = _plain_scores(spark, df)
+    got = {r["doc_id"]: r for r in lm_score.score(df).collect()}
+    assert len(got) == len(texts)
+    for i, n, pll in want:
+        assert got[i]["n_tokens"] == n and got[i]["pll"] == pytest.approx(pll, rel=2e-4, abs=2e-3)
+    # Given a window the words' probabilities sum to one, over all words of the corpus.
+    shares = Counter()
+    for w, n in words.items():
+        shares[kind[w]] += n
+    assert all(sum(n / shares[k] for w, n in words.items() if kind[w] == k) == pytest.approx(1) for k in set(kind.values()))
+
+
+def test_texts_that_occur_twice_stand_out(spark, docs):
+    rng = random.Random(7)
+    words = [w for r in docs.limit(40).collect() for w in (r["text"] or "").split()]
+    once = [" ".join(rng.choices(words, k=80)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(once + once[:10])), "doc_id long, text string").repartition(3)
+    mean = {r["doc_id"]: r["mean_pll"] for r in lm_score.score(df).collect()}
+    again = [mean[k] for k in (*range(10), *range(60, 70))]
+    assert min(again) > max(mean[k] for k in range(10, 60)) + 2
+
+
+def test_chunks_and_parts_change_no_count(spark, docs, monkeypatch):
+    """Counts of windows are the corpus's, however it is cut."""
+    want = None
+    for parts in (1, 6):
+        encoded = lm_score.encode(docs.repartition(parts), "doc_id", "text").cache()
+        total, keys = Counter(), {}
+        for r in lm_score.window_counts(encoded).collect():
+            own = np.frombuffer(bytes(r["keys"]), np.uint64).tolist()
+            keys.update(zip(own, zip(np.frombuffer(bytes(r["same"]), np.int64).tolist(), np.frombuffer(bytes(r["all"]), np.int64).tolist())))
+        assert want is None or keys == want
+        want = keys
+        monkeypatch.setattr(lm_score, "WINDOWS", 4096)
+    assert want and all(a <= b and b > 1 for a, b in want.values())
+
+
+def test_scores_of_odd_tables(spark, odd):
+    rows = lm_score.score(odd).collect()
     got = {r["doc_id"]: r for r in rows}
     assert len(rows) == odd.count() and (got[0]["n_tokens"], got[0]["pll"], got[3]["n_tokens"]) == (0, 0.0, 0)
-    assert lm_score.score_words(odd.limit(0)).count() == 0
+    assert lm_score.score(odd.limit(0)).count() == 0
+    long = spark.createDataFrame([(1, "word other " * 400_000), (2, "x" * 2_000_000)], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_tokens"] for r in lm_score.score(long).collect()} == {1: 800_000, 2: 1}
 
 
 # -- the pipeline
