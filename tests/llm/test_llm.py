@@ -907,3 +907,13 @@ def test_pipeline_stages_on_odd_tables(spark, odd, tmp_path):
     assert corpus_pipeline.distinct_documents(spark, docs, SF).where("doc_id = 4").count() == 1
     left = {r["doc_id"] for r in corpus_pipeline.distinct_documents(spark, docs, SF).collect()}
     assert None in left and 3 in left
+
+
+def test_different_texts_of_one_id_stay(spark):
+    import corpus_pipeline
+
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    rows = [(1, text(1)), (1, text(2)), (1, text(1)), (2, text(2)), (3, text(3)), (None, text(4)), (None, text(4)), (None, text(3)), (4, None)]
+    docs = spark.createDataFrame([(i, t, "row_key", 1.0) for i, t in rows], "doc_id long, text string, row_key string, key double")
+    got = sorted(((r["doc_id"] or 0, (r["text"] or "")[:4]) for r in corpus_pipeline.distinct_documents(spark, docs, SF).collect()))
+    assert got == [(0, "w4x0"), (1, "w1x0"), (1, "w2x0"), (3, "w3x0"), (4, "")]
