@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.llm import langid, near_dedup, packing, quality
-from terraloom.llm.common import release, shared_table, small_batches, table
+from terraloom.llm.common import cut, release, shared_table, small_batches, table
 
 #: A document whose language is less certain than this goes, as does one without any letter.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -55,7 +55,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts stay; without any label for them, all do."""
+    """Documents that the quality classifier accepts stay; without any label for them, all do. A null text is judged
+    as an empty one; null and repeated ids are judged each by its text; very long texts are read whole."""
     model = spark.sparkContext.broadcast(quality.fit(docs, table(spark, sf_dir, "labels")))
 
     def make():
@@ -66,19 +67,28 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the smallest id stays. Rows with a null id all stay."""
-    classes = near_dedup.near_duplicates(docs)
-    first = classes.where("doc_id = class_id").select("doc_id")
-    kept = docs.join(first, "doc_id", "left_semi")
-    ids = docs.select("doc_id").where("doc_id is not null")
-    if ids.count() > ids.distinct().count():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    """Of each class of near-duplicates one document stays, that with the smallest id; null ids come last.
+
+    A document is an id with its text: different texts under one id are different documents, and so are rows without
+    an id; equal texts under one id are one. A null text is no copy of anything. Very long texts are compared whole.
+    """
+    row = next(c for c in ("row_key", *(f"row_key_{k}" for k in range(len(docs.columns) + 1))) if c not in docs.columns)
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    classes = near_dedup.near_duplicates(keyed, id_col=row)
+    ids = keyed.select(F.col(row).alias("key"), "doc_id")
+    chosen = classes.select(F.col("doc_id").alias("key"), "class_id").join(ids, "key").groupBy("class_id")
+    first = cut(chosen.agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m")).select(F.col("m.key").alias(row)))
+    n = first.count()
+    kept = keyed.join(F.broadcast(first) if n <= near_dedup.BROADCAST_IDS else first, row, "left_semi")
+    if kept.select(row).count() > n:  # repeated rows
+        kept = kept.withColumn(f"{row}_md5", F.md5("text")).dropDuplicates([row, "doc_id", f"{row}_md5"])
+    return kept.select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The remaining documents as pieces of sequences of at most 2048 tokens. After three other stages an executor has
-    less memory to spare, so fewer chunks are remembered."""
+    """The remaining documents as pieces of sequences of at most 2048 tokens; null and repeated ids are packed each for
+    itself, a null text as an empty one. After three other stages an executor has less memory to spare, so fewer
+    chunks are remembered."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=40_000, merged=1 << 20)
 
 
