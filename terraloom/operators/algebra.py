@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraloom.sources.staging import if_small
+
 
 def lookup(v: Column, points: list[tuple[float, float]]) -> Column:
     """Piecewise linear table (in, out), clamped at its ends. Points ascend; a vertical step takes its last value."""
@@ -43,7 +45,7 @@ def all_valid(*masks: Column) -> Column:
 
 def palette(px: DataFrame, colours: DataFrame, index: str) -> DataFrame:
     """Expand palette indexes to colours (index, r, g, b, a); the table has at most a few hundred rows."""
-    return px.join(F.broadcast(colours), index, "left")
+    return px.join(if_small(colours), index, "left")
 
 
 def spectral_angle(bands: Column, reference: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraloom.sources.staging import if_small
+
 from terraloom.functions import geo
 
 #: Latitudes beyond this have no place in the mercator copy of an extent (fixed value).
@@ -82,7 +84,7 @@ def first_format(files: DataFrame, key: str, ext: str, priority: list[str]) -> D
 
 def first_match(files: DataFrame, patterns: DataFrame, group: str, name: str, pos: str) -> DataFrame:
     """For each group and pattern the first file, by position, that has the pattern in its name in any case."""
-    met = files.join(F.broadcast(patterns), F.lower(name).contains(F.lower("pattern")))
+    met = files.join(if_small(patterns, 1000), F.lower(name).contains(F.lower("pattern")))
     return met.groupBy(group, "pattern").agg(F.min_by(name, pos).alias(name), F.min(pos).alias(pos))
 
 
@@ -105,4 +107,4 @@ def day_walk(spans: DataFrame, present: DataFrame) -> DataFrame:
 
 def for_each_dataset(px: DataFrame, configs: DataFrame, on: Column) -> DataFrame:
     """Fan out: each configured sub-dataset sees the rows that its condition selects."""
-    return px.join(F.broadcast(configs), on)
+    return px.join(if_small(configs, 1000), on)

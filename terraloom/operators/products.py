@@ -89,7 +89,7 @@ def warp(px: DataFrame, target: DataFrame, source: Grid, inverse: Callable[[Colu
 def pixel_sizes(geolocation: DataFrame, *keys: str) -> DataFrame:
     """Degrees of a pixel of each granule: the step of longitude in the middle of its middle line."""
     mid = geolocation.groupBy(*keys).agg(F.expr("(max(l) + 1) div 2").alias("l"), F.expr("(max(s) + 1) div 2").alias("_s"))
-    near = geolocation.join(F.broadcast(mid), [*keys, "l"]).where("s between _s and _s + 1")
+    near = geolocation.join(mid, [*keys, "l"]).where("s between _s and _s + 1")
     return near.groupBy(*keys).agg(F.abs(F.max_by("lon", "s") - F.min_by("lon", "s")).alias("pixel"))
 
 
@@ -141,12 +141,35 @@ def multiband(px: DataFrame, how: Composite) -> DataFrame:
     return px.select("l", "s", *[F.coalesce(F.when(valid, byte(c)), F.lit(0)).alias(n) for n, c in zip("rgb", shown)], F.when(valid, 255).otherwise(0).alias("a"))
 
 
-def destripe_granules(px: DataFrame, granules: DataFrame, reference: int, bad: list[int], detectors: int) -> DataFrame:
-    """Destripe the granules that are not destriped yet; the others are passed on as they are."""
-    todo = px.join(F.broadcast(granules.where("NOT destriped").select("granule")), "granule", "left_semi")
-    done = px.join(F.broadcast(granules.where("destriped").select("granule")), "granule", "left_semi")
-    fixed = destripe.replace_bad(destripe.destripe(todo, reference).withColumn("v", F.col("out")).drop("out"), bad, detectors)
-    return done.unionByName(fixed)
+def destripe_granules(px: DataFrame, granules: DataFrame, config: DataFrame, mirror: DataFrame, strip: int) -> DataFrame:
+    """Destripe the bands of the granules that are not destriped yet; everything else is passed on as it is.
+
+    px: granule, band, scan (from 0 in each granule), row (of ``strip`` in a scan), s, v. granules: granule,
+    destriped. config: band, ref (row of the reference detector), bad (rows); bands without an entry are passed on.
+    mirror: granule, scan, side. A detector is a row on a mirror side; the reference's side is that of the scan
+    numbered as its row. A band of fewer valid pixels than one strip has pixels is passed on. Each band of each
+    granule is matched by its own distributions alone, and rows in are rows out.
+    """
+    columns = px.columns
+    keys = ["granule", "band", "ref"]
+    side = mirror.select("granule", F.col("scan").alias("ref"), F.col("side").alias("_ref_side"))
+    set_up = px.join(granules.where("NOT destriped").select("granule", F.lit(True).alias("_todo")), "granule", "left").join(config, "band", "left")
+    counts = set_up.where("_todo and ref is not null").groupBy("granule", "band").agg(F.count_if(destripe.valid()).alias("_valid"), (F.max("s") + 1).alias("_samples"))
+    set_up = set_up.join(counts.where(F.col("_valid") >= strip * F.col("_samples")).select("granule", "band", F.lit(True).alias("_enough")), ["granule", "band"], "left")
+    done = set_up.where("_enough is null").select(*columns)
+    todo = set_up.where("_enough").drop("_todo", "_enough")
+    todo = todo.join(mirror, ["granule", "scan"], "left").join(side, ["granule", "ref"], "left")
+    todo = todo.withColumn("det", F.col("row") + strip * F.coalesce("side", F.lit(0))).withColumn("ref", F.col("ref") + strip * F.coalesce("_ref_side", F.lit(0)))
+    matched = destripe.destripe(todo, F.col("ref"), *keys).withColumn("v", F.col("out"))
+    fixed = destripe.replace_bad(matched, F.col("bad"), strip, "granule", "band", det="row")
+    return done.unionByName(fixed.select(*columns))
+
+
+def stamp_destriped(granules: DataFrame, config: DataFrame) -> DataFrame:
+    """The granules after destriping: marked as such, with the configuration as text (band, reference, bad rows)."""
+    line = F.concat_ws(",", "band", "ref", F.array_join("bad", " "))
+    text = config.agg(F.array_join(F.sort_array(F.collect_list(line)), ";").alias("destripe_config"))  # a row of some bands
+    return granules.crossJoin(F.broadcast(text)).withColumn("destripe_config", F.when(~F.col("destriped"), F.col("destripe_config"))).withColumn("destriped", F.lit(True))
 
 
 def relief(dem: DataFrame, rows: list[tuple[int, int, int, float]], pixel: float, land: bool = True, nodata: float = -9999.0) -> DataFrame:

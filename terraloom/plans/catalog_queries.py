@@ -79,12 +79,12 @@ def touched_only(spark, sf_dir):
 #: Formats of a mirror in the order in which they are looked for (fixed values).
 FORMATS = ["tif", "zip", "tar.gz", "tgz", "tar.bz2", "tar", "jp2", "png", "jpg", "gif"]
 _EXT = ["tif", "zip", "tgz", "png", "jpg", "xml"]
-_LISTED = "listed AS (SELECT page_id, page_id // 6 AS grp, ['tif', 'zip', 'tgz', 'png', 'jpg', 'xml'][1 + CAST((page_id * 5 + page_id // 6) % 6 AS INTEGER)] AS ext FROM pages WHERE page_id % 6 < 3)"
+_LISTED = "listed AS (SELECT page_id, page_id // 3 AS grp, ['tif', 'zip', 'tgz', 'png', 'jpg', 'xml'][1 + CAST((page_id * 5 + page_id // 6) % 6 AS INTEGER)] AS ext FROM pages)"
 
 
 def _listed(spark, sf_dir):
     ext = F.element_at(F.array(*map(F.lit, _EXT)), (1 + (F.col("page_id") * 5 + F.expr("page_id div 6")) % 6).cast("int"))
-    return table(spark, sf_dir, "pages").where("page_id % 6 < 3").select("page_id", F.expr("page_id div 6").alias("grp"), ext.alias("ext"))
+    return table(spark, sf_dir, "pages").select("page_id", F.expr("page_id div 3").alias("grp"), ext.alias("ext"))
 
 
 @query(f"""WITH {_LISTED}, ranked AS (SELECT *, list_position(['tif', 'zip', 'tar.gz', 'tgz', 'tar.bz2', 'tar', 'jp2', 'png', 'jpg', 'gif'], ext) AS rank FROM listed),
@@ -119,13 +119,13 @@ def complete_products(spark, sf_dir):
     return catalog.complete(catalog.first_match(_files(spark, sf_dir), _patterns(spark), "grp", "name", "pos"), "grp", 3)
 
 
-@query("""WITH f AS (SELECT doc_id // 5 AS base, ['tif', 'tfw', 'aux', 'aux.xml', 'tif'][1 + CAST(doc_id * 3 % 5 AS INTEGER)] AS ext, doc_id FROM documents WHERE doc_id % 5 <> 3),
+@query("""WITH f AS (SELECT doc_id // 5 AS base, ['tif', 'tfw', 'aux', 'aux.xml', 'tif'][1 + CAST(doc_id * 3 % 5 AS INTEGER)] AS ext, doc_id FROM documents),
 g AS (SELECT base, ext, 'f' || CAST(doc_id AS VARCHAR) || '.' || ext AS name FROM f)
 SELECT base, min(name) FILTER (WHERE ext NOT IN ('tfw', 'aux', 'aux.xml')) AS main, coalesce(string_agg(DISTINCT name, ';' ORDER BY name) FILTER (WHERE ext IN ('tfw', 'aux', 'aux.xml')), '') AS sidecars
 FROM g GROUP BY base HAVING main IS NOT NULL""")
 def sidecar_groups(spark, sf_dir):
     ext = F.element_at(F.array(*map(F.lit, ["tif", "tfw", "aux", "aux.xml", "tif"])), (1 + F.col("doc_id") * 3 % 5).cast("int"))
-    files = table(spark, sf_dir, "documents").where("doc_id % 5 <> 3").select(F.expr("doc_id div 5").alias("base"), ext.alias("ext"), "doc_id")
+    files = table(spark, sf_dir, "documents").select(F.expr("doc_id div 5").alias("base"), ext.alias("ext"), "doc_id")
     files = files.withColumn("name", F.concat(F.lit("f"), F.col("doc_id").cast("string"), F.lit("."), F.col("ext")))
     return catalog.with_sidecars(files, "base", "name", "ext", ["tfw", "aux", "aux.xml"])
 

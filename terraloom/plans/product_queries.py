@@ -47,13 +47,13 @@ def client_state(spark, sf_dir):
     )
 
 
-@query(f"""WITH {PX1}, d AS (SELECT l, s, sqrt(v) AS v FROM px1), t AS (SELECT l AS tl, s AS ts, (10.0 - l * 0.07::DOUBLE - (-30.0)) AS y_, s * 0.3::DOUBLE + 1 AS x FROM d WHERE l < 60),
+@query(f"""WITH {PX1}, d AS (SELECT l, s, sqrt(v) AS v FROM px1), t AS (SELECT l AS tl, s AS ts, (10.0 - l * 0.07::DOUBLE - (-30.0)) AS y_, s * 0.3::DOUBLE + 1 AS x FROM d),
 q AS (SELECT tl, ts, (20.0 - (10.0 - tl * 0.07::DOUBLE)) / 0.5 - 0.5 AS pl, ((ts * 0.3::DOUBLE + 1) - 0.0) / 0.5 - 0.5 AS ps FROM t), r AS (SELECT *, CAST(floor(pl) AS BIGINT) AS l0, CAST(floor(ps) AS BIGINT) AS s0 FROM q)
 SELECT tl, ts, round((1 - (pl - l0)) * ((1 - (ps - s0)) * a.v + (ps - s0) * b.v) + (pl - l0) * ((1 - (ps - s0)) * c.v + (ps - s0) * d.v), 7) AS v
 FROM r JOIN d a ON a.l = l0 AND a.s = s0 JOIN d b ON b.l = l0 AND b.s = s0 + 1 JOIN d c ON c.l = l0 + 1 AND c.s = s0 JOIN d d ON d.l = l0 + 1 AND d.s = s0 + 1""")
 def warp_grid(spark, sf_dir):
     px = px1(spark, sf_dir).selectExpr("l", "s", "sqrt(v) AS v")
-    target = px.where("l < 60").selectExpr("l AS tl", "s AS ts", "s * 0.3D + 1 AS x", "10D - l * 0.07D AS y")
+    target = px.selectExpr("l AS tl", "s AS ts", "s * 0.3D + 1 AS x", "10D - l * 0.07D AS y")
     out = products.warp(px, target, Grid(0.0, 20.0, 0.5), lambda x, y: (x, y))
     return out.withColumn("v", F.round("v", 7))
 
@@ -79,9 +79,51 @@ def multiband_composite(spark, sf_dir):
     return products.multiband(pxw(spark, sf_dir), products.Composite(["b1", "b2", "b3"], nodata=0.0, low=-300.0, high=300.0))
 
 
-@query(f"WITH {DN} SELECT 'g' || CAST(scan % 2 AS VARCHAR) AS granule, count(*) AS n, CAST(sum(v) FILTER (WHERE scan % 2 = 1) AS BIGINT) AS passed_on FROM dn GROUP BY 1")
+_PXG = f"""{DN}, pxg AS (SELECT 'g' || CAST(scan % 3 AS VARCHAR) AS granule, 1 AS band, scan // 3 AS scan, det AS row, s, v FROM dn
+UNION ALL SELECT 'g' || CAST(scan % 3 AS VARCHAR), 2, scan // 3, det, s, CASE WHEN v = -1 THEN -1 ELSE v * 2 + det END FROM dn UNION ALL SELECT 'g' || CAST(scan % 3 AS VARCHAR), 3, scan // 3, det, s, v FROM dn),
+mirror AS (SELECT DISTINCT granule, scan, scan % 2 AS side FROM pxg), counts AS (SELECT granule, band, count(*) FILTER (WHERE v BETWEEN 0 AND 32767) >= 10 * (max(s) + 1) AS enough FROM pxg GROUP BY granule, band)"""
+
+
+def _pxg(spark, sf_dir):
+    """Three granules with two mirror sides and three bands."""
+    base = dn(spark, sf_dir).selectExpr("concat('g', scan % 3) AS granule", "scan div 3 AS scan", "det AS row", "s", "v")
+    bands = [(1, "v"), (2, "CASE WHEN v = -1 THEN -1 ELSE v * 2 + row END"), (3, "v")]
+    return base.withColumn("b", F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.expr(v).alias("v")) for b, v in bands]))).select("granule", "b.band", "scan", "row", "s", "b.v")
+
+
+def _granules(spark):
+    return spark.createDataFrame([("g0", False), ("g1", False), ("g2", True)], "granule string, destriped boolean")
+
+
+def _detectors(spark):
+    """Band 3 is not configured."""
+    return spark.createDataFrame([(1, 3, [2, 7, 8]), (2, 5, [])], "band int, ref int, bad array<int>")
+
+
+@query(f"""WITH {_PXG}, cfg AS (SELECT * FROM (VALUES (1, 3), (2, 5)) t(band, ref)),
+m AS (SELECT p.granule, p.band, p.scan, p.row, p.s, p.v, p.row + 10 * z.side AS det, cfg.ref + 10 * coalesce(y.side, 0) AS refdet FROM pxg p JOIN cfg ON cfg.band = p.band JOIN counts c ON c.granule = p.granule AND c.band = p.band AND c.enough
+JOIN mirror z ON z.granule = p.granule AND z.scan = p.scan LEFT JOIN mirror y ON y.granule = p.granule AND y.scan = cfg.ref WHERE p.granule <> 'g2'),
+hist AS (SELECT granule, band, refdet, det, v, count(*) AS n FROM m WHERE v BETWEEN 0 AND 32767 GROUP BY ALL),
+edfs AS (SELECT *, CAST(sum(n) OVER (PARTITION BY granule, band, det ORDER BY v) AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY granule, band, det) AS DOUBLE) AS edf FROM hist),
+ref AS (SELECT granule, band, v, edf, row_number() OVER (PARTITION BY granule, band ORDER BY edf) AS rn FROM edfs WHERE det = refdet),
+brk AS (SELECT e.granule, e.band, e.det, e.v, e.edf, min(r.v) FILTER (WHERE r.edf >= e.edf) AS hv, min(r.edf) FILTER (WHERE r.edf >= e.edf) AS he, max(r.v) FILTER (WHERE r.edf < e.edf) AS lv, max(r.edf) FILTER (WHERE r.edf < e.edf) AS le,
+min(r.v) FILTER (WHERE r.rn = 2) AS v1, min(r.edf) FILTER (WHERE r.rn = 2) AS e1 FROM edfs e JOIN ref r ON r.granule = e.granule AND r.band = e.band WHERE e.det <> e.refdet GROUP BY e.granule, e.band, e.det, e.v, e.edf),
+lut AS (SELECT granule, band, det, v, CAST(floor(CASE WHEN lv IS NULL THEN coalesce(hv + (v1 - hv) / (e1 - he) * (edf - he), hv) WHEN hv IS NULL THEN lv ELSE lv + (edf - le) / (he - le) * (hv - lv) END + 0.5) AS BIGINT) AS lut FROM brk),
+new AS (SELECT m.*, CASE WHEN lut BETWEEN 0 AND 32767 THEN lut ELSE m.v END AS mv FROM m LEFT JOIN lut ON lut.granule = m.granule AND lut.band = m.band AND lut.det = m.det AND lut.v = m.v),
+half AS (SELECT granule, band, count(*) // 2 AS half FROM m GROUP BY granule, band),
+h0 AS (SELECT granule, band, v, sum(count(*)) OVER (PARTITION BY granule, band ORDER BY v) AS cum FROM new WHERE v BETWEEN 0 AND 32767 GROUP BY granule, band, v),
+h1 AS (SELECT granule, band, mv AS v, sum(count(*)) OVER (PARTITION BY granule, band ORDER BY mv) AS cum FROM new WHERE mv BETWEEN 0 AND 32767 GROUP BY granule, band, mv),
+meds AS (SELECT h.granule, h.band, (SELECT min(v) FROM h0 WHERE h0.granule = h.granule AND h0.band = h.band AND cum >= half) AS before, (SELECT min(v) FROM h1 WHERE h1.granule = h.granule AND h1.band = h.band AND cum >= half) AS after FROM half h),
+shifted AS (SELECT n.granule, n.band, scan, row, s, CASE WHEN v BETWEEN 0 AND 32767 THEN mv - (after - before) ELSE v END AS v FROM new n LEFT JOIN meds d ON d.granule = n.granule AND d.band = n.band),
+reps AS (SELECT * FROM (VALUES (1, 2, 1), (1, 7, 6), (1, 8, 9)) t(band, bad, rep))
+SELECT x.granule, x.band, x.scan, x.row, x.s, coalesce(g.v, x.v) AS v FROM shifted x LEFT JOIN reps r ON r.band = x.band AND r.bad = x.row LEFT JOIN shifted g ON g.granule = x.granule AND g.band = x.band AND g.scan = x.scan AND g.s = x.s AND g.row = r.rep
+UNION ALL SELECT p.granule, p.band, scan, row, s, v FROM pxg p JOIN counts c ON c.granule = p.granule AND c.band = p.band WHERE p.granule = 'g2' OR p.band = 3 OR NOT c.enough""")
 def destripe_granules(spark, sf_dir):
-    px = dn(spark, sf_dir).withColumn("granule", F.concat(F.lit("g"), (F.col("scan") % 2).cast("string")))
-    granules = spark.createDataFrame([("g0", False), ("g1", True)], "granule string, destriped boolean")
-    out = products.destripe_granules(px, granules, 3, [], 10)
-    return out.groupBy("granule").agg(F.count("*").alias("n"), F.sum(F.when(F.col("granule") == "g1", F.col("v"))).alias("passed_on"))
+    px = _pxg(spark, sf_dir)
+    mirror = px.select("granule", "scan", (F.col("scan") % 2).alias("side")).distinct()
+    return products.destripe_granules(px, _granules(spark), _detectors(spark), mirror, 10)
+
+
+@query("SELECT * FROM (VALUES ('g0', true, '1,3,2 7 8;2,5,'), ('g1', true, '1,3,2 7 8;2,5,'), ('g2', true, NULL)) t(granule, destriped, destripe_config)")
+def destripe_stamp(spark, sf_dir):
+    return products.stamp_destriped(_granules(spark), _detectors(spark))

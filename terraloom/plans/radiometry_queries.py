@@ -80,10 +80,10 @@ def edf_cumulative(spark, sf_dir):
     return ds.edf(dn(spark, sf_dir), "det").withColumn("edf", F.round("edf", 9))
 
 
-_LUT = f"""{_EDF}, ref AS (SELECT v, edf FROM edfs WHERE det = 3),
-brk AS (SELECT e.det, e.v, e.edf, min(r.v) FILTER (WHERE r.edf >= e.edf) AS hv, min(r.edf) FILTER (WHERE r.edf >= e.edf) AS he, max(r.v) FILTER (WHERE r.edf < e.edf) AS lv, max(r.edf) FILTER (WHERE r.edf < e.edf) AS le
+_LUT = f"""{_EDF}, ref AS (SELECT v, edf, row_number() OVER (ORDER BY edf) AS rn FROM edfs WHERE det = 3),
+brk AS (SELECT e.det, e.v, e.edf, min(r.v) FILTER (WHERE r.edf >= e.edf) AS hv, min(r.edf) FILTER (WHERE r.edf >= e.edf) AS he, max(r.v) FILTER (WHERE r.edf < e.edf) AS lv, max(r.edf) FILTER (WHERE r.edf < e.edf) AS le, min(r.v) FILTER (WHERE r.rn = 2) AS v1, min(r.edf) FILTER (WHERE r.rn = 2) AS e1
 FROM edfs e, ref r WHERE e.det <> 3 GROUP BY e.det, e.v, e.edf),
-lut AS (SELECT det, v, CAST(floor(CASE WHEN lv IS NULL THEN hv WHEN hv IS NULL THEN lv ELSE lv + (edf - le) / (he - le) * (hv - lv) END + 0.5) AS BIGINT) AS lut FROM brk)"""
+lut AS (SELECT det, v, CAST(floor(CASE WHEN lv IS NULL THEN coalesce(hv + (v1 - hv) / (e1 - he) * (edf - he), hv) WHEN hv IS NULL THEN lv ELSE lv + (edf - le) / (he - le) * (hv - lv) END + 0.5) AS BIGINT) AS lut FROM brk)"""
 
 
 @query(f"WITH {_LUT} SELECT det, v, lut FROM lut")

@@ -20,7 +20,7 @@ def _warp(l, s):
 
 _WARPED = f"{PX1}, warped AS (SELECT l, s, sqrt(v) AS v, {_W[0]} AS ol, {_W[1]} AS os FROM px1)"
 _QUADS = f"{_WARPED}, quads AS (SELECT a.l, a.s, a.ol AS p0l, a.os AS p0s, b.ol AS p1l, b.os AS p1s, c.ol AS p2l, c.os AS p2s, d.ol AS p3l, d.os AS p3s FROM warped a JOIN warped b ON b.l = a.l AND b.s = a.s + 1 JOIN warped c ON c.l = a.l + 1 AND c.s = a.s + 1 JOIN warped d ON d.l = a.l + 1 AND d.s = a.s)"
-_CELLS = f"""{_QUADS}, cand AS (SELECT * FROM (SELECT *, unnest(generate_series(greatest(CAST(trunc(least(p0l, p1l, p2l, p3l)) AS BIGINT), 0), least(CAST(trunc(greatest(p0l, p1l, p2l, p3l)) AS BIGINT) + 1, 40) - 1)) AS outl FROM quads)),
+_CELLS = f"""{_QUADS}, cand AS (SELECT * FROM (SELECT *, unnest(generate_series(greatest(CAST(trunc(least(p0l, p1l, p2l, p3l)) AS BIGINT), 0), least(CAST(trunc(greatest(p0l, p1l, p2l, p3l)) AS BIGINT) + 1, (SELECT max(l) + 1 FROM px1)) - 1)) AS outl FROM quads)),
 cand2 AS (SELECT *, unnest(generate_series(greatest(CAST(trunc(least(p0s, p1s, p2s, p3s)) AS BIGINT), 0), least(CAST(trunc(greatest(p0s, p1s, p2s, p3s)) AS BIGINT) + 1, 40) - 1)) AS outs FROM cand),
 det AS (SELECT *, (p3l - p0l) * (p1s - p0s) - (p3s - p0s) * (p1l - p0l) AS d1, (p1l - p2l) * (p3s - p2s) - (p1s - p2s) * (p3l - p2l) AS d2 FROM cand2),
 uv AS (SELECT *, ((outl - p0l) * (p1s - p0s) - (outs - p0s) * (p1l - p0l)) / d1 AS v1, ((p3l - p0l) * (outs - p0s) - (p3s - p0s) * (outl - p0l)) / d1 AS u1,
@@ -34,9 +34,15 @@ def _warped(spark, sf_dir):
     return px1(spark, sf_dir).selectExpr("l", "s", "sqrt(v) AS v", f"{ol} AS ol", f"{os} AS os")
 
 
+def _lines(px):
+    """As many output lines as the band has."""
+    return (px.agg(F.max("l")).first()[0] or 0) + 1
+
+
 @query(f"WITH {_CELLS} SELECT l, s, outl, outs, round(dl, 6) AS dl, round(ds, 6) AS ds FROM cells")
 def quad_expand(spark, sf_dir):
-    out = rs.expand(rs.quads(_warped(spark, sf_dir)), 40, 40)
+    px = _warped(spark, sf_dir)
+    out = rs.expand(rs.quads(px), _lines(px), 40)
     return out.select("l", "s", "outl", "outs", F.round("dl", 6).alias("dl"), F.round("ds", 6).alias("ds"))
 
 
@@ -48,13 +54,14 @@ contrib AS (SELECT outl, outs, s.l, s.s, w, v FROM spread s JOIN warped p ON p.l
 @query(f"WITH {_BI} SELECT outl, outs, l, s, round(w, 9) AS w FROM contrib")
 def triangle_weights(spark, sf_dir):
     px = _warped(spark, sf_dir)
-    return rs.contributions(rs.expand(rs.quads(px), 40, 40), px, "bi").select("outl", "outs", "l", "s", F.round("w", 9).alias("w"))
+    return rs.contributions(rs.expand(rs.quads(px), _lines(px), 40), px, "bi").select("outl", "outs", "l", "s", F.round("w", 9).alias("w"))
 
 
 @query(f"""WITH {_BI}, agg AS (SELECT outl, outs, sum(w) AS w, sum(v * w) AS vw FROM contrib GROUP BY outl, outs)
-SELECT outl, outs, round(coalesce(CASE WHEN w > 0.1 THEN vw / w END, -1.0), 9) AS v FROM (SELECT unnest(generate_series(0::BIGINT, 39::BIGINT)) AS outl) CROSS JOIN (SELECT unnest(generate_series(0::BIGINT, 39::BIGINT)) AS outs) LEFT JOIN agg USING (outl, outs)""")
+SELECT outl, outs, round(coalesce(CASE WHEN w > 0.1 THEN vw / w END, -1.0), 9) AS v FROM (SELECT unnest(generate_series(0::BIGINT, (SELECT max(l) FROM px1))) AS outl) CROSS JOIN (SELECT unnest(generate_series(0::BIGINT, 39::BIGINT)) AS outs) LEFT JOIN agg USING (outl, outs)""")
 def swath_to_grid(spark, sf_dir):
-    return rs.swath_to_grid(_warped(spark, sf_dir), "bi", 40, 40, -1.0).select("outl", "outs", F.round("v", 9).alias("v"))
+    px = _warped(spark, sf_dir)
+    return rs.swath_to_grid(px, "bi", _lines(px), 40, -1.0).select("outl", "outs", F.round("v", 9).alias("v"))
 
 
 @query(f"WITH {ACC} SELECT ol, os, round(CASE WHEN sum(w) > 0.1 THEN sum(v * w) / sum(w) END, 8) AS v FROM acc GROUP BY ol, os")
@@ -67,11 +74,11 @@ def nearest_by_weight(spark, sf_dir):
     return rs.nearest(acc(spark, sf_dir), "ol", "os", order=("src", "src2"))
 
 
-@query(f"""WITH {ACC}, agg AS (SELECT ol, os, CASE WHEN sum(w) > 0.1 THEN sum(v * w) / sum(w) END AS v FROM acc WHERE os < 6 GROUP BY ol, os), grid AS (SELECT DISTINCT o_orderkey // 8 AS ol, unnest([1, 2, 3, 4, 5, 6, 7]::BIGINT[]) AS os FROM orders)
+@query(f"""WITH {ACC}, agg AS (SELECT ol, os, CASE WHEN sum(w) > 0.1 THEN sum(v * w) / sum(w) END AS v FROM acc GROUP BY ol, os), grid AS (SELECT DISTINCT o_orderkey // 8 AS ol, unnest([1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]) AS os FROM orders)
 SELECT ol, os, round(coalesce(v, -9999.0), 8) AS v FROM grid LEFT JOIN agg USING (ol, os)""")
 def min_weight_fill(spark, sf_dir):
-    values = rs.weighted(acc(spark, sf_dir).where("os < 6"), "ol", "os").select("ol", "os", "v")
-    grid = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey div 8 AS ol").distinct().withColumn("os", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(7).cast("long"))))
+    values = rs.weighted(acc(spark, sf_dir), "ol", "os").select("ol", "os", "v")
+    grid = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey div 8 AS ol").distinct().withColumn("os", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(8).cast("long"))))
     return rs.on_grid(values, grid, "ol", "os", fill=-9999.0).select("ol", "os", F.round("v", 8).alias("v"))
 
 

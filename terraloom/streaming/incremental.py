@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terraloom.sources.staging import shared_base
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='stream-')}"
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    return f"{shared_base(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def arrivals(spark: SparkSession, path: str, schema, files_per_trigger: int = 64) -> DataFrame:
