@@ -35,6 +35,8 @@ from .common import cut, map_columns, release, shared_table, small_batches
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 misses all of 32 bands of 6 with probability 6e-5.
 BANDS, ROWS = 32, 6
+#: Bytes of a shingle's hash in the sets that are compared.
+SET_BYTES = 5
 #: Counters of shingles (a power of two) and the blocks in which they are summed; the most ids that are broadcast
 #: (8 bytes each).
 COUNTERS, BLOCKS, BROADCAST_IDS = 1 << 21, 64, 1_000_000
@@ -97,8 +99,23 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def packed_set(elements: np.ndarray) -> bytes:
+    """The elements' highest SET_BYTES bytes, sorted, without repeats: two different shingles of a pair of texts with
+    a thousand shingles each share one with probability 1e-6."""
+    short = np.unique(elements >> np.uint64(64 - 8 * SET_BYTES))
+    return short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes()
+
+
+def unpacked_set(data) -> np.ndarray:
+    """The sorted elements of a packed set."""
+    raw = np.frombuffer(data, np.uint8).reshape(-1, SET_BYTES)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :SET_BYTES] = raw
+    return out.view("<i8").ravel()
+
+
 def prepare(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """id, key (digest of the word sequence), keys (of the bands), shingles (sorted 64-bit hashes) of every text.
+    """id, key (digest of the word sequence), keys (of the bands), shingles (packed) of every text.
 
     Words are compared without case and punctuation. A text without words has no shingles and is known by itself."""
 
@@ -111,7 +128,7 @@ def prepare(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str)
                 key.append(blake2b(joined.encode("utf-8", "surrogatepass"), digest_size=16).digest())
                 elements, weights = shingles(words)
                 band.append(band_keys(signature(elements, weights, bands * rows), bands, rows) if words else None)
-                sets.append(elements.astype("<u8").tobytes())
+                sets.append(packed_set(elements))
             return [ids, key, band, sets]
 
         return run
@@ -154,7 +171,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+                x, y = unpacked_set(x.as_buffer()), unpacked_set(y.as_buffer())
                 few, many = sorted((len(x), len(y)))
                 if few < similarity * many - 1e-9:
                     keep.append(False)
@@ -200,12 +217,10 @@ def shingle_counts(sets: DataFrame) -> np.ndarray:
 
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for x in batch.column(0):
-                counts += np.bincount((np.frombuffer(x.as_buffer(), "<u8") & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS) if len(x.as_buffer()) > COUNTERS else 0
-            small = [np.frombuffer(x.as_buffer(), "<u8") for x in batch.column(0) if len(x.as_buffer()) <= COUNTERS]
-            if small:
-                at, n = np.unique(np.concatenate(small) & np.uint64(COUNTERS - 1), return_counts=True)
-                counts[at.astype(np.int64)] += n
+            if batch.num_rows:
+                held = [unpacked_set(x.as_buffer()) & (COUNTERS - 1) for x in batch.column(0)]
+                at, n = np.unique(np.concatenate(held), return_counts=True)
+                counts[at] += n
         blocks = counts.reshape(BLOCKS, -1)
         used = np.flatnonzero(blocks.any(axis=1))
         part = TaskContext.get().partitionId() % 64
@@ -241,7 +256,7 @@ def prefix_pairs(sets: DataFrame, apart: DataFrame, similarity: float) -> DataFr
         for batch in batches:
             ids, toks, places, sizes = [], [], [], []
             for i, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = np.frombuffer(x.as_buffer(), "<i8")
+                x = unpacked_set(x.as_buffer())
                 n = counts[x & (COUNTERS - 1)]
                 keep = len(x) - int(np.ceil(similarity * len(x) - 1e-9)) + 1
                 first = x[np.lexsort((x, n))[:keep]]

@@ -492,7 +492,7 @@ def test_prefix_pairs_lose_nothing(spark):
     sets = near_dedup.prepare(df, 4, 4, "doc_id", "text").select("id", "shingles").cache()
     apart = sets.select("id", F.col("id").alias("class"))
     pairs = {tuple(r) for r in near_dedup.prefix_pairs(sets, apart, 0.8).collect()}
-    arrays = {r["id"]: set(np.frombuffer(bytes(r["shingles"]), "<u8").tolist()) for r in sets.collect()}
+    arrays = {r["id"]: set(near_dedup.unpacked_set(bytes(r["shingles"])).tolist()) for r in sets.collect()}
     want = {(a, b) for a in arrays for b in arrays if a < b and len(arrays[a] & arrays[b]) >= 0.8 * len(arrays[a] | arrays[b])}
     assert want <= pairs and len(pairs) < len(arrays) ** 2 / 4
 
@@ -534,7 +534,7 @@ def test_counters_count_texts(spark):
     sets = near_dedup.prepare(df, 4, 4, "doc_id", "text").select("shingles").cache()
     want = np.zeros(near_dedup.COUNTERS, np.int64)
     for r in sets.collect():
-        np.add.at(want, np.frombuffer(bytes(r["shingles"]), "<i8") & (near_dedup.COUNTERS - 1), 1)
+        np.add.at(want, near_dedup.unpacked_set(bytes(r["shingles"])) & (near_dedup.COUNTERS - 1), 1)
     assert (near_dedup.shingle_counts(sets) == want).all() and want.max() > 50
 
 
