@@ -108,3 +108,39 @@ def shared_table(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def summed_counters(rows: DataFrame, tally: Callable, size: int, blocks: int = 64):
+    """A vector of ``size`` counters, summed over all tasks: ``tally(batches)`` gives a task's own. Blocks of the
+    vector are added up in two steps, one at a time, so that no task holds more than a few, and the driver gets one
+    row for each block."""
+    import numpy as np
+
+    kind, names = "block long, part long, counts binary", ["block", "part", "counts"]
+
+    def batch_of(found: list, part: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([part] * len(found), pa.int64()), pa.array([x.astype(np.int64).tobytes() for _, x in found], pa.binary())], names=names)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        counts = tally(batches).reshape(blocks, -1)
+        found = [(k, counts[k]) for k in np.flatnonzero(counts.any(axis=1)).tolist()]
+        if found:
+            yield batch_of(found, TaskContext.get().partitionId() % 64)
+        release()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict = {}
+        for batch in batches:
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(2)):
+                x = np.frombuffer(x.as_buffer(), np.int64)
+                total[k] = total[k] + x if k in total else x
+        if total:
+            yield batch_of(list(total.items()), 0)
+
+    sums = rows.mapInArrow(own, kind).repartition("block", "part").mapInArrow(add, kind).repartition("block").mapInArrow(add, kind)
+    out = np.zeros((blocks, size // blocks), np.int64)
+    for r in sums.collect():
+        out[r["block"]] += np.frombuffer(bytes(r["counts"]), np.int64)
+    return out.ravel()

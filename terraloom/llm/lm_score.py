@@ -1,21 +1,22 @@
 """Language-model scores by masked pseudo-likelihood (operator 1).
 
-Each word of a document is predicted from the two words before and the two words after it, its window. A small window
-network gives the class of the word by a two-level softmax: the most frequent words are classes of their own, the
-others share classes by their endings. The word's probability is that of its class given the window times its share
-of the class's words in the whole corpus, so that every word of the corpus has a probability and they sum to one.
+The tokens are words, hashed to a vocabulary of two million numbers. Each is predicted from the two words before and
+the two words after it, its window. A small window network gives the class of the token by a two-level softmax: the
+most frequent tokens are classes of their own, the others share classes by their words' endings. The token's
+probability is that of its class given the window times its share of the class's words in the whole corpus; the
+probabilities of all tokens sum to one.
 
 The network cannot remember the corpus, so the windows of all its words are counted too. With m other occurrences of
-the window in the corpus, c of them around the same word, a word's probability is (c + P) / (m + 1), where P is the
+the window in the corpus, c of them around the same token, a token's probability is (c + P) / (m + 1), where P is the
 network's: the network is the prior, the corpus without the place itself the evidence. The summed log probabilities
 of all its words score a document.
 
-Documents are encoded once, in chunks of half a million words with a vocabulary each. Words and windows are counted
-over all chunks by shuffles of what is distinct within a chunk, so a frequent word or window costs a row for each
-chunk, not for each occurrence; the counts go back to the chunks that have them. The network is warmed up on a
+Documents are encoded once, in chunks of half a million words. Windows are counted over all chunks by a shuffle of
+what is distinct within a chunk, so a frequent window costs a row for each chunk, not for each occurrence; the counts
+of windows that the corpus has more than once go back to the chunks that have them. The network is warmed up on a
 bounded sample; then every partition goes on from there over all its words, and the partitions' parameters are
-averaged, weighted by their words, in two summing steps. What is broadcast (the frequent words, one network and the
-totals of the classes) does not grow.
+averaged, weighted by their words, in two summing steps. What is broadcast (the counts of the tokens and one network)
+has a fixed size; the table of windows grows with the corpus.
 """
 
 from __future__ import annotations
@@ -29,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, cut, release, shared_table, small_batches
+from .common import TwoGenerations, cut, release, shared_table, small_batches, summed_counters
 
-#: Frequent words that are classes of their own; the others share as many classes by a hash of their ending, which the
-#: lowest bits of their codes hold.
-FREQUENT, HASHED = 512, 512
+#: Frequent tokens that are classes of their own; the others share as many classes by a hash of their words' endings,
+#: which is the lowest bits of a token. TOKENS is the size of the vocabulary (a power of two).
+FREQUENT, HASHED, TOKENS = 512, 512, 1 << 21
 CLASS = 32  # outputs in a group of the two-level softmax
 CLASSES = (FREQUENT + HASHED) // CLASS
 HIDDEN, OFFSETS, MINIBATCH, RATE = 16, (-2, -1, 1, 2), 8192, 0.08
@@ -44,8 +45,8 @@ CHUNK, CHUNKS_IN_BATCH, WINDOWS = 1 << 19, 8, 2 << 20
 WARM_DOCUMENTS = 400
 _EDGE = max(OFFSETS)
 _G, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-#: A window's key: 48 bits of a hash of the words around, 16 bits of a hash of the word.
-_AROUND = ~np.uint64(0xFFFF)
+#: The lowest bits of a window's key are a hash of its word.
+_WORD_BITS = 16
 
 
 class Network:
@@ -148,26 +149,14 @@ def train(network: Network, chunks: Iterator[tuple[np.ndarray, np.ndarray]], rat
     return seen
 
 
-# -- codes
+# -- tokens and windows
 
 
-def word_code(word: str) -> int:
-    """A word as 64 bits: a hash, and in its lowest bits the class of its ending (in 400 million distinct words 0.005
-    pairs are expected to share a code)."""
+def token_of(word: str) -> int:
+    """The number of a word in the vocabulary: a hash, and in its lowest bits the class of its ending."""
     raw = word.encode("utf-8", "surrogatepass")
     ending = crc32(word[-3:].encode("utf-8", "surrogatepass")) % HASHED
-    return int.from_bytes(blake2b(raw, digest_size=8).digest(), "little", signed=True) & -HASHED | ending
-
-
-def classes_of(codes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The class of each code; ``frequent`` has the codes of the frequent words, by class."""
-    out = (FREQUENT + (codes & (HASHED - 1))).astype(np.int16)
-    if len(frequent):
-        order = np.argsort(frequent)
-        at = np.minimum(np.searchsorted(frequent[order], codes), len(frequent) - 1)
-        hit = frequent[order][at] == codes
-        out[hit] = order[at[hit]]
-    return out
+    return int.from_bytes(blake2b(raw, digest_size=4).digest(), "little") % (TOKENS // HASHED) * HASHED | ending
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -176,47 +165,61 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def window_keys(codes: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The key of the window and word at each place."""
-    own = np.append(_mix(codes.view(np.uint64)), np.uint64(0))
-    line, at = laid(tokens, sizes, len(codes))
-    line = own[line]
+def window_keys(tokens: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
+    """The key of the window and token at each place, 64 bits: first those of its part, then 32 bits of the words
+    around (at least 48 with the part's, so that of a trillion words one window in a few hundred is taken for another),
+    and last the token's."""
+    line, at = laid(tokens.astype(np.int64) + 1, sizes, 0)
+    line = line.view(np.uint64)
     around = np.zeros(len(at), np.uint64)
     for o in OFFSETS:
         around = around * _G + line[at + o]
-    return _mix(around) & _AROUND | line[at] >> np.uint64(48)
+    unused = np.uint64(_WORD_BITS + max(0, 16 - bits))
+    return _mix(around) >> unused << unused | _mix(line[at]) >> np.uint64(64 - _WORD_BITS)
+
+
+def _stored(keys: np.ndarray, bits: int) -> bytes:
+    """Keys of one part as 6 bytes each: without the part's bits and those that are not used."""
+    unused = np.uint64(_WORD_BITS + max(0, 16 - bits))
+    short = (keys >> unused & np.uint64(0xFFFFFFFF)) << np.uint64(_WORD_BITS) | keys & np.uint64((1 << _WORD_BITS) - 1)
+    return short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _restored(data, part: int, bits: int) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    short = np.zeros((len(raw), 8), np.uint8)
+    short[:, :6] = raw
+    short = short.view("<u8").ravel()
+    unused = np.uint64(_WORD_BITS + max(0, 16 - bits))
+    return np.uint64(part << (64 - bits) if bits else 0) | short >> np.uint64(_WORD_BITS) << unused | short & np.uint64((1 << _WORD_BITS) - 1)
 
 
 def encode(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """chunk, ids, sizes, tokens (numbers of the chunk's words), codes and times (of these), n: whole documents in
-    chunks. Words are what white space parts, in lower case; a null text has none."""
+    """chunk, ids, sizes, tokens, n: whole documents in chunks. Words are what white space parts, in lower case; a
+    null text has none."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        code = TwoGenerations(word_code)
-        base, number, held, ids, sizes, made, id_type = TaskContext.get().partitionId() << 32, {}, [], [], [], 0, None
+        number = TwoGenerations(token_of).__getitem__
+        base, made, held, ids, id_type = TaskContext.get().partitionId() << 32, 0, [], [], None
 
         def out():
-            nonlocal made, number
-            tokens = np.concatenate(held) if held else np.zeros(0, np.int32)
-            codes = np.fromiter((code[w] for w in number), np.int64, len(number))
-            times = np.bincount(tokens, minlength=len(codes)).astype(np.int32)
-            row = [[base + made], [list(ids)], [np.array(sizes, np.int64).tobytes()], [tokens.tobytes()], [codes], [times], [len(tokens)]]
-            made += 1
-            number, ids[:], sizes[:], held[:] = {}, [], [], []
-            types = [pa.int64(), pa.list_(id_type), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "ids", "sizes", "tokens", "codes", "times", "n"])
+            nonlocal made, held, ids
+            tokens = np.concatenate(held)
+            row = [[base + made], [ids], [np.fromiter(map(len, held), np.int64, len(held)).tobytes()], [tokens.tobytes()], [len(tokens)]]
+            made, held, ids = made + 1, [], []
+            types = [pa.int64(), pa.list_(id_type), pa.binary(), pa.binary(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "ids", "sizes", "tokens", "n"])
 
         words = 0
         for batch in batches:
             id_type = batch.schema.field(0).type
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ws = (t or "").lower().split()
-                held.append(np.fromiter((number.setdefault(w, len(number)) for w in ws), np.int32, len(ws)))
+                held.append(np.fromiter(map(number, ws), np.int32, len(ws)))
                 ids.append(i)
-                sizes.append(len(ws))
                 words += len(ws) + 1
                 if words >= CHUNK:
                     yield out()
@@ -226,83 +229,94 @@ def encode(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         release()
 
     small_batches(docs.sparkSession)
-    return docs.select(id_col, text_col).mapInArrow(run, f"chunk long, ids array<{kind}>, sizes binary, tokens binary, codes array<long>, times array<int>, n long")
+    return docs.select(id_col, text_col).mapInArrow(run, f"chunk long, ids array<{kind}>, sizes binary, tokens binary, n long")
+
+
+def _chunk(batch: pa.RecordBatch, k: int, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """tokens and sizes of a row; sizes are in the column ``first``."""
+    sizes, tokens = (np.frombuffer(batch.column(first + c)[k].as_buffer(), t) for c, t in ((0, np.int64), (1, np.int32)))
+    return tokens, sizes
 
 
 # -- what the corpus gives
 
 
-def word_shares(encoded: DataFrame) -> tuple[np.ndarray, DataFrame]:
-    """The codes of the frequent words, and (chunk, shares): for each of a chunk's words the log of its share of its
-    class's words in the corpus (0 for a class of one word)."""
-    spark = encoded.sparkSession
-    words = encoded.select("chunk", F.posexplode(F.arrays_zip("codes", "times")).alias("pos", "w")).select("chunk", "pos", F.col("w.codes").alias("code"), F.col("w.times").alias("n"))
-    counts = shared_table(words.groupBy("code").agg(F.sum("n").alias("n")))
-    frequent = [r["code"] for r in counts.orderBy(F.desc("n"), "code").limit(FREQUENT).collect()]
-    known = F.broadcast(spark.createDataFrame([(c, k) for k, c in enumerate(frequent)], "code long, k int"))
-    rest = counts.join(known, "code", "left_anti").withColumn("class", F.col("code").bitwiseAND(HASHED - 1))
-    totals = rest.groupBy("class").agg(F.sum("n").alias("total"))  # one row for each shared class
-    shares = rest.join(F.broadcast(totals), "class").select("code", F.log(F.col("n") / F.col("total")).cast("float").alias("share"))
-    found = words.select("chunk", "pos", "code").join(shares, "code", "left").select("chunk", F.struct("pos", F.coalesce("share", F.lit(0.0).cast("float")).alias("share")).alias("w"))
-    ordered = F.transform(F.sort_array(F.collect_list("w")), lambda w: w["share"])  # of one chunk's words
-    return np.array(frequent, np.int64), found.groupBy("chunk").agg(ordered.alias("shares"))
-
-
-def window_counts(encoded: DataFrame) -> DataFrame:
-    """chunk, keys, same, all: for the keys of each chunk whose window occurs more than once in the corpus, how often
-    it does with the word and at all. A task has a part of the keys, from all chunks."""
-    total = encoded.agg(F.sum("n")).first()[0] or 0
-    bits = max(0, (total // WINDOWS).bit_length())
+def token_counts(encoded: DataFrame) -> np.ndarray:
+    """How often each token of the vocabulary occurs in the corpus."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        counts = np.zeros(TOKENS, np.int64)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                at, n = np.unique(_chunk(batch, k)[0], return_counts=True)
+                counts[at] += n
+        return counts
+
+    small_batches(encoded.sparkSession, CHUNKS_IN_BATCH)
+    return summed_counters(encoded.select("sizes", "tokens"), tally, TOKENS)
+
+
+def output_layer(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token its class, and the log of its share of its class's words."""
+    frequent = np.lexsort((np.arange(TOKENS), -counts))[:FREQUENT]
+    classes = (FREQUENT + (np.arange(TOKENS) & (HASHED - 1))).astype(np.int16)
+    classes[frequent] = np.arange(len(frequent))
+    total = np.bincount(classes, counts, minlength=PAD)[classes]
+    return classes, np.log(np.maximum(counts, 1) / np.maximum(total, 1)).astype(np.float32)
+
+
+def part_bits(encoded: DataFrame) -> int:
+    """The corpus's windows are counted in two to the power of so many parts."""
+    return max(0, ((encoded.agg(F.sum("n")).first()[0] or 0) // WINDOWS).bit_length())
+
+
+def window_counts(encoded: DataFrame, bits: int) -> DataFrame:
+    """chunk, part, keys, same, all: for the keys of each chunk whose window occurs more than once in the corpus, how
+    often it does with the token and at all. A task has a part of the keys, from all chunks."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                tokens, sizes, codes = _chunk(batch, k)
-                keys, n = np.unique(window_keys(codes, tokens, sizes), return_counts=True)
+                tokens, sizes = _chunk(batch, k, 1)
+                keys, n = np.unique(window_keys(tokens, sizes, bits), return_counts=True)
                 part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
                 used, first = np.unique(part, return_index=True)
                 edges = [*first.tolist(), len(keys)]
-                rows = [(keys[a:b].tobytes(), n[a:b].astype(np.int32).tobytes()) for a, b in zip(edges, edges[1:])]
-                if rows:
+                rows = [(_stored(keys[a:b], bits), n[a:b].astype(np.int32).tobytes()) for a, b in zip(edges, edges[1:])]
+                if len(used):
                     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([batch.column(0)[k].as_py()] * len(used), pa.int64()), *(pa.array(c, pa.binary()) for c in zip(*rows))], names=["part", "chunk", "keys", "times"])
         release()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, keys, times = [], [], []
+        rows, keys, times = [], [], []
         for batch in batches:
-            chunks += batch.column(1).to_pylist()
-            keys += [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(2)]
+            parts = batch.column(0).to_pylist()
+            rows += zip(batch.column(1).to_pylist(), parts)
+            keys += [_restored(x.as_buffer(), p, bits) for p, x in zip(parts, batch.column(2))]
             times += [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(3)]
-        if not chunks:
+        if not rows:
             return
         line = np.concatenate(keys)
         order = np.argsort(line, kind="stable")
         line, n = line[order], np.concatenate(times)[order]
         sums = {}
-        for name, value in (("same", line), ("all", line & _AROUND)):
+        for name, value in (("same", line), ("all", line >> np.uint64(_WORD_BITS))):
             first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
             sums[name] = np.repeat(np.add.reduceat(n, first, dtype=np.int64), np.diff(np.r_[first, len(line)]))
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         at = 0
-        for chunk, own in zip(chunks, keys):
+        for (chunk, part), own in zip(rows, keys):
             place = back[at : at + len(own)]
             at += len(own)
             many = sums["all"][place] > 1
             if many.any():
                 place = place[many]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in (own[many], sums["same"][place], sums["all"][place]))], names=["chunk", "keys", "same", "all"])
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), *(pa.array([x], pa.binary()) for x in (_stored(own[many], bits), sums["same"][place].tobytes(), sums["all"][place].tobytes()))], names=["chunk", "part", "keys", "same", "all"])
         release()
 
-    dealt = encoded.select("chunk", "sizes", "tokens", "codes").mapInArrow(deal, "part long, chunk long, keys binary, times binary")
-    return dealt.repartition(1 << bits, "part").mapInArrow(count, "chunk long, keys binary, same binary, all binary")
-
-
-def _chunk(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """tokens, sizes, codes of a row."""
-    at = batch.schema.names.index
-    sizes, tokens = (np.frombuffer(batch.column(at(c))[k].as_buffer(), t) for c, t in (("sizes", np.int64), ("tokens", np.int32)))
-    return tokens, sizes, batch.column(at("codes"))[k].values.to_numpy()
+    dealt = encoded.select("chunk", "sizes", "tokens").mapInArrow(deal, "part long, chunk long, keys binary, times binary")
+    return dealt.repartition(1 << bits, "part").mapInArrow(count, "chunk long, part long, keys binary, same binary, all binary")
 
 
 def _summed(parts: DataFrame) -> tuple[int, np.ndarray]:
@@ -320,8 +334,9 @@ def _summed(parts: DataFrame) -> tuple[int, np.ndarray]:
     return sum(r["seen"] for r in rows), sum((np.frombuffer(bytes(r["flat"])) for r in rows), np.zeros(Network.SIZE))
 
 
-def fit(encoded: DataFrame, frequent: np.ndarray, id_col: str = "doc_id") -> Network:
-    """Warm up on a bounded sample, then average one pass of every partition over all its documents."""
+def fit(encoded: DataFrame, classes) -> Network:
+    """Warm up on a bounded sample, then average one pass of every partition over all its documents. ``classes`` is
+    the broadcast class of every token."""
     spark = encoded.sparkSession
     ids = encoded.select("chunk", F.posexplode("ids").alias("pos", "id"))
     # A document's place in its chunk; those with the smallest hashes warm the network up.
@@ -337,13 +352,13 @@ def fit(encoded: DataFrame, frequent: np.ndarray, id_col: str = "doc_id") -> Net
             def chunks():
                 for batch in batches:
                     for k in range(batch.num_rows):
-                        tokens, sizes, codes = _chunk(batch, k)
+                        tokens, sizes = _chunk(batch, k)
                         if few:
                             wanted = np.zeros(len(sizes), bool)
                             wanted[batch.column(batch.num_columns - 1)[k].as_py()] = True
                             tokens, sizes = tokens[np.repeat(wanted, sizes)], sizes[wanted]
                         if len(tokens):
-                            yield classes_of(codes, frequent)[tokens], sizes
+                            yield classes.value[tokens], sizes
 
             seen = train(network, chunks())
             if seen:
@@ -352,7 +367,7 @@ def fit(encoded: DataFrame, frequent: np.ndarray, id_col: str = "doc_id") -> Net
 
         return run
 
-    columns, kind = ["sizes", "tokens", "codes"], "part long, seen long, flat binary"
+    columns, kind = ["sizes", "tokens"], "part long, seen long, flat binary"
     start = spark.sparkContext.broadcast(Network().flat)
     small_batches(spark, CHUNKS_IN_BATCH)
     # At most WARM_DOCUMENTS chunks, of which only the chosen documents go on to the one task.
@@ -365,12 +380,11 @@ def fit(encoded: DataFrame, frequent: np.ndarray, id_col: str = "doc_id") -> Net
     return Network((total / seen).astype(np.float32))
 
 
-def log_probabilities(network: Network, codes, tokens, sizes, shares, frequent, keys, same, everywhere) -> np.ndarray:
+def log_probabilities(network: Network, classes, shares, tokens, sizes, bits: int, keys, same, everywhere) -> np.ndarray:
     """Of each place of a chunk. ``keys`` (ascending) have the counts of windows that the corpus has more than once."""
-    classes = classes_of(codes, frequent)[tokens]
-    log_p = np.concatenate([network.run(around, target).astype(np.float64) for around, target in windows(classes, sizes)] or [np.zeros(0)]) + shares[tokens]
+    log_p = np.concatenate([network.run(around, target).astype(np.float64) for around, target in windows(classes[tokens], sizes)] or [np.zeros(0)]) + shares[tokens]
     if len(keys) and len(tokens):
-        own = window_keys(codes, tokens, sizes)
+        own = window_keys(tokens, sizes, bits)
         at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
         hit = keys[at] == own
         # Without the place itself.
@@ -388,36 +402,34 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     spark = docs.sparkSession
     encoded = shared_table(encode(docs, id_col, text_col))
-    small_batches(spark, CHUNKS_IN_BATCH)
-    frequent, shares = word_shares(encoded)
-    flat = spark.sparkContext.broadcast(fit(encoded, frequent, id_col).flat)
-    names = ["chunk", "kind", "ids", "sizes", "tokens", "codes", "shares", "keys", "same", "all"]
-    kinds = dict(encoded.dtypes) | {"kind": "int", "shares": "array<float>", "keys": "binary", "same": "binary", "all": "binary"}
+    layer = output_layer(token_counts(encoded))
+    classes, shares = (spark.sparkContext.broadcast(x) for x in layer)
+    flat = spark.sparkContext.broadcast(fit(encoded, classes).flat)
+    bits = part_bits(encoded)
+    names = ["chunk", "kind", "sizes", "tokens", "ids", "part", "keys", "same", "all"]
+    kinds = dict(encoded.dtypes) | {"part": "long", "keys": "binary", "same": "binary", "all": "binary"}
     full = lambda df, kind: df.withColumn("kind", F.lit(kind)).select(*[F.col(c) if c in df.columns or c == "kind" else F.lit(None).cast(kinds[c]).alias(c) for c in names])
-    # To each chunk come its words' shares, then the counts of its windows, then its documents.
-    met = full(shares, 0).union(full(window_counts(encoded), 1)).union(full(encoded.select("chunk", "ids", "sizes", "tokens", "codes"), 2))
+    # To each chunk come the counts of its windows, then its documents.
+    met = full(window_counts(encoded, bits), 1).union(full(encoded.select("chunk", "ids", "sizes", "tokens"), 2))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = Network(flat.value)
-        share, counted = np.zeros(0, np.float32), []
+        network, counted = Network(flat.value), []
         for batch in batches:
             for k, kind in enumerate(batch.column(1).to_pylist()):
-                if kind == 0:
-                    share = batch.column(6)[k].values.to_numpy()
-                elif kind == 1:
-                    counted.append([np.frombuffer(batch.column(c)[k].as_buffer(), t) for c, t in ((7, np.uint64), (8, np.int64), (9, np.int64))])
-                else:
-                    tokens, sizes, codes = _chunk(batch, k)
-                    keys, same, everywhere = (np.concatenate(x) for x in zip(*counted)) if counted else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)
-                    order = np.argsort(keys)
-                    log_p = log_probabilities(network, codes, tokens, sizes, share, frequent, keys[order], same[order], everywhere[order])
-                    total = np.concatenate([[0.0], np.cumsum(log_p)])
-                    stops = np.cumsum(sizes)
-                    pll = total[stops] - total[stops - sizes]
-                    pll[sizes == 0] = 0.0
-                    yield pa.RecordBatch.from_arrays([batch.column(2)[k].values, pa.array(sizes), pa.array(pll), pa.array(pll / np.maximum(sizes, 1))], names=[id_col, "n_tokens", "pll", "mean_pll"])
-                    share, counted = np.zeros(0, np.float32), []
+                if kind == 1:
+                    keys = _restored(batch.column(6)[k].as_buffer(), batch.column(5)[k].as_py(), bits)
+                    counted.append((keys, *(np.frombuffer(batch.column(c)[k].as_buffer(), np.int64) for c in (7, 8))))
+                    continue
+                tokens, sizes = _chunk(batch, k, 2)
+                keys, same, everywhere = (np.concatenate(x) for x in zip(*counted)) if counted else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)
+                counted, order = [], np.argsort(keys)
+                log_p = log_probabilities(network, classes.value, shares.value, tokens, sizes, bits, keys[order], same[order], everywhere[order])
+                total = np.concatenate([[0.0], np.cumsum(log_p)])
+                stops = np.cumsum(sizes)
+                pll = np.where(sizes > 0, total[stops] - total[stops - sizes], 0.0)
+                yield pa.RecordBatch.from_arrays([batch.column(4)[k].values, pa.array(sizes), pa.array(pll), pa.array(pll / np.maximum(sizes, 1))], names=[id_col, "n_tokens", "pll", "mean_pll"])
         release()
 
+    small_batches(spark, CHUNKS_IN_BATCH)
     return met.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(run, f"{id_col} {id_type}, n_tokens long, pll double, mean_pll double")

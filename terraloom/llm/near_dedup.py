@@ -30,16 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_columns, release, shared_table, small_batches
+from .common import cut, map_columns, release, shared_table, small_batches, summed_counters
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 misses all of 32 bands of 6 with probability 6e-5.
 BANDS, ROWS = 32, 6
 #: Bytes of a shingle's hash in the sets that are compared.
 SET_BYTES = 5
-#: Counters of shingles (a power of two) and the blocks in which they are summed; the most ids that are broadcast
-#: (8 bytes each).
-COUNTERS, BLOCKS, BROADCAST_IDS = 1 << 21, 64, 1_000_000
+#: Counters of shingles (a power of two); the most ids that are broadcast (8 bytes each).
+COUNTERS, BROADCAST_IDS = 1 << 21, 1_000_000
 #: A key is hot with more than a thousandth of the rows (so at most a thousand keys are), and this many at least; its
 #: rows go to so many tasks.
 HOT_SHARE, HOT_ROWS, SALTS = 1000, 500, 64
@@ -209,40 +208,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def shingle_counts(sets: DataFrame) -> np.ndarray:
-    """How many texts have a shingle of each counter: one vector of fixed size. Each task counts its own texts; blocks
-    of the counters are summed in two steps, a batch at a time."""
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    """How many texts have a shingle of each counter: one vector of fixed size."""
 
+    def tally(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             if batch.num_rows:
                 held = [unpacked_set(x.as_buffer()) & (COUNTERS - 1) for x in batch.column(0)]
                 at, n = np.unique(np.concatenate(held), return_counts=True)
                 counts[at] += n
-        blocks = counts.reshape(BLOCKS, -1)
-        used = np.flatnonzero(blocks.any(axis=1))
-        part = TaskContext.get().partitionId() % 64
-        if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array([part] * len(used), pa.int64()), pa.array([blocks[k].tobytes() for k in used], pa.binary())], names=["block", "part", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, x in zip(batch.column(0).to_pylist(), batch.column(2)):
-                x = np.frombuffer(x.as_buffer(), np.int64)
-                total[k] = total[k] + x if k in total else x
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([0] * len(total), pa.int64()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["block", "part", "counts"])
+        return counts
 
     small_batches(sets.sparkSession)
-    kind = "block long, part long, counts binary"
-    sums = sets.select("shingles").mapInArrow(tally, kind).repartition("block", "part").mapInArrow(add, kind).repartition("block").mapInArrow(add, kind)
-    counts = np.zeros((BLOCKS, COUNTERS // BLOCKS), np.int64)
-    for r in sums.collect():  # one row for each block
-        counts[r["block"]] += np.frombuffer(bytes(r["counts"]), np.int64)
-    return counts.ravel()
+    return summed_counters(sets.select("shingles"), tally, COUNTERS)
 
 
 def prefix_pairs(sets: DataFrame, apart: DataFrame, similarity: float) -> DataFrame:

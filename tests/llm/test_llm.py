@@ -777,12 +777,13 @@ def test_probabilities_sum_to_one():
 def _plain_scores(spark, df):
     """Document sums worked out word by word, with plain counts of words and windows and the fitted network."""
     encoded = lm_score.encode(df, "doc_id", "text").cache()
-    frequent, _ = lm_score.word_shares(encoded)
-    net = lm_score.fit(encoded, frequent)
-    rows = [(r["doc_id"], (r["text"] or "").lower().split()) for r in df.collect()]
+    counts = lm_score.token_counts(encoded)
+    classes, _ = lm_score.output_layer(counts)
+    net = lm_score.fit(encoded, spark.sparkContext.broadcast(classes))
+    rows = [(r["doc_id"], [lm_score.token_of(w) for w in (r["text"] or "").lower().split()]) for r in df.collect()]
     words = Counter(w for _, ws in rows for w in ws)
-    code = {w: lm_score.word_code(w) for w in words}
-    kind = {w: int(lm_score.classes_of(np.array([code[w]]), frequent)[0]) for w in words}
+    assert {w: int(counts[w]) for w in words} == words and counts.sum() == sum(words.values())
+    kind = {w: int(classes[w]) for w in words}
     total = Counter()
     for w, n in words.items():
         total[kind[w]] += n
@@ -814,7 +815,7 @@ def test_document_sums_equal_brute_force(spark, docs, monkeypatch):
     assert len(got) == len(texts)
     for i, n, pll in want:
         assert got[i]["n_tokens"] == n and got[i]["pll"] == pytest.approx(pll, rel=2e-4, abs=2e-3)
-    # Given a window the words' probabilities sum to one, over all words of the corpus.
+    # Given a class its tokens' shares sum to one.
     shares = Counter()
     for w, n in words.items():
         shares[kind[w]] += n
@@ -833,17 +834,33 @@ def test_texts_that_occur_twice_stand_out(spark, docs):
 
 def test_chunks_and_parts_change_no_count(spark, docs, monkeypatch):
     """Counts of windows are the corpus's, however it is cut."""
-    want = None
-    for parts in (1, 6):
+    want, keys = None, {}
+    for parts, size in ((1, 2 << 20), (6, 4096)):
+        monkeypatch.setattr(lm_score, "WINDOWS", size)
         encoded = lm_score.encode(docs.repartition(parts), "doc_id", "text").cache()
-        total, keys = Counter(), {}
-        for r in lm_score.window_counts(encoded).collect():
-            own = np.frombuffer(bytes(r["keys"]), np.uint64).tolist()
-            keys.update(zip(own, zip(np.frombuffer(bytes(r["same"]), np.int64).tolist(), np.frombuffer(bytes(r["all"]), np.int64).tolist())))
-        assert want is None or keys == want
-        want = keys
-        monkeypatch.setattr(lm_score, "WINDOWS", 4096)
-    assert want and all(a <= b and b > 1 for a, b in want.values())
+        bits = lm_score.part_bits(encoded)
+        assert (bits > 3) == (size == 4096)
+        got = Counter()
+        for r in lm_score.window_counts(encoded, bits).collect():
+            own = lm_score._restored(bytes(r["keys"]), r["part"], bits)
+            assert len(np.unique(own)) == len(own)
+            got.update(zip(np.frombuffer(bytes(r["same"]), np.int64).tolist(), np.frombuffer(bytes(r["all"]), np.int64).tolist()) if parts == 1 else ())
+            if parts == 6:
+                for k, a, b in zip(own.tolist(), np.frombuffer(bytes(r["same"]), np.int64).tolist(), np.frombuffer(bytes(r["all"]), np.int64).tolist()):
+                    keys.setdefault(k, (a, b))
+                    assert keys[k] == (a, b)
+        want = got if parts == 1 else want
+    assert Counter(keys.values()) == want and max(b for _, b in want) > 2
+
+
+@pytest.mark.parametrize("bits", [0, 3, 16, 20])
+def test_stored_keys_come_back(bits):
+    tokens = np.random.default_rng(bits).integers(0, lm_score.TOKENS, 500).astype(np.int32)
+    keys = np.unique(lm_score.window_keys(tokens, np.array([200, 0, 300]), bits))
+    parts = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    assert len(keys) == 500
+    for p in np.unique(parts):
+        assert (lm_score._restored(lm_score._stored(keys[parts == p], bits), int(p), bits) == keys[parts == p]).all()
 
 
 def test_scores_of_odd_tables(spark, odd):
