@@ -406,6 +406,46 @@ def test_quality_query(spark, docs, odd):
     assert quality.classify(odd, some).count() == odd.count() and quality.classify(odd.limit(0), some).count() == 0
 
 
+def test_quality_equals_plain_ridge(spark):
+    """Every document's score, worked out in one place: statistics, features, ridge weights, pooled shares."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = {r["doc_id"]: r["score"] for r in queries.op9_quality(spark, sf).collect()}
+    crc = lambda i: crc32(str(i).encode())
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    y = {r["doc_id"]: float(r["quality"]) for r in labels.collect() if r["quality"] is not None and r["doc_id"] in text and crc(r["doc_id"]) % 3 != 1}
+    assert len(y) < quality.LABELLED
+    x = {i: np.array(quality.statistics(t)) for i, t in text.items()}
+    known = np.array([x[i] for i in y])
+    mean, scale = known.mean(axis=0), np.maximum(known.std(axis=0), 1e-6)
+    fitted, held = [i for i in y if crc(i) % 16 >= 4], [i for i in y if crc(i) % 16 < 4]
+    features = lambda ids: quality.Model.features(np.array([x[i] for i in ids]), mean, scale)
+    f, t = features(fitted), np.array([y[i] for i in fitted])
+    # Ridge as least squares with extra rows.
+    ridge = np.sqrt(len(fitted) * quality.RIDGE / quality.FEATURES) * np.eye(f.shape[1])
+    weight = np.linalg.lstsq(np.vstack([f, ridge]), np.concatenate([t, np.zeros(len(ridge))]), rcond=None)[0]
+    raw, target = features(held) @ weight, np.array([y[i] for i in held])
+    order = np.argsort(raw)
+    # Isotonic regression by its max-min formula.
+    sums = np.concatenate([[0.0], np.cumsum(target[order])])
+    n = len(order)
+    share = [max(min((sums[b] - sums[a]) / (b - a) for b in range(k + 1, n + 1)) for a in range(k + 1)) for k in range(n)]
+    blocks = {}
+    for r, s in zip(raw[order], share):
+        blocks.setdefault(round(s, 12), []).append(r)
+    at, value = np.array([np.mean(v) for v in blocks.values()]), np.array(list(blocks))
+    want = dict(zip(text, np.interp(features(list(text)) @ weight, at, value)))
+    assert max(abs(got[i] - want[i]) for i in text) < 1e-3
+
+
+def test_quality_of_ties_and_long_texts(spark):
+    texts = ["same words here"] * 4 + ["word " * 400_000, "x" * 1_000_000, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(7)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["score"] for r in quality.classify(df, labels).collect()}
+    assert len({got[i] for i in range(4)}) == 1 and all(0 <= s <= 1 for s in got.values())
+
+
 # -- 8: near-duplicates
 
 
