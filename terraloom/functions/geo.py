@@ -92,7 +92,54 @@ def mollweide(lon: Column, lat: Column, lon0: float = 0.0, radius: float = EARTH
     return F.lit(radius * 2 * math.sqrt(2) / math.pi) * F.radians(lon - lon0) * F.cos(theta), F.lit(radius * math.sqrt(2)) * F.sin(theta)
 
 
+# -- back to longitude and latitude, on the sphere
+
+
+def mercator_inverse(x: Column, y: Column, radius: float = EARTH) -> tuple[Column, Column]:
+    return F.degrees(x / radius), mercator_lat(y, radius)
+
+
+def sinusoidal_inverse(x: Column, y: Column, centre: float = 0.0, radius: float = 6371007.181) -> tuple[Column, Column]:
+    return centre + F.degrees(x / (radius * F.cos(y / radius))), F.degrees(y / radius)
+
+
+def polar_stereographic_inverse(x: Column, y: Column, centre: float = 0.0, radius: float = EARTH) -> tuple[Column, Column]:
+    return centre + F.degrees(F.atan2(x, -y)), 90 - 2 * F.degrees(F.atan(F.hypot(x, y) / (2 * radius)))
+
+
+def lambert_azimuthal_inverse(x: Column, y: Column, lon0: float, lat0: float, radius: float = EARTH) -> tuple[Column, Column]:
+    p0, rho = math.radians(lat0), F.hypot(x, y)
+    c = 2 * F.asin(F.least(rho / (2 * radius), F.lit(1.0)))
+    lat = F.asin(F.cos(c) * math.sin(p0) + F.when(rho > 0, y * F.sin(c) * math.cos(p0) / rho).otherwise(0.0))
+    return lon0 + F.degrees(F.atan2(x * F.sin(c), rho * math.cos(p0) * F.cos(c) - y * math.sin(p0) * F.sin(c))), F.degrees(lat)
+
+
+def albers_inverse(x: Column, y: Column, par1: float, par2: float, lon0: float, lat0: float, radius: float = EARTH) -> tuple[Column, Column]:
+    s1 = math.sin(math.radians(par1))
+    n = (s1 + math.sin(math.radians(par2))) / 2
+    c = math.cos(math.radians(par1)) ** 2 + 2 * n * s1
+    down = F.lit(radius / n * math.sqrt(c - 2 * n * math.sin(math.radians(lat0)))) - y
+    sign = math.copysign(1.0, n)
+    return lon0 + F.degrees(F.atan2(sign * x, sign * down)) / n, F.degrees(F.asin((c - F.pow(F.hypot(x, down) * n / radius, F.lit(2.0))) / (2 * n)))
+
+
+def lambert_conformal_inverse(x: Column, y: Column, par1: float, par2: float, lon0: float, lat0: float, radius: float = EARTH) -> tuple[Column, Column]:
+    t = lambda d: math.tan(math.pi / 4 + math.radians(d) / 2)
+    n = math.sin(math.radians(par1)) if par1 == par2 else math.log(math.cos(math.radians(par1)) / math.cos(math.radians(par2))) / math.log(t(par2) / t(par1))
+    f = math.cos(math.radians(par1)) * t(par1) ** n / n
+    down = F.lit(radius * f / t(lat0) ** n) - y
+    sign = math.copysign(1.0, n)
+    rho = sign * F.hypot(x, down)
+    return lon0 + F.degrees(F.atan2(sign * x, sign * down)) / n, 2 * F.degrees(F.atan(F.pow(radius * f / rho, F.lit(1 / n)))) - 90
+
+
+def transverse_mercator_inverse(x: Column, y: Column, lon0: float, lat0: float = 0.0, factor: float = 1.0, radius: float = EARTH) -> tuple[Column, Column]:
+    a, d = x / (radius * factor), y / (radius * factor) + math.radians(lat0)
+    return lon0 + F.degrees(F.atan2(F.sinh(a), F.cos(d))), F.degrees(F.asin(F.sin(d) / F.cosh(a)))
+
+
 PROJECTIONS = {"geo": lambda lon, lat: (F.radians(lon), F.radians(lat)), "mercator": lambda lon, lat: (mercator_x(lon), mercator_y(lat)), "sinusoidal": lambda lon, lat: (sinusoidal_x(lon, lat), sinusoidal_y(lat))}
+INVERSES = {"geo": lambda x, y: (F.degrees(x), F.degrees(y)), "mercator": mercator_inverse, "sinusoidal": sinusoidal_inverse}
 
 
 @dataclass(frozen=True)

@@ -81,24 +81,29 @@ def ozone_transmittance(mus: Column, muv: Column, band: Band) -> Column:
     return F.exp(-air_mass(mus, muv) * OZONE * band.ozone) if band.ozone else F.lit(1.0)
 
 
+#: Counts that say missing and saturated (fixed values); stored as these plus 32768.
+PASSED = (-2, -3)
+
+
 def top_of_atmosphere(dn: Column, offset: float, scale: float, mus: Column) -> Column:
     return (dn - offset) * scale / mus
 
 
 def corrected(px: DataFrame, band: int, offset: float, scale: float) -> DataFrame:
-    """Adds toa and refl (both null where the sun is too low, the air mass too large or the count missing) and the
-    stored 16-bit value. Needs dn, solz, senz, phi in degrees and height in metres."""
+    """Adds toa and refl (both null where the sun is too low, the air mass too large or the count missing or
+    negative) and the stored 16-bit value; the codes of missing and saturated counts are passed through to it. Needs dn, solz, senz, phi in degrees and height in metres."""
     b = Band(band)
     mus, muv = F.cos(F.radians("solz")), F.cos(F.radians("senz"))
     px = px.withColumns({"mus": mus, "muv": muv, "tau": b.tau * F.exp(-F.col("height") / SCALE_HEIGHT)})
     mus, muv, tau = F.col("mus"), F.col("muv"), F.col("tau")
-    usable = (F.col("solz") < MAX_ZENITH) & (air_mass(mus, muv) <= MAX_AIR_MASS) & F.col("dn").isNotNull()
+    usable = (F.col("solz") < MAX_ZENITH) & (air_mass(mus, muv) <= MAX_AIR_MASS) & (F.col("dn") >= 0)
     px = px.withColumn("toa", F.when(usable, top_of_atmosphere(F.col("dn"), offset, scale, mus)))
     px = px.withColumns({"rho": rayleigh(mus, muv, F.col("phi"), tau), "sph": spherical_albedo(tau), "tt": transmittance(mus, muv, tau, b), "to3": ozone_transmittance(mus, muv, b)})
     c = (F.col("toa") / F.col("to3") - F.col("rho")) / F.col("tt")
     refl = F.least(F.greatest(c / (1 + c * F.col("sph")), F.lit(REFLECTANCE[0])), F.lit(REFLECTANCE[1]))
     px = px.withColumn("refl", F.when(F.col("toa").isNotNull(), refl))
-    return px.withColumn("stored", F.coalesce((F.col("refl") / 1e-4 + 0.5).cast("int"), F.lit(-32768)).cast("smallint"))
+    passed = F.when(F.col("dn").isin(*PASSED), F.col("dn").cast("int") + 32768)
+    return px.withColumn("stored", F.coalesce((F.col("refl") / 1e-4 + 0.5).cast("int"), passed, F.lit(-32768)).cast("smallint"))
 
 
 def corners(grid: DataFrame, values: list[str], *keys: str) -> DataFrame:
@@ -119,10 +124,9 @@ def bilinear(value: str, fl: Column, fs: Column) -> Column:
 
 def heights(points: DataFrame, dem: DataFrame) -> DataFrame:
     """Height in whole metres of each point (pl, ps) on a DEM grid (l, s, v): bilinear, cut to an integer, never
-    below 0; beyond the border the nearest cell is carried on."""
+    below 0; beyond the border the slope of the nearest cell is carried on."""
     last = F.broadcast(dem.agg((F.max("l") - 1).alias("_ml"), (F.max("s") - 1).alias("_ms")))
     p = points.crossJoin(last).withColumns({"l": F.least(F.greatest(F.floor("pl"), F.lit(0)), "_ml").cast("long"), "s": F.least(F.greatest(F.floor("ps"), F.lit(0)), "_ms").cast("long")})
     joined = p.join(corners(dem, ["v"]), ["l", "s"])
-    inside = lambda x, base: F.least(F.greatest(F.col(x) - F.col(base), F.lit(0.0)), F.lit(1.0))
-    h = bilinear("v", inside("pl", "l"), inside("ps", "s"))
+    h = bilinear("v", F.col("pl") - F.col("l"), F.col("ps") - F.col("s"))
     return joined.withColumn("height", F.greatest(h.cast("int"), F.lit(0))).select(*points.columns, "height")

@@ -88,3 +88,11 @@ def raster_metadata(spark, sf_dir):
 @query("SELECT event_type AS ds, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, round(min(value), 6) AS vmin, round(max(value), 6) AS vmax FROM events GROUP BY 1, 2")
 def streaming_daily(spark, sf_dir):
     return incremental.replay_daily(spark, f"{sf_dir}/events.parquet").withColumn("day", F.col("day").cast("string"))
+
+
+@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 100 > 0 THEN epoch(o_orderdate) + 3600.0 * 100 / (o_orderkey % 100) END AS ends FROM orders")
+def progress_end(spark, sf_dir):
+    """An hour after the start, with so many of a hundred parts done."""
+    orders = table(spark, sf_dir, "orders")
+    started = F.unix_timestamp("o_orderdate").cast("double")
+    return orders.select(F.col("o_orderkey").alias("id"), publish.progress(F.col("o_orderkey") % 100, F.lit(100), started, started + 3600).alias("ends"))

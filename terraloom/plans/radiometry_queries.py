@@ -10,12 +10,12 @@ from terraloom.operators import radiometry as rad
 from .registry import query
 from .views import DN, PX1, dn, px1
 
-_SCENE = f"{PX1}, scene AS (SELECT l, s, CASE WHEN (l + s) % 29 = 0 THEN NULL ELSE floor(v * 20) END AS dn, 20.0 + l % 69 AS solz, s * 1.5 AS senz, CAST((l * 3 + s * 5) % 360 AS DOUBLE) AS phi, CAST(l % 30 * 100 AS DOUBLE) AS height FROM px1)"
+_SCENE = f"{PX1}, scene AS (SELECT l, s, CASE WHEN (l + s) % 29 = 0 THEN NULL WHEN (l + s) % 31 = 0 THEN -2 WHEN (l + s) % 37 = 0 THEN -3 WHEN (l + s) % 41 = 0 THEN -1 ELSE floor(v * 20) END AS dn, 20.0 + l % 69 AS solz, s * 1.5 AS senz, CAST((l * 3 + s * 5) % 360 AS DOUBLE) AS phi, CAST(l % 30 * 100 AS DOUBLE) AS height FROM px1)"
 
 
 def _scene(spark, sf_dir):
     return px1(spark, sf_dir).selectExpr(
-        "l", "s", "CASE WHEN (l + s) % 29 = 0 THEN NULL ELSE CAST(floor(v * 20) AS DOUBLE) END AS dn", "CAST(20 + l % 69 AS DOUBLE) AS solz", "s * 1.5D AS senz", "CAST((l * 3 + s * 5) % 360 AS DOUBLE) AS phi", "CAST(l % 30 * 100 AS DOUBLE) AS height"
+        "l", "s", "CASE WHEN (l + s) % 29 = 0 THEN NULL WHEN (l + s) % 31 = 0 THEN -2D WHEN (l + s) % 37 = 0 THEN -3D WHEN (l + s) % 41 = 0 THEN -1D ELSE CAST(floor(v * 20) AS DOUBLE) END AS dn", "CAST(20 + l % 69 AS DOUBLE) AS solz", "s * 1.5D AS senz", "CAST((l * 3 + s * 5) % 360 AS DOUBLE) AS phi", "CAST(l % 30 * 100 AS DOUBLE) AS height"
     )
 
 
@@ -35,7 +35,7 @@ i AS (SELECT *, (1 - td * tu) / 4 / (mus + muv) AS a_, (1 - td) * (1 - tu) AS b_
 j AS (SELECT *, (exp(-t) * (1 - t) + t * t * e1) / 2 AS e3,
 (1 + (3 * mus * mus - 1) * (3 * muv * muv - 1) * {x!r} / 8) * (a_ + b_ * f0) + 2 * cos(az) * (-{x!r} * 0.75 * mus * muv * sqrt(1 - mus * mus) * sqrt(1 - muv * muv)) * (a_ + b_ * f1) + 2 * cos(2 * az) * ({x!r} * 0.1875 * (1 - mus * mus) * (1 - muv * muv)) * (a_ + b_ * f2) AS rho,
 ((2.0 / 3 + mus) + (2.0 / 3 - mus) * td) / (4.0 / 3 + tau) * (((2.0 / 3 + muv) + (2.0 / 3 - muv) * tu) / (4.0 / 3 + tau)) * {water} AS tt, exp(-(1 / mus + 1 / muv) * 0.319 * {float(b.ozone)!r}) AS to3 FROM i),
-k AS (SELECT *, (3 * t - e3 * (4 + 2 * t) + 2 * exp(-t)) / (4 + 3 * t) AS sph, CASE WHEN solz < 86.5 AND 1 / mus + 1 / muv <= 18 AND dn IS NOT NULL THEN (dn - 100.0) * 0.00005 / mus END AS toa FROM j),
+k AS (SELECT *, (3 * t - e3 * (4 + 2 * t) + 2 * exp(-t)) / (4 + 3 * t) AS sph, CASE WHEN solz < 86.5 AND 1 / mus + 1 / muv <= 18 AND dn >= 0 THEN (dn - 100.0) * 0.00005 / mus END AS toa FROM j),
 c AS (SELECT *, (toa / to3 - rho) / tt AS c FROM k), r AS (SELECT *, CASE WHEN toa IS NOT NULL THEN least(greatest(c / (1 + c * sph), -0.01), 1.6) END AS refl FROM c)"""
 
 
@@ -49,19 +49,19 @@ def rayleigh_terms(spark, sf_dir):
     return rad.corrected(_scene(spark, sf_dir), 3, 100.0, 0.00005).select("l", "s", *[F.round(c, 8).alias(c) for c in ("rho", "sph", "tt", "to3")])
 
 
-@query(f"WITH {_terms(1)} SELECT l, s, round(refl, 7) AS refl, CAST(coalesce(trunc(round(refl / 1e-4 + 0.5, 6)), -32768) AS INTEGER) AS stored FROM r")
+@query(f"WITH {_terms(1)} SELECT l, s, round(refl, 7) AS refl, CAST(coalesce(trunc(round(refl / 1e-4 + 0.5, 6)), CASE WHEN dn IN (-2, -3) THEN dn + 32768 END, -32768) AS INTEGER) AS stored FROM r")
 def corrected_reflectance(spark, sf_dir):
     px = rad.corrected(_scene(spark, sf_dir), 1, 100.0, 0.00005)
     return px.select("l", "s", F.round("refl", 7).alias("refl"), F.col("stored").cast("int").alias("stored"))
 
 
 @query(f"""WITH {PX1}, d AS (SELECT l, s, CAST(floor(v * 10) AS DOUBLE) - 300 AS v FROM px1), m AS (SELECT max(l) - 1 AS ml, max(s) - 1 AS ms FROM d),
-p AS (SELECT l * 0.77::DOUBLE + 0.3::DOUBLE AS pl, s * 0.9::DOUBLE + 0.2::DOUBLE AS ps FROM d), q AS (SELECT pl, ps, least(CAST(floor(pl) AS BIGINT), ml) AS l0, least(CAST(floor(ps) AS BIGINT), ms) AS s0 FROM p, m),
+p AS (SELECT l * 1.02::DOUBLE + 0.3::DOUBLE AS pl, s * 1.03::DOUBLE + 0.2::DOUBLE AS ps FROM d), q AS (SELECT pl, ps, least(CAST(floor(pl) AS BIGINT), ml) AS l0, least(CAST(floor(ps) AS BIGINT), ms) AS s0 FROM p, m),
 j AS (SELECT pl, ps, pl - l0 AS fl, ps - s0 AS fs, a.v AS a, b.v AS b, c.v AS c, d.v AS d FROM q JOIN d a ON a.l = l0 AND a.s = s0 JOIN d b ON b.l = l0 AND b.s = s0 + 1 JOIN d c ON c.l = l0 + 1 AND c.s = s0 JOIN d d ON d.l = l0 + 1 AND d.s = s0 + 1)
 SELECT round(pl, 6) AS pl, round(ps, 6) AS ps, CAST(greatest(trunc((1 - fl) * ((1 - fs) * a + fs * b) + fl * ((1 - fs) * c + fs * d)), 0) AS INTEGER) AS height FROM j""")
 def dem_bilinear(spark, sf_dir):
     dem = px1(spark, sf_dir).selectExpr("l", "s", "CAST(floor(v * 10) AS DOUBLE) - 300 AS v")
-    points = dem.selectExpr("l * 0.77D + 0.3D AS pl", "s * 0.9D + 0.2D AS ps")
+    points = dem.selectExpr("l * 1.02D + 0.3D AS pl", "s * 1.03D + 0.2D AS ps")
     return rad.heights(points, dem).select(F.round("pl", 6).alias("pl"), F.round("ps", 6).alias("ps"), "height")
 
 

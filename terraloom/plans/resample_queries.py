@@ -103,6 +103,33 @@ def projections(spark, sf_dir):
     return foot(spark, sf_dir).select("id", *[F.round(c, 3).alias(n) for n, c in named.items()])
 
 
+_BACK = ("me", "si", "ps", "la", "al", "lc", "tm")
+
+
+@query(f"WITH {FOOT} SELECT id, " + ", ".join(f"round(xmin, 6) AS {n}_lon, round(ymin, 6) AS {n}_lat" for n in _BACK) + " FROM foot")
+def inverse_projections(spark, sf_dir):
+    """Forward and back again by every projection gives the corner back."""
+    f = foot(spark, sf_dir)
+    lon, lat = F.col("xmin"), F.col("ymin")
+    there = {
+        "me": (geo.PROJECTIONS["mercator"](lon, lat), geo.mercator_inverse), "si": (geo.PROJECTIONS["sinusoidal"](lon, lat), geo.sinusoidal_inverse),
+        "ps": (geo.polar_stereographic(lon, lat, 10.0), lambda x, y: geo.polar_stereographic_inverse(x, y, 10.0)),
+        "la": (geo.lambert_azimuthal(lon, lat, 0.0, 20.0), lambda x, y: geo.lambert_azimuthal_inverse(x, y, 0.0, 20.0)),
+        "al": (geo.albers(lon, lat, 20.0, 50.0, 0.0, 30.0), lambda x, y: geo.albers_inverse(x, y, 20.0, 50.0, 0.0, 30.0)),
+        "lc": (geo.lambert_conformal(lon, lat, 20.0, 50.0, 0.0, 30.0), lambda x, y: geo.lambert_conformal_inverse(x, y, 20.0, 50.0, 0.0, 30.0)),
+        "tm": (geo.transverse_mercator(lon, lat, 0.0), lambda x, y: geo.transverse_mercator_inverse(x, y, 0.0)),
+    }
+    wrap = lambda c: F.pmod(c + 180.0, F.lit(360.0)) - 180.0
+    out = f.select("id", *[F.struct(*xy).alias(n) for n, (xy, _) in there.items()])
+    cols = []
+    for n, (_, back) in there.items():
+        p = out[n]
+        names = out.schema[n].dataType.names
+        x, y = back(p[names[0]], p[names[1]])
+        cols += [F.round(wrap(x), 6).alias(f"{n}_lon"), F.round(y, 6).alias(f"{n}_lat")]
+    return out.select("id", *cols)
+
+
 _PTS = """pts AS (SELECT id, unnest([xmin + i / 5.0::DOUBLE * (xmax - xmin), xmax, xmax - i / 5.0::DOUBLE * (xmax - xmin), xmin]) AS x, unnest([ymax, ymax - i / 5.0::DOUBLE * (ymax - ymin), ymin, ymin + i / 5.0::DOUBLE * (ymax - ymin)]) AS y FROM foot, (SELECT unnest([0, 1, 2, 3, 4]) AS i)),
 pr AS (SELECT id, 6371007.181 * radians(x) * cos(radians(y)) AS x, 6371007.181 * radians(y) AS y FROM pts), box AS (SELECT id, min(x) AS ulx, max(y) AS uly, max(x) AS mx, min(y) AS my FROM pr GROUP BY id)"""
 
