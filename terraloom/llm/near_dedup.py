@@ -42,6 +42,8 @@ COUNTERS, BROADCAST_IDS = 1 << 21, 1_000_000
 #: A key is hot with more than a thousandth of the rows (so at most a thousand keys are), and this many at least; its
 #: rows go to so many tasks.
 HOT_SHARE, HOT_ROWS, SALTS = 1000, 500, 64
+#: Edges (16 bytes each) from which on the joins of the components look for hot keys.
+SPLIT_ROWS = 1 << 20
 _WORD = re.compile(r"\w+")
 _GOLDEN, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -187,20 +189,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node each node of the edges (a, b) is connected with, by alternating stars."""
 
-    def large(e: DataFrame) -> DataFrame:
+    def met(pairs: DataFrame, many: bool) -> DataFrame:
+        """Each (u, v) with m, the least v of its u."""
+        least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        if not many:
+            return pairs.join(least.drop("n"), "u")
+        least = cut(least)
+        return split_join(pairs, least.drop("n"), "u", "v", least)
+
+    def large(e: DataFrame, many: bool) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n")))
-        return split_join(both, least.drop("n"), "u", "v", least).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        return met(both, many).where("v > u").select(F.col("v").alias("a"), F.least("u", "m").alias("b")).distinct()
 
-    def small(e: DataFrame) -> DataFrame:
-        down = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        least = cut(down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
-        joined = split_join(down, least.drop("n"), "u", "v", least)
+    def small(e: DataFrame, many: bool) -> DataFrame:
+        joined = met(e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), many)
         return joined.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a != b").union(joined.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
-    state = None
+    state = (edges.count(), None)
     while True:
-        edges = cut(small(cut(large(edges))))
+        # Below this number of rows a centre's are few enough for one task.
+        many = state[0] > SPLIT_ROWS
+        stars = large(edges, many)
+        edges = cut(small(cut(stars) if many else stars, many))
         now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

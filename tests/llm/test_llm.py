@@ -555,6 +555,7 @@ def test_hot_groups_equal_brute_force(spark, monkeypatch):
     """Groups of copies and of near copies, and a text's hub, beyond the bound at which keys are dealt to several tasks."""
     monkeypatch.setattr(near_dedup, "HOT_ROWS", 5)
     monkeypatch.setattr(near_dedup, "HOT_SHARE", 10**6)
+    monkeypatch.setattr(near_dedup, "SPLIT_ROWS", 0)
     rng = random.Random(12)
     word = lambda: "w%d" % rng.randint(0, 5000)
     base = [word() for _ in range(60)]
