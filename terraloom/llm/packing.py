@@ -1,7 +1,7 @@
 """Packing into fixed windows by Karmarkar-Karp multiway differencing (operator 2).
 
-Documents longer than a window give full windows and a rest; rests longer than ``PIECE`` are cut into near-equal
-pieces, the others stay whole. The pieces of a group are spread over k windows by differencing alone: each piece
+Documents longer than a window give full windows and a rest; rests longer than ``PIECE``, a quarter of
+a window, are cut into pieces of that size and a last shorter one, the others stay whole. The pieces of a group are spread over k windows by differencing alone: each piece
 starts as a partition of its own into k subsets; again and again the two partitions with the largest imbalance are
 merged, the fullest subset of one with the emptiest of the other, until one partition is left, whose k sums are
 nearly equal. k begins at the fewest windows that could hold the tokens; whenever a subset exceeds the capacity, k
@@ -33,7 +33,7 @@ from .common import release, shared_table, small_batches
 WINDOW = 2048
 #: Windows that are packed together, the share of their room that a group leaves to the imbalance of its subsets, and
 #: the most tokens of a piece that is not a window of its own.
-GROUP_WINDOWS, SLACK, PIECE = 128, 0.002, 384
+GROUP_WINDOWS, SLACK, PIECE = 128, 0.005, 512
 #: Groups of leftovers in a task of the second step.
 TAIL_GROUPS = 8
 #: Chunks whose ids a worker remembers, in each of two generations (about 200 bytes each).
@@ -80,10 +80,9 @@ def pack_group(sizes: list[int], capacity: int = WINDOW) -> list[list[int]]:
 
 
 def cut_rest(start: int, length: int, longest: int) -> list[tuple[int, int]]:
-    """(start, length) of near-equal pieces of at most ``longest`` tokens."""
-    many = -(-length // longest)
-    edges = [start + length * i // many for i in range(many + 1)] if many else []
-    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+    """(start, length) of pieces of ``longest`` tokens and a last shorter one. The many sizes of the last ones are what
+    lets differencing even the sums out."""
+    return [(a, min(longest, start + length - a)) for a in range(start, start + length, longest)]
 
 
 class Groups:
