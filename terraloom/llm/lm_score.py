@@ -40,7 +40,7 @@ CLASSES = (FREQUENT + HASHED) // CLASS
 HIDDEN, OFFSETS, MINIBATCH, RATE = 16, (-2, -1, 1, 2), 8192, 0.08
 PAD = FREQUENT + HASHED
 #: Words in a chunk, chunks in an Arrow batch, and windows counted by one task.
-CHUNK, CHUNKS_IN_BATCH, WINDOWS = 1 << 19, 8, 2 << 20
+CHUNK, CHUNKS_IN_BATCH, WINDOWS = 1 << 19, 4, 1 << 20
 #: Documents of the warm-up: those with the smallest hash of their id.
 WARM_DOCUMENTS = 400
 _EDGE = max(OFFSETS)
@@ -208,7 +208,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         def out():
             nonlocal made, held, ids
             tokens = np.concatenate(held)
-            row = [[base + made], [ids], [np.fromiter(map(len, held), np.int64, len(held)).tobytes()], [tokens.tobytes()], [len(tokens)]]
+            row = [[base + made], [ids], [np.fromiter(map(len, held), np.int64, len(held)).tobytes()], [_packed(tokens)], [len(tokens)]]
             made, held, ids = made + 1, [], []
             types = [pa.int64(), pa.list_(id_type), pa.binary(), pa.binary(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "ids", "sizes", "tokens", "n"])
@@ -232,10 +232,17 @@ def encode(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(id_col, text_col).mapInArrow(run, f"chunk long, ids array<{kind}>, sizes binary, tokens binary, n long")
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """Tokens of 3 bytes each."""
+    return tokens.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
 def _chunk(batch: pa.RecordBatch, k: int, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """tokens and sizes of a row; sizes are in the column ``first``."""
-    sizes, tokens = (np.frombuffer(batch.column(first + c)[k].as_buffer(), t) for c, t in ((0, np.int64), (1, np.int32)))
-    return tokens, sizes
+    raw = np.frombuffer(batch.column(first + 1)[k].as_buffer(), np.uint8).reshape(-1, 3)
+    tokens = np.zeros((len(raw), 4), np.uint8)
+    tokens[:, :3] = raw
+    return tokens.view("<i4").ravel(), np.frombuffer(batch.column(first)[k].as_buffer(), np.int64)
 
 
 # -- what the corpus gives
@@ -272,7 +279,7 @@ def part_bits(encoded: DataFrame) -> int:
 
 def window_counts(encoded: DataFrame, bits: int) -> DataFrame:
     """chunk, part, keys, same, all: for the keys of each chunk whose window occurs more than once in the corpus, how
-    often it does with the token and at all. A task has a part of the keys, from all chunks."""
+    often it does with the token and at all (32 bits; four billion and more count as four billion). A task has a part of the keys, from all chunks."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,7 +319,7 @@ def window_counts(encoded: DataFrame, bits: int) -> DataFrame:
             many = sums["all"][place] > 1
             if many.any():
                 place = place[many]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), *(pa.array([x], pa.binary()) for x in (_stored(own[many], bits), sums["same"][place].tobytes(), sums["all"][place].tobytes()))], names=["chunk", "part", "keys", "same", "all"])
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), *(pa.array([x], pa.binary()) for x in (_stored(own[many], bits), *(np.minimum(sums[c][place], 0xFFFFFFFF).astype(np.uint32).tobytes() for c in ("same", "all"))))], names=["chunk", "part", "keys", "same", "all"])
         release()
 
     dealt = encoded.select("chunk", "sizes", "tokens").mapInArrow(deal, "part long, chunk long, keys binary, times binary")
@@ -419,7 +426,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             for k, kind in enumerate(batch.column(1).to_pylist()):
                 if kind == 1:
                     keys = _restored(batch.column(6)[k].as_buffer(), batch.column(5)[k].as_py(), bits)
-                    counted.append((keys, *(np.frombuffer(batch.column(c)[k].as_buffer(), np.int64) for c in (7, 8))))
+                    counted.append((keys, *(np.frombuffer(batch.column(c)[k].as_buffer(), np.uint32).astype(np.int64) for c in (7, 8))))
                     continue
                 tokens, sizes = _chunk(batch, k, 2)
                 keys, same, everywhere = (np.concatenate(x) for x in zip(*counted)) if counted else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)
