@@ -74,10 +74,29 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .variants import variants
+
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_lm_scoring, op2_packing, op3_html_extraction, op4_nearest_neighbours, op5_token_counts,
         op6_bpe, op7_language_id, op8_near_duplicates, op9_quality, op10_winnowing,
+        op11_spelling_variants, op12_collocations, op13_toxicity,
     )
     return {f.__name__: f for f in found}
 
@@ -98,7 +117,23 @@ UNION ALL SELECT doc_id, doc_id, doc_id FROM documents WHERE text IS NULL
 """
 
 
+_COLLOCATIONS = r"""
+WITH cut AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w, count(*) AS m FROM cut GROUP BY ALL),
+total AS (SELECT lang, sum(m * len(w))::HUGEINT AS n FROM pieces GROUP BY lang),
+starts AS (SELECT lang, w, m, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (SELECT lang, array_to_string(w[i : i + s - 1], ' ') AS phrase, s, sum(m)::HUGEINT AS f FROM starts, (SELECT unnest(range(1, 6)) AS s) WHERE i + s - 1 <= len(w) GROUP BY ALL HAVING sum(m) >= 100),
+cuts AS (SELECT lang, phrase, f AS a, s, string_split(phrase, ' ') AS w, unnest(range(1, s)) AS k FROM grams WHERE s > 1),
+scores AS (SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n, 1000 * a * n // (x.f * y.f) AS score FROM cuts c JOIN total USING (lang)
+  JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : c.k], ' ') JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1 : c.s], ' ')),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (SELECT DISTINCT x.lang, x.phrase FROM cuts x JOIN cuts y ON x.lang = y.lang AND y.s > x.s AND 100 * y.a >= 100 * x.a AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ') WHERE x.k = 1 AND y.k = 1),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM lowest ANTI JOIN held USING (lang, phrase))
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Near-duplicates by comparing all pairs; the other operators hold trained models, libraries' tokenizers or
-    64-bit hashing, which SQL cannot express."""
-    return {"op8_near_duplicates": _NEAR_DUPLICATES}
+    """Near-duplicates by comparing all pairs, collocations by counting all phrases; the other operators hold trained
+    models, libraries' tokenizers or checksums, which SQL cannot express."""
+    return {"op8_near_duplicates": _NEAR_DUPLICATES, "op12_collocations": _COLLOCATIONS}
