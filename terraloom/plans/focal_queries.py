@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terraloom.operators import focal
+from terraloom.operators import coast, focal
 
 from .registry import query
-from .views import PX1, px1
+from .views import PX1, px1, table
 
 _A, _D = "PARTITION BY l ORDER BY s", "PARTITION BY s ORDER BY l"
 
@@ -82,3 +82,40 @@ def coast_blend(spark, sf_dir):
     px = px1(spark, sf_dir).select("l", "s", "v", F.sqrt("v").alias("over"), F.lit(255.0).alias("base"))
     out = focal.blend(px, "base", "over", F.col("v") < 300, 6)
     return out.select("l", "s", F.round("share", 6).alias("share"), F.round("out", 6).alias("out"))
+
+
+_ULX, _ULY, _PIXEL = 0.0, 90.0, 0.25
+
+
+@query(f"""WITH {PX1}, t AS (SELECT l, s FROM px1 WHERE v > 280)
+SELECT p.l, p.s, min((p.l - t.l) * (p.l - t.l) + (p.s - t.s) * (p.s - t.s)) FILTER ((p.l - t.l) * (p.l - t.l) + (p.s - t.s) * (p.s - t.s) <= 400) AS d2
+FROM px1 p LEFT JOIN t ON abs(p.l - t.l) <= 20 GROUP BY p.l, p.s""")
+def distance_transform(spark, sf_dir):
+    """Exact squared distances to the nearest bright pixel, within 20 pixels."""
+    px = px1(spark, sf_dir).select("l", "s", "v")
+    return coast.squared_distance(px, F.col("v") > 280, 20, "d2").select("l", "s", "d2")
+
+
+def _triangle(x, y, w, h):
+    point = lambda a, b: F.struct(a.cast("double").alias("x"), b.cast("double").alias("y"))
+    return F.array(point(x, y), point(x, y + h), point(x + w, y), point(x, y))  # clockwise
+
+
+_LAND = "rings AS (SELECT s_suppkey % 9 + 0.1 AS x, 90 - s_suppkey * 7 % 400 * 1.5 - 3 AS y, 1.5 + s_nationkey % 4 AS w, 2.0 + s_nationkey % 3 AS h FROM supplier)"
+
+
+@query(f"""WITH {PX1}, {_LAND}, p AS (SELECT l, s, v, {_ULX} + (s + 0.5::DOUBLE) * {_PIXEL}::DOUBLE AS x, {_ULY} - (l + 0.5::DOUBLE) * {_PIXEL}::DOUBLE AS y FROM px1),
+m AS (SELECT l, s, v, EXISTS (SELECT 1 FROM rings r WHERE p.y > r.y AND p.y < r.y + r.h AND p.x > r.x AND (p.x - r.x) / r.w + (p.y - r.y) / r.h < 1) AS land FROM p),
+b AS (SELECT m.l, m.s, m.v, m.land OR EXISTS (SELECT 1 FROM m n WHERE n.land AND abs(n.l - m.l) <= 2 AND (n.l - m.l) * (n.l - m.l) + (n.s - m.s) * (n.s - m.s) <= 4) AS grown, m.land FROM m),
+d AS (SELECT b.l, b.s, any_value(b.v) AS v, any_value(b.land) AS land, min((n.l - b.l) * (n.l - b.l) + (n.s - b.s) * (n.s - b.s)) AS d2 FROM b LEFT JOIN b n ON n.grown AND abs(n.l - b.l) <= 12 GROUP BY b.l, b.s),
+f AS (SELECT *, CASE WHEN d2 <= 144 THEN sqrt(d2) / 12 ELSE 1.0 END AS share, CASE WHEN l % 3 = 0 THEN NULL ELSE 10.0::DOUBLE END AS a FROM d)
+SELECT l, s, land, round(share, 9) AS share, round(share * coalesce(a, 20.0) + (1 - share) * v, 6) AS out FROM f""")
+def coast_feather(spark, sf_dir):
+    """Land from polygons, its buffer, and the overlay (a mosaic of two layers) blended by the true distance."""
+    px = px1(spark, sf_dir).select("l", "s", "v")
+    lines = px.agg(F.max("l")).first()[0] + 1
+    rings = table(spark, sf_dir, "supplier").select(_triangle(F.expr("s_suppkey % 9 + 0.1"), F.expr("90 - s_suppkey * 7 % 400 * 1.5 - 3"), F.expr("1.5 + s_nationkey % 4"), F.expr("2.0 + s_nationkey % 3")).alias("ring"))
+    masked = coast.within(px, rings, "ring", _ULX, _ULY, _PIXEL, lines, "land")
+    layers = masked.withColumn("a", F.when(F.col("l") % 3 != 0, 10.0)).withColumn("b", F.lit(20.0))
+    out = coast.feathered(coast.mosaic(layers, ["a", "b"], "over"), "land", "v", "over", 2, 12)
+    return out.select("l", "s", "land", F.round("share", 9).alias("share"), F.round("out", 6).alias("out"))
