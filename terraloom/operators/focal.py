@@ -110,6 +110,44 @@ def contour_segments(cells: DataFrame, *keys: str) -> DataFrame:
     return out.select(*keys, c("p.a.l").alias("l0"), c("p.a.s").alias("s0"), c("p.b.l").alias("l1"), c("p.b.s").alias("s1"))
 
 
+def contour_links(cells: DataFrame, *keys: str) -> DataFrame:
+    """The steps of the contour lines from cell border to cell border: keys, id, after, and the point (l_at, s_at) of
+    id, with higher ground on the left. Borders are numbered, so that lines join without comparing coordinates."""
+    c = F.col
+    across = lambda down: ((c("l") + down).cast("long") * F.lit(1 << 32) + c("s").cast("long") * 2)
+    along = lambda right: (c("l").cast("long") * F.lit(1 << 32) + (c("s") + right).cast("long") * 2 + 1)
+    border = {"top": across(0), "bottom": across(1), "left": along(0), "right": along(1)}
+    point = {"top": (c("l") + 0.0, c("s") + c("top")), "bottom": (c("l") + 1.0, c("s") + c("bottom")), "left": (c("l") + c("left"), c("s") + 0.0), "right": (c("l") + c("right"), c("s") + 1.0)}
+    step = lambda a, b: F.struct(border[a].alias("id"), border[b].alias("after"), point[a][0].alias("l_at"), point[a][1].alias("s_at"), point[b][0].alias("l_to"), point[b][1].alias("s_to"))
+    ways = {
+        8: ["left top"], 4: ["top right"], 2: ["right bottom"], 1: ["bottom left"], 12: ["left right"], 6: ["top bottom"], 3: ["right left"], 9: ["bottom top"],
+        7: ["top left"], 11: ["right top"], 13: ["bottom right"], 14: ["left bottom"], 5: ["top right", "bottom left"], 10: ["left top", "right bottom"],
+    }
+    steps = None
+    for kind, pairs in ways.items():
+        made = F.array(*[step(*p.split()) for p in pairs])
+        steps = F.when(c("kind") == kind, made) if steps is None else steps.when(c("kind") == kind, made)
+    return cells.select(*keys, F.explode(steps).alias("p")).select(*keys, "p.*")
+
+
+def contour_lines(cells: DataFrame, *keys: str) -> DataFrame:
+    """The contour lines of ``contour_cells`` as points in order: keys, line, pos, closed, l, s. A line is known by its
+    first border, a closed one by its smallest. Segments are joined by pointer doubling, so that a line may run
+    through any number of cells, tasks and tiles; the higher ground lies on its left."""
+    from .chains import ranked
+
+    links = contour_links(cells, *keys)
+    points = links.select(*keys, "id", F.col("l_at").alias("l"), F.col("s_at").alias("s"), F.lit(None).cast("long").alias("before"))
+    points = points.unionByName(links.select(*keys, F.col("after").alias("id"), F.col("l_to").alias("l"), F.col("s_to").alias("s"), F.col("id").alias("before")))
+    # A border inside has two cells, which agree on its point.
+    points = points.groupBy(*keys, "id").agg(F.max("before").alias("before"), F.min("l").alias("l"), F.min("s").alias("s"))
+    from terraloom.sources.staging import cut
+
+    points = cut(points)
+    placed = ranked(points.select(*keys, "id", "before"), *keys)
+    return placed.join(points.drop("before"), [*keys, "id"]).select(*keys, F.col("start").alias("line"), "pos", "closed", "l", "s")
+
+
 def morphology(px: DataFrame, value: str, radius: int, grow: bool, *keys: str) -> DataFrame:
     """Largest (grow) or smallest value in the square around each pixel: a window along the lines, then the columns."""
     f = F.max if grow else F.min

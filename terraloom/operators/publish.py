@@ -66,23 +66,11 @@ def stamped(df: DataFrame, ts: str, stamp: str) -> DataFrame:
 
 
 def tree_heights(spark, nodes: DataFrame, key: str = "id", parent: str = "parent") -> DataFrame:
-    """Height of each node of a link tree: 0 for a leaf, else one more than its highest child. Every pass lifts all
-    heights by a level, so there are as many passes as levels. Links in a circle are an error."""
-    from terraloom.sources.staging import cut
-
-    edges = nodes.where(F.col(parent).isNotNull()).select(F.col(key).alias("child"), F.col(parent).alias("id"))
-    front = cut(nodes.select(F.col(key).alias("id")).withColumn("height", F.lit(0)))
-    best = front
-    level, most = 0, front.count()
-    while True:
-        level += 1
-        front = cut(edges.join(front.select(F.col("id").alias("child")), "child").select("id").distinct().withColumn("height", F.lit(level)))
-        if front.isEmpty():
-            break
-        if level >= most:
-            raise ValueError("the links form a circle")
-        best = best.unionByName(front)
-    return best.groupBy("id").agg(F.max("height").alias("height"))
+    """Height of each node of a link tree: 0 for a leaf, else one more than its highest child. There are as many passes
+    as the logarithm of the number of levels. Links in a circle are an error."""
+    from .chains import heights
+
+    return heights(nodes, key, parent)
 
 
 def top_text(df: DataFrame, order: list[str], line: str, *keys: str) -> DataFrame:

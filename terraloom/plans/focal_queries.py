@@ -61,6 +61,30 @@ def contours(spark, sf_dir):
     return out.select("l", "s", "kind", *[F.round(c, 6).alias(c) for c in ("top", "right", "bottom", "left")])
 
 
+_CELLS = f"""{PX1}, g AS (SELECT a.l, a.s, a.v, b.v AS v01, c.v AS v10, d.v AS v11 FROM px1 a JOIN px1 b ON b.l = a.l AND b.s = a.s + 1 JOIN px1 c ON c.l = a.l + 1 AND c.s = a.s JOIN px1 d ON d.l = a.l + 1 AND d.s = a.s + 1),
+k AS (SELECT *, CASE WHEN v > 100 THEN 8 ELSE 0 END + CASE WHEN v01 > 100 THEN 4 ELSE 0 END + CASE WHEN v11 > 100 THEN 2 ELSE 0 END + CASE WHEN v10 > 100 THEN 1 ELSE 0 END AS kind,
+  (100 - v) / (v01 - v) AS ft, (100 - v01) / (v11 - v01) AS fr, (100 - v10) / (v11 - v10) AS fb, (100 - v) / (v10 - v) AS fl FROM g)"""
+_STEPS = ((8, "lt"), (4, "tr"), (2, "rb"), (1, "bl"), (12, "lr"), (6, "tb"), (3, "rl"), (9, "bt"), (7, "tl"), (11, "rt"), (13, "br"), (14, "lb"), (5, "tr"), (5, "bl"), (10, "lt"), (10, "rb"))
+_BORDER = {"t": "l * 4294967296 + s * 2", "b": "(l + 1) * 4294967296 + s * 2", "l": "l * 4294967296 + s * 2 + 1", "r": "l * 4294967296 + (s + 1) * 2 + 1"}
+_POINT = {"t": "l::DOUBLE AS pl, s + ft AS ps", "b": "l + 1::DOUBLE AS pl, s + fb AS ps", "l": "l + fl AS pl, s::DOUBLE AS ps", "r": "l + fr AS pl, s + 1::DOUBLE AS ps"}
+_LINKS = " UNION ALL ".join(f"SELECT {_BORDER[w[0]]} AS id, {_BORDER[w[1]]} AS nxt, {_POINT[w[0]]} FROM k WHERE kind = {kind}" for kind, w in _STEPS)
+_ENDS = " UNION ALL ".join(f"SELECT {_BORDER[w[1]]} AS id, {_POINT[w[1]]} FROM k WHERE kind = {kind}" for kind, w in _STEPS)
+
+
+@query(f"""WITH RECURSIVE {_CELLS}, links AS ({_LINKS}), ends AS ({_ENDS}),
+points AS (SELECT id, min(pl) AS pl, min(ps) AS ps FROM (SELECT id, pl, ps FROM links UNION ALL SELECT id, pl, ps FROM ends) GROUP BY id),
+walk(start, id, pos) AS (SELECT id, id, 0 FROM points WHERE id NOT IN (SELECT nxt FROM links) UNION ALL SELECT start, nxt, pos + 1 FROM walk JOIN links USING (id)),
+ring AS (SELECT id, nxt FROM links WHERE id NOT IN (SELECT id FROM walk)),
+around(start, id, pos) AS (SELECT id, id, 0 FROM ring UNION ALL SELECT start, nxt, pos + 1 FROM around JOIN ring USING (id) WHERE nxt > start),
+whole AS (SELECT start FROM around JOIN ring USING (id) WHERE nxt = start),
+lines AS (SELECT start, id, pos, false AS closed FROM walk UNION ALL SELECT start, id, pos, true FROM around WHERE start IN (SELECT start FROM whole))
+SELECT CAST(start AS BIGINT) AS line, CAST(pos AS BIGINT) AS pos, closed, round(pl, 6) AS l, round(ps, 6) AS s FROM lines JOIN points USING (id)""")
+def contour_lines(spark, sf_dir):
+    """Whole contour lines over the whole image, each point with its place in its line."""
+    cells = focal.contour_cells(px1(spark, sf_dir).select("l", "s", "v"), 100.0)
+    return focal.contour_lines(cells).select("line", "pos", "closed", F.round("l", 6).alias("l"), F.round("s", 6).alias("s"))
+
+
 def _square(src, f, r):
     return f"(SELECT l, s, {f}(v) OVER ({_D} ROWS BETWEEN {r} PRECEDING AND {r} FOLLOWING) AS v FROM (SELECT l, s, {f}(v) OVER ({_A} ROWS BETWEEN {r} PRECEDING AND {r} FOLLOWING) AS v FROM {src}))"
 
