@@ -2,9 +2,12 @@
 
 Texts become pieces between punctuation marks. Identical pieces are one row with a multiplicity, so that boilerplate is
 read once. Phrases are then counted by length. Each task counts the phrases of its pieces, weighted by multiplicity,
-and passes its sums on by the hash of the phrase; DuckDB adds up each bucket, out of core, and keeps the frequent ones.
-A phrase is only counted if its shorter phrases may be frequent: a bitmap of fixed size holds the hashes of the
-frequent ones. It may let a rare phrase through, never keep a frequent one back, so all counts are exact.
+and passes its sums on by the hashes of their words; DuckDB adds up each bucket, out of core, and keeps the frequent
+ones. A word's 64-bit hash stands for it: all words of the corpus are checked to have different ones, and another
+seed is taken if two have not, so this loses nothing.
+
+A phrase is only counted if its words and pairs of words may be frequent: a bitmap of fixed size holds the hashes of
+the frequent ones. It may let a rare phrase through, never keep a frequent one back, so all counts are exact.
 
 The parts of a candidate have their counts elsewhere. For each cut a request goes to the bucket of the part, and the
 answers meet again at the candidate; requests for a part that very many candidates have are dealt to several tasks.
@@ -12,6 +15,7 @@ answers meet again at the candidate; requests for a part that very many candidat
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
@@ -33,13 +37,14 @@ UNKNOWN = "und"
 #: Bits of the map of frequent phrases (16 MB), whatever the data.
 BITS = 1 << 27
 #: Characters of pieces, and words of pieces, that a task holds before it passes its counts on.
-HELD_CHARS, HELD_WORDS = 32 << 20, 1 << 20
+HELD_CHARS, HELD_WORDS = 16 << 20, 1 << 20
 #: Memory of DuckDB for a bucket; beyond it DuckDB goes to the task's scratch folder.
 MEMORY = "256MB"
 #: Tasks that choose the best phrases of one language before the last choice.
 SALTS = 64
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
-_COUNTS = "lang string, phrase binary, a long"
+_HASHES = [f"h{k}" for k in range(1, WORDS + 1)]
+_COUNTS = ", ".join(f"{h} long" for h in _HASHES) + ", a long"
 _GOLDEN, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -58,14 +63,111 @@ def split(text: str) -> Iterator[bytes]:
             yield b" ".join(words)
 
 
-def _rows(total: dict, schema: list[str]) -> pa.RecordBatch:
-    langs = pa.array([k[0] for k in total], pa.string())
-    return pa.RecordBatch.from_arrays([langs, pa.array([k[1] for k in total], pa.binary()), pa.array(list(total.values()), pa.int64())], names=schema)
+def word_hashes(lang: str, words: list[bytes], seed: int) -> np.ndarray:
+    head = f"{seed}\t{lang}\t".encode()
+    return pd.util.hash_array(np.array([head + w for w in words], dtype=object), categorize=False) if words else np.zeros(0, np.uint64)
+
+
+class Block:
+    """Pieces of some texts, to count their phrases by sorting numbers of words; 0 stands between pieces."""
+
+    def __init__(self, seed: int):
+        self.seed, self.pieces = seed, {}
+
+    def add(self, lang: str, piece: bytes, m: int) -> None:
+        pieces, times = self.pieces.setdefault(lang, ([], []))
+        pieces.append(piece)
+        times.append(m)
+
+    def close(self) -> None:
+        at, weight, self.words, hashes, n = [], [], [(UNKNOWN, b"")], [np.zeros(1, np.uint64)], 1
+        for lang, (pieces, times) in self.pieces.items():
+            tokens = b" \n ".join(pieces).split(b" ")
+            own = sorted(set(tokens) - {b"\n"})
+            numbers = dict(zip(own, range(n, n + len(own))))
+            numbers[b"\n"] = 0
+            n += len(own)
+            self.words += [(lang, w) for w in own]
+            hashes.append(word_hashes(lang, own, self.seed))
+            ids = np.zeros(len(tokens) + 1, np.int64)
+            ids[:-1] = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
+            at.append(ids)
+            weight.append(np.repeat(np.array(times, np.int64), np.diff(np.flatnonzero(ids == 0), prepend=-1)))
+        self.at, self.weight, self.hashes, self.pieces = np.concatenate(at), np.concatenate(weight), np.concatenate(hashes), {}
+        self.width = max(1, n.bit_length())
+
+    def word_sums(self) -> np.ndarray:
+        """The weight of each word; that of number 0 has no meaning."""
+        order = np.argsort(self.at)
+        first = np.flatnonzero(np.diff(self.at[order], prepend=-1))
+        sums = np.zeros(len(self.words), np.int64)
+        sums[self.at[order[first]]] = np.add.reduceat(self.weight[order], first)
+        return sums
+
+    def counts(self, least: int, most: int, known: int, bits: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+        """(hashes of the words, sums) of the phrases of each length from least to most whose runs of ``known`` words
+        may all be frequent."""
+        at, h = self.at, self.hashes
+        n = len(at) - known + 1
+        if n <= 0:
+            return
+        if known == 1:
+            ok = _known(bits, h)[at] & (at > 0)
+        else:
+            run = h[at]
+            key, ok = run[:n], at[:n] > 0
+            for k in range(1, known):
+                key, ok = longer(key, run[k : k + n]), ok & (at[k : k + n] > 0)
+            ok &= _known(bits, key)
+        for k in range(least, most + 1):
+            size = len(at) - k + 1
+            if size <= 0:
+                return
+            good = ok[:size].copy()
+            for j in range(1, k - known + 1):
+                good &= ok[j : j + size]
+            place = np.flatnonzero(good)
+            if not len(place):
+                return
+            code, width = at[place], self.width
+            for j in range(1, k):
+                if width + self.width > 62:  # dense numbers for the words so far
+                    code = np.unique(code, return_inverse=True)[1].ravel()
+                    width = len(code).bit_length()
+                code = code << np.int64(self.width) | at[place + j]
+                width += self.width
+            order = np.argsort(code)
+            first = np.flatnonzero(np.diff(code[order], prepend=-1))
+            begin = place[order[first]]
+            yield [h[at[begin + j]] for j in range(k)], np.add.reduceat(self.weight[place[order]], first)
 
 
-def pieces(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """lang, piece, m: the distinct pieces with their multiplicities; tasks add up their own before the shuffle."""
+def longer(hashes: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """The hash of a phrase with one more word."""
+    return _mix(hashes * _GOLDEN + more)
+
+
+def _known(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(8 * len(bits) - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+
+def pieces_and_words(docs: DataFrame, lang_col: str, text_col: str, seed: int) -> DataFrame:
+    """lang, piece, h, m: the distinct pieces with their multiplicities (h null) and all words with their hashes and
+    numbers. Tasks add up their own before the shuffle."""
     small_batches(docs.sparkSession)
+    names = ["lang", "piece", "h", "m"]
+
+    def made(total: dict) -> Iterator[pa.RecordBatch]:
+        block = Block(seed)
+        for (lang, piece), m in total.items():
+            block.add(lang, piece, m)
+        langs, pieces, m = [k[0] for k in total], [k[1] for k in total], list(total.values())
+        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(pieces, pa.binary()), pa.nulls(len(m), pa.int64()), pa.array(m, pa.int64())], names=names)
+        total.clear()
+        block.close()
+        words = block.words[1:]
+        yield pa.RecordBatch.from_arrays([pa.array([w[0] for w in words], pa.string()), pa.array([w[1] for w in words], pa.binary()), pa.array(block.hashes[1:].view(np.int64)), pa.array(block.word_sums()[1:])], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -76,104 +178,36 @@ def pieces(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> D
                     for piece in split(text):
                         total[lang, piece] += 1
                     held += len(text)
-            if held >= HELD_CHARS:
-                yield _rows(total, ["lang", "piece", "m"])
-                total.clear()
+            if held >= HELD_CHARS and total:
+                yield from made(total)
                 held = 0
         if total:
-            yield _rows(total, ["lang", "piece", "m"])
-        total.clear()
+            yield from made(total)
         release()
 
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "lang string, piece binary, m long").groupBy("lang", "piece").agg(F.sum("m").alias("m"))
-
-
-def word_hashes(keys: list[bytes]) -> np.ndarray:
-    return pd.util.hash_array(np.array(keys, dtype=object), categorize=False) if keys else np.zeros(0, np.uint64)
-
+    return rows.mapInArrow(run, "lang string, piece binary, h long, m long").groupBy("lang", "piece", "h").agg(F.sum("m").alias("m"))
 
-def longer(hashes: np.ndarray, more: np.ndarray) -> np.ndarray:
-    """The hash of a phrase with one more word."""
-    return _mix(hashes * _GOLDEN + more)
-
-
-def _known(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
-    if bits is None:
-        return np.ones(len(hashes), bool)
-    at = hashes & np.uint64(8 * len(bits) - 1)
-    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
-
-
-class Block:
-    """Words of pieces as numbers, 0 between pieces, to count phrases by sorting."""
-
-    def __init__(self):
-        self.ids: dict = {}
-        self.runs: list = []
-        self.weights: list = []
-        self.held = 0
 
-    def add(self, lang: str, piece: bytes, m: int) -> None:
-        ids = self.ids
-        numbers = [ids.setdefault((lang, w), len(ids) + 1) for w in piece.split(b" ")]
-        numbers.append(0)
-        self.runs.append(numbers)
-        self.weights.append(m)
-        self.held += len(numbers)
-
-    def counts(self, least: int, most: int, known: int, bits: np.ndarray | None) -> Iterator[tuple[list, list, np.ndarray]]:
-        """(langs, phrases, sums) of each length from least to most. Only phrases count whose runs of ``known`` words
-        may all be frequent."""
-        at = np.fromiter((x for r in self.runs for x in r), np.int64, self.held)
-        weight = np.repeat(np.array(self.weights, np.int64), [len(r) for r in self.runs])
-        keys = [(UNKNOWN, b""), *self.ids]
-        hashes = np.concatenate([np.zeros(1, np.uint64), word_hashes([lang.encode() + b"\t" + w for lang, w in self.ids])])
-        whole = at > 0  # whether the phrase that begins here stays within its piece
-        code, h, ok = at, hashes[at], None
-        for k in range(1, most + 1):
-            if k > 1:
-                # Phrases so far have dense numbers, so a phrase and its next word are one number.
-                code = np.unique(code[: len(at) - k + 1] << np.int64(32) | at[k - 1 :], return_inverse=True)[1].ravel()
-                h, whole = longer(h[: len(at) - k + 1], hashes[at[k - 1 :]]), whole[: len(at) - k + 1] & (at[k - 1 :] > 0)
-            if k == known:
-                ok = _known(bits, h) & whole
-            if ok is not None and k >= known:
-                good = ok[: len(code)].copy()
-                for j in range(1, k - known + 1):
-                    good &= ok[j : j + len(code)]
-            else:
-                good = whole
-            if k < least:
-                continue
-            place = np.flatnonzero(good & whole)
-            if not len(place):
-                continue
-            order = place[np.argsort(code[place], kind="stable")]
-            first = np.flatnonzero(np.concatenate([[True], np.diff(code[order]) != 0]))
-            sums, begin = np.add.reduceat(weight[order], first), order[first]
-            words = [at[begin + j].tolist() for j in range(k)]
-            langs = [keys[w][0] for w in words[0]]
-            phrases = [b" ".join([keys[w][1] for w in p]) for p in zip(*words)]
-            yield langs, phrases, sums
-
-
-def _counted(least: int, most: int, known: int, shipped):
+def _counted(least: int, most: int, known: int, seed: int, shipped):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if shipped is None else np.frombuffer(shipped.value, np.uint8)
-        block = Block()
+        bits = np.frombuffer(shipped.value, np.uint8)
+        block, held = Block(seed), 0
 
         def out():
-            for langs, phrases, sums in block.counts(least, most, known, bits):
-                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()), pa.array(sums)], names=["lang", "phrase", "a"])
+            block.close()
+            for hashes, sums in block.counts(least, most, known, bits):
+                none = np.zeros(len(sums), np.int64)
+                yield pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in hashes), *[pa.array(none)] * (WORDS - len(hashes)), pa.array(sums)], names=[*_HASHES, "a"])
 
         for batch in batches:
             for lang, piece, m in zip(*(c.to_pylist() for c in batch.columns)):
                 block.add(lang, piece, m)
-            if block.held >= HELD_WORDS:
+                held += piece.count(b" ") + 2
+            if held >= HELD_WORDS:
                 yield from out()
-                block = Block()
-        if block.held:
+                block, held = Block(seed), 0
+        if held:
             yield from out()
         block = None
         release()
@@ -185,41 +219,47 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sums of one bucket's phrases, by DuckDB: it reads the batches as they come and spills what it must."""
     import duckdb
 
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("a", pa.int64())])
+    schema = pa.schema([(h, pa.int64()) for h in [*_HASHES, "a"]])
     with tempfile.TemporaryDirectory(prefix="counts-", ignore_cleanup_errors=True) as scratch:
         with duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": scratch, "preserve_insertion_order": False}) as con:
             con.register("counts", pa.RecordBatchReader.from_batches(schema, batches))
-            sums = con.sql(f"SELECT lang, phrase, sum(a)::BIGINT AS a FROM counts GROUP BY lang, phrase HAVING sum(a) >= {OCCURRENCES}")
+            sums = con.sql(f"SELECT {', '.join(_HASHES)}, sum(a)::BIGINT AS a FROM counts GROUP BY {', '.join(_HASHES)} HAVING sum(a) >= {OCCURRENCES}")
             yield from sums.to_arrow_reader(20_000)
     release()
 
 
-def frequent(rows: DataFrame, least: int, most: int, known: int, shipped) -> DataFrame:
-    """lang, phrase, a of the phrases of least to most words that occur often enough."""
-    counted = rows.select("lang", "piece", "m").mapInArrow(_counted(least, most, known, shipped), _COUNTS)
-    return shared_table(counted.repartition("lang", "phrase").mapInArrow(_bucket, _COUNTS))
-
+def frequent(pieces: DataFrame, least: int, most: int, known: int, seed: int, shipped) -> DataFrame:
+    """The hashes of the words (0 beyond the last) and the number of the phrases that occur often enough."""
+    counted = pieces.mapInArrow(_counted(least, most, known, seed, shipped), _COUNTS)
+    return shared_table(counted.repartition(*_HASHES).mapInArrow(_bucket, _COUNTS))
 
-def bitmap(found: DataFrame, words: int):
-    """The bits of the hashes of the frequent phrases of so many words: at most BITS, built by Spark in blocks."""
-
-    def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, phrases = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            hashes = word_hashes([lang.encode() + b"\t" + w for lang, p in zip(langs, phrases) for w in p.split(b" ")]).reshape(-1, words)
-            h = hashes[:, 0]
-            for k in range(1, words):
-                h = longer(h, hashes[:, k])
-            yield pa.RecordBatch.from_arrays([pa.array((h & np.uint64(BITS - 1)).astype(np.int64))], names=["bit"])
 
+def bitmap(hashes: DataFrame):
+    """The bits of the hashes (one column of 64-bit numbers): at most BITS of them, built by Spark in blocks."""
     # Buckets are numbered from 1 and hold positions 1 to 32768 before it; bit 0 of the map is position 1.
-    at = found.select("lang", "phrase").mapInArrow(positions, "bit long").select((F.col("bit") + 1).alias("bit"))
+    at = hashes.select((F.col(hashes.columns[0]).bitwiseAND(F.lit(BITS - 1)) + 1).alias("bit"))
     blocks = at.groupBy(F.bitmap_bucket_number("bit").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
     out = np.zeros(BITS // 8, np.uint8)
     for b in blocks:
         part = np.frombuffer(bytes(b["bits"]), np.uint8)
-        out[(b["block"] - 1) * len(part) : b["block"] * len(part)] = part
-    return found.sparkSession.sparkContext.broadcast(out.tobytes())
+        at_ = (b["block"] - 1) * len(part)
+        out[at_ : at_ + len(part)] = part[: len(out) - at_]
+    return hashes.sparkSession.sparkContext.broadcast(out.tobytes())
+
+
+def _pair_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        first, second = (batch.column(k).to_numpy().view(np.uint64) for k in range(2))
+        yield pa.RecordBatch.from_arrays([pa.array(longer(first, second).view(np.int64))], names=["h"])
+
+
+def named(phrases: DataFrame, words: DataFrame) -> DataFrame:
+    """lang, phrase, a: the phrases by their words again, which are all frequent."""
+    out = phrases
+    for k, h in enumerate(_HASHES):
+        some = words.select(F.col("h").alias(h), F.col("phrase").alias(f"w{k}"), *([F.col("lang")] if k == 0 else []))
+        out = out.join(some, h, "inner" if k < 2 else "left")
+    return out.select("lang", F.concat_ws(" ", *[f"w{k}" for k in range(WORDS)]).alias("phrase"), "a")
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", best: int = BEST) -> DataFrame:
@@ -229,20 +269,22 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     length is read whole, also one without any mark. Ties go by a, then by phrase in byte order. A table without
     phrases that are frequent enough, or an empty one, gives no rows. Columns other than language and text are not read.
     """
-    rows = shared_table(pieces(docs, lang_col, text_col))
-    piece = F.col("piece").cast("string")
-    n_words = F.length(piece) - F.length(F.replace(piece, F.lit(" "))) + 1
-    totals = cut(rows.groupBy("lang").agg(F.sum(n_words * F.col("m")).alias("n")))
-    one = frequent(rows, 1, 1, 1, None)
-    two = frequent(rows, 2, 2, 1, bitmap(one, 1))
-    three = frequent(rows, 3, 3, 2, bitmap(two, 2))
-    more = frequent(rows, 4, WORDS, 3, bitmap(three, 3))
-    return scored(totals, one, two.unionByName(three).unionByName(more), best)
+    for seed in itertools.count():
+        rows = shared_table(pieces_and_words(docs, lang_col, text_col, seed))
+        every = rows.where("h is not null")
+        if every.groupBy("h").count().where("count > 1 or h = 0").isEmpty():
+            break
+    totals = cut(every.groupBy("lang").agg(F.sum("m").alias("n")))
+    words = cut(every.where(F.col("m") >= OCCURRENCES).select("lang", F.col("piece").cast("string").alias("phrase"), "h", F.col("m").alias("a")))
+    pieces = rows.where("h is null").select("lang", "piece", "m")
+    two = frequent(pieces, 2, 2, 1, seed, bitmap(words.select("h")))
+    more = frequent(pieces, 3, WORDS, 2, seed, bitmap(two.select("h1", "h2").mapInArrow(_pair_hashes, "h long")))
+    return scored(totals, words.select("lang", "phrase", "a"), cut(named(two.unionByName(more), words)), best)
 
 
 def scored(totals: DataFrame, words: DataFrame, phrases: DataFrame, best: int) -> DataFrame:
     """Candidates with their lowest cut, without those that a longer one holds, the best of each language."""
-    counts = words.unionByName(phrases).select("lang", F.col("phrase").cast("string").alias("phrase"), "a")
+    counts = words.unionByName(phrases)
     candidates = counts.where(F.col("phrase").contains(" "))
     w = F.split("phrase", " ")
     joined = lambda begin, size: F.concat_ws(" ", F.slice("w", begin, size))
