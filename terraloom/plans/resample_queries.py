@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terraloom.functions import geo
+from terraloom.functions import geo, isin
 from terraloom.functions.geo import Grid
 from terraloom.operators import resample as rs
 
@@ -198,3 +198,36 @@ def granule_corners(spark, sf_dir):
         "lid", "w AS ulx", "n AS uly", "CASE WHEN lid % 3 = 0 THEN -w ELSE e END AS urx", "n AS ury", "CASE WHEN lid % 4 = 0 THEN -w ELSE w END AS llx", "s AS lly", "CASE WHEN lid % 4 = 0 THEN -e ELSE e END AS lrx", "s AS lry"
     )
     return rs.unwrap_corners(g)
+
+
+_ISIN = isin.Grid(360, 1)
+
+
+def _isin_columns(row):
+    return f"greatest(CAST(floor(2 * cos(pi() / 2 * (1.0 - (least({row}, 359 - {row}) + 0.5) / 180.0::DOUBLE)) * 360 + 0.5) AS BIGINT), 2)"
+
+
+@query(f"""WITH {LAY}, p AS (SELECT *, least(CAST(floor((90.0 - s) / 180.0 * 360) AS BIGINT), 359) AS "row", ((w + 360.0::DOUBLE) % 360.0::DOUBLE + 180.0) % 360.0::DOUBLE / 360.0 AS share FROM lay),
+c AS (SELECT *, {_isin_columns('"row"')} AS nc FROM p) SELECT "row", least(CAST(floor(share * nc) AS BIGINT), nc - 1) AS col, count(*) AS layers, round(avg(CAST(ts AS DOUBLE)), 4) AS ts FROM c GROUP BY ALL""")
+def isin_cells(spark, sf_dir):
+    """Means over the cells of a grid whose rows have different numbers of columns."""
+    row, col = _ISIN.cell(F.col("w"), F.col("s"))
+    return lay(spark, sf_dir).select(row.alias("row"), col.alias("col"), "ts").groupBy("row", "col").agg(F.count("*").alias("layers"), F.round(F.avg(F.col("ts").cast("double")), 4).alias("ts"))
+
+
+def _isin_place(k):
+    y = f"({_ISIN.radius * 1.2} - (l + {isin.NESTED[4][0]} + {k} * {isin.NESTED[4][1]}) * 27000.0::DOUBLE)"
+    return f"(SELECT lid, l, x, degrees({y} / {_ISIN.radius}::DOUBLE) AS lat FROM p)"
+
+
+@query(f"""WITH {LAY}, p AS (SELECT lid, lid % 500 AS l, -20000000.0::DOUBLE + (lid * 7 % 1500) * 27000.0::DOUBLE AS x FROM lay),
+a AS ({" UNION ALL ".join(f"SELECT * FROM {_isin_place(k)}" for k in range(4))}),
+r AS (SELECT *, least(CAST(floor((90.0 - lat) / 180.0 * 360) AS BIGINT), 359) AS "row" FROM a WHERE abs(lat) <= 90),
+s AS (SELECT *, {_isin_columns('"row"')} AS n FROM r), t AS (SELECT *, (floor((n + 1) / 2::DOUBLE) + x / {_ISIN.pitch}::DOUBLE) / n AS share FROM s),
+g AS (SELECT lid, avg(share * 360.0 - 180.0) AS lon, avg(lat) AS lat FROM t WHERE share >= 0 AND share <= 1 GROUP BY lid)
+SELECT lid, round(lon, 6) AS lon, round(g.lat, 6) AS lat FROM p LEFT JOIN g USING (lid)""")
+def isin_nested(spark, sf_dir):
+    """The places of coarse pixels as means over the four rows that are nested in them."""
+    p = lay(spark, sf_dir).selectExpr("lid", "lid % 500 AS l", "lid * 7 % 1500 AS s")
+    lon, lat = _ISIN.nested(F.col("l"), F.col("s"), -20000000.0, _ISIN.radius * 1.2, 27000.0, 4)
+    return p.select("lid", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
