@@ -37,14 +37,15 @@ UNKNOWN = "und"
 #: Bits of the map of frequent phrases (16 MB), whatever the data.
 BITS = 1 << 27
 #: Characters of pieces, and words of pieces, that a task holds before it passes its counts on.
-HELD_CHARS, HELD_WORDS = 16 << 20, 1 << 20
+HELD_CHARS, HELD_WORDS = 16 << 20, 1 << 21
+#: Pieces that are split into words at once.
+_CHUNK = 2048
 #: Memory of DuckDB for a bucket; beyond it DuckDB goes to the task's scratch folder.
 MEMORY = "256MB"
 #: Tasks that choose the best phrases of one language before the last choice.
 SALTS = 64
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 _HASHES = [f"h{k}" for k in range(1, WORDS + 1)]
-_COUNTS = ", ".join(f"{h} long" for h in _HASHES) + ", a long"
 _GOLDEN, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -80,21 +81,22 @@ class Block:
         times.append(m)
 
     def close(self) -> None:
-        at, weight, self.words, hashes, n = [], [], [(UNKNOWN, b"")], [np.zeros(1, np.uint64)], 1
+        at, weight, self.words, hashes = [], [], [(UNKNOWN, b"")], [np.zeros(1, np.uint64)]
         for lang, (pieces, times) in self.pieces.items():
-            tokens = b" \n ".join(pieces).split(b" ")
-            own = sorted(set(tokens) - {b"\n"})
-            numbers = dict(zip(own, range(n, n + len(own))))
-            numbers[b"\n"] = 0
-            n += len(own)
-            self.words += [(lang, w) for w in own]
-            hashes.append(word_hashes(lang, own, self.seed))
-            ids = np.zeros(len(tokens) + 1, np.int64)
-            ids[:-1] = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-            at.append(ids)
-            weight.append(np.repeat(np.array(times, np.int64), np.diff(np.flatnonzero(ids == 0), prepend=-1)))
+            numbers, before = {b"\n": 0}, len(self.words)
+            for k in range(0, len(pieces), _CHUNK):  # few words at a time as objects
+                some = pieces[k : k + _CHUNK]
+                tokens = b" \n ".join(some).split(b" ")
+                for w in sorted(set(tokens) - numbers.keys()):
+                    numbers[w] = len(self.words)
+                    self.words.append((lang, w))
+                ids = np.zeros(len(tokens) + 1, np.int64)
+                ids[:-1] = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
+                at.append(ids)
+                weight.append(np.repeat(np.array(times[k : k + _CHUNK], np.int64), np.diff(np.flatnonzero(ids == 0), prepend=-1)))
+            hashes.append(word_hashes(lang, [w for _, w in self.words[before:]], self.seed))
         self.at, self.weight, self.hashes, self.pieces = np.concatenate(at), np.concatenate(weight), np.concatenate(hashes), {}
-        self.width = max(1, n.bit_length())
+        self.width = max(1, len(self.words).bit_length())
 
     def word_sums(self) -> np.ndarray:
         """The weight of each word; that of number 0 has no meaning."""
@@ -198,7 +200,7 @@ def _counted(least: int, most: int, known: int, seed: int, shipped):
             block.close()
             for hashes, sums in block.counts(least, most, known, bits):
                 none = np.zeros(len(sums), np.int64)
-                yield pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in hashes), *[pa.array(none)] * (WORDS - len(hashes)), pa.array(sums)], names=[*_HASHES, "a"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in hashes), *[pa.array(none)] * (most - len(hashes)), pa.array(sums)], names=[*_HASHES[:most], "a"])
 
         for batch in batches:
             for lang, piece, m in zip(*(c.to_pylist() for c in batch.columns)):
@@ -215,23 +217,30 @@ def _counted(least: int, most: int, known: int, seed: int, shipped):
     return run
 
 
-def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket(keys: list[str]):
     """The sums of one bucket's phrases, by DuckDB: it reads the batches as they come and spills what it must."""
-    import duckdb
 
-    schema = pa.schema([(h, pa.int64()) for h in [*_HASHES, "a"]])
-    with tempfile.TemporaryDirectory(prefix="counts-", ignore_cleanup_errors=True) as scratch:
-        with duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": scratch, "preserve_insertion_order": False}) as con:
-            con.register("counts", pa.RecordBatchReader.from_batches(schema, batches))
-            sums = con.sql(f"SELECT {', '.join(_HASHES)}, sum(a)::BIGINT AS a FROM counts GROUP BY {', '.join(_HASHES)} HAVING sum(a) >= {OCCURRENCES}")
-            yield from sums.to_arrow_reader(20_000)
-    release()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import duckdb
+
+        schema = pa.schema([(h, pa.int64()) for h in [*keys, "a"]])
+        with tempfile.TemporaryDirectory(prefix="counts-", ignore_cleanup_errors=True) as scratch:
+            with duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": scratch, "preserve_insertion_order": False}) as con:
+                con.register("counts", pa.RecordBatchReader.from_batches(schema, batches))
+                sums = con.sql(f"SELECT {', '.join(keys)}, sum(a)::BIGINT AS a FROM counts GROUP BY {', '.join(keys)} HAVING sum(a) >= {OCCURRENCES}")
+                yield from sums.to_arrow_reader(20_000)
+        release()
+
+    return run
 
 
 def frequent(pieces: DataFrame, least: int, most: int, known: int, seed: int, shipped) -> DataFrame:
     """The hashes of the words (0 beyond the last) and the number of the phrases that occur often enough."""
-    counted = pieces.mapInArrow(_counted(least, most, known, seed, shipped), _COUNTS)
-    return shared_table(counted.repartition(*_HASHES).mapInArrow(_bucket, _COUNTS))
+    keys = _HASHES[:most]
+    schema = ", ".join(f"{h} long" for h in [*keys, "a"])
+    counted = pieces.mapInArrow(_counted(least, most, known, seed, shipped), schema)
+    found = shared_table(counted.repartition(*keys).mapInArrow(_bucket(keys), schema))
+    return found.select(*keys, *[F.lit(0).cast("long").alias(h) for h in _HASHES[most:]], "a")
 
 
 def bitmap(hashes: DataFrame):
