@@ -1,22 +1,17 @@
 """Language-model scores by masked pseudo-likelihood (operator 1).
 
-The tokens are words, hashed to a vocabulary of two million numbers. Each is predicted from the two words before and
-the two words after it, its window. A small window network gives the class of the token by a two-level softmax: the
-most frequent tokens are classes of their own, the others share classes by their words' endings. The token's
-probability is that of its class given the window times its share of the class's words in the whole corpus; the
-probabilities of all tokens sum to one.
-
-The network cannot remember the corpus, so the windows of all its words are counted too. With m other occurrences of
-the window in the corpus, c of them around the same token, a token's probability is (c + P) / (m + 1), where P is the
-network's: the network is the prior, the corpus without the place itself the evidence. The summed log probabilities
-of all its words score a document.
-
-Documents are encoded once, in chunks of half a million words. Windows are counted over all chunks by a shuffle of
-what is distinct within a chunk, so a frequent window costs a row for each chunk, not for each occurrence; the counts
-of windows that the corpus has more than once go back to the chunks that have them. The network is warmed up on a
-bounded sample; then every partition goes on from there over all its words, and the partitions' parameters are
-averaged, weighted by their words, in two summing steps. What is broadcast (the counts of the tokens and one network)
-has a fixed size; the table of windows grows with the corpus.
+The tokens are words. Each is predicted from the two words before and the two words after it. A small window network
+gives the class of the word by a two-level softmax: the most frequent words are classes of their own, the others share
+classes by their endings. A word's probability is that of its class given the words around it times its share of the
+class's words in the whole corpus; the probabilities of all words sum to one. The summed log probabilities of its
+words score a document.
+
+Documents are encoded once, in chunks of half a million words: the distinct words of a chunk as 64-bit hashes, and the
+places of its words among them. How often each word occurs is counted over all chunks by a shuffle of what is distinct
+within a chunk, and the counts go back to the chunks in the order of their words; the table of words grows with the
+corpus. The network is warmed up on a bounded sample; then every partition goes on from there over all its words, and
+the partitions' parameters are averaged, weighted by their words, in two summing steps. What is broadcast (the frequent
+words, the totals of the classes and one network) has a fixed size.
 """
 
 from __future__ import annotations
@@ -30,23 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, cut, release, shared_table, small_batches, summed_counters
+from .common import TwoGenerations, cut, release, shared_table, small_batches
 
-#: Frequent tokens that are classes of their own; the others share as many classes by a hash of their words' endings,
-#: which is the lowest bits of a token. TOKENS is the size of the vocabulary (a power of two).
-FREQUENT, HASHED, TOKENS = 512, 512, 1 << 21
+#: Frequent words that are classes of their own; the others share as many classes by a hash of their endings, which is
+#: in the lowest bits of a word's hash.
+FREQUENT, HASHED = 512, 512
 CLASS = 32  # outputs in a group of the two-level softmax
 CLASSES = (FREQUENT + HASHED) // CLASS
 HIDDEN, OFFSETS, MINIBATCH, RATE = 16, (-2, -1, 1, 2), 8192, 0.08
 PAD = FREQUENT + HASHED
-#: Words in a chunk, chunks in an Arrow batch, and windows counted by one task.
-CHUNK, CHUNKS_IN_BATCH, WINDOWS = 1 << 19, 4, 1 << 20
+#: Words in a chunk, chunks in an Arrow batch, and words (not their repeats in a chunk) counted by one task.
+CHUNK, CHUNKS_IN_BATCH, COUNTED = 1 << 19, 4, 1 << 21
 #: Documents of the warm-up: those with the smallest hash of their id.
 WARM_DOCUMENTS = 400
 _EDGE = max(OFFSETS)
-_G, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-#: The lowest bits of a window's key are a hash of its word.
-_WORD_BITS = 16
 
 
 class Network:
@@ -149,76 +141,41 @@ def train(network: Network, chunks: Iterator[tuple[np.ndarray, np.ndarray]], rat
     return seen
 
 
-# -- tokens and windows
+# -- words
 
 
-def token_of(word: str) -> int:
-    """The number of a word in the vocabulary: a hash, and in its lowest bits the class of its ending."""
-    raw = word.encode("utf-8", "surrogatepass")
+def hash_of(word: str) -> int:
+    """A word's 64-bit hash: 55 bits of the word, then the class of its ending. Of a hundred million words a tenth of a
+    pair is expected to share one."""
     ending = crc32(word[-3:].encode("utf-8", "surrogatepass")) % HASHED
-    return int.from_bytes(blake2b(raw, digest_size=4).digest(), "little") % (TOKENS // HASHED) * HASHED | ending
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _C1
-    x = (x ^ (x >> np.uint64(27))) * _C2
-    return x ^ (x >> np.uint64(31))
-
-
-def window_keys(tokens: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
-    """The key of the window and token at each place, 64 bits: first those of its part, then 32 bits of the words
-    around (at least 48 with the part's, so that of a trillion words one window in a few hundred is taken for another),
-    and last the token's."""
-    line, at = laid(tokens.astype(np.int64) + 1, sizes, 0)
-    line = line.view(np.uint64)
-    around = np.zeros(len(at), np.uint64)
-    for o in OFFSETS:
-        around = around * _G + line[at + o]
-    unused = np.uint64(_WORD_BITS + max(0, 16 - bits))
-    return _mix(around) >> unused << unused | _mix(line[at]) >> np.uint64(64 - _WORD_BITS)
-
-
-def _stored(keys: np.ndarray, bits: int) -> bytes:
-    """Keys of one part as 6 bytes each: without the part's bits and those that are not used."""
-    unused = np.uint64(_WORD_BITS + max(0, 16 - bits))
-    short = (keys >> unused & np.uint64(0xFFFFFFFF)) << np.uint64(_WORD_BITS) | keys & np.uint64((1 << _WORD_BITS) - 1)
-    return short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _restored(data, part: int, bits: int) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    short = np.zeros((len(raw), 8), np.uint8)
-    short[:, :6] = raw
-    short = short.view("<u8").ravel()
-    unused = np.uint64(_WORD_BITS + max(0, 16 - bits))
-    return np.uint64(part << (64 - bits) if bits else 0) | short >> np.uint64(_WORD_BITS) << unused | short & np.uint64((1 << _WORD_BITS) - 1)
+    return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") // HASHED * HASHED | ending
 
 
 def encode(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """chunk, ids, sizes, tokens, n: whole documents in chunks. Words are what white space parts, in lower case; a
-    null text has none."""
+    """chunk, ids, sizes, words, places, n, distinct: whole documents in chunks. Words are what white space parts, in
+    lower case; a null text has none."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number = TwoGenerations(token_of).__getitem__
+        number = TwoGenerations(hash_of).__getitem__
         base, made, held, ids, id_type = TaskContext.get().partitionId() << 32, 0, [], [], None
 
         def out():
             nonlocal made, held, ids
-            tokens = np.concatenate(held)
-            row = [[base + made], [ids], [np.fromiter(map(len, held), np.int64, len(held)).tobytes()], [_packed(tokens)], [len(tokens)]]
+            words, places = np.unique(np.concatenate(held), return_inverse=True)
+            row = [[base + made], [ids], [np.fromiter(map(len, held), np.int64, len(held)).tobytes()], [words.tobytes()], [_packed(places.ravel(), len(words))], [len(places)], [len(words)]]
             made, held, ids = made + 1, [], []
-            types = [pa.int64(), pa.list_(id_type), pa.binary(), pa.binary(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "ids", "sizes", "tokens", "n"])
+            types = [pa.int64(), pa.list_(id_type), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "ids", "sizes", "words", "places", "n", "distinct"])
 
         words = 0
         for batch in batches:
             id_type = batch.schema.field(0).type
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ws = (t or "").lower().split()
-                held.append(np.fromiter(map(number, ws), np.int32, len(ws)))
+                held.append(np.fromiter(map(number, ws), np.uint64, len(ws)))
                 ids.append(i)
                 words += len(ws) + 1
                 if words >= CHUNK:
@@ -229,101 +186,124 @@ def encode(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         release()
 
     small_batches(docs.sparkSession)
-    return docs.select(id_col, text_col).mapInArrow(run, f"chunk long, ids array<{kind}>, sizes binary, tokens binary, n long")
-
-
-def _packed(tokens: np.ndarray) -> bytes:
-    """Tokens of 3 bytes each."""
-    return tokens.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+    return docs.select(id_col, text_col).mapInArrow(run, f"chunk long, ids array<{kind}>, sizes binary, words binary, places binary, n long, distinct long")
 
 
-def _chunk(batch: pa.RecordBatch, k: int, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """tokens and sizes of a row; sizes are in the column ``first``."""
-    raw = np.frombuffer(batch.column(first + 1)[k].as_buffer(), np.uint8).reshape(-1, 3)
-    tokens = np.zeros((len(raw), 4), np.uint8)
-    tokens[:, :3] = raw
-    return tokens.view("<i4").ravel(), np.frombuffer(batch.column(first)[k].as_buffer(), np.int64)
+def _packed(places: np.ndarray, distinct: int) -> bytes:
+    """Places of 3 bytes each, of 8 where so many words are different."""
+    if distinct >> 24:
+        return places.astype("<i8").tobytes()
+    return places.astype("<i4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
 
 
-# -- what the corpus gives
+def _unpacked(data, distinct: int) -> np.ndarray:
+    if distinct >> 24:
+        return np.frombuffer(data, "<i8")
+    raw = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    places = np.zeros((len(raw), 4), np.uint8)
+    places[:, :3] = raw
+    return places.view("<i4").ravel()
 
 
-def token_counts(encoded: DataFrame) -> np.ndarray:
-    """How often each token of the vocabulary occurs in the corpus."""
+def classes_of(words: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The class of each word; ``frequent`` is sorted."""
+    out = (FREQUENT + (words & np.uint64(HASHED - 1)).astype(np.int64)).astype(np.int16)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
+        hit = frequent[at] == words
+        out[hit] = at[hit]
+    return out
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        counts = np.zeros(TOKENS, np.int64)
-        for batch in batches:
-            for k in range(batch.num_rows):
-                at, n = np.unique(_chunk(batch, k)[0], return_counts=True)
-                counts[at] += n
-        return counts
 
-    small_batches(encoded.sparkSession, CHUNKS_IN_BATCH)
-    return summed_counters(encoded.select("sizes", "tokens"), tally, TOKENS)
-
-
-def output_layer(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each token its class, and the log of its share of its class's words."""
-    frequent = np.lexsort((np.arange(TOKENS), -counts))[:FREQUENT]
-    classes = (FREQUENT + (np.arange(TOKENS) & (HASHED - 1))).astype(np.int16)
-    classes[frequent] = np.arange(len(frequent))
-    total = np.bincount(classes, counts, minlength=PAD)[classes]
-    return classes, np.log(np.maximum(counts, 1) / np.maximum(total, 1)).astype(np.float32)
+# -- what the corpus gives
 
 
 def part_bits(encoded: DataFrame) -> int:
-    """The corpus's windows are counted in two to the power of so many parts."""
-    return max(0, ((encoded.agg(F.sum("n")).first()[0] or 0) // WINDOWS).bit_length())
+    """The words are counted in two to the power of so many parts, by the first bits of their hashes."""
+    return max(0, ((encoded.agg(F.sum("distinct")).first()[0] or 0) // COUNTED).bit_length())
 
 
-def window_counts(encoded: DataFrame, bits: int) -> DataFrame:
-    """chunk, part, keys, same, all: for the keys of each chunk whose window occurs more than once in the corpus, how
-    often it does with the token and at all (32 bits; four billion and more count as four billion). A task has a part of the keys, from all chunks."""
+def word_counts(encoded: DataFrame, bits: int) -> DataFrame:
+    """chunk, part, counts: how often the words of the chunk that belong to the part occur in the corpus, in their
+    order (64-bit); and for each part a row without a chunk, with its most frequent words (top, of which no more than
+    FREQUENT can matter), their numbers, and the sums of its words by ending."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                tokens, sizes = _chunk(batch, k, 1)
-                keys, n = np.unique(window_keys(tokens, sizes, bits), return_counts=True)
-                part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+                words = np.frombuffer(batch.column(1)[k].as_buffer(), np.uint64)
+                if not len(words):
+                    continue
+                n = np.bincount(_unpacked(batch.column(2)[k].as_buffer(), len(words)), minlength=len(words)).astype(np.int32)
+                part = (words >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(words), np.int64)
                 used, first = np.unique(part, return_index=True)
-                edges = [*first.tolist(), len(keys)]
-                rows = [(_stored(keys[a:b], bits), n[a:b].astype(np.int32).tobytes()) for a, b in zip(edges, edges[1:])]
-                if len(used):
-                    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([batch.column(0)[k].as_py()] * len(used), pa.int64()), *(pa.array(c, pa.binary()) for c in zip(*rows))], names=["part", "chunk", "keys", "times"])
+                edges = [*first.tolist(), len(words)]
+                rows = [(words[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(edges, edges[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([batch.column(0)[k].as_py()] * len(used), pa.int64()), *(pa.array(c, pa.binary()) for c in zip(*rows))], names=["part", "chunk", "words", "times"])
         release()
 
+    names = ["chunk", "part", "counts", "top", "times", "endings"]
+
+    def counted(part: int, chunks: list, words: list, times: list) -> Iterator[pa.RecordBatch]:
+        line = np.concatenate(words)
+        distinct, at = np.unique(line, return_inverse=True)
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, at.ravel(), np.concatenate(times))
+        edge = 0
+        for chunk, own in zip(chunks, words):
+            counts = total[at[edge : edge + len(own)]]
+            edge += len(own)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), pa.array([counts.tobytes()], pa.binary()), *[pa.nulls(1, pa.binary())] * 3], names=names)
+        top = np.lexsort((distinct, -total))[:FREQUENT]
+        endings = np.zeros(HASHED, np.int64)
+        np.add.at(endings, (distinct & np.uint64(HASHED - 1)).astype(np.int64), total)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([part], pa.int64()), pa.nulls(1, pa.binary()), *(pa.array([x.tobytes()], pa.binary()) for x in (distinct[top], total[top], endings))], names=names)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, keys, times = [], [], []
+        now, held = None, ([], [], [])
         for batch in batches:
-            parts = batch.column(0).to_pylist()
-            rows += zip(batch.column(1).to_pylist(), parts)
-            keys += [_restored(x.as_buffer(), p, bits) for p, x in zip(parts, batch.column(2))]
-            times += [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(3)]
-        if not rows:
-            return
-        line = np.concatenate(keys)
-        order = np.argsort(line, kind="stable")
-        line, n = line[order], np.concatenate(times)[order]
-        sums = {}
-        for name, value in (("same", line), ("all", line >> np.uint64(_WORD_BITS))):
-            first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
-            sums[name] = np.repeat(np.add.reduceat(n, first, dtype=np.int64), np.diff(np.r_[first, len(line)]))
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        at = 0
-        for (chunk, part), own in zip(rows, keys):
-            place = back[at : at + len(own)]
-            at += len(own)
-            many = sums["all"][place] > 1
-            if many.any():
-                place = place[many]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), *(pa.array([x], pa.binary()) for x in (_stored(own[many], bits), *(np.minimum(sums[c][place], 0xFFFFFFFF).astype(np.uint32).tobytes() for c in ("same", "all"))))], names=["chunk", "part", "keys", "same", "all"])
+            for part, chunk, words, times in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                if part != now and held[0]:
+                    yield from counted(now, *held)
+                    held = ([], [], [])
+                now = part
+                held[0].append(chunk)
+                held[1].append(np.frombuffer(words.as_buffer(), np.uint64))
+                held[2].append(np.frombuffer(times.as_buffer(), np.int32))
+        if held[0]:
+            yield from counted(now, *held)
+        held = None
         release()
 
-    dealt = encoded.select("chunk", "sizes", "tokens").mapInArrow(deal, "part long, chunk long, keys binary, times binary")
-    return dealt.repartition(1 << bits, "part").mapInArrow(count, "chunk long, part long, keys binary, same binary, all binary")
+    small_batches(encoded.sparkSession, CHUNKS_IN_BATCH)
+    dealt = encoded.select("chunk", "words", "places").mapInArrow(deal, "part long, chunk long, words binary, times binary")
+    return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(count, "chunk long, part long, counts binary, top binary, times binary, endings binary")
+
+
+def output_layer(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent words (sorted hashes, at most FREQUENT), and how many words each class has. Every part gives at
+    most FREQUENT words and HASHED sums, which Spark puts together before the driver sees FREQUENT + HASHED rows."""
+    parts = counts.where("chunk is null").select("top", "times", "endings")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                top, times, endings = (np.frombuffer(batch.column(c)[k].as_buffer(), np.int64) for c in range(3))
+                kind = np.repeat([0, 1], [len(top), HASHED])
+                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate([top, np.arange(HASHED)])), pa.array(np.concatenate([times, endings]))], names=["kind", "key", "n"])
+
+    rows = parts.mapInArrow(listed, "kind long, key long, n long")
+    # Hashes are compared as unsigned numbers, so that a tie has one answer however the words are dealt.
+    top = rows.where("kind = 0").orderBy(F.desc("n"), F.col("key").bitwiseXOR(F.lit(-(1 << 63)))).limit(FREQUENT).collect()
+    endings = {r["key"]: r["n"] for r in rows.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n")).collect()}
+    n = dict(zip(np.array([r["key"] for r in top], np.int64).view(np.uint64).tolist(), (r["n"] for r in top)))
+    frequent = np.array(sorted(n), np.uint64)
+    total = np.zeros(PAD, np.int64)
+    for k, h in enumerate(frequent.tolist()):
+        total[k] = n[h]
+    for e in range(HASHED):
+        total[FREQUENT + e] = endings.get(e, 0) - sum(m for h, m in n.items() if h % HASHED == e)
+    return frequent, total
 
 
 def _summed(parts: DataFrame) -> tuple[int, np.ndarray]:
@@ -341,14 +321,14 @@ def _summed(parts: DataFrame) -> tuple[int, np.ndarray]:
     return sum(r["seen"] for r in rows), sum((np.frombuffer(bytes(r["flat"])) for r in rows), np.zeros(Network.SIZE))
 
 
-def fit(encoded: DataFrame, classes) -> Network:
-    """Warm up on a bounded sample, then average one pass of every partition over all its documents. ``classes`` is
-    the broadcast class of every token."""
+def fit(encoded: DataFrame, frequent) -> Network:
+    """Warm up on a bounded sample, then average one pass of every partition over all its documents. ``frequent`` are
+    the broadcast frequent words."""
     spark = encoded.sparkSession
     ids = encoded.select("chunk", F.posexplode("ids").alias("pos", "id"))
     # A document's place in its chunk; those with the smallest hashes warm the network up.
     warm = cut(ids.select("chunk", "pos", F.xxhash64("id", "chunk", "pos").alias("h")).orderBy("h").limit(WARM_DOCUMENTS))
-    places = warm.groupBy("chunk").agg(F.collect_list("pos").alias("places"))
+    chosen = warm.groupBy("chunk").agg(F.collect_list("pos").alias("chosen"))
 
     def passes(flat, few: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,13 +339,13 @@ def fit(encoded: DataFrame, classes) -> Network:
             def chunks():
                 for batch in batches:
                     for k in range(batch.num_rows):
-                        tokens, sizes = _chunk(batch, k)
+                        tokens, sizes = _classes(batch, k, frequent.value)
                         if few:
                             wanted = np.zeros(len(sizes), bool)
                             wanted[batch.column(batch.num_columns - 1)[k].as_py()] = True
                             tokens, sizes = tokens[np.repeat(wanted, sizes)], sizes[wanted]
                         if len(tokens):
-                            yield classes.value[tokens], sizes
+                            yield tokens, sizes
 
             seen = train(network, chunks())
             if seen:
@@ -374,11 +354,11 @@ def fit(encoded: DataFrame, classes) -> Network:
 
         return run
 
-    columns, kind = ["sizes", "tokens"], "part long, seen long, flat binary"
+    columns, kind = ["sizes", "words", "places"], "part long, seen long, flat binary"
     start = spark.sparkContext.broadcast(Network().flat)
     small_batches(spark, CHUNKS_IN_BATCH)
     # At most WARM_DOCUMENTS chunks, of which only the chosen documents go on to the one task.
-    first = encoded.join(F.broadcast(places), "chunk").select(*columns, "places").mapInArrow(passes(start, True), kind)
+    first = encoded.join(F.broadcast(chosen), "chunk").select(*columns, "chosen").mapInArrow(passes(start, True), kind)
     seen, total = _summed(first)
     if not seen:
         return Network()
@@ -387,56 +367,51 @@ def fit(encoded: DataFrame, classes) -> Network:
     return Network((total / seen).astype(np.float32))
 
 
-def log_probabilities(network: Network, classes, shares, tokens, sizes, bits: int, keys, same, everywhere) -> np.ndarray:
-    """Of each place of a chunk. ``keys`` (ascending) have the counts of windows that the corpus has more than once."""
-    log_p = np.concatenate([network.run(around, target).astype(np.float64) for around, target in windows(classes[tokens], sizes)] or [np.zeros(0)]) + shares[tokens]
-    if len(keys) and len(tokens):
-        own = window_keys(tokens, sizes, bits)
-        at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-        hit = keys[at] == own
-        # Without the place itself.
-        c, m = same[at[hit]] - 1, everywhere[at[hit]] - 1
-        log_p[hit] = np.log(c + np.exp(log_p[hit])) - np.log(m + 1.0)
-    return log_p
+def _classes(batch: pa.RecordBatch, k: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of all words of a row (sizes, words, places), and its sizes."""
+    words = np.frombuffer(batch.column(1)[k].as_buffer(), np.uint64)
+    return classes_of(words, frequent)[_unpacked(batch.column(2)[k].as_buffer(), len(words))], np.frombuffer(batch.column(0)[k].as_buffer(), np.int64)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens, pll (summed log probability of every word given its neighbours), mean_pll.
 
     A null or empty text, or one of white space, has no words and scores 0. Repeated rows are trained on, counted and
-    scored each, so that they find each other's windows; an empty table gives an empty table; very long texts are
-    scored whole, in slices; other columns are not read.
+    scored each; an empty table gives an empty table; very long texts are scored whole, in slices, and a text is in one
+    chunk, so that a task holds 11 bytes for each word of the longest; other columns are not read.
     """
     spark = docs.sparkSession
     encoded = shared_table(encode(docs, id_col, text_col))
-    layer = output_layer(token_counts(encoded))
-    classes, shares = (spark.sparkContext.broadcast(x) for x in layer)
-    flat = spark.sparkContext.broadcast(fit(encoded, classes).flat)
     bits = part_bits(encoded)
-    names = ["chunk", "kind", "sizes", "tokens", "ids", "part", "keys", "same", "all"]
-    kinds = dict(encoded.dtypes) | {"part": "long", "keys": "binary", "same": "binary", "all": "binary"}
+    counts = shared_table(word_counts(encoded, bits))
+    frequent, total = (spark.sparkContext.broadcast(x) for x in output_layer(counts))
+    flat = spark.sparkContext.broadcast(fit(encoded, frequent).flat)
+    names = ["chunk", "kind", "part", "counts", "sizes", "words", "places", "ids"]
+    kinds = dict(encoded.dtypes) | {"part": "long", "counts": "binary"}
     full = lambda df, kind: df.withColumn("kind", F.lit(kind)).select(*[F.col(c) if c in df.columns or c == "kind" else F.lit(None).cast(kinds[c]).alias(c) for c in names])
-    # To each chunk come the counts of its windows, then its documents.
-    met = full(window_counts(encoded, bits), 1).union(full(encoded.select("chunk", "ids", "sizes", "tokens"), 2))
+    # To each chunk come the counts of its words, part by part, then its documents.
+    met = full(counts.where("chunk is not null").select("chunk", "part", "counts"), 1).union(full(encoded.select("chunk", "ids", "sizes", "words", "places"), 2))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, counted = Network(flat.value), []
+        network, held = Network(flat.value), []
         for batch in batches:
             for k, kind in enumerate(batch.column(1).to_pylist()):
                 if kind == 1:
-                    keys = _restored(batch.column(6)[k].as_buffer(), batch.column(5)[k].as_py(), bits)
-                    counted.append((keys, *(np.frombuffer(batch.column(c)[k].as_buffer(), np.uint32).astype(np.int64) for c in (7, 8))))
+                    held.append(np.frombuffer(batch.column(3)[k].as_buffer(), np.int64))
                     continue
-                tokens, sizes = _chunk(batch, k, 2)
-                keys, same, everywhere = (np.concatenate(x) for x in zip(*counted)) if counted else (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)
-                counted, order = [], np.argsort(keys)
-                log_p = log_probabilities(network, classes.value, shares.value, tokens, sizes, bits, keys[order], same[order], everywhere[order])
-                total = np.concatenate([[0.0], np.cumsum(log_p)])
+                words = np.frombuffer(batch.column(5)[k].as_buffer(), np.uint64)
+                sizes, places = np.frombuffer(batch.column(4)[k].as_buffer(), np.int64), _unpacked(batch.column(6)[k].as_buffer(), len(words))
+                classes = classes_of(words, frequent.value)
+                own = np.concatenate(held) if held else np.zeros(0, np.int64)
+                shares = np.log(own / total.value[classes]) if len(own) else np.zeros(0)
+                held = []
+                log_p = np.concatenate([network.run(around, target).astype(np.float64) for around, target in windows(classes[places], sizes)] or [np.zeros(0)]) + shares[places]
+                summed = np.concatenate([[0.0], np.cumsum(log_p)])
                 stops = np.cumsum(sizes)
-                pll = np.where(sizes > 0, total[stops] - total[stops - sizes], 0.0)
-                yield pa.RecordBatch.from_arrays([batch.column(4)[k].values, pa.array(sizes), pa.array(pll), pa.array(pll / np.maximum(sizes, 1))], names=[id_col, "n_tokens", "pll", "mean_pll"])
+                pll = np.where(sizes > 0, summed[stops] - summed[stops - sizes], 0.0)
+                yield pa.RecordBatch.from_arrays([batch.column(7)[k].values, pa.array(sizes), pa.array(pll), pa.array(pll / np.maximum(sizes, 1))], names=[id_col, "n_tokens", "pll", "mean_pll"])
         release()
 
     small_batches(spark, CHUNKS_IN_BATCH)
-    return met.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(run, f"{id_col} {id_type}, n_tokens long, pll double, mean_pll double")
+    return met.repartition("chunk").sortWithinPartitions("chunk", "kind", "part").mapInArrow(run, f"{id_col} {id_type}, n_tokens long, pll double, mean_pll double")

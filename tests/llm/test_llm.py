@@ -816,36 +816,31 @@ def test_probabilities_sum_to_one():
 
 
 def _plain_scores(spark, df):
-    """Document sums worked out word by word, with plain counts of words and windows and the fitted network."""
+    """Document sums worked out word by word, with plain counts of exact words and the fitted network."""
     encoded = lm_score.encode(df, "doc_id", "text").cache()
-    counts = lm_score.token_counts(encoded)
-    classes, _ = lm_score.output_layer(counts)
-    net = lm_score.fit(encoded, spark.sparkContext.broadcast(classes))
-    rows = [(r["doc_id"], [lm_score.token_of(w) for w in (r["text"] or "").lower().split()]) for r in df.collect()]
+    frequent, total = lm_score.output_layer(lm_score.word_counts(encoded, lm_score.part_bits(encoded)))
+    net = lm_score.fit(encoded, spark.sparkContext.broadcast(frequent))
+    rows = [(r["doc_id"], (r["text"] or "").lower().split()) for r in df.collect()]
     words = Counter(w for _, ws in rows for w in ws)
-    assert {w: int(counts[w]) for w in words} == words and counts.sum() == sum(words.values())
-    kind = {w: int(classes[w]) for w in words}
-    total = Counter()
+    top = sorted(words, key=lambda w: (-words[w], lm_score.hash_of(w)))[: lm_score.FREQUENT]
+    assert frequent.tolist() == sorted(map(lm_score.hash_of, top))
+    own = {w: frequent.tolist().index(lm_score.hash_of(w)) for w in top}
+    kind = {w: own.get(w, lm_score.FREQUENT + lm_score.hash_of(w) % lm_score.HASHED) for w in words}
+    sums = Counter()
     for w, n in words.items():
-        total[kind[w]] += n
-    seen, around = Counter(), Counter()
-    window = lambda ws, i: tuple(ws[j] if 0 <= j < len(ws) else None for j in (i - 2, i - 1, i + 1, i + 2))
-    for _, ws in rows:
-        for i, w in enumerate(ws):
-            seen[window(ws, i), w] += 1
-            around[window(ws, i)] += 1
+        sums[kind[w]] += n
+    assert {k: int(n) for k, n in enumerate(total) if n} == sums
     out = []
     for i, ws in rows:
         pll = 0.0
         for j, w in enumerate(ws):
-            near = [np.array([lm_score.PAD if x is None else kind[x]]) for x in window(ws, j)]
-            p = np.exp(float(net.run(near, np.array([kind[w]]))[0])) * words[w] / total[kind[w]]
-            pll += np.log((seen[window(ws, j), w] - 1 + p) / (around[window(ws, j)] - 1 + 1))
+            near = [np.array([kind[ws[k]] if 0 <= k < len(ws) else lm_score.PAD]) for k in (j - 2, j - 1, j + 1, j + 2)]
+            pll += float(net.run(near, np.array([kind[w]]))[0]) + np.log(words[w] / sums[kind[w]])
         out.append((i, len(ws), pll))
     return out, words, kind
 
 
-def test_document_sums_equal_brute_force(spark, docs, monkeypatch):
+def test_document_sums_equal_brute_force(spark, docs):
     rng = random.Random(3)
     common = [f"c{k}" for k in range(700)]
     texts = ["c1 c2 abcxyz c3", "c1 c2 defxyz c3"] + [" ".join(rng.choices(common, k=300)) for _ in range(20)] + [" ".join(common * 4)]
@@ -856,52 +851,54 @@ def test_document_sums_equal_brute_force(spark, docs, monkeypatch):
     assert len(got) == len(texts)
     for i, n, pll in want:
         assert got[i]["n_tokens"] == n and got[i]["pll"] == pytest.approx(pll, rel=2e-4, abs=2e-3)
-    # Given a class its tokens' shares sum to one.
+    # Given a class its words' shares sum to one.
     shares = Counter()
     for w, n in words.items():
         shares[kind[w]] += n
     assert all(sum(n / shares[k] for w, n in words.items() if kind[w] == k) == pytest.approx(1) for k in set(kind.values()))
 
 
-def test_texts_that_occur_twice_stand_out(spark, docs):
+def test_words_do_not_share_a_hash():
+    import pyarrow.parquet as pq
+
+    words = {w for r in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].to_pylist() for w in (r or "").lower().split()}
+    assert len({lm_score.hash_of(w) for w in words}) == len(words) > 300_000
+
+
+def test_the_score_knows_the_order_of_words(spark, docs):
+    """Documents are likelier than their own words shuffled, which a model without context cannot tell apart."""
     rng = random.Random(7)
-    words = [w for r in docs.limit(40).collect() for w in (r["text"] or "").split()]
-    once = [" ".join(rng.choices(words, k=80)) for _ in range(60)]
-    df = spark.createDataFrame(list(enumerate(once + once[:10])), "doc_id long, text string").repartition(3)
+    sentence = ["the cat sat on a mat", "a dog ran to the door", "we saw two birds in june", "rain fell over green hills"]
+    texts = [" ".join(rng.choice(sentence) for _ in range(60)) for _ in range(150)]
+    mixed = [" ".join(rng.sample(t.split(), len(t.split()))) for t in texts[:10]]
+    df = spark.createDataFrame(list(enumerate(texts + mixed)), "doc_id long, text string").repartition(2)
     mean = {r["doc_id"]: r["mean_pll"] for r in lm_score.score(df).collect()}
-    again = [mean[k] for k in (*range(10), *range(60, 70))]
-    assert min(again) > max(mean[k] for k in range(10, 60)) + 2
+    assert min(mean[k] for k in range(10)) > max(mean[k] for k in range(150, 160)) + 0.5
 
 
 def test_chunks_and_parts_change_no_count(spark, docs, monkeypatch):
-    """Counts of windows are the corpus's, however it is cut."""
-    want, keys = None, {}
+    """Counts of words are the corpus's, however it is cut."""
+    words = Counter(w for r in docs.collect() for w in (r["text"] or "").lower().split())
+    want = {lm_score.hash_of(w): n for w, n in words.items()}
+    layers = []
     for parts, size in ((1, 2 << 20), (6, 4096)):
-        monkeypatch.setattr(lm_score, "WINDOWS", size)
+        monkeypatch.setattr(lm_score, "COUNTED", size)
         encoded = lm_score.encode(docs.repartition(parts), "doc_id", "text").cache()
         bits = lm_score.part_bits(encoded)
-        assert bits == 0 or size == 4096
-        got = Counter()
-        for r in lm_score.window_counts(encoded, bits).collect():
-            own = lm_score._restored(bytes(r["keys"]), r["part"], bits)
-            assert len(np.unique(own)) == len(own)
-            got.update(zip(np.frombuffer(bytes(r["same"]), np.uint32).tolist(), np.frombuffer(bytes(r["all"]), np.uint32).tolist()) if parts == 1 else ())
-            if parts == 6:
-                for k, a, b in zip(own.tolist(), np.frombuffer(bytes(r["same"]), np.uint32).tolist(), np.frombuffer(bytes(r["all"]), np.uint32).tolist()):
-                    keys.setdefault(k, (a, b))
-                    assert keys[k] == (a, b)
-        want = got if parts == 1 else want
-    assert Counter(keys.values()) == want and max(b for _, b in want) > 2
-
-
-@pytest.mark.parametrize("bits", [0, 3, 16, 20])
-def test_stored_keys_come_back(bits):
-    tokens = np.random.default_rng(bits).integers(0, lm_score.TOKENS, 500).astype(np.int32)
-    keys = np.unique(lm_score.window_keys(tokens, np.array([200, 0, 300]), bits))
-    parts = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-    assert len(keys) == 500
-    for p in np.unique(parts):
-        assert (lm_score._restored(lm_score._stored(keys[parts == p], bits), int(p), bits) == keys[parts == p]).all()
+        assert (bits > 3) == (size == 4096)
+        counts = lm_score.word_counts(encoded, bits).cache()
+        rows = counts.where("chunk is not null").orderBy("chunk", "part").collect()
+        for r in encoded.collect():
+            own = np.concatenate([np.frombuffer(bytes(c["counts"]), np.int64) for c in rows if c["chunk"] == r["chunk"]])
+            assert own.tolist() == [want[h] for h in np.frombuffer(bytes(r["words"]), np.uint64).tolist()]
+        layers.append([x.tolist() for x in lm_score.output_layer(counts)])
+    assert layers[0] == layers[1]
+
+
+def test_places_come_back():
+    places = np.random.default_rng(1).integers(0, 70_000, 500)
+    assert (lm_score._unpacked(lm_score._packed(places, 70_000), 70_000) == places).all()
+    assert (lm_score._unpacked(lm_score._packed(places, 1 << 24), 1 << 24) == places).all()
 
 
 def test_scores_of_odd_tables(spark, odd):
