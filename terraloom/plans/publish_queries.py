@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from terraloom.operators import publish
 from terraloom.sources import markup
-from terraloom.streaming import incremental
+from terraloom.sources.staging import shared_base
+from terraloom.streaming import incremental, versions
 
 from .registry import query
 from .views import FOOT, LAY, foot, lay, table
@@ -96,3 +99,39 @@ def progress_end(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     started = F.unix_timestamp("o_orderdate").cast("double")
     return orders.select(F.col("o_orderkey").alias("id"), publish.progress(F.col("o_orderkey") % 100, F.lit(100), started, started + 3600).alias("ends"))
+
+
+_DAILY = "SELECT event_type AS ds, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, round(sum(value), 4) AS total FROM events"
+
+
+@query(f"""WITH old AS ({_DAILY} WHERE event_id % 3 > 0 GROUP BY 1, 2), new AS ({_DAILY} GROUP BY 1, 2)
+SELECT 'before' AS state, * FROM old UNION ALL SELECT 'during', * FROM old UNION ALL SELECT 'after', * FROM new UNION ALL SELECT 'rolled back', * FROM old""")
+def reprocess_states(spark, sf_dir):
+    """The daily sums that readers see before a full reprocess, while one is killed half-way, after one, and rolled back."""
+    events = table(spark, sf_dir, "events")
+
+    def daily(rows):
+        return rows.groupBy(F.col("event_type").alias("ds"), F.to_date("ts").cast("string").alias("day")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+    def killed(rows):
+        done = daily(rows)
+        return done.withColumn("total", F.when(F.col("day") > "2000", F.raise_error(F.lit("killed")).cast("double")).otherwise(F.col("total")))
+
+    store = versions.Store(spark, f"{shared_base(spark)}/store-{uuid.uuid4().hex}", daily(events).schema)
+    store.rebuild({"first": lambda: events.where("event_id % 3 = 1"), "second": lambda: events.where("event_id % 3 = 2")}, daily)
+    states = [store.read().withColumn("state", F.lit("before"))]
+    every = {f"part{k}": (lambda k=k: events.where(f"event_id % 3 = {k}")) for k in range(3)}
+    try:
+        store.rebuild(every, killed)
+    except Exception as e:  # what a lost driver would leave behind
+        if "killed" not in str(e):
+            raise
+    states.append(store.read().withColumn("state", F.lit("during")))
+    store.rebuild(every, daily)
+    states.append(store.read().withColumn("state", F.lit("after")))
+    store.roll_back(1)
+    states.append(store.read().withColumn("state", F.lit("rolled back")))
+    out = states[0]
+    for s in states[1:]:
+        out = out.unionByName(s)
+    return out
