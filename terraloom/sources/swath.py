@@ -130,22 +130,75 @@ def raw_lines(px: DataFrame, kind: str, big_endian: bool = False, *keys: str) ->
 
 
 #: TIFF tag types (fixed values).
-_SHORT, _LONG, _DOUBLE = 3, 4, 12
+_ASCII, _SHORT, _LONG, _DOUBLE = 2, 3, 4, 12
+
+
+#: Keys of projected rasters by projection: the code of the transformation, and for each key the projection parameter
+#: that it holds (fixed values of the format).
+PROJECTED = {
+    "ALBERS_EQUAL_AREA": (11, {3078: 2, 3079: 3, 3080: 4, 3081: 5, 3082: 6, 3083: 7}),
+    "LAMBERT_CONFORMAL_CONIC": (8, {3078: 2, 3079: 3, 3080: 4, 3081: 5, 3082: 6, 3083: 7}),
+    "LAMBERT_AZIMUTHAL": (10, {3088: 4, 3089: 5, 3082: 6, 3083: 7}),
+    "EQUIRECTANGULAR": (17, {3080: 4, 3081: 5, 3082: 6, 3083: 7}),
+    "MERCATOR": (7, {3080: 4, 3081: 5, 3082: 6, 3083: 7}),
+    "POLAR_STEREOGRAPHIC": (15, {3095: 4, 3081: 5, 3082: 6, 3083: 7}),
+    "SINUSOIDAL": (24, {3088: 4, 3082: 6, 3083: 7}),
+    "TRANSVERSE_MERCATOR": (1, {3092: 2, 3080: 4, 3081: 5, 3082: 6, 3083: 7}),
+}
+#: Further keys and codes of the format (fixed values).
+_MODEL, _RASTER, _CITATION, _GEOGRAPHIC, _LINEAR, _ANGULAR, _MAJOR, _MINOR, _PCS, _PROJECTION, _TRANSFORM, _UNITS = 1024, 1025, 1026, 2048, 2052, 2054, 2057, 2058, 3072, 3074, 3075, 3076
+_IS_PROJECTED, _IS_GEOGRAPHIC, _POINT, _WGS84, _USER, _METRE, _DEGREE = 1, 2, 2, 4326, 32767, 9001, 9102
+
+
+def geo_keys(projection: str, parameters: list[float] | None = None, zone: int = 0, wgs84: bool = True) -> tuple[list[int], list[float], str]:
+    """The key directory, its doubles and its text for a projection. ``parameters`` are in degrees and metres; the
+    first two are the axes, which are written where the ellipsoid is another than WGS 84's."""
+    p = list(parameters or [])
+    short: dict[int, int] = {_RASTER: _POINT}
+    real: dict[int, float] = {}
+    short[_ANGULAR], short[_GEOGRAPHIC] = _DEGREE, _WGS84 if wgs84 else _USER
+    if not wgs84 and len(p) > 1:
+        real |= {_MAJOR: p[0], _MINOR: p[1] or p[0]}
+    if projection == "GEOGRAPHIC":
+        short[_MODEL] = _IS_GEOGRAPHIC
+    elif projection == "UTM":
+        short |= {_MODEL: _IS_PROJECTED, _LINEAR: _METRE, _UNITS: _METRE, _PCS: (32600 if zone > 0 else 32700) + abs(zone)}
+    elif projection in PROJECTED:
+        code, held = PROJECTED[projection]
+        short |= {_MODEL: _IS_PROJECTED, _LINEAR: _METRE, _UNITS: _METRE, _PCS: _USER, _PROJECTION: _USER, _TRANSFORM: code}
+        real |= {key: p[k] for key, k in held.items()}
+    else:
+        raise ValueError(f"no keys for {projection}")
+    text = f"{projection}|"
+    doubles: list[float] = []
+    rows = []
+    for key in sorted({*short, *real, _CITATION}):
+        if key in real:
+            rows.append([key, 34736, 1, len(doubles)])
+            doubles.append(float(real[key]))
+        else:
+            rows.append([key, 34737, len(text), 0] if key == _CITATION else [key, 0, 1, short[key]])
+    return [1, 1, 0, len(rows), *(v for r in rows for v in r)], doubles, text
 
 
-def geotiff(data: np.ndarray, ulx: float, uly: float, pixel: float) -> bytes:
-    """A single-band, uncompressed little-endian GeoTIFF with one row per strip, in geographic WGS 84."""
+def geotiff(data: np.ndarray, ulx: float, uly: float, pixel: float, keys: tuple[list[int], list[float], str] | None = None) -> bytes:
+    """A single-band, uncompressed little-endian GeoTIFF with one row per strip, in geographic WGS 84, or with the keys
+    of another projection."""
     kinds = {"u": 1, "i": 2, "f": 3}
     data = np.ascontiguousarray(data)
     lines, samples = data.shape
     row = samples * data.itemsize
+    directory_, doubles, text = keys or ([1, 1, 0, 3, 1024, 0, 1, 2, 1025, 0, 1, 1, 2048, 0, 1, 4326], [], "")
     tags: list[tuple[int, int, list]] = [
         (256, _LONG, [samples]), (257, _LONG, [lines]), (258, _SHORT, [8 * data.itemsize]), (259, _SHORT, [1]), (262, _SHORT, [1]),
         (273, _LONG, [0] * lines), (277, _SHORT, [1]), (278, _LONG, [1]), (279, _LONG, [row] * lines), (339, _SHORT, [kinds[data.dtype.kind]]),
-        (33550, _DOUBLE, [pixel, pixel, 0.0]), (33922, _DOUBLE, [0.0, 0.0, 0.0, ulx, uly, 0.0]),
-        (34735, _SHORT, [1, 1, 0, 3, 1024, 0, 1, 2, 1025, 0, 1, 1, 2048, 0, 1, 4326]),
+        (33550, _DOUBLE, [pixel, pixel, 0.0]), (33922, _DOUBLE, [0.0, 0.0, 0.0, ulx, uly, 0.0]), (34735, _SHORT, directory_),
     ]
-    size, code = {_SHORT: 2, _LONG: 4, _DOUBLE: 8}, {_SHORT: "H", _LONG: "I", _DOUBLE: "d"}
+    if doubles:
+        tags.append((34736, _DOUBLE, doubles))
+    if text:
+        tags.append((34737, _ASCII, list(text.encode("ascii")) + [0]))
+    size, code = {_SHORT: 2, _LONG: 4, _DOUBLE: 8, _ASCII: 1}, {_SHORT: "H", _LONG: "I", _DOUBLE: "d", _ASCII: "B"}
     after = 8 + 2 + 12 * len(tags) + 4
     extra = sum(size[t] * len(v) for _, t, v in tags if size[t] * len(v) > 4)
     start = after + extra
@@ -161,12 +214,31 @@ def geotiff(data: np.ndarray, ulx: float, uly: float, pixel: float) -> bytes:
     return b"II*\0" + struct.pack("<I", 8) + directory + struct.pack("<I", 0) + tail + data.astype(data.dtype.newbyteorder("<")).tobytes()
 
 
-def tile_files(tiles: DataFrame, ulx: float, uly: float, pixel: float, kind: str, *keys: str) -> DataFrame:
-    """Each tile as the bytes of a GeoTIFF of its own, georeferenced by its place."""
+def read_keys(blob: bytes) -> dict[int, float | str]:
+    """The geographic keys of a little-endian GeoTIFF."""
+    (at,) = struct.unpack_from("<I", blob, 4)
+    (n,) = struct.unpack_from("<H", blob, at)
+    code, found = {_SHORT: "H", _LONG: "I", _DOUBLE: "d", _ASCII: "B"}, {}
+    for k in range(n):
+        tag, t, count = struct.unpack_from("<HHI", blob, at + 2 + 12 * k)
+        if tag in (34735, 34736, 34737):
+            form = f"<{count}{code[t]}"
+            place = at + 2 + 12 * k + 8
+            found[tag] = struct.unpack_from(form, blob, place if struct.calcsize(form) <= 4 else struct.unpack_from("<I", blob, place)[0])
+    d, out = found[34735], {}
+    for k in range(d[3]):
+        key, where, count, value = d[4 + 4 * k : 8 + 4 * k]
+        out[key] = value if where == 0 else found[34736][value] if where == 34736 else bytes(found[34737][value : value + count]).decode().rstrip("|\0")
+    return out
+
+
+def tile_files(tiles: DataFrame, ulx: float, uly: float, pixel: float, kind: str, *keys: str, geo=None) -> DataFrame:
+    """Each tile as the bytes of a GeoTIFF of its own, georeferenced by its place; ``geo`` are the keys of a projection
+    (``geo_keys``), else it is geographic."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            made = [geotiff(np.asarray(d, float).reshape(nl, ns).astype(TYPES[kind]), ulx + s0 * pixel, uly - l0 * pixel, pixel) for d, l0, s0, nl, ns in zip(pdf.data, pdf.l0, pdf.s0, pdf.nl, pdf.ns)]
+            made = [geotiff(np.asarray(d, float).reshape(nl, ns).astype(TYPES[kind]), ulx + s0 * pixel, uly - l0 * pixel, pixel, geo) for d, l0, s0, nl, ns in zip(pdf.data, pdf.l0, pdf.s0, pdf.nl, pdf.ns)]
             yield pdf[[*keys, "tile_l", "tile_s"]].assign(bytes=made)
 
     named = ", ".join(f"{k} {tiles.schema[k].dataType.simpleString()}" for k in (*keys, "tile_l", "tile_s"))
