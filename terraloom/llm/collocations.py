@@ -6,7 +6,7 @@ and passes its sums on by the hashes of their words; DuckDB adds up each bucket,
 ones. A word's 64-bit hash stands for it: all words of the corpus are checked to have different ones, and another
 seed is taken if two have not, so this loses nothing.
 
-A phrase is only counted if its words and pairs of words may be frequent: a bitmap of fixed size holds the hashes of
+A phrase is only counted if the phrases of up to three words within it may be frequent: a bitmap of fixed size holds the hashes of
 the frequent ones. It may let a rare phrase through, never keep a frequent one back, so all counts are exact.
 
 The parts of a candidate have their counts elsewhere. For each cut a request goes to the bucket of the part, and the
@@ -16,8 +16,9 @@ answers meet again at the candidate; requests for a part that very many candidat
 from __future__ import annotations
 
 import itertools
+import re
 import tempfile
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,14 +37,15 @@ WORDS, OCCURRENCES, BEST, SCALE = 5, 100, 2000, 1000
 UNKNOWN = "und"
 #: Bits of the map of frequent phrases (16 MB), whatever the data.
 BITS = 1 << 27
-#: Characters of pieces, and words of pieces, that a task holds before it passes its counts on.
-HELD_CHARS, HELD_WORDS = 16 << 20, 1 << 21
+#: Characters of texts, and bytes of pieces, that a task holds before it passes its counts on.
+HELD_CHARS, HELD_BYTES = 16 << 20, 12 << 20
 #: Pieces that are split into words at once.
 _CHUNK = 2048
 #: Memory of DuckDB for a bucket; beyond it DuckDB goes to the task's scratch folder.
 MEMORY = "256MB"
 #: Tasks that choose the best phrases of one language before the last choice.
 SALTS = 64
+_SPACES = re.compile(rb"  +")
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 _HASHES = [f"h{k}" for k in range(1, WORDS + 1)]
 _GOLDEN, _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -55,13 +57,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def split(text: str) -> Iterator[bytes]:
+def split(text: str) -> list[bytes]:
     """The pieces of a text that have words, each with its lower-cased words (A-Z only) joined by one space. Bytes,
     since all marks are ASCII and other characters stay as they are."""
-    for piece in text.encode("utf-8", "surrogatepass").lower().translate(_PIECES).split(b"\n"):
-        words = piece.split()
-        if words:
-            yield b" ".join(words)
+    t = text.encode("utf-8", "surrogatepass").lower().translate(_PIECES)
+    if b"  " in t:
+        t = _SPACES.sub(b" ", t)
+    pieces = t.replace(b" \n", b"\n").replace(b"\n ", b"\n").strip(b" \n").split(b"\n")
+    return list(filter(None, pieces)) if b"" in pieces else pieces
 
 
 def word_hashes(lang: str, words: list[bytes], seed: int) -> np.ndarray:
@@ -75,10 +78,10 @@ class Block:
     def __init__(self, seed: int):
         self.seed, self.pieces = seed, {}
 
-    def add(self, lang: str, piece: bytes, m: int) -> None:
-        pieces, times = self.pieces.setdefault(lang, ([], []))
-        pieces.append(piece)
-        times.append(m)
+    def add(self, lang: str, pieces: list[bytes], times: list[int]) -> None:
+        held = self.pieces.setdefault(lang, ([], []))
+        held[0].extend(pieces)
+        held[1].extend(times)
 
     def close(self) -> None:
         at, weight, self.words, hashes = [], [], [(UNKNOWN, b"")], [np.zeros(1, np.uint64)]
@@ -160,25 +163,26 @@ def pieces_and_words(docs: DataFrame, lang_col: str, text_col: str, seed: int) -
     small_batches(docs.sparkSession)
     names = ["lang", "piece", "h", "m"]
 
-    def made(total: dict) -> Iterator[pa.RecordBatch]:
+    def made(total: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
         block = Block(seed)
-        for (lang, piece), m in total.items():
-            block.add(lang, piece, m)
-        langs, pieces, m = [k[0] for k in total], [k[1] for k in total], list(total.values())
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(pieces, pa.binary()), pa.nulls(len(m), pa.int64()), pa.array(m, pa.int64())], names=names)
+        for lang, counts in total.items():
+            pieces, m = list(counts), list(counts.values())
+            block.add(lang, pieces, m)
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(m)), pa.array(pieces, pa.binary()), pa.nulls(len(m), pa.int64()), pa.array(m, pa.int64())], names=names)
         total.clear()
         block.close()
         words = block.words[1:]
         yield pa.RecordBatch.from_arrays([pa.array([w[0] for w in words], pa.string()), pa.array([w[1] for w in words], pa.binary()), pa.array(block.hashes[1:].view(np.int64)), pa.array(block.word_sums()[1:])], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+        total: dict[str, Counter] = defaultdict(Counter)
         held = 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if text:
-                    for piece in split(text):
-                        total[lang, piece] += 1
+                    found = split(text)
+                    if found:
+                        total[lang].update(found)
                     held += len(text)
             if held >= HELD_CHARS and total:
                 yield from made(total)
@@ -203,10 +207,16 @@ def _counted(least: int, most: int, known: int, seed: int, shipped):
                 yield pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in hashes), *[pa.array(none)] * (most - len(hashes)), pa.array(sums)], names=[*_HASHES[:most], "a"])
 
         for batch in batches:
-            for lang, piece, m in zip(*(c.to_pylist() for c in batch.columns)):
-                block.add(lang, piece, m)
-                held += piece.count(b" ") + 2
-            if held >= HELD_WORDS:
+            langs, pieces, times = (c.to_pylist() for c in batch.columns)
+            some = set(langs)
+            for lang in some:
+                if len(some) == 1:
+                    block.add(lang, pieces, times)
+                else:
+                    at = [k for k, x in enumerate(langs) if x == lang]
+                    block.add(lang, [pieces[k] for k in at], [times[k] for k in at])
+            held += batch.column(1).nbytes
+            if held >= HELD_BYTES:
                 yield from out()
                 block, held = Block(seed), 0
         if held:
@@ -256,10 +266,13 @@ def bitmap(hashes: DataFrame):
     return hashes.sparkSession.sparkContext.broadcast(out.tobytes())
 
 
-def _pair_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One hash from those of the words."""
     for batch in batches:
-        first, second = (batch.column(k).to_numpy().view(np.uint64) for k in range(2))
-        yield pa.RecordBatch.from_arrays([pa.array(longer(first, second).view(np.int64))], names=["h"])
+        first, *rest = (c.to_numpy().view(np.uint64) for c in batch.columns)
+        for more in rest:
+            first = longer(first, more)
+        yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64))], names=["h"])
 
 
 def named(phrases: DataFrame, words: DataFrame) -> DataFrame:
@@ -287,8 +300,9 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     words = cut(every.where(F.col("m") >= OCCURRENCES).select("lang", F.col("piece").cast("string").alias("phrase"), "h", F.col("m").alias("a")))
     pieces = rows.where("h is null").select("lang", "piece", "m")
     two = frequent(pieces, 2, 2, 1, seed, bitmap(words.select("h")))
-    more = frequent(pieces, 3, WORDS, 2, seed, bitmap(two.select("h1", "h2").mapInArrow(_pair_hashes, "h long")))
-    return scored(totals, words.select("lang", "phrase", "a"), cut(named(two.unionByName(more), words)), best)
+    three = frequent(pieces, 3, 3, 2, seed, bitmap(two.select("h1", "h2").mapInArrow(_phrase_hashes, "h long")))
+    more = frequent(pieces, 4, WORDS, 3, seed, bitmap(three.select("h1", "h2", "h3").mapInArrow(_phrase_hashes, "h long")))
+    return scored(totals, words.select("lang", "phrase", "a"), cut(named(two.unionByName(three).unionByName(more), words)), best)
 
 
 def scored(totals: DataFrame, words: DataFrame, phrases: DataFrame, best: int) -> DataFrame:

@@ -152,7 +152,7 @@ def test_collocations_of_built_texts(spark):
 
 def test_blocks_and_bits_change_no_count(spark, docs, monkeypatch):
     want = sorted(map(tuple, collocations.collocations(docs).collect()))
-    monkeypatch.setattr(collocations, "HELD_WORDS", 50)
+    monkeypatch.setattr(collocations, "HELD_BYTES", 300)
     monkeypatch.setattr(collocations, "HELD_CHARS", 500)
     monkeypatch.setattr(collocations, "BITS", 1 << 18)  # most rare phrases pass
     assert sorted(map(tuple, collocations.collocations(docs).collect())) == want
