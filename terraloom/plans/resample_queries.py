@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terraloom.functions import geo, isin
+from terraloom.functions import ellipsoid, geo, isin
 from terraloom.functions.geo import Grid
 from terraloom.operators import resample as rs
 
@@ -231,3 +231,55 @@ def isin_nested(spark, sf_dir):
     p = lay(spark, sf_dir).selectExpr("lid", "lid % 500 AS l", "lid * 7 % 1500 AS s")
     lon, lat = _ISIN.nested(F.col("l"), F.col("s"), -20000000.0, _ISIN.radius * 1.2, 27000.0, 4)
     return p.select("lid", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+
+
+_TM = f"""k AS (SELECT *, radians(lat) AS p, radians(lon - (floor((lon + 180) / 6) * 6 - 177)) AS d FROM pts),
+c AS (SELECT *, {ellipsoid.WGS84.a} / sqrt(1 - {ellipsoid.WGS84.e2}::DOUBLE * sin(p) * sin(p)) AS n, tan(p) * tan(p) AS t, {ellipsoid.WGS84.e2 / (1 - ellipsoid.WGS84.e2)}::DOUBLE AS ep, d * cos(p) AS a FROM k),
+m AS (SELECT *, ep * cos(p) * cos(p) AS k, {ellipsoid.WGS84.a} * ({" ".join(f"{s} {abs(v)!r}::DOUBLE * {f}" for v, s, f in zip(ellipsoid.WGS84._arc(), ("", "-", "+", "-"), ("p", "sin(2 * p)", "sin(4 * p)", "sin(6 * p)")))}) AS arc FROM c)"""
+
+
+@query(f"""WITH {FOOT}, pts AS (SELECT id, xmin AS lon, ymin AS lat FROM foot), {_TM}
+SELECT id, CAST(CASE WHEN lat < 0 THEN -1 ELSE 1 END * (floor((lon + 180) / 6) + 1) AS INTEGER) AS zone, round(500000 + 0.9996::DOUBLE * n * (a + (1 - t + k) * a ** 3 / 6 + (5 - 18 * t + t * t + 72 * k - 58 * ep) * a ** 5 / 120), 3) AS x,
+round(CASE WHEN lat < 0 THEN 10000000 ELSE 0 END + 0.9996::DOUBLE * (arc + n * tan(p) * (a ** 2 / 2 + (5 - t + 9 * k + 4 * k * k) * a ** 4 / 24 + (61 - 58 * t + t * t + 600 * k - 330 * ep) * a ** 6 / 720)), 3) AS y FROM m""")
+def utm_places(spark, sf_dir):
+    """Every corner in its own zone, all zones in one pass: the central meridian is a column."""
+    f = foot(spark, sf_dir).select("id", F.col("xmin").alias("lon"), F.col("ymin").alias("lat"))
+    zone = ellipsoid.utm_zone(F.col("lon"), F.col("lat"))
+    x, y = ellipsoid.transverse_mercator(ellipsoid.WGS84, F.abs(zone) * 6 - 183.0, 0.0, ellipsoid.UTM_SCALE, ellipsoid.UTM_EASTING).forward(F.col("lon"), F.col("lat"))
+    return f.select("id", zone.alias("zone"), F.round(x, 3).alias("x"), F.round(y + F.when(zone < 0, ellipsoid.UTM_SOUTH).otherwise(0.0), 3).alias("y"))
+
+
+_ROUND = {
+    "mercator": ellipsoid.mercator(ellipsoid.WGS84, 30.0, 20.0), "albers": ellipsoid.albers(ellipsoid.WGS84, 20.0, 50.0, 30.0, 10.0), "lambert_conformal": ellipsoid.lambert_conformal(ellipsoid.WGS84, 20.0, 50.0, 30.0, 10.0),
+    "polar_stereographic": ellipsoid.polar_stereographic(ellipsoid.WGS84, 40.0, 71.0), "lambert_azimuthal": ellipsoid.lambert_azimuthal(ellipsoid.WGS84, 45.0, 10.0),
+}
+
+
+@query(f"WITH {FOOT} SELECT id, name, round(xmin, 6) AS lon, round(40 + ymin / 4, 6) AS lat FROM foot, (SELECT unnest([{', '.join(f'{n!r}' for n in _ROUND)}]) AS name)")
+def ellipsoidal_inverses(spark, sf_dir):
+    """Forward and back on the ellipsoid gives every corner back to a tenth of a metre; the tests hold known points."""
+    f = foot(spark, sf_dir).select("id", F.col("xmin").alias("lon"), (40 + F.col("ymin") / 4).alias("lat"))
+    out = None
+    for name, p in _ROUND.items():
+        lon, lat = p.inverse(*p.forward(F.col("lon"), F.col("lat")))
+        one = f.select("id", F.lit(name).alias("name"), F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(f"WITH {LAY} SELECT lid, CASE WHEN s >= 60 THEN 'north' WHEN s <= -60 THEN 'south' ELSE 'middle' END AS plane, round(w + 0.5, 6) AS lon, round(s + 0.25, 6) AS lat FROM lay")
+def granule_planes(spark, sf_dir):
+    """A point of each granule in the plane of its own centre, and back again."""
+    g = lay(spark, sf_dir).select("lid", F.col("w").alias("cx"), F.col("s").alias("cy"))
+    forward, inverse = ellipsoid.granule_plane(F.col("cx"), F.col("cy"))
+    x, y = forward(F.col("cx") + 0.5, F.col("cy") + 0.25)
+    lon, lat = inverse(F.col("x"), F.col("y"))
+    there = g.withColumn("x", x).withColumn("y", y)
+    plane = F.when(F.col("cy") >= 60, "north").when(F.col("cy") <= -60, "south").otherwise("middle")
+    return there.select("lid", plane.alias("plane"), F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+
+
+@query(f"WITH {PX1} SELECT l, (s + 20) % 40 AS s, v FROM px1")
+def recentred_grid(spark, sf_dir):
+    """A grid from 0 to 360 degrees as one from -180 to 180."""
+    return px1(spark, sf_dir).select("l", ellipsoid.recentred(F.col("s"), 40).alias("s"), "v")
