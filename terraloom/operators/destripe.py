@@ -85,8 +85,8 @@ def replace_bad(px: DataFrame, bad: list[int] | Column, detectors: int, *keys: s
             return px
         bad = F.array(*[F.lit(int(b)) for b in bad])
     rep = F.try_element_at(nearest_good(bad, detectors), F.col(det).cast("int"))
-    target = px.withColumn("_rep", rep)
-    place = [*keys, "scan", "s"]
-    source = px.select(*place, F.col(det).cast("int").alias("_rep"), F.col("v").alias("_v"))
-    fixed = target.where("_rep is not null").join(source, [*place, "_rep"], "left").withColumn("v", F.coalesce("_v", "v")).select(*px.columns)
-    return target.where("_rep is null").select(*px.columns).unionByName(fixed)
+    # The detectors of one scan at one sample, few rows, side by side: one shuffle.
+    column = Window.partitionBy(*keys, "scan", "s").orderBy(det).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = px.withColumn("_rep", rep).withColumn("_all", F.collect_list(F.struct(F.col(det).cast("int").alias("d"), F.col("v").alias("v"))).over(column))
+    found = F.try_element_at(F.filter("_all", lambda x: x["d"] == F.col("_rep")), F.lit(1))["v"]
+    return rows.withColumn("v", F.when(F.col("_rep").isNotNull(), F.coalesce(found, "v")).otherwise(F.col("v"))).select(*px.columns)

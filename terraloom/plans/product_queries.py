@@ -124,6 +124,8 @@ def destripe_granules(spark, sf_dir):
     return products.destripe_granules(px, _granules(spark), _detectors(spark), mirror, 10)
 
 
-@query("SELECT * FROM (VALUES ('g0', true, '1,3,2 7 8;2,5,'), ('g1', true, '1,3,2 7 8;2,5,'), ('g2', true, NULL)) t(granule, destriped, destripe_config)")
+@query("SELECT o_orderkey AS granule, true AS destriped, CASE WHEN o_orderkey % 3 > 0 THEN '1,3,2 7 8;2,5,' END AS destripe_config FROM orders")
 def destripe_stamp(spark, sf_dir):
-    return products.stamp_destriped(_granules(spark), _detectors(spark))
+    """Granules after destriping; those that were destriped before keep no configuration."""
+    held = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS granule", "o_orderkey % 3 = 0 AS destriped")
+    return products.stamp_destriped(held, _detectors(spark)).select("granule", "destriped", "destripe_config")

@@ -15,10 +15,12 @@ from .registry import query
 from .views import FOOT, LAY, foot, lay, table
 
 
-@query("SELECT z, round(156543.0339 / pow(2.0, z), 6) AS merc, round(1.40625 / pow(2.0, z), 12) AS deg FROM (SELECT unnest(generate_series(0::BIGINT, 24::BIGINT)) AS z)")
+@query("SELECT z, round(156543.0339 / pow(2.0, z), 6) AS merc, round(1.40625 / pow(2.0, z), 12) AS deg FROM (SELECT DISTINCT o_custkey % 25 AS z FROM orders)")
 def resolution_ladder(spark, sf_dir):
+    """The steps of both ladders that layers are shown at."""
+    used = table(spark, sf_dir, "orders").selectExpr("o_custkey % 25 AS z").distinct()
     a, b = publish.resolutions(spark, publish.MERCATOR_BASE), publish.resolutions(spark, publish.DEGREE_BASE)
-    return a.select("z", F.round("res", 6).alias("merc")).join(b.select("z", F.round("res", 12).alias("deg")), "z")
+    return a.select("z", F.round("res", 6).alias("merc")).join(b.select("z", F.round("res", 12).alias("deg")), "z").join(used, "z")
 
 
 @query(f"WITH {LAY} SELECT lid, format('LAYER NAME \"{{}}_{{}}\" EXTENT {{:.1f}} {{:.1f}} {{:.1f}} {{:.1f}} STATUS ON END', dsname, ts, w, s, e, n) AS line, '[' || dsname || ']|' || CASE WHEN n <= 84 AND s >= -84 THEN format('bbox={{:.1f}},{{:.1f}},{{:.1f}},{{:.1f}}', w, s, e, n) ELSE '' END AS entry FROM lay")

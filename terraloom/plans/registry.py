@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
-_AREAS = ("catalog_queries", "scalar_queries", "algebra_queries", "radiometry_queries", "resample_queries", "focal_queries", "spatial_queries", "publish_queries", "product_queries", "hdf_queries", "emitter_queries", "granule_queries")
+_AREAS = ("catalog_queries", "scalar_queries", "algebra_queries", "radiometry_queries", "resample_queries", "focal_queries", "spatial_queries", "publish_queries", "product_queries", "hdf_queries", "emitter_queries", "granule_queries", "source_queries")
 
 
 def query(sql: str | None = None):

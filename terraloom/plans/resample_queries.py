@@ -83,9 +83,11 @@ def min_weight_fill(spark, sf_dir):
 
 
 @query("""SELECT k, round(1 - x, 9) AS b0, round(x, 9) AS b1, round(-0.5 * (x + 1) * (x + 1) * (x + 1) + 2.5 * (x + 1) * (x + 1) - 4 * (x + 1) + 2, 9) AS c_1, round(1.5 * x * x * x - 2.5 * x * x + 1, 9) AS c0,
-round(1.5 * (1 - x) * (1 - x) * (1 - x) - 2.5 * (1 - x) * (1 - x) + 1, 9) AS c1, round(-0.5 * (2 - x) * (2 - x) * (2 - x) + 2.5 * (2 - x) * (2 - x) - 4 * (2 - x) + 2, 9) AS c2 FROM (SELECT k, CAST(k AS DOUBLE) / 64 AS x FROM (SELECT unnest(generate_series(0::BIGINT, 64::BIGINT)) AS k))""")
+round(1.5 * (1 - x) * (1 - x) * (1 - x) - 2.5 * (1 - x) * (1 - x) + 1, 9) AS c1, round(-0.5 * (2 - x) * (2 - x) * (2 - x) + 2.5 * (2 - x) * (2 - x) - 4 * (2 - x) + 2, 9) AS c2 FROM (SELECT k, CAST(k AS DOUBLE) / 64 AS x FROM (SELECT DISTINCT CAST(floor((value * 0.37::DOUBLE - floor(value * 0.37::DOUBLE)) * 64 + 0.5) AS BIGINT) AS k FROM events))""")
 def kernel_table(spark, sf_dir):
-    k = spark.range(65).select(F.col("id").alias("k"), (F.col("id") / 64).alias("x"))
+    """The weights at all offsets that pixels of the table have."""
+    at = px1(spark, sf_dir).select((F.col("v") * 0.37).alias("x"))
+    k = at.select((rs.quantised(F.col("x") - F.floor("x")) * rs.STEPS).cast("long").alias("k")).distinct().select("k", (F.col("k") / rs.STEPS).alias("x"))
     bi, cc = rs.kernel_weights(F.col("x"), "bi"), rs.kernel_weights(F.col("x"), "cc")
     named = {"b0": bi[0], "b1": bi[1], "c_1": cc[-1], "c0": cc[0], "c1": cc[1], "c2": cc[2]}
     return k.select("k", *[F.round(c, 9).alias(n) for n, c in named.items()])

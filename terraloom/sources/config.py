@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 from terraloom.functions.geo import Grid
 
 #: Projection names by number (fixed values).
@@ -75,3 +80,45 @@ class ResampleJob:
 
     def grid(self, lines: int, samples: int) -> Grid:
         return Grid(self.ulx or 0.0, self.uly or 0.0, self.pixel or 1.0, lines, samples)
+
+
+# -- settings of many datasets at once
+
+#: What every dataset has to set, and what holds where it does not (fixed values); without a limit as many tasks run
+#: as there are processors, else this many.
+REQUIRED = ("dsname", "outdir", "indir", "mapserverpath")
+DEFAULTS = {"resample": "average", "doovr": "yes", "dolatest": "yes", "overview_ratio": "0.5"}
+LEAST_LIMIT = 4
+
+
+def with_defaults(settings: Column, defaults: dict[str, str] = DEFAULTS, cpus: int | None = None) -> Column:
+    """A map of settings with the defaults of those it lacks or leaves empty."""
+    every = {**defaults, "limit": str(cpus or os.cpu_count() or LEAST_LIMIT)}
+    given = F.map_filter(settings, lambda _, v: F.coalesce(F.trim(v) != "", F.lit(False)))
+    base = F.create_map(*[F.lit(x) for pair in every.items() for x in pair])
+    return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(given, k)), given)
+
+
+def missing(settings: Column, required: tuple[str, ...] = REQUIRED) -> Column:
+    """The required settings that are not there or empty, in their order; an empty list where all is well."""
+    return F.filter(F.array(*map(F.lit, required)), lambda n: F.coalesce(F.trim(F.try_element_at(settings, n)) == "", F.lit(True)))
+
+
+def parsed_jobs(texts: DataFrame, text: str, *keys: str) -> DataFrame:
+    """keys, input, output, projection, kernel, sds, pixel and error of parameter texts, many at once. A text that is
+    no valid job has an error, and does not stop the others."""
+    kinds = ", ".join(f"{k} {texts.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for t in pdf[text]:
+                try:
+                    j = ResampleJob.parse(t or "")
+                    rows.append((j.input, j.output, j.projection, j.kernel, list(j.sds), j.pixel, None))
+                except ValueError as e:
+                    rows.append((None, None, None, None, None, None, str(e)))
+            made = pd.DataFrame(rows, columns=["input", "output", "projection", "kernel", "sds", "pixel", "error"], index=pdf.index).astype({"projection": "Int32", "pixel": "Float64"})
+            yield pd.concat([pdf[list(keys)], made], axis=1)
+
+    return texts.select(*keys, text).mapInPandas(run, f"{kinds}, input string, output string, projection int, kernel string, sds array<string>, pixel double, error string")
