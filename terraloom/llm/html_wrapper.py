@@ -41,6 +41,9 @@ COPIED = 200
 #: The article's element holds at least this share of the text in slots; an element with a telling name, the other.
 MOST, NEARLY_ALL = 0.6, 0.9
 
+#: The least share of the text that an article beside records has; elements of titles.
+SOME, TITLES = 0.03, frozenset({"h1", "h2"})
+
 _NAME_END = re.compile(r"[\s/>]")
 _ATTRS = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -60,7 +63,7 @@ HINTS = frozenset(
     "breadcrumb breadcrumbs sidebar footer cookie cookies consent gdpr notice popup modal overlay newsletter subscribe share sharing "
     "social comment comments commentlist disqus respond related recommended login signup search pager pagination toolbar".split()
 )
-FILLERS = frozenset("site page top bottom left right main primary secondary global box bar list area section wrap wrapper container block widget inner outer row col item items button buttons link links icon icons form posts header text content".split())
+FILLERS = frozenset("site page top bottom left right main primary secondary global box bar list area section wrap wrapper container block widget inner outer row col item items button buttons link links icon icons form posts header text content reader readers user users visitor visitors thread".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 REGIONS = ("article", "main")
 #: Elements that hold one paragraph's text or a list: an article is not narrowed down to one of them.
@@ -394,13 +397,41 @@ def _elements(item: Item) -> Iterator[tuple[Item, bool]]:
             yield k, k.often
 
 
+def _marks(top: Item) -> dict[int, tuple[bool, bool]]:
+    """Whether there is a title, and a title or paragraph, in each item or below it; one pass, of any depth."""
+    order, todo = [], [top]
+    while todo:
+        order.append(todo.pop())
+        todo += order[-1].kids
+    found: dict[int, tuple[bool, bool]] = {}
+    for k in reversed(order):
+        below = [found[id(x)] for x in k.kids]
+        title = k.tag in TITLES or any(t for t, _ in below)
+        found[id(k)] = title, title or k.tag == "p" or any(p for _, p in below)
+    return found
+
+
+def _listed(item: Item, marks: dict) -> bool:
+    """Whether most of an item's text is in repeated records without a title, such as comments and teasers; repeated
+    paragraphs and lists are no records."""
+    records = sum(k.chars for k, often in _elements(item) if often and k.tag not in PARAGRAPHS)
+    return records > 0 and 2 * records >= item.chars and not marks[id(item)][0]
+
+
 def region(top: Item) -> tuple[list, Item]:
-    """The way to the element that holds most of the running text in slots, and that element."""
-    path, here = [], top
+    """The way to the element that holds most of the running text in slots, and that element. Records do not count,
+    however many they are, where an element beside them has paragraphs of its own (and ``SOME`` of the text); a telling
+    name is overruled only by text that is no list of records."""
+    path, here, marks = [], top, _marks(top)
     while True:
         inner = list(_elements(here))
-        everything = here.chars + sum(k.chars for k, _ in inner if k.hint)
-        wanted = [(k, often) for k, often in inner if k.chars >= (NEARLY_ALL * everything if k.hint else MOST * here.chars)]
+        listed = [k for k, often in inner if not often and k.tag not in REGIONS and _listed(k, marks)]
+        records = {id(k) for k in listed}
+        other = any(not k.hint and id(k) not in records and k.chars >= SOME * here.chars and marks[id(k)][1] for k, _ in inner)
+        lists = {id(k) for k in listed if k.hint or other}
+        own = here.chars - sum(k.chars for k, _ in inner if not k.hint and id(k) in lists)
+        everything = own + sum(k.chars for k, _ in inner if k.hint and id(k) not in lists)
+        wanted = [(k, often) for k, often in inner if id(k) not in lists and k.chars >= (NEARLY_ALL * everything if k.hint else MOST * own)]
         best, often = max(wanted, key=lambda k: k[0].chars, default=(None, False))
         if best is None or not best.chars or often or best.tag in PARAGRAPHS:
             return path, here

@@ -736,6 +736,29 @@ def test_a_telling_name_around_nearly_everything():
     assert all(len(x.split()) == 70 for x in _read(pages)[0])
 
 
+@pytest.mark.parametrize("box", ["<div class='comments'>%s</div>", "<div class='reader-comments'>%s</div>", "<div class='zone'>%s</div>"])
+@pytest.mark.parametrize("many", [20, 60, 100])
+def test_comments_are_no_article(box, many):
+    """However long the comments are, and whatever their box is called, the article is the short text before them."""
+    pages = []
+    for k in range(8):
+        records = "".join(f"<div class='c'><b>name{k}{j}</b><span>said {j} of {k} at some length, and then some more</span></div>" for j in range(many + k))
+        pages.append(f"<body><div class='head'><a href='/'>Home</a></div><div class='story'><h1>Title {k}</h1><p>{f'first{k} ' * 20}</p><p>{f'second{k} ' * 15}</p></div>{box % records}</body>")
+    for k, text in enumerate(_read(pages)[0]):
+        assert text == f"Title {k}\n{(f'first{k} ' * 20).strip()}\n{(f'second{k} ' * 15).strip()}"
+
+
+def test_comments_within_main():
+    pages = ["<body><main><h1>Title %d</h1><p>%s</p><div class='reader-comments'><p>nice %d</p><p>very nice</p></div></main></body>" % (k, f"word{k} " * 20, k) for k in range(4)]
+    assert _read(pages)[0] == [f"Title {k}\n" + (f"word{k} " * 20).strip() for k in range(4)]
+
+
+def test_an_article_of_boxes_stays_whole():
+    """Paragraphs in boxes of their own, with nothing beside them, are an article."""
+    pages = ["<body><div class='text'>" + "".join(f"<div class='para'><span>part {j} of {k} {'word ' * 12}</span></div>" for j in range(5 + k)) + "</div></body>" for k in range(5)]
+    assert all(f"part {j} of {k}" in text for k, text in enumerate(_read(pages)[0]) for j in range(5 + k))
+
+
 def test_copies_of_an_article_are_no_template():
     body = "<p>" + "a sentence of the article that many pages copy " * 8 + "</p><p>its end</p>"
     pages = ["<body><article><h1>Title %d</h1>%s</article><div>foot %d</div></body>" % (k, body, k) for k in range(6)]
