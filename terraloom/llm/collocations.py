@@ -6,7 +6,7 @@ and passes its sums on by the hashes of their words; DuckDB adds up each bucket,
 ones. A word's 64-bit hash stands for it: all words of the corpus are checked to have different ones, and another
 seed is taken if two have not, so this loses nothing.
 
-A phrase is only counted if the phrases of up to three words within it may be frequent: a bitmap of fixed size holds the hashes of
+A phrase is only counted if its words and pairs of words may be frequent: a bitmap of fixed size holds the hashes of
 the frequent ones. It may let a rare phrase through, never keep a frequent one back, so all counts are exact.
 
 The parts of a candidate have their counts elsewhere. For each cut a request goes to the bucket of the part, and the
@@ -41,6 +41,8 @@ BITS = 1 << 27
 HELD_CHARS, HELD_BYTES = 16 << 20, 12 << 20
 #: Pieces that are split into words at once.
 _CHUNK = 2048
+#: Rows of partial counts in a batch.
+_ROWS = 1 << 18
 #: Memory of DuckDB for a bucket; beyond it DuckDB goes to the task's scratch folder.
 MEMORY = "256MB"
 #: Tasks that choose the best phrases of one language before the last choice.
@@ -203,8 +205,12 @@ def _counted(least: int, most: int, known: int, seed: int, shipped):
         def out():
             block.close()
             for hashes, sums in block.counts(least, most, known, bits):
-                none = np.zeros(len(sums), np.int64)
-                yield pa.RecordBatch.from_arrays([*(pa.array(h.view(np.int64)) for h in hashes), *[pa.array(none)] * (most - len(hashes)), pa.array(sums)], names=[*_HASHES[:most], "a"])
+                size = 8 * len(hashes)
+                for k in range(0, len(sums), _ROWS):
+                    some = sums[k : k + _ROWS]
+                    data = pa.py_buffer(np.column_stack([h[k : k + _ROWS] for h in hashes]))
+                    ends = pa.py_buffer(np.arange(0, size * len(some) + 1, size, dtype=np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(some), [None, ends, data]), pa.array(some)], names=["words", "a"])
 
         for batch in batches:
             langs, pieces, times = (c.to_pylist() for c in batch.columns)
@@ -227,30 +233,27 @@ def _counted(least: int, most: int, known: int, seed: int, shipped):
     return run
 
 
-def _bucket(keys: list[str]):
+def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sums of one bucket's phrases, by DuckDB: it reads the batches as they come and spills what it must."""
+    import duckdb
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import duckdb
-
-        schema = pa.schema([(h, pa.int64()) for h in [*keys, "a"]])
-        with tempfile.TemporaryDirectory(prefix="counts-", ignore_cleanup_errors=True) as scratch:
-            with duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": scratch, "preserve_insertion_order": False}) as con:
-                con.register("counts", pa.RecordBatchReader.from_batches(schema, batches))
-                sums = con.sql(f"SELECT {', '.join(keys)}, sum(a)::BIGINT AS a FROM counts GROUP BY {', '.join(keys)} HAVING sum(a) >= {OCCURRENCES}")
-                yield from sums.to_arrow_reader(20_000)
-        release()
-
-    return run
+    with tempfile.TemporaryDirectory(prefix="counts-", ignore_cleanup_errors=True) as scratch:
+        with duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": scratch, "preserve_insertion_order": False}) as con:
+            con.register("counts", pa.RecordBatchReader.from_batches(pa.schema([("words", pa.binary()), ("a", pa.int64())]), batches))
+            for found in con.sql(f"SELECT words, sum(a)::BIGINT AS a FROM counts GROUP BY words HAVING sum(a) >= {OCCURRENCES}").to_arrow_reader(20_000):
+                rows = np.zeros((found.num_rows, WORDS), np.int64)
+                for k, x in enumerate(found.column(0)):
+                    own = np.frombuffer(x.as_buffer(), np.int64)
+                    rows[k, : len(own)] = own
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in rows.T.copy()), found.column(1)], names=[*_HASHES, "a"])
+    release()
 
 
 def frequent(pieces: DataFrame, least: int, most: int, known: int, seed: int, shipped) -> DataFrame:
     """The hashes of the words (0 beyond the last) and the number of the phrases that occur often enough."""
-    keys = _HASHES[:most]
-    schema = ", ".join(f"{h} long" for h in [*keys, "a"])
-    counted = pieces.mapInArrow(_counted(least, most, known, seed, shipped), schema)
-    found = shared_table(counted.repartition(*keys).mapInArrow(_bucket(keys), schema))
-    return found.select(*keys, *[F.lit(0).cast("long").alias(h) for h in _HASHES[most:]], "a")
+    counted = pieces.mapInArrow(_counted(least, most, known, seed, shipped), "words binary, a long")
+    schema = ", ".join(f"{h} long" for h in [*_HASHES, "a"])
+    return shared_table(counted.repartition("words").mapInArrow(_bucket, schema))
 
 
 def bitmap(hashes: DataFrame):
@@ -266,13 +269,10 @@ def bitmap(hashes: DataFrame):
     return hashes.sparkSession.sparkContext.broadcast(out.tobytes())
 
 
-def _phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One hash from those of the words."""
+def _pair_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        first, *rest = (c.to_numpy().view(np.uint64) for c in batch.columns)
-        for more in rest:
-            first = longer(first, more)
-        yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64))], names=["h"])
+        first, second = (c.to_numpy().view(np.uint64) for c in batch.columns)
+        yield pa.RecordBatch.from_arrays([pa.array(longer(first, second).view(np.int64))], names=["h"])
 
 
 def named(phrases: DataFrame, words: DataFrame) -> DataFrame:
@@ -292,7 +292,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     phrases that are frequent enough, or an empty one, gives no rows. Columns other than language and text are not read.
     """
     for seed in itertools.count():
-        rows = shared_table(pieces_and_words(docs, lang_col, text_col, seed))
+        rows = shared_table(pieces_and_words(docs, lang_col, text_col, seed), "zstd")
         every = rows.where("h is not null")
         if every.groupBy("h").count().where("count > 1 or h = 0").isEmpty():
             break
@@ -300,9 +300,8 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     words = cut(every.where(F.col("m") >= OCCURRENCES).select("lang", F.col("piece").cast("string").alias("phrase"), "h", F.col("m").alias("a")))
     pieces = rows.where("h is null").select("lang", "piece", "m")
     two = frequent(pieces, 2, 2, 1, seed, bitmap(words.select("h")))
-    three = frequent(pieces, 3, 3, 2, seed, bitmap(two.select("h1", "h2").mapInArrow(_phrase_hashes, "h long")))
-    more = frequent(pieces, 4, WORDS, 3, seed, bitmap(three.select("h1", "h2", "h3").mapInArrow(_phrase_hashes, "h long")))
-    return scored(totals, words.select("lang", "phrase", "a"), cut(named(two.unionByName(three).unionByName(more), words)), best)
+    more = frequent(pieces, 3, WORDS, 2, seed, bitmap(two.select("h1", "h2").mapInArrow(_pair_hashes, "h long")))
+    return scored(totals, words.select("lang", "phrase", "a"), cut(named(two.unionByName(more), words)), best)
 
 
 def scored(totals: DataFrame, words: DataFrame, phrases: DataFrame, best: int) -> DataFrame:

@@ -99,14 +99,14 @@ def map_columns(df: DataFrame, columns: list[str], schema: str, make: Callable[[
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def shared_table(df: DataFrame) -> DataFrame:
+def shared_table(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Written as Parquet in the shared checkpoint folder and read again: as ``cut``, with column pruning."""
     import uuid
 
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.parquet(path)
 
 
