@@ -1,7 +1,6 @@
 """Map projections on the ellipsoid, forward and inverse, as column expressions.
 
-The closed forms and series are those of the standard manual of map projections (U.S. Geological Survey, Professional
-Paper 1395). Inverse latitudes come from series in the eccentricity, so no expression iterates over rows or columns.
+The closed forms and series are those of the standard manual of map projections (Snyder, 1987). Inverse latitudes come from series in the eccentricity, so no expression iterates over rows or columns.
 """
 
 from __future__ import annotations
