@@ -72,10 +72,11 @@ def lambert_conformal(lon: Column, lat: Column, par1: float, par2: float, lon0:
 
 
 def transverse_mercator(lon: Column, lat: Column, lon0: float, lat0: float = 0.0, factor: float = 1.0, radius: float = EARTH) -> tuple[Column, Column]:
-    """On the sphere."""
+    """On the sphere. The two points of the equator a quarter away from the central meridian lie at infinity."""
     d, p = F.radians(lon - lon0), F.radians(lat)
     b = F.cos(p) * F.sin(d)
-    return F.lit(0.5 * radius * factor) * F.log((1 + b) / (1 - b)), F.lit(radius * factor) * (F.atan2(F.tan(p), F.cos(d)) - math.radians(lat0))
+    east = F.when(b >= 1, math.inf).when(b <= -1, -math.inf).otherwise(F.log((1 + b) / F.when(b < 1, 1 - b)))
+    return F.lit(0.5 * radius * factor) * east, F.lit(radius * factor) * (F.atan2(F.tan(p), F.cos(d)) - math.radians(lat0))
 
 
 def hammer(lon: Column, lat: Column, lon0: float = 0.0, radius: float = EARTH) -> tuple[Column, Column]:
