@@ -91,7 +91,8 @@ def top_of_atmosphere(dn: Column, offset: float, scale: float, mus: Column) -> C
 
 def corrected(px: DataFrame, band: int, offset: float, scale: float) -> DataFrame:
     """Adds toa and refl (both null where the sun is too low, the air mass too large or the count missing or
-    negative) and the stored 16-bit value; the codes of missing and saturated counts are passed through to it. Needs dn, solz, senz, phi in degrees and height in metres."""
+    negative) and the stored 16-bit value; the codes of missing and saturated counts are passed through to it. It is
+    rounded half up after six decimals, so that the last bits of a half do not matter. Needs dn, solz, senz, phi in degrees and height in metres."""
     b = Band(band)
     mus, muv = F.cos(F.radians("solz")), F.cos(F.radians("senz"))
     px = px.withColumns({"mus": mus, "muv": muv, "tau": b.tau * F.exp(-F.col("height") / SCALE_HEIGHT)})
@@ -103,7 +104,7 @@ def corrected(px: DataFrame, band: int, offset: float, scale: float) -> DataFram
     refl = F.least(F.greatest(c / (1 + c * F.col("sph")), F.lit(REFLECTANCE[0])), F.lit(REFLECTANCE[1]))
     px = px.withColumn("refl", F.when(F.col("toa").isNotNull(), refl))
     passed = F.when(F.col("dn").isin(*PASSED), F.col("dn").cast("int") + 32768)
-    return px.withColumn("stored", F.coalesce((F.col("refl") / 1e-4 + 0.5).cast("int"), passed, F.lit(-32768)).cast("smallint"))
+    return px.withColumn("stored", F.coalesce(F.round(F.col("refl") / 1e-4 + 0.5, 6).cast("int"), passed, F.lit(-32768)).cast("smallint"))
 
 
 def corners(grid: DataFrame, values: list[str], *keys: str) -> DataFrame:
