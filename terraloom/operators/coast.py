@@ -73,7 +73,8 @@ def squared_distance(px: DataFrame, target: Column, most: int, name: str, *keys:
     across = Window.partitionBy(*keys, "l").orderBy("s")
     at = F.when(F.coalesce(target, F.lit(False)), F.col("s"))
     before = F.col("s") - F.max(at).over(across.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.min(at).over(across.rowsBetween(0, Window.unboundedFollowing)) - F.col("s")
+    back = Window.partitionBy(*keys, "l").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)  # a running value from the other end
+    after = F.min(at).over(back) - F.col("s")
     near = F.least(before, after).cast("long")
     rows = px.withColumn("_g", F.when(near <= most, near))
     schema = px.withColumn(name, F.lit(None).cast("long")).schema

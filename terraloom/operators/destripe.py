@@ -48,9 +48,9 @@ def match_tables(edfs: DataFrame, reference: int | Column, *keys: str) -> DataFr
     points = edfs.withColumns({"_v1": F.lead("v").over(own), "_e1": F.lead("edf").over(own)})
     marked = points.select(*keys, "det", "v", "edf", ref.alias("is_ref"), F.when(ref, F.struct("v", "edf", F.col("_v1").alias("v1"), F.col("_e1").alias("e1"))).alias("r"))
     # At equal shares the reference's own points come after the others, so they are "at or above".
-    up = Window.partitionBy(*keys).orderBy("edf", "is_ref").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    up = Window.partitionBy(*keys).orderBy(F.desc("edf"), F.desc("is_ref")).rowsBetween(Window.unboundedPreceding, Window.currentRow)  # from the far end
     down = Window.partitionBy(*keys).orderBy("edf", "is_ref").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = marked.withColumns({"hi": F.first("r", ignorenulls=True).over(up), "lo": F.last("r", ignorenulls=True).over(down)}).where(~F.col("is_ref"))
+    out = marked.withColumns({"hi": F.last("r", ignorenulls=True).over(up), "lo": F.last("r", ignorenulls=True).over(down)}).where(~F.col("is_ref"))
     carried = F.col("hi.v") + (F.col("hi.v1") - F.col("hi.v")) / (F.col("hi.e1") - F.col("hi.edf")) * (F.col("edf") - F.col("hi.edf"))
     x = F.when(F.col("lo").isNull(), F.coalesce(carried, F.col("hi.v"))).when(F.col("hi").isNull(), F.col("lo.v"))
     x = x.otherwise(F.col("lo.v") + (F.col("edf") - F.col("lo.edf")) / (F.col("hi.edf") - F.col("lo.edf")) * (F.col("hi.v") - F.col("lo.v")))

@@ -15,12 +15,18 @@ def _down(*keys: str):
     return Window.partitionBy(*keys, "s").orderBy("l")
 
 
+def _both_ways(*keys: str) -> list:
+    """Windows over what lies before a pixel along its line and its column, and over what lies behind it, each with the
+    pixel: a running value in either order. A frame that ends with the partition would be gone through for each row."""
+    ends = (Window.unboundedPreceding, Window.currentRow)
+    return [(Window.partitionBy(*keys, line).orderBy(o).rowsBetween(*ends), axis) for line, axis in (("l", "s"), ("s", "l")) for o in (F.asc(axis), F.desc(axis))]
+
+
 def collar(px: DataFrame, is_data: Column, *keys: str) -> DataFrame:
     """valid: false for the border pixels from which, along the line or the column, no data pixel lies between them
     and the edge."""
-    before, after = (Window.unboundedPreceding, Window.currentRow), (Window.currentRow, Window.unboundedFollowing)
     px = px.withColumn("_d", is_data)
-    seen = [F.max("_d").over(w.rowsBetween(*r)) for w in (_across(*keys), _down(*keys)) for r in (before, after)]
+    seen = [F.max("_d").over(w) for w, _ in _both_ways(*keys)]
     return px.withColumn("valid", seen[0] & seen[1] & seen[2] & seen[3]).drop("_d")
 
 
@@ -167,9 +173,7 @@ def blend(px: DataFrame, base: str, overlay: str, inside: Column, width: int, *k
     the line or the column, over the width, at most 1."""
     px = px.withColumn("_in", inside)
     near = []
-    for w, axis in ((_across(*keys), "s"), (_down(*keys), "l")):
-        out = F.when(~F.col("_in"), F.col(axis))
-        near.append(F.col(axis) - F.max(out).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        near.append(F.min(out).over(w.rowsBetween(0, Window.unboundedFollowing)) - F.col(axis))
+    for w, axis in _both_ways(*keys):
+        near.append(F.abs(F.col(axis) - F.last(F.when(~F.col("_in"), F.col(axis)), ignorenulls=True).over(w)))
     share = F.least(F.coalesce(F.least(*near), F.lit(width)) / width, F.lit(1.0))
     return px.withColumn("share", share).withColumn("out", F.col("share") * F.col(overlay) + (1 - F.col("share")) * F.col(base)).drop("_in")
