@@ -13,11 +13,13 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from terraloom.sources import archives, config, swath
-from terraloom.sources.staging import shared_base
+from terraloom.sources.staging import shared_base, spread
 
 from .registry import query
 from .views import FOOT, foot, table
 
+#: Archives of a task.
+_TASK = 2000
 _SUFFIX = (".zip", ".tar.gz", ".gz", ".bz2", ".kmz")
 
 
@@ -49,7 +51,7 @@ def _archives(spark, sf_dir):
         return pd.Series([pack(p, int(k)) for p, k in zip(path, i)])
 
     suffix = F.element_at(F.array(*map(F.lit, _SUFFIX)), (F.col("id") % 5 + 1).cast("int"))
-    named = foot(spark, sf_dir).select("id", F.concat(F.lit("/in/s"), F.col("id").cast("string"), F.when(F.col("id") % 5 == 2, ".tif").when(F.col("id") % 5 == 3, ".grd").otherwise(""), suffix).alias("path"))
+    named = spread(foot(spark, sf_dir), _TASK).select("id", F.concat(F.lit("/in/s"), F.col("id").cast("string"), F.when(F.col("id") % 5 == 2, ".tif").when(F.col("id") % 5 == 3, ".grd").otherwise(""), suffix).alias("path"))
     return named.select("path", content("path", "id").alias("content"))
 
 

@@ -10,13 +10,16 @@ import tarfile
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Formats looked for inside an archive, in this order (fixed values).
 RASTER_FORMATS = ["tif", "sid", "jp2", "bil", "png", "jpg", "gif", "grd"]
 VECTOR_FORMATS = ["shp"]
+#: Members, and bytes of theirs, that are handed on together; all of one archive are.
+_ROWS, _BYTES = 4096, 1 << 24
+_MEMBER = pa.schema([("archive", pa.string()), ("pos", pa.int32()), ("member", pa.string()), ("ext", pa.string()), ("bytes", pa.binary()), ("error", pa.string())])
 
 
 def files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -57,18 +60,26 @@ def members(archives: DataFrame, with_content: bool = True) -> DataFrame:
     """archive, pos, member, ext and (if wanted) bytes of every member. A broken archive gives one row with an error
     and no member, and does not stop the others."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf.path, pdf.content):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                path, content = path.as_py(), content.as_py()
                 rows = []
                 try:
                     for pos, member, data in _members(path, content):
                         rows.append((path, pos, member, member.rsplit(".", 1)[-1].lower() if "." in member else "", data if with_content else None, None))
                 except Exception as e:
                     rows = [(path, None, None, None, None, f"{type(e).__name__}: {e}")]
-                yield pd.DataFrame(rows, columns=["archive", "pos", "member", "ext", "bytes", "error"]).astype({"pos": "Int32"})
-
-    return archives.select("path", "content").mapInPandas(run, "archive string, pos int, member string, ext string, bytes binary, error string")
+                held += rows
+                size += sum(len(r[4] or b"") for r in rows)
+                if len(held) >= _ROWS or size >= _BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), _MEMBER.types)], schema=_MEMBER)
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), _MEMBER.types)], schema=_MEMBER)
+
+    return archives.select("path", "content").mapInArrow(run, "archive string, pos int, member string, ext string, bytes binary, error string")
 
 
 def pick(found: DataFrame, glob: str | None = None, formats: list[str] | None = None) -> DataFrame:

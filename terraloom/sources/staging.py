@@ -29,6 +29,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """The rows dealt evenly to tasks of about so many, for dear work on each row of a compact table, and to no fewer
+    than run at once."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows)))
+
+
 def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     """Whether a table has at most so many rows; no more than these are counted."""
     return df.limit(rows + 1).count() <= rows
