@@ -21,9 +21,12 @@ from pyspark.sql import functions as F
 from terraloom.sources.staging import cut
 
 from .coast import oriented
+from .spatial import CELL, cells, ring_box
 
 #: Edges that a band should have, the most bands, edges from which on a band is dissolved in parts, sides of a disc.
 BAND_EDGES, BANDS, CROWDED, DISC = 400, 4096, 2000, 32
+#: How near to a slanted side, in parts of its coordinates, a point is held against the rings.
+NEAR = 1e-9
 #: y0 < y1; the left and the right border at both; layer and turn of edges.
 TRAPEZOIDS = "y0 double, y1 double, xl0 double, xl1 double, xr0 double, xr1 double"
 RING = "array<struct<x:double,y:double>>"
@@ -58,9 +61,10 @@ def _sweep(e: np.ndarray, low: float, high: float, op: str) -> list[tuple]:
     at = lambda k, y: np.where(y == y1[k], x1[k], x0[k] + (y - y0[k]) * slope[k])
     a, b = np.maximum(y0, low), np.minimum(y1, high)
     ys = [a, b]
-    # Where two edges cross within the band, a block of pairs at a time.
-    for k in range(0, len(e), 256):
-        i = slice(k, k + 256)
+    # Where two edges cross within the band, a block of pairs at a time; of two that cross one is slanted.
+    slanted = np.flatnonzero(x0 != x1)
+    for k in range(0, len(slanted), 256):
+        i = slanted[k : k + 256]
         with np.errstate(divide="ignore", invalid="ignore"):
             y = ((x0[None, :] - y0[None, :] * slope[None, :]) - (x0[i, None] - y0[i, None] * slope[i, None])) / (slope[i, None] - slope[None, :])
         good = (y > np.maximum(a[i, None], a[None, :])) & (y < np.minimum(b[i, None], b[None, :]))
@@ -254,8 +258,33 @@ def closed(rings: DataFrame, ring: str, distances: list[float]) -> DataFrame:
     return traps
 
 
-def covered(points: DataFrame, x: str, y: str, traps: DataFrame) -> DataFrame:
-    """The points that lie in any trapezoid, once each: both meet in bands of the trapezoids."""
+def _in_any(x: Column, y: Column) -> Column:
+    """Whether a point lies in the ring _r, its left and lower border with it, from the ring's own corners: no border is
+    computed, so that points on it fall to one side by the last bit of their coordinates."""
+    r = F.col("_r")
+
+    def turn(s, k):
+        a, b = r[k - 1], r[k]
+        up = b["y"] > a["y"]
+        low, high = F.when(up, a).otherwise(b), F.when(up, b).otherwise(a)
+        left = (x - low["x"]) * (high["y"] - low["y"]) >= (y - low["y"]) * (high["x"] - low["x"])
+        return s + F.when((low["y"] <= y) & (y < high["y"]) & left, F.when(up, -1).otherwise(1)).otherwise(0)
+
+    return F.aggregate(F.sequence(F.lit(1), F.size(r) - 1), F.lit(0), turn) > 0
+
+
+def _held(points: DataFrame, x: str, y: str, rings: DataFrame, how: str) -> DataFrame:
+    """The points in any of the rings (left_semi) or in none (left_anti); they meet in cells of a grid."""
+    some = rings.select(oriented(rings.columns[0]).alias("_r")).where(F.size("_r") >= 4).distinct().withColumns({f"_{k}": c for k, c in ring_box("_r").items()})
+    r = some.withColumn("_c", F.explode(cells(("_xmin", "_ymin", "_xmax", "_ymax"), CELL, 0.0))).alias("r")
+    at = F.struct(F.floor(F.col(x).cast("double") / CELL).alias("i"), F.floor(F.col(y).cast("double") / CELL).alias("j"))
+    return points.withColumn("_c", at).alias("p").join(r, (F.col("p._c") == F.col("r._c")) & _in_any(F.col(f"p.{x}"), F.col(f"p.{y}")), how).drop("_c")
+
+
+def covered(points: DataFrame, x: str, y: str, traps: DataFrame, rings: DataFrame | None = None, others: DataFrame | None = None, op: str = "union") -> DataFrame:
+    """The points that lie in any trapezoid, once each: both meet in bands of the trapezoids. Slanted sides of these are
+    rounded where they were cut; with the rings (and others) that they were made from by the operation, points as near
+    to such a side as that rounding are held against the rings themselves."""
     traps = cut(traps)
     borders = bands(traps)
     band = lambda c: F.lit(0)
@@ -274,4 +303,20 @@ def covered(points: DataFrame, x: str, y: str, traps: DataFrame) -> DataFrame:
     share = (F.col(y) - F.col("y0")) / (F.col("y1") - F.col("y0"))
     inside = (F.col(y) >= F.col("y0")) & (F.col(y) < F.col("y1")) & (F.col(x) >= F.col("xl0") + share * (F.col("xl1") - F.col("xl0"))) & (F.col(x) < F.col("xr0") + share * (F.col("xr1") - F.col("xr0")))
     p, t = p.alias("p"), t.alias("t")
-    return p.join(t, (F.col("p._band") == F.col("t._band")) & inside, "left_semi").drop("_band")
+    met = F.col("p._band") == F.col("t._band")
+    if rings is None:
+        return p.join(t, met & inside, "left_semi").drop("_band")
+    sure, near = F.lit(True), F.lit(False)
+    for side in ("xl", "xr"):
+        wide = F.col(f"{side}1") - F.col(f"{side}0")
+        off = F.abs(F.col(x) - F.col(f"{side}0") - share * wide)
+        close = (wide != 0) & (off <= NEAR * (1 + F.abs(F.col(x)) + F.abs(wide)))
+        sure, near = sure & ~close, near | close
+    level = (F.col(y) >= F.col("y0")) & (F.col(y) < F.col("y1"))
+    slanted = t.where("xl0 <> xl1 or xr0 <> xr1").alias("t")
+    doubtful = p.join(slanted, met & level & near, "left_semi").drop("_band")
+    if op == "union":
+        settled = _held(doubtful, x, y, rings if others is None else rings.union(others), "left_semi")
+    else:
+        settled = _held(_held(doubtful, x, y, rings, "left_semi"), x, y, others, "left_anti" if op == "difference" else "left_semi")
+    return p.join(t, met & inside & sure, "left_semi").drop("_band").unionByName(settled)
