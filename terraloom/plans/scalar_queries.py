@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terraloom.functions import scalar
+from terraloom.sources.staging import spread
 
 from .registry import query
 from .views import DN, FOOT, PX1, dn, foot, px1, table
@@ -147,7 +148,8 @@ def ground_overlays(spark, sf_dir):
     xml = F.format_string("<GroundOverlay><Icon><href>tile%d.png</href></Icon><LatLonBox><north>%s</north><south>%s</south><east>%s</east><west>%s</west></LatLonBox></GroundOverlay>", "id", *[F.col(c).cast("string") for c in ("ymax", "ymin", "xmax", "xmin")])
     from terraloom.sources.markup import read_overlays
 
-    return read_overlays(foot(spark, sf_dir).select("id", xml.alias("xml")), "xml").drop("xml")
+    # Each text is parsed several times: dear work on a compact table.
+    return read_overlays(spread(foot(spark, sf_dir), 2000).select("id", xml.alias("xml")), "xml").drop("xml")
 
 
 @query(f"""WITH {DN}, t AS (SELECT l, s, CAST(v AS DOUBLE) AS v FROM dn)
