@@ -18,6 +18,8 @@ from .resample import LEAST_WEIGHT, expand, kernel_weights, quantised
 
 #: Samples around the world at a pixel of one degree (fixed value).
 AROUND = 360.0
+#: Counts of pixels, of all bands, that a task gathers.
+TASK_ROWS = 500_000
 #: A granule whose longitudes are further apart than this crosses the dateline (fixed value).
 CROSSING = 180.0
 
@@ -32,7 +34,9 @@ def gathered(px: DataFrame, places: DataFrame, mirrors: DataFrame, flags: DataFr
     for df in (px, places, mirrors, flags):
         one = df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in names])
         rows = one if rows is None else rows.unionByName(one)
-    rows = rows.repartition("granule")
+    # So many tasks that each holds a bounded number of rows, and never fewer than the shuffle's own.
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-px.count() // TASK_ROWS))
+    rows = rows.repartition(tasks, "granule")
     by_granule, by_scan = Window.partitionBy("granule"), Window.partitionBy("granule", "scan")
     rows = rows.withColumn("day", F.max("day").over(by_granule)).withColumn("mirror", F.max("mirror").over(by_scan)).where("l is not null")
     values = [F.max(F.when(F.col("band") == b, F.col("dn"))).alias(f"b{b}") for b in bands]
