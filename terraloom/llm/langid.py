@@ -215,7 +215,9 @@ def train(docs: DataFrame, vocabulary: str, per_language: int = TEXTS_PER_LANGUA
     return Model(model.langs, model.vocabulary, model.log_p, _least(sample, model))
 
 
-def _expected(counts: DataFrame, model: Model) -> np.ndarray:
+def _sums(counts: DataFrame, model: Model) -> DataFrame:
+    """Vectors whose sum is the expected counts of all words: at most ``PARTS``, also where the session deals the words
+    to more partitions."""
     shipped = counts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -228,7 +230,11 @@ def _expected(counts: DataFrame, model: Model) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sum"])
         release()
 
-    sums = counts.mapInArrow(run, "sum binary").collect()  # one vector for each of a fixed number of parts
+    return counts.coalesce(PARTS).mapInArrow(run, "sum binary")
+
+
+def _expected(counts: DataFrame, model: Model) -> np.ndarray:
+    sums = _sums(counts, model).collect()
     return sum((np.frombuffer(bytes(r["sum"])).reshape(model.log_p.shape) for r in sums), np.zeros_like(model.log_p))
 
 

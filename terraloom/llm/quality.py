@@ -20,6 +20,8 @@ from .common import crc_mod, cut, map_columns
 #: Fourier features, kernel width in standard deviations for each statistic, ridge, and the most labelled rows used.
 FEATURES, WIDTH, RIDGE, LABELLED = 384, 1.0, 1e-3, 20_000
 _PARTS = 8
+#: The most ids that are broadcast (16 bytes each, with their label).
+BROADCAST_IDS = 1_000_000
 _SEED = 7
 
 _LETTER, _UPPER, _DIGIT, _SPACE, _LINE, _STOP, _COMMA, _SYMBOL, _OTHER = range(9)
@@ -125,6 +127,15 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return map_columns(docs, [id_col, text_col], f"{id_col} {kind}, x array<double>", make)
 
 
+def labelled(docs: DataFrame, known: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
+    """doc_id and text of that share of the labelled documents, and doc_id and y of these. So few ids are broadcast, and
+    no text is shuffled to find those of the sample."""
+    chosen = F.xxhash64("doc_id") / 2.0**64 + 0.5 <= share
+    ids = cut(known.where(chosen).join(docs.where(chosen).select("doc_id"), "doc_id", "left_semi"))
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.where(chosen).select("doc_id", "text").join(ids.select("doc_id"), "doc_id", "left_semi"), ids
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED) -> Model | None:
     """Fit on at most about ``rows`` labelled documents, those with the smallest hash of their id: the bound of the
     fit, whatever the data. Labels that contradict each other count as their mean. None without labels."""
@@ -132,10 +143,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED) -> Model | Non
     n = docs.select("doc_id").join(known, "doc_id").count()
     if not n:
         return None
-    chosen = F.xxhash64("doc_id") / 2.0**64 + 0.5 <= rows / n
-    some = docs.where(chosen).select("doc_id", "text").join(known.where(chosen).select("doc_id"), "doc_id", "left_semi")
+    some, ids = labelled(docs, known, rows / n)
     # Of a bounded number of rows: one line of sums for each of a fixed number of parts.
-    sample = cut(document_statistics(some).join(known, "doc_id").select("x", "y", "doc_id").repartition(_PARTS))
+    sample = cut(document_statistics(some).join(ids, "doc_id").select("x", "y", "doc_id").repartition(_PARTS))
     sums = sample.select(F.posexplode("x")).groupBy("pos").agg(F.avg("col").alias("m"), F.stddev_pop("col").alias("s")).orderBy("pos").collect()
     mean, scale = np.array([r["m"] for r in sums]), np.maximum(np.array([r["s"] for r in sums]), 1e-6)
 

@@ -365,6 +365,15 @@ def test_training_equals_one_machine(spark, docs):
         assert p == model.langs[total.argmax()] and s == pytest.approx(1 / np.exp(total - total.max()).sum(), rel=1e-3)
 
 
+def test_expected_counts_come_in_few_vectors(spark):
+    """However many partitions the words lie in, the driver gets a fixed number of vectors."""
+    words = [(w, [1.0, 2.0]) for w in ("a", "abab", "bbaab", "abbaabc", "ccba")] * 20
+    m = _toy(np.random.default_rng(8).dirichlet(np.ones(6), 2).T)
+    counts = spark.createDataFrame(words, "word string, n array<double>").repartition(50)
+    assert counts.rdd.getNumPartitions() == 50 and langid._sums(counts, m).count() <= langid.PARTS
+    assert np.allclose(langid._expected(counts, m), m.expected([w for w, _ in words], np.array([n for _, n in words])))
+
+
 def test_language_ties_and_long_texts(spark):
     rows = [(0, "aaa bbb", "p"), (1, "aaa bbb", "q"), (2, "aaa", None), (3, "word " * 200_000, None), (4, "x" * 300_000, None), (5, "1 2 ½", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -438,6 +447,20 @@ def test_quality_equals_plain_ridge(spark):
     assert max(abs(got[i] - want[i]) for i in text) < 1e-3
 
 
+def test_quality_sample_shuffles_no_text(spark):
+    """Also where Spark does not broadcast by itself, as with larger tables."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id long, text string")
+        known = spark.createDataFrame([(i, i % 2 / 1.0) for i in range(0, 400, 2)], "doc_id long, y double")
+        some, ids = quality.labelled(df, known, 1.0)
+        assert {r["doc_id"] for r in some.collect()} == {r["doc_id"] for r in ids.collect()} == set(range(0, 200, 2))
+        assert "Exchange hashpartitioning" not in some._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
 def test_quality_of_ties_and_long_texts(spark):
     texts = ["same words here"] * 4 + ["word " * 400_000, "x" * 1_000_000, None]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
